@@ -130,3 +130,68 @@ def topic_listing(events: DataFrame) -> DataFrame:
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
+
+
+# --- B3: temporal and exact types from orders --------------------------------------
+
+def lake_rows(orders: DataFrame) -> DataFrame:
+    """Raw connector row images (lake DDL columns) derived from ``orders``.
+
+    ``boolean1`` is still the TINYINT(1) 0/1 and ``char36`` carries SQL Server's blank
+    padding, so C10 and C13 have something to do.
+    """
+    k = F.col("o_orderkey")
+    day = _instant("o_orderdate")
+    off_us = (k * 1000003) % 86400000000
+    create_us = F.unix_micros(day) + off_us
+    return orders.select(
+        k.cast("int").alias("id"),
+        F.rpad(F.col("o_orderpriority"), 36, " ").alias("char36"),
+        F.col("o_orderstatus").alias("varchar36"),
+        F.col("o_custkey").cast("int").alias("integer1"),
+        k.alias("integer2"),
+        (k * 3).alias("unsigned_int"),
+        F.col("o_totalprice").cast("float").alias("float1"),
+        F.col("o_totalprice").alias("double1"),
+        ((k % 10000).cast("decimal(12,8)") + F.lit(0.12345678).cast("decimal(12,8)"))
+        .cast("decimal(12,8)").alias("decimal1"),
+        (k % 2).cast("int").alias("boolean1"),
+        F.encode(F.col("o_orderpriority"), "UTF-8").alias("blob1"),
+        F.col("o_orderpriority").alias("text1"),
+        F.unix_date(F.to_date(day)).alias("date1"),
+        off_us.alias("time1"),
+        (F.unix_millis(day) + F.floor(off_us / F.lit(1000)).cast("bigint")).alias("datetime1"),
+        create_us.alias("create_datetime"),
+        F.date_format(F.timestamp_micros(create_us), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("update_timestamp"),
+    )
+
+
+# --- B7: topology ------------------------------------------------------------------
+
+def assignments(events: DataFrame) -> DataFrame:
+    """Consumer-group assignments: distinct (group, topic, partition) of the change log."""
+    gid = F.concat(F.lit("g"), (F.col("user_id") % 7).cast("string"))
+    return (events.select(
+        gid.alias("group_id"),
+        F.concat_ws(".", F.lit(TOPIC_PREFIX),
+                    F.when(F.col("user_id") % 2 == 0, F.lit("store")).otherwise(F.lit("billing")),
+                    F.concat(F.lit("tb_"), F.col("event_type"))).alias("topic"),
+        (F.col("event_id") % 3).cast("int").alias("partition"))
+        .distinct()
+        .withColumn("member_id", F.concat(F.col("group_id"), F.lit("-m"), F.col("partition").cast("string")))
+        .select("group_id", "member_id", "topic", "partition"))
+
+
+def consumer_groups(events: DataFrame) -> DataFrame:
+    """Group listing: every assigned group plus one group without members."""
+    spark = events.sparkSession
+    idle = spark.createDataFrame([("g_idle",)], "group_id string")
+    return assignments(events).select("group_id").distinct().unionByName(idle)
+
+
+def connector_status(nation: DataFrame) -> DataFrame:
+    """Connector status rows from ``nation``: name ``c<n>``, worker ``w<region>.host:8083``."""
+    return nation.select(
+        F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("name"),
+        F.concat(F.lit("w"), F.col("n_regionkey").cast("string"), F.lit(".host:8083")).alias("worker_id"),
+    )

@@ -54,3 +54,91 @@ ranked AS (
 )
 SELECT {BRONZE_COLUMNS} FROM ranked WHERE rn = 1 AND __deleted = 'false'
 """
+
+ENVELOPE_SUMMARY = 'topic, "partition", "offset", op, ts_ms'
+
+SQL["ignore_read_op"] = f"""
+WITH {CHANGE_LOG}
+SELECT {ENVELOPE_SUMMARY} FROM cl
+WHERE NOT coalesce(regexp_matches(topic, '^(local.*)\\..*') AND op = 'r', false)
+"""
+
+SQL["unwrap"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset" * 2 AS "offset", user_id, event_id, event_type, value, props,
+       op AS __op, db AS __db, tbl AS __table, ts_ms AS __ts_ms,
+       CASE WHEN op = 'd' THEN 'true' ELSE 'false' END AS __deleted
+FROM cl
+"""
+
+SQL["drop_tombstones"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset" * 2 AS "offset" FROM cl
+"""
+
+SQL["ts_convert"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset", op, strftime(epoch_ms(ts_ms), '%Y-%m-%dT%H:%M:%S.%g') AS ts_ms FROM cl
+"""
+
+SQL["format_field"] = f"""
+WITH {CHANGE_LOG}
+SELECT "offset", db AS __db, tbl AS __table, db || '_bronze.' || tbl AS __db_table FROM cl
+"""
+
+SQL["replace_value"] = f"""
+WITH {CHANGE_LOG}
+SELECT "offset", CASE op WHEN 'c' THEN 'I' WHEN 'u' THEN 'U' WHEN 'd' THEN 'D' ELSE op END AS __op FROM cl
+"""
+
+SQL["replace_field"] = f"""
+WITH {CHANGE_LOG}
+SELECT "offset", ts_ms AS last_applied_date FROM cl
+"""
+
+SQL["hash_key"] = f"""
+WITH {CHANGE_LOG}
+SELECT "offset", user_id, tbl AS __table, md5(concat_ws('|', CAST(user_id AS VARCHAR), tbl)) AS id_iceberg FROM cl
+"""
+
+SQL["transform_chain"] = f"""
+WITH {BRONZE_FLAT}
+SELECT __db_table, id_iceberg, "partition", "offset", user_id, event_id, event_type, value, props, __op, __db,
+       __table, strftime(epoch_ms(last_applied_date), '%Y-%m-%dT%H:%M:%S.%g') AS last_applied_date, __deleted
+FROM flat
+"""
+
+SQL["table_include"] = f"""
+WITH {CHANGE_LOG}
+SELECT {ENVELOPE_SUMMARY} FROM cl WHERE db || '.' || tbl IN ('store.tb_click', 'store.tb_purchase')
+"""
+
+# B3 row images from orders.
+LAKE_ROWS = """
+lr AS (
+  SELECT CAST(o_orderkey AS INTEGER) AS id,
+         rpad(o_orderpriority, 36, ' ') AS char36,
+         CAST(o_orderkey % 2 AS INTEGER) AS boolean1,
+         CAST(CAST(o_orderkey % 10000 AS DECIMAL(12,8)) + CAST(0.12345678 AS DECIMAL(12,8)) AS DECIMAL(12,8))
+           AS decimal1,
+         CAST(epoch_us(o_orderdate) // 86400000000 AS INTEGER) AS date1,
+         (o_orderkey * 1000003) % 86400000000 AS time1,
+         epoch_us(o_orderdate) // 1000 + ((o_orderkey * 1000003) % 86400000000) // 1000 AS datetime1,
+         epoch_us(o_orderdate) + (o_orderkey * 1000003) % 86400000000 AS create_datetime
+  FROM orders
+)"""
+
+SQL["tinyint1_to_boolean"] = f"WITH {LAKE_ROWS} SELECT id, boolean1 <> 0 AS boolean1 FROM lr"
+SQL["decimal_precise"] = f"WITH {LAKE_ROWS} SELECT id, decimal1 FROM lr"
+SQL["normalize_char"] = f"WITH {LAKE_ROWS} SELECT id, rtrim(char36) AS char36 FROM lr"
+SQL["decode_temporal"] = f"""
+WITH {LAKE_ROWS}
+SELECT id,
+       strftime(DATE '1970-01-01' + date1, '%Y-%m-%d') AS date1,
+       strftime(make_timestamp(time1), '%H:%M:%S.%f') AS time1,
+       strftime(epoch_ms(datetime1), '%Y-%m-%d %H:%M:%S.%f') AS datetime1,
+       strftime(make_timestamp(create_datetime), '%Y-%m-%d %H:%M:%S.%f') AS create_datetime,
+       strftime(strptime(strftime(make_timestamp(create_datetime), '%Y-%m-%dT%H:%M:%S.%fZ'),
+                         '%Y-%m-%dT%H:%M:%S.%fZ'), '%Y-%m-%d %H:%M:%S.%f') AS update_timestamp
+FROM lr
+"""

@@ -50,3 +50,132 @@ def q_bronze_latest_state(spark, sf_dir):
     """Current state per (table, key) from the change log; deletes removed."""
     flat = bronze_flat(spark, sf_dir).select(*BRONZE_COLUMNS, "__deleted")
     return bronze.latest_state(flat)
+
+
+# --- C*: change-event transforms -----------------------------------------------------
+
+ENVELOPE_SUMMARY = ["topic", "partition", "offset", "op", "ts_ms"]
+FLAT_COLUMNS = ["topic", "partition", "offset", "user_id", "event_id", "event_type", "value", "props",
+                "__op", "__db", "__table", "__ts_ms", "__deleted"]
+
+
+def _events(spark, sf_dir):
+    return fixtures.load_events(spark, sf_dir)
+
+
+@register("ignore_read_op")
+def q_ignore_read_op(spark, sf_dir):
+    """Snapshot reads dropped on matching topics."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    return transforms.ignore_read_op(ce, "^(local.*)\\..*").select(*ENVELOPE_SUMMARY)
+
+
+@register("unwrap")
+def q_unwrap(spark, sf_dir):
+    """Envelope -> flat rows, deletes rewritten, tombstones dropped."""
+    ce = fixtures.change_events(_events(spark, sf_dir), tombstones=True)
+    return transforms.unwrap(ce).select(*FLAT_COLUMNS)
+
+
+@register("drop_tombstones")
+def q_drop_tombstones(spark, sf_dir):
+    """C14: null-value records dropped from the raw Kafka frame."""
+    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=False, tombstones=True)
+    return transforms.drop_tombstones(recs).select("topic", "partition", "offset")
+
+
+@register("ts_convert")
+def q_ts_convert(spark, sf_dir):
+    """Envelope ts_ms -> yyyy-MM-dd'T'HH:mm:ss.SSS text (UTC)."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    return transforms.ts_convert(ce).select(*ENVELOPE_SUMMARY)
+
+
+def _flat(spark, sf_dir):
+    return transforms.unwrap(fixtures.change_events(_events(spark, sf_dir)))
+
+
+@register("format_field")
+def q_format_field(spark, sf_dir):
+    """C4: __db_table = <db>_bronze.<table>."""
+    return transforms.format_field(_flat(spark, sf_dir)).select("offset", "__db", "__table", "__db_table")
+
+
+@register("replace_value")
+def q_replace_value(spark, sf_dir):
+    """__op codes c/u/d -> I/U/D, others unchanged."""
+    return transforms.replace_value(_flat(spark, sf_dir)).select("offset", "__op")
+
+
+@register("replace_field")
+def q_replace_field(spark, sf_dir):
+    """__ts_ms renamed to last_applied_date."""
+    return transforms.replace_field(_flat(spark, sf_dir)).select("offset", "last_applied_date")
+
+
+@register("hash_key")
+def q_hash_key(spark, sf_dir):
+    """md5 over the record key fields joined with '|'."""
+    out = transforms.hash_key(_flat(spark, sf_dir), ["user_id", "__table"])
+    return out.select("offset", "user_id", "__table", "id_iceberg")
+
+
+TS_CHAIN = ("tsConvertor", "ignoreReadOp", "unwrap", "formatField", "replaceValue", "replaceField", "hashKey",
+            "notATransform")
+
+
+@register("transform_chain")
+def q_transform_chain(spark, sf_dir):
+    """Ordered chain with C3 first (text times), an unknown name skipped."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    out = transforms.transform_chain(ce, TS_CHAIN, topic_prefix="local",
+                                     overrides={"hashKey": {"key_fields": ["user_id"]}})
+    return out.select(*BRONZE_COLUMNS, "__deleted")
+
+
+@register("table_include")
+def q_table_include(spark, sf_dir):
+    """Only listed tables of one database."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    return transforms.table_include(ce, "store", ["tb_click", "tb_purchase"]).select(*ENVELOPE_SUMMARY)
+
+
+def _lake_rows(spark, sf_dir):
+    from changelake.session import read_table
+
+    return fixtures.lake_rows(read_table(spark, sf_dir, "orders"))
+
+
+@register("tinyint1_to_boolean")
+def q_tinyint1_to_boolean(spark, sf_dir):
+    """TINYINT(1) -> boolean."""
+    return transforms.tinyint1_to_boolean(_lake_rows(spark, sf_dir), ["boolean1"]).select("id", "boolean1")
+
+
+@register("decimal_precise")
+def q_decimal_precise(spark, sf_dir):
+    """Exact decimal(12,8)."""
+    df = _lake_rows(spark, sf_dir).withColumn("decimal1", F.col("decimal1").cast("string"))
+    return transforms.decimal_precise(df, ["decimal1"]).select("id", "decimal1")
+
+
+@register("normalize_char")
+def q_normalize_char(spark, sf_dir):
+    """SQL Server CHAR padding removed."""
+    return transforms.normalize_char(_lake_rows(spark, sf_dir), ["char36"]).select("id", "char36")
+
+
+@register("decode_temporal")
+def q_decode_temporal(spark, sf_dir):
+    """C11: DATE days, TIME micros, DATETIME ms/us and ISO text decoded (shown as text)."""
+    from changelake.functions import temporal as tm
+
+    rows = _lake_rows(spark, sf_dir)
+    return rows.select(
+        "id",
+        F.date_format(tm.date_from_days("date1"), "yyyy-MM-dd").alias("date1"),
+        tm.time_of_day_text("time1").alias("time1"),
+        tm.iso_text(tm.timestamp_from_epoch("datetime1", tm.unit_for_precision(3))).alias("datetime1"),
+        tm.iso_text(tm.timestamp_from_epoch("create_datetime", tm.unit_for_precision(6))).alias("create_datetime"),
+        tm.iso_text(tm.iso_timestamp("update_timestamp")).alias("update_timestamp"),
+    )
