@@ -91,14 +91,33 @@ def envelope_json(df: DataFrame) -> Column:
                   F.to_json(F.struct("before", "after", "source", "op", "ts_ms", "ts_us", "ts_ns")))
 
 
-def kafka_records(events: DataFrame, framed: bool = True, tombstones: bool = False) -> DataFrame:
+def envelope_json_text_ts(df: DataFrame) -> tuple[Column, Column]:
+    """Envelope JSON whose top-level ``ts_ms`` is ISO text for odd offsets and a number otherwise
+    (the connector's converter transform turns it into text). Returns (head, body): the
+    body refers to the head as column ``_head``."""
+    head = F.to_json(F.struct("before", "after", "source", "op"))
+    iso = F.date_format(F.timestamp_millis(F.col("ts_ms")), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    token = F.when(F.col("offset") % 2 == 1, F.concat(F.lit('"'), iso, F.lit('"'))) \
+        .otherwise(F.col("ts_ms").cast("string"))
+    body = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"ts_ms":'), token, F.lit("}"))
+    return head, body
+
+
+def kafka_records(events: DataFrame, framed: bool = True, tombstones: bool = False,
+                  text_ts: bool = False) -> DataFrame:
     """The change log as raw Kafka records (key/value bytes).
 
     ``framed``: value = magic byte 0 + 4-byte big-endian schema id + JSON envelope,
     except for ``offset % 7 = 0`` whose value is plain JSON (first byte ``{``).
+    ``text_ts``: the envelope ``ts_ms`` is ISO text for odd offsets (mixed shapes, M11).
     """
     ce = change_events(events, tombstones=tombstones)
-    body = F.encode(envelope_json(ce), "UTF-8")
+    if text_ts:
+        head, body_text = envelope_json_text_ts(ce)
+        ce = ce.withColumn("_head", head)
+        body = F.encode(F.when(F.col("op").isNotNull(), body_text), "UTF-8")
+    else:
+        body = F.encode(envelope_json(ce), "UTF-8")
     if framed:
         header = F.concat(F.lit(bytes([0])), F.lit(SCHEMA_ID.to_bytes(4, "big")))
         plain = (F.col("offset") % 7 == 0)

@@ -142,3 +142,135 @@ SELECT id,
                          '%Y-%m-%dT%H:%M:%S.%fZ'), '%Y-%m-%d %H:%M:%S.%f') AS update_timestamp
 FROM lr
 """
+
+TOPICS = CHANGE_LOG + """,
+topics AS (
+  SELECT DISTINCT topic FROM cl
+  UNION ALL
+  SELECT * FROM (VALUES ('__consumer_offsets'), ('_schemas'), ('connect-configs'), ('my-connect-status-x'),
+                        ('plain'), ('a.b.c.d'), ('local.store.tb_idle')) AS t(topic)
+),
+kept AS (
+  SELECT topic FROM topics
+  WHERE NOT starts_with(topic, '_') AND NOT regexp_matches(topic, 'connect-(configs|offsets|status)')
+)"""
+
+SQL["topic_filter"] = f"WITH {TOPICS} SELECT topic FROM kept"
+
+SQL["topic_parts"] = f"""
+WITH {TOPICS}
+SELECT topic, split_part(topic, '.', 1) AS prefix, split_part(topic, '.', 2) AS schema,
+       split_part(topic, '.', 3) AS "table"
+FROM kept WHERE len(string_split(topic, '.')) = 3
+"""
+
+# Kafka records of the change log: framed unless offset % 7 = 0.
+RECORDS = CHANGE_LOG + """,
+rec AS (
+  SELECT topic, "partition", "offset", ts_ms AS timestamp_ms, src_ms, ts_ms, "offset" % 7 <> 0 AS framed FROM cl
+),
+last_pp AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset" DESC) AS rn FROM rec)
+  WHERE rn = 1
+),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY timestamp_ms DESC, "partition" ASC) AS rn2
+                 FROM last_pp WHERE framed)
+  WHERE rn2 = 1
+),
+metrics AS (
+  SELECT topic, split_part(topic, '.', 1) AS prefix, split_part(topic, '.', 2) AS schema,
+         split_part(topic, '.', 3) AS "table", src_ms, ts_ms,
+         ((ts_ms - src_ms) * 1000) / 1000000::DOUBLE AS latency,
+         greatest((epoch_us(TIMESTAMP '2024-02-01 00:00:00') - ts_ms * 1000) / 1000000::DOUBLE, 0.0) AS freshness
+  FROM latest
+  WHERE NOT starts_with(topic, '_') AND NOT regexp_matches(topic, 'connect-(configs|offsets|status)')
+    AND len(string_split(topic, '.')) = 3
+)"""
+
+SQL["last_per_partition"] = f"""
+WITH {RECORDS}
+SELECT topic, "partition", "offset", timestamp_ms, CASE WHEN framed THEN '00' ELSE '7B' END AS first_byte FROM last_pp
+"""
+
+SQL["avro_magic_filter"] = f"""WITH {RECORDS} SELECT topic, "partition", "offset" FROM rec WHERE framed"""
+
+SQL["latest_per_topic"] = f"""
+WITH {RECORDS}
+SELECT topic, "partition", "offset", timestamp_ms FROM latest
+WHERE NOT starts_with(topic, '_') AND NOT regexp_matches(topic, 'connect-(configs|offsets|status)')
+"""
+
+SQL["mixed_ts_decode"] = f"""
+WITH {CHANGE_LOG}
+SELECT "offset",
+       CASE WHEN "offset" % 2 = 1 THEN strftime(epoch_ms(ts_ms), '%Y-%m-%dT%H:%M:%S.%g')
+            ELSE CAST(ts_ms AS VARCHAR) END AS ts_text,
+       ts_ms AS decoded_ms
+FROM cl
+"""
+
+SQL["cdc_latency"] = f"""
+WITH {RECORDS}
+SELECT topic, src_ms AS source_ts_ms, ts_ms AS debezium_ts_ms, latency FROM metrics
+"""
+
+SQL["topic_freshness"] = f"WITH {RECORDS} SELECT topic, freshness FROM metrics"
+
+SQL["schema_freshness"] = f"""
+WITH {RECORDS} SELECT prefix, schema, min(freshness) AS freshness FROM metrics GROUP BY prefix, schema
+"""
+
+SQL["lag_report"] = f"""
+WITH {RECORDS}
+SELECT topic, prefix, schema, "table",
+       strftime(epoch_ms(src_ms), '%Y-%m-%d %H:%M:%S.%f') AS source_ts,
+       strftime(epoch_ms(ts_ms), '%Y-%m-%d %H:%M:%S.%f') AS debezium_ts,
+       latency, freshness
+FROM metrics
+ORDER BY prefix || '.' || schema, freshness, topic
+"""
+
+SQL["lag_metrics"] = f"""
+WITH {RECORDS}
+SELECT 'debezium_source_timestamp' AS metric, 'topic=' || topic AS labels,
+       (src_ms * 1000) / 1000000::DOUBLE AS value FROM metrics
+UNION ALL
+SELECT 'debezium_processing_timestamp', 'topic=' || topic, (ts_ms * 1000) / 1000000::DOUBLE FROM metrics
+UNION ALL
+SELECT 'schema_freshness_seconds', 'prefix=' || prefix || ',schema=' || schema, min(freshness)
+FROM metrics GROUP BY prefix, schema
+"""
+
+ASSIGN = TOPICS + """,
+assign AS (
+  SELECT DISTINCT 'g' || CAST(user_id % 7 AS VARCHAR) AS group_id, topic, "partition" FROM cl
+),
+groups AS (
+  SELECT DISTINCT group_id FROM assign UNION ALL SELECT 'g_idle'
+)"""
+
+SQL["topic_consumers"] = f"""
+WITH {ASSIGN}
+SELECT t.topic,
+       coalesce(array_to_string(list_sort(list(a.group_id) FILTER (WHERE a.group_id IS NOT NULL)), ','), '')
+         AS groups_text
+FROM (SELECT DISTINCT topic FROM topics) t LEFT JOIN assign a ON t.topic = a.topic
+GROUP BY t.topic
+"""
+
+SQL["consumer_topics"] = f"""
+WITH {ASSIGN}
+SELECT g.group_id,
+       coalesce(array_to_string(list_sort(list(DISTINCT a.topic) FILTER (WHERE a.topic IS NOT NULL)), ','), '')
+         AS topics_text
+FROM groups g LEFT JOIN assign a ON g.group_id = a.group_id
+GROUP BY g.group_id
+"""
+
+SQL["connectors_by_worker"] = """
+SELECT 'w' || CAST(n_regionkey AS VARCHAR) AS worker_host,
+       array_to_string(list_sort(list('c' || CAST(n_nationkey AS VARCHAR))), ',') AS connectors_text,
+       count(*) AS n_connectors
+FROM nation GROUP BY n_regionkey
+"""

@@ -179,3 +179,134 @@ def q_decode_temporal(spark, sf_dir):
         tm.iso_text(tm.timestamp_from_epoch("create_datetime", tm.unit_for_precision(6))).alias("create_datetime"),
         tm.iso_text(tm.iso_timestamp("update_timestamp")).alias("update_timestamp"),
     )
+
+
+# --- M*: lag, freshness and topology -------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from changelake.operators import lag, topology  # noqa: E402
+
+FROZEN_NOW = _dt.datetime(2024, 2, 1, 0, 0, 0)  # frozen clock for freshness (UTC)
+
+
+def _records(spark, sf_dir, text_ts=True):
+    return fixtures.kafka_records(_events(spark, sf_dir), framed=True, text_ts=text_ts)
+
+
+def _ms(c):
+    return F.unix_millis(F.col(c))
+
+
+@register("topic_filter")
+def q_topic_filter(spark, sf_dir):
+    """M1: internal and Connect topics dropped from the listing."""
+    return lag.topic_filter(fixtures.topic_listing(_events(spark, sf_dir)))
+
+
+@register("topic_parts")
+def q_topic_parts(spark, sf_dir):
+    """M2: prefix.schema.table names split (others dropped)."""
+    t = lag.topic_parts(lag.topic_filter(fixtures.topic_listing(_events(spark, sf_dir))))
+    return t.select("topic", "prefix", "schema", "table")
+
+
+@register("last_per_partition")
+def q_last_per_partition(spark, sf_dir):
+    """M3: last record of every non-empty partition."""
+    last = lag.last_per_partition(_records(spark, sf_dir))
+    return last.select("topic", "partition", "offset", _ms("timestamp").alias("timestamp_ms"),
+                       F.hex(F.substring("value", 1, 1)).alias("first_byte"))
+
+
+@register("avro_magic_filter")
+def q_avro_magic_filter(spark, sf_dir):
+    """M4: records whose value starts with the registry magic byte."""
+    return lag.avro_magic_filter(_records(spark, sf_dir)).select("topic", "partition", "offset")
+
+
+@register("latest_per_topic")
+def q_latest_per_topic(spark, sf_dir):
+    """M5: M3 -> M4 -> newest per topic (timestamp, then lowest partition)."""
+    latest = lag.scrape_latest(_records(spark, sf_dir))
+    return latest.select("topic", "partition", "offset", _ms("timestamp").alias("timestamp_ms"))
+
+
+@register("mixed_ts_decode")
+def q_mixed_ts_decode(spark, sf_dir):
+    """Connector time as epoch-ms digits or ISO text -> one instant."""
+    from changelake.functions.temporal import format_epoch_millis, mixed_ts_decode
+
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    text = F.when(F.col("offset") % 2 == 1, format_epoch_millis("ts_ms")).otherwise(F.col("ts_ms").cast("string"))
+    out = ce.select("offset", text.alias("ts_text"))
+    return out.withColumn("decoded_ms", F.unix_millis(mixed_ts_decode("ts_text")))
+
+
+def _topic_metrics(spark, sf_dir):
+    return lag.topic_metrics(_records(spark, sf_dir), FROZEN_NOW)
+
+
+@register("cdc_latency")
+def q_cdc_latency(spark, sf_dir):
+    """M6: processing minus source time per topic, seconds."""
+    m = _topic_metrics(spark, sf_dir)
+    return m.select("topic", _ms("source_ts").alias("source_ts_ms"), _ms("debezium_ts").alias("debezium_ts_ms"),
+                    "latency")
+
+
+@register("topic_freshness")
+def q_topic_freshness(spark, sf_dir):
+    """M7: seconds since the newest processed change per topic (frozen clock, clamped at 0)."""
+    return _topic_metrics(spark, sf_dir).select("topic", "freshness")
+
+
+@register("schema_freshness")
+def q_schema_freshness(spark, sf_dir):
+    """M8: freshest topic per prefix.schema."""
+    return lag.schema_freshness(_topic_metrics(spark, sf_dir))
+
+
+@register("lag_report")
+def q_lag_report(spark, sf_dir):
+    """M9: the per-topic report (ordered by prefix.schema, freshness)."""
+    per_topic, _ = lag.lag_report(_records(spark, sf_dir), FROZEN_NOW)
+    return per_topic.select(
+        "topic", "prefix", "schema", "table",
+        F.date_format("source_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("source_ts"),
+        F.date_format("debezium_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("debezium_ts"),
+        "latency", "freshness")
+
+
+@register("lag_metrics")
+def q_lag_metrics(spark, sf_dir):
+    """Gauges as (metric, labels, value) rows."""
+    return lag.lag_metrics(_records(spark, sf_dir), FROZEN_NOW)
+
+
+def _topology_inputs(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return fixtures.topic_listing(ev), fixtures.assignments(ev), fixtures.consumer_groups(ev)
+
+
+@register("topic_consumers")
+def q_topic_consumers(spark, sf_dir):
+    """Topic -> sorted groups (one entry per partition held; idle topic -> empty)."""
+    topics, assign, _ = _topology_inputs(spark, sf_dir)
+    return topology.topic_consumers(topics, assign).select("topic", "groups_text")
+
+
+@register("consumer_topics")
+def q_consumer_topics(spark, sf_dir):
+    """Group -> sorted distinct topics (group without members -> empty)."""
+    _, assign, groups = _topology_inputs(spark, sf_dir)
+    return topology.consumer_topics(groups, assign).select("group_id", "topics_text")
+
+
+@register("connectors_by_worker")
+def q_connectors_by_worker(spark, sf_dir):
+    """Connectors grouped by worker host."""
+    from changelake.session import read_table
+
+    status = fixtures.connector_status(read_table(spark, sf_dir, "nation"))
+    return topology.connectors_by_worker(status).select("worker_host", "connectors_text", "n_connectors")
