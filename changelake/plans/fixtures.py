@@ -214,3 +214,143 @@ def connector_status(nation: DataFrame) -> DataFrame:
         F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("name"),
         F.concat(F.lit("w"), F.col("n_regionkey").cast("string"), F.lit(".host:8083")).alias("worker_id"),
     )
+
+
+# --- B4: database catalogs from orders and lineitem --------------------------------
+
+# fixed values: SQL Server type names cycled through the generated columns
+MSSQL_TYPES = ["int", "nvarchar", "numeric", "datetime2", "bit", "money", "varbinary", "nchar"]
+
+
+def _catalog_columns(lineitem: DataFrame) -> DataFrame:
+    """One column per distinct (l_orderkey, l_linenumber); other fields by min()."""
+    g = (lineitem.groupBy("l_orderkey", "l_linenumber")
+         .agg(F.min("l_returnflag").alias("flag"), F.min("l_partkey").alias("partkey"),
+              F.min("l_suppkey").alias("suppkey"), F.min("l_quantity").alias("qty")))
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    types = F.array(*[F.lit(t) for t in MSSQL_TYPES])
+    dtype = F.element_at(types, (F.col("partkey") % len(MSSQL_TYPES) + 1).cast("int"))
+    is_text = dtype.isin("nvarchar", "nchar")
+    char_len = (F.when(dtype == "nvarchar", F.when(F.col("suppkey") % 5 == 0, F.lit(-1))
+                       .otherwise((F.col("qty") * 40).cast("bigint")))
+                .when(dtype == "nchar", F.lit(36))
+                .when(dtype == "varbinary", F.when(F.col("suppkey") % 2 == 0, F.lit(-1)).otherwise(F.lit(2000))))
+    precision = F.when(dtype.isin("numeric", "money", "int"), F.when(dtype == "int", F.lit(10))
+                       .when(dtype == "money", F.lit(19)).otherwise(F.lit(18)))
+    scale = F.when(dtype == "numeric", n % 5).when(dtype == "money", F.lit(4)).when(dtype == "int", F.lit(0))
+    default = (F.when(n % 4 == 1, F.lit("0")).when(n % 4 == 2, F.lit("current_timestamp()"))
+               .when(n % 4 == 3, F.lit("N/A")))
+    comment = (F.when(F.col("flag") == "R", F.lit(None).cast("string"))
+               .when(F.col("flag") == "A", F.concat(F.lit("accepted line's "), n.cast("string")))
+               .otherwise(F.concat(F.lit("line "), n.cast("string"))))
+    mysql_type = F.when(dtype == "nvarchar", F.lit("varchar(255)")).when(dtype == "nchar", F.lit("char(36)")) \
+        .when(dtype == "numeric", F.lit("decimal(18,2)")).otherwise(dtype)
+    return g.select(
+        k.alias("object_id"),
+        n.cast("int").alias("ORDINAL_POSITION"),
+        n.cast("int").alias("column_id"),
+        F.concat(F.lit("col"), n.cast("string")).alias("COLUMN_NAME"),
+        mysql_type.alias("COLUMN_TYPE"),
+        F.when(is_text, F.lit("utf8mb4")).alias("CHARACTER_SET_NAME"),
+        F.when(is_text, F.lit("utf8mb4_general_ci")).alias("COLLATION_NAME"),
+        dtype.alias("DATA_TYPE"),
+        char_len.cast("bigint").alias("CHARACTER_MAXIMUM_LENGTH"),
+        precision.cast("bigint").alias("NUMERIC_PRECISION"),
+        scale.cast("bigint").alias("NUMERIC_SCALE"),
+        default.alias("COLUMN_DEFAULT"),
+        F.when(F.col("flag") == "N", F.lit("NO")).otherwise(F.lit("YES")).alias("IS_NULLABLE"),
+        F.when((n == 1) & (k % 3 == 0), F.lit("auto_increment")).otherwise(F.lit("")).alias("EXTRA"),
+        comment.alias("COLUMN_COMMENT"),
+    )
+
+
+def catalog(orders: DataFrame, lineitem: DataFrame) -> dict[str, DataFrame]:
+    """Catalog views of many databases as frames (a union of per-database catalogs).
+
+    tables      TABLE_SCHEMA, TABLE_NAME, TABLE_COMMENT, CREATE_TIME, UPDATE_TIME, TABLE_ROWS, object_id, schema_id
+    columns     TABLE_SCHEMA, TABLE_NAME, ORDINAL_POSITION, COLUMN_NAME, ... , object_id, column_id
+    key_usage   TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, CONSTRAINT_NAME, ORDINAL_POSITION
+    partitions  object_id, index_id, partition_number, row_count
+    ext_props   class_desc, name, major_id, minor_id, value
+    identity    TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME
+    include     TABLE_SCHEMA, TABLE_NAME (tables chosen for the spec: open or finished orders)
+    """
+    k = F.col("o_orderkey")
+    db = F.concat(F.lit("db"), (F.col("o_custkey") % 25).cast("string"))
+    tb = F.concat(F.lit("tb_"), k.cast("string"))
+    tables = orders.select(
+        db.alias("TABLE_SCHEMA"), tb.alias("TABLE_NAME"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("TABLE_COMMENT"),
+        _instant("o_orderdate").alias("CREATE_TIME"),
+        (_instant("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("UPDATE_TIME"),
+        F.floor(F.col("o_totalprice")).cast("bigint").alias("TABLE_ROWS"),
+        k.alias("object_id"), F.lit(1).alias("schema_id"),
+        F.col("o_orderstatus").alias("_status"),
+    )
+    cols = _catalog_columns(lineitem).join(
+        tables.select("object_id", "TABLE_SCHEMA", "TABLE_NAME"), "object_id", "inner")
+    first = cols.groupBy("object_id").agg(F.min("ORDINAL_POSITION").alias("_first"))
+    oid = F.col("object_id")
+    pk_name = (F.when(oid % 7 == 0, F.concat(F.lit("ix_"), F.col("TABLE_NAME")))
+               .when(oid % 4 == 0, F.concat(F.lit("pk_"), F.col("TABLE_NAME")))
+               .when(oid % 4 == 1, F.concat(F.lit("CPK_"), F.col("TABLE_NAME")))
+               .when(oid % 4 == 2, F.concat(F.col("TABLE_NAME"), F.lit("_PK")))
+               .otherwise(F.concat(F.lit("npk_"), F.col("TABLE_NAME"))))
+    keyed = cols.join(first, "object_id").filter(F.col("ORDINAL_POSITION") == F.col("_first"))
+    pk_rows = keyed.filter(oid % 5 != 0).select(
+        "TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME", F.lit("PRIMARY").alias("CONSTRAINT_NAME"),
+        F.lit(1).alias("ORDINAL_POSITION"), pk_name.alias("MSSQL_CONSTRAINT_NAME"))
+    uq_src = cols.filter((F.col("ORDINAL_POSITION") == 2) & (oid % 4 == 1))
+    uq_rows = uq_src.select(
+        "TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME",
+        F.when(oid % 8 == 1, F.lit("UNIQUE")).otherwise(F.lit("uq_name")).alias("CONSTRAINT_NAME"),
+        F.lit(1).alias("ORDINAL_POSITION"),
+        F.when(oid % 3 == 0, F.concat(F.col("TABLE_NAME"), F.lit("_UQ")))
+        .otherwise(F.concat(F.lit("UQ_"), F.col("TABLE_NAME"))).alias("MSSQL_CONSTRAINT_NAME"))
+    key_usage = pk_rows.unionByName(uq_rows)
+    rows = F.col("TABLE_ROWS")
+    idx = F.when(F.col("object_id") % 2 == 0, F.lit(1)).otherwise(F.lit(0))
+    partitions = tables.select("object_id", idx.alias("index_id"), F.lit(1).alias("partition_number"),
+                               F.floor(rows / 2).cast("bigint").alias("row_count")) \
+        .unionByName(tables.select("object_id", idx.alias("index_id"), F.lit(2).alias("partition_number"),
+                                   (rows - F.floor(rows / 2).cast("bigint")).alias("row_count"))) \
+        .unionByName(tables.select("object_id", F.lit(2).alias("index_id"), F.lit(1).alias("partition_number"),
+                                   rows.alias("row_count")))
+    ext_props = tables.filter(F.col("TABLE_COMMENT").isNotNull()).select(
+        F.lit("OBJECT_OR_COLUMN").alias("class_desc"), F.lit("MS_Description").alias("name"),
+        F.col("object_id").alias("major_id"), F.lit(0).alias("minor_id"), F.col("TABLE_COMMENT").alias("value")) \
+        .unionByName(cols.filter(F.col("COLUMN_COMMENT").isNotNull()).select(
+            F.lit("OBJECT_OR_COLUMN").alias("class_desc"), F.lit("MS_Description").alias("name"),
+            F.col("object_id").alias("major_id"), F.col("column_id").alias("minor_id"),
+            F.col("COLUMN_COMMENT").alias("value")))
+    identity = cols.filter(F.col("EXTRA") == "auto_increment").select("TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME")
+    include = tables.filter(F.col("_status") != "P").select("TABLE_SCHEMA", "TABLE_NAME")
+    return {"tables": tables.drop("_status"), "columns": cols, "key_usage": key_usage, "partitions": partitions,
+            "ext_props": ext_props, "identity": identity, "include": include}
+
+
+def load_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return catalog(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+
+
+def second_engine_columns(columns: DataFrame) -> DataFrame:
+    """The target engine's columns (T13/T14): ``col3`` upper-cased, and the last column of
+    tables with ``object_id % 11 = 0`` left out."""
+    last = columns.groupBy("object_id").agg(F.max("ORDINAL_POSITION").alias("_last"))
+    renamed = columns.withColumn("COLUMN_NAME", F.when(F.col("ORDINAL_POSITION") == 3, F.upper("COLUMN_NAME"))
+                                 .otherwise(F.col("COLUMN_NAME")))
+    return (renamed.join(last, "object_id")
+            .filter(~((F.col("object_id") % 11 == 0) & (F.col("ORDINAL_POSITION") == F.col("_last"))))
+            .drop("_last"))
+
+
+def space_used_frames(part: DataFrame) -> DataFrame:
+    """sp_spaceused-style rows from ``part`` (sizes as text with a KB suffix)."""
+    size = lambda mult: F.concat((F.col("p_size") * mult).cast("string"), F.lit(" KB"))
+    return part.select(
+        F.col("p_name").alias("name"),
+        (F.col("p_size") * 100).cast("string").alias("rows"),
+        size(8).alias("reserved"), size(5).alias("data"), size(2).alias("index_size"),
+        F.when(F.col("p_partkey") % 13 != 0, size(1)).alias("unused"),
+        F.concat(F.lit("db"), (F.col("p_partkey") % 3).cast("string")).alias("db_name"),
+    )

@@ -274,3 +274,284 @@ SELECT 'w' || CAST(n_regionkey AS VARCHAR) AS worker_host,
        count(*) AS n_connectors
 FROM nation GROUP BY n_regionkey
 """
+
+CATALOG = """
+li AS (
+  SELECT l_orderkey, l_linenumber, min(l_returnflag) AS flag, min(l_partkey) AS partkey,
+         min(l_suppkey) AS suppkey, min(l_quantity) AS qty
+  FROM lineitem GROUP BY l_orderkey, l_linenumber
+),
+li2 AS (
+  SELECT *, ['int', 'nvarchar', 'numeric', 'datetime2', 'bit', 'money', 'varbinary', 'nchar'][partkey % 8 + 1] AS dtype
+  FROM li
+),
+ctab AS (
+  SELECT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS TABLE_SCHEMA, 'tb_' || CAST(o_orderkey AS VARCHAR) AS TABLE_NAME,
+         CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS TABLE_COMMENT,
+         o_orderdate AS CREATE_TIME, o_orderdate + INTERVAL 1 DAY AS UPDATE_TIME,
+         CAST(floor(o_totalprice) AS BIGINT) AS TABLE_ROWS, o_orderkey AS object_id, o_orderstatus AS status
+  FROM orders
+),
+ccol AS (
+  SELECT t.TABLE_SCHEMA, t.TABLE_NAME, l.l_orderkey AS object_id,
+         CAST(l.l_linenumber AS INTEGER) AS ORDINAL_POSITION, CAST(l.l_linenumber AS INTEGER) AS column_id,
+         'col' || CAST(l.l_linenumber AS VARCHAR) AS COLUMN_NAME,
+         CASE dtype WHEN 'nvarchar' THEN 'varchar(255)' WHEN 'nchar' THEN 'char(36)' WHEN 'numeric' THEN 'decimal(18,2)'
+                    ELSE dtype END AS COLUMN_TYPE,
+         CASE WHEN dtype IN ('nvarchar', 'nchar') THEN 'utf8mb4' END AS CHARACTER_SET_NAME,
+         CASE WHEN dtype IN ('nvarchar', 'nchar') THEN 'utf8mb4_general_ci' END AS COLLATION_NAME,
+         dtype AS DATA_TYPE,
+         CAST(CASE WHEN dtype = 'nvarchar' THEN CASE WHEN suppkey % 5 = 0 THEN -1 ELSE CAST(qty * 40 AS BIGINT) END
+                   WHEN dtype = 'nchar' THEN 36
+                   WHEN dtype = 'varbinary' THEN CASE WHEN suppkey % 2 = 0 THEN -1 ELSE 2000 END END AS BIGINT)
+           AS CHARACTER_MAXIMUM_LENGTH,
+         CAST(CASE WHEN dtype = 'int' THEN 10 WHEN dtype = 'money' THEN 19 WHEN dtype = 'numeric' THEN 18 END AS BIGINT)
+           AS NUMERIC_PRECISION,
+         CAST(CASE WHEN dtype = 'numeric' THEN l.l_linenumber % 5 WHEN dtype = 'money' THEN 4 WHEN dtype = 'int' THEN 0
+              END AS BIGINT) AS NUMERIC_SCALE,
+         CASE l.l_linenumber % 4 WHEN 1 THEN '0' WHEN 2 THEN 'current_timestamp()' WHEN 3 THEN 'N/A' END AS COLUMN_DEFAULT,
+         CASE WHEN flag = 'N' THEN 'NO' ELSE 'YES' END AS IS_NULLABLE,
+         CASE WHEN l.l_linenumber = 1 AND l.l_orderkey % 3 = 0 THEN 'auto_increment' ELSE '' END AS EXTRA,
+         CASE WHEN flag = 'R' THEN NULL WHEN flag = 'A' THEN 'accepted line''s ' || CAST(l.l_linenumber AS VARCHAR)
+              ELSE 'line ' || CAST(l.l_linenumber AS VARCHAR) END AS COLUMN_COMMENT
+  FROM li2 l JOIN ctab t ON t.object_id = l.l_orderkey
+),
+firstcol AS (SELECT object_id, min(ORDINAL_POSITION) AS first_pos FROM ccol GROUP BY object_id),
+kusage AS (
+  SELECT c.TABLE_SCHEMA, c.TABLE_NAME, c.COLUMN_NAME, 'PRIMARY' AS CONSTRAINT_NAME, 1 AS ORDINAL_POSITION,
+         CASE WHEN c.object_id % 7 = 0 THEN 'ix_' || c.TABLE_NAME
+              WHEN c.object_id % 4 = 0 THEN 'pk_' || c.TABLE_NAME
+              WHEN c.object_id % 4 = 1 THEN 'CPK_' || c.TABLE_NAME
+              WHEN c.object_id % 4 = 2 THEN c.TABLE_NAME || '_PK'
+              ELSE 'npk_' || c.TABLE_NAME END AS MSSQL_CONSTRAINT_NAME
+  FROM ccol c JOIN firstcol f ON c.object_id = f.object_id AND c.ORDINAL_POSITION = f.first_pos
+  WHERE c.object_id % 5 <> 0
+  UNION ALL
+  SELECT TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME,
+         CASE WHEN object_id % 8 = 1 THEN 'UNIQUE' ELSE 'uq_name' END, 1,
+         CASE WHEN object_id % 3 = 0 THEN TABLE_NAME || '_UQ' ELSE 'UQ_' || TABLE_NAME END
+  FROM ccol WHERE ORDINAL_POSITION = 2 AND object_id % 4 = 1
+),
+cparts AS (
+  SELECT object_id, CASE WHEN object_id % 2 = 0 THEN 1 ELSE 0 END AS index_id, TABLE_ROWS // 2 AS row_count FROM ctab
+  UNION ALL
+  SELECT object_id, CASE WHEN object_id % 2 = 0 THEN 1 ELSE 0 END, TABLE_ROWS - TABLE_ROWS // 2 FROM ctab
+  UNION ALL
+  SELECT object_id, 2, TABLE_ROWS FROM ctab
+),
+cinclude AS (SELECT TABLE_SCHEMA, TABLE_NAME FROM ctab WHERE status <> 'P'),
+pkname AS (
+  SELECT DISTINCT TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME FROM kusage
+  WHERE lower(MSSQL_CONSTRAINT_NAME) LIKE 'pk_%' OR lower(MSSQL_CONSTRAINT_NAME) LIKE 'cpk_%'
+     OR lower(MSSQL_CONSTRAINT_NAME) LIKE 'npk_%' OR lower(MSSQL_CONSTRAINT_NAME) LIKE '%_pk'
+     OR lower(MSSQL_CONSTRAINT_NAME) LIKE 'pk%_'
+),
+uqname AS (
+  SELECT TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME FROM kusage
+  WHERE lower(MSSQL_CONSTRAINT_NAME) LIKE 'uq_%' OR lower(MSSQL_CONSTRAINT_NAME) LIKE '%_uq'
+),
+rowcount AS (SELECT object_id, CAST(sum(row_count) AS BIGINT) AS ROW_COUNT FROM cparts WHERE index_id IN (0, 1)
+              GROUP BY object_id),
+myspec AS (
+  SELECT c.TABLE_SCHEMA AS DB_NAME, c.TABLE_NAME,
+         CASE WHEN pk.ORDINAL_POSITION = 1 THEN t.TABLE_COMMENT END AS TABLE_COMMENT,
+         c.ORDINAL_POSITION, c.COLUMN_NAME, c.COLUMN_TYPE, c.CHARACTER_SET_NAME AS CHARACTER_SET, c.COLLATION_NAME,
+         c.DATA_TYPE,
+         coalesce(CAST(c.CHARACTER_MAXIMUM_LENGTH AS VARCHAR),
+                  CAST(c.NUMERIC_PRECISION AS VARCHAR) || ',' || coalesce(CAST(c.NUMERIC_SCALE AS VARCHAR), '0'))
+           AS COLUMN_LENGTH,
+         c.COLUMN_DEFAULT, c.IS_NULLABLE,
+         CASE WHEN uq.COLUMN_NAME IS NOT NULL THEN 'YES' ELSE 'NO' END AS IS_UNIQUE,
+         CASE WHEN c.EXTRA LIKE '%auto_increment%' THEN 'YES' ELSE 'NO' END AS IS_AUTO_INCREMENT,
+         c.EXTRA AS COLUMN_EXTRA,
+         CASE WHEN pk.COLUMN_NAME IS NULL THEN 'NO' ELSE 'YES' END AS PK,
+         c.COLUMN_COMMENT,
+         CASE WHEN pk.ORDINAL_POSITION = 1 THEN t.CREATE_TIME END AS CREATE_TIME,
+         CASE WHEN pk.ORDINAL_POSITION = 1 THEN t.UPDATE_TIME END AS UPDATE_TIME,
+         CASE WHEN pk.ORDINAL_POSITION = 1 THEN t.TABLE_ROWS END AS "ROW"
+  FROM {cols} c
+  JOIN ctab t ON c.TABLE_SCHEMA = t.TABLE_SCHEMA AND c.TABLE_NAME = t.TABLE_NAME
+  LEFT JOIN (SELECT * FROM kusage WHERE CONSTRAINT_NAME = 'PRIMARY') pk
+    ON c.TABLE_SCHEMA = pk.TABLE_SCHEMA AND c.TABLE_NAME = pk.TABLE_NAME AND c.COLUMN_NAME = pk.COLUMN_NAME
+  LEFT JOIN (SELECT * FROM kusage WHERE CONSTRAINT_NAME = 'UNIQUE') uq
+    ON c.TABLE_SCHEMA = uq.TABLE_SCHEMA AND c.TABLE_NAME = uq.TABLE_NAME AND c.COLUMN_NAME = uq.COLUMN_NAME
+  WHERE (c.TABLE_SCHEMA, c.TABLE_NAME) IN (SELECT (TABLE_SCHEMA, TABLE_NAME) FROM cinclude)
+),
+msspec AS (
+  SELECT c.TABLE_SCHEMA AS DB_NAME, c.TABLE_NAME,
+         CASE WHEN c.ORDINAL_POSITION = 1 THEN t.TABLE_COMMENT END AS TABLE_COMMENT,
+         c.ORDINAL_POSITION, c.COLUMN_NAME, CAST(NULL AS VARCHAR) AS COLUMN_TYPE, CAST(NULL AS VARCHAR) AS CHARACTER_SET,
+         c.COLLATION_NAME, c.DATA_TYPE,
+         coalesce(CAST(c.CHARACTER_MAXIMUM_LENGTH AS VARCHAR),
+                  CAST(c.NUMERIC_PRECISION AS VARCHAR) || ',' || CAST(c.NUMERIC_SCALE AS VARCHAR)) AS COLUMN_LENGTH,
+         c.COLUMN_DEFAULT, c.IS_NULLABLE,
+         CASE WHEN uq.COLUMN_NAME IS NOT NULL THEN 'YES' ELSE 'NO' END AS IS_UNIQUE,
+         CASE WHEN c.EXTRA = 'auto_increment' THEN 'YES' ELSE 'NO' END AS IS_AUTO_INCREMENT,
+         CAST(NULL AS VARCHAR) AS COLUMN_EXTRA,
+         CASE WHEN pk.COLUMN_NAME IS NULL THEN 'NO' ELSE 'YES' END AS PK,
+         c.COLUMN_COMMENT,
+         CASE WHEN c.ORDINAL_POSITION = 1 THEN t.CREATE_TIME END AS CREATE_TIME,
+         CASE WHEN c.ORDINAL_POSITION = 1 THEN t.UPDATE_TIME END AS UPDATE_TIME,
+         CASE WHEN c.ORDINAL_POSITION = 1 THEN r.ROW_COUNT END AS "ROW"
+  FROM ccol c
+  JOIN ctab t ON c.object_id = t.object_id
+  LEFT JOIN pkname pk
+    ON c.TABLE_SCHEMA = pk.TABLE_SCHEMA AND c.TABLE_NAME = pk.TABLE_NAME AND c.COLUMN_NAME = pk.COLUMN_NAME
+  LEFT JOIN rowcount r ON c.object_id = r.object_id
+  LEFT JOIN uqname uq
+    ON c.TABLE_SCHEMA = uq.TABLE_SCHEMA AND c.TABLE_NAME = uq.TABLE_NAME AND c.COLUMN_NAME = uq.COLUMN_NAME
+  WHERE (c.TABLE_SCHEMA, c.TABLE_NAME) IN (SELECT (TABLE_SCHEMA, TABLE_NAME) FROM cinclude)
+)"""
+
+SECOND_COLS = """
+lastcol AS (SELECT object_id, max(ORDINAL_POSITION) AS last_pos FROM ccol GROUP BY object_id),
+ccol2 AS (
+  SELECT c.* REPLACE (CASE WHEN c.ORDINAL_POSITION = 3 THEN upper(c.COLUMN_NAME) ELSE c.COLUMN_NAME END AS COLUMN_NAME)
+  FROM ccol c JOIN lastcol l ON c.object_id = l.object_id
+  WHERE NOT (c.object_id % 11 = 0 AND c.ORDINAL_POSITION = l.last_pos)
+)"""
+
+CAT = CATALOG.replace("{cols}", "ccol")
+_MYSPEC_BLOCK = CATALOG[CATALOG.index("myspec AS ("):CATALOG.index("msspec AS (")]
+CAT2 = SECOND_COLS + ",\n" + _MYSPEC_BLOCK.replace("myspec AS", "myspec2 AS").replace("{cols}", "ccol2")
+SPEC_TEXT = ("DB_NAME, TABLE_NAME, TABLE_COMMENT, ORDINAL_POSITION, COLUMN_NAME, COLUMN_TYPE, CHARACTER_SET, "
+             "COLLATION_NAME, DATA_TYPE, COLUMN_LENGTH, COLUMN_DEFAULT, IS_NULLABLE, IS_UNIQUE, IS_AUTO_INCREMENT, "
+             "COLUMN_EXTRA, PK, COLUMN_COMMENT, strftime(CREATE_TIME, '%Y-%m-%d %H:%M:%S') AS CREATE_TIME, "
+             "strftime(UPDATE_TIME, '%Y-%m-%d %H:%M:%S') AS UPDATE_TIME, \"ROW\"")
+
+SQL["mysql_table_spec"] = f"WITH {CAT} SELECT {SPEC_TEXT} FROM myspec ORDER BY DB_NAME, TABLE_NAME, ORDINAL_POSITION"
+SQL["mssql_table_spec"] = f"WITH {CAT} SELECT {SPEC_TEXT} FROM msspec ORDER BY TABLE_NAME, ORDINAL_POSITION"
+SQL["pk_columns"] = f"""WITH {CAT} SELECT concat_ws('.', DB_NAME, TABLE_NAME, COLUMN_NAME) AS pk_column
+FROM msspec WHERE PK = 'YES'"""
+SQL["tables_without_pk"] = f"""WITH {CAT} SELECT DB_NAME, TABLE_NAME FROM msspec GROUP BY DB_NAME, TABLE_NAME
+HAVING count(*) FILTER (WHERE PK = 'YES') = 0"""
+SQL["table_row_count"] = f"WITH {CAT} SELECT object_id, ROW_COUNT FROM rowcount"
+SQL["pk_name_match"] = f"WITH {CAT} SELECT TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME FROM pkname"
+SQL["unique_name_match"] = f"WITH {CAT} SELECT TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME FROM uqname"
+SQL["spec_union"] = f"""WITH {CAT}
+SELECT {SPEC_TEXT}, 'mysql' AS ENGINE FROM myspec
+UNION ALL
+SELECT {SPEC_TEXT.replace('COLUMN_EXTRA, ', 'CAST(NULL AS VARCHAR) AS COLUMN_EXTRA, ')}, 'mssql' FROM msspec"""
+
+SQL["space_used"] = """
+SELECT p_name AS name, CAST(p_size * 100 AS VARCHAR) AS rows,
+       CAST(p_size * 8 AS BIGINT) AS reserved, CAST(p_size * 5 AS BIGINT) AS data,
+       CAST(p_size * 2 AS BIGINT) AS index_size,
+       CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size AS BIGINT) ELSE 0 END AS unused,
+       'db' || CAST(p_partkey % 3 AS VARCHAR) AS db_name
+FROM part
+"""
+
+TYPE_MAP = """
+tm0 AS (
+  SELECT DB_NAME, TABLE_NAME, COLUMN_NAME, DATA_TYPE, COLUMN_LENGTH, lower(DATA_TYPE) AS t,
+         coalesce(COLUMN_LENGTH, '') AS len,
+         regexp_full_match(coalesce(COLUMN_LENGTH, ''), '[0-9]+') AS digits,
+         (contains(lower(DATA_TYPE), 'binary') OR lower(DATA_TYPE) = 'image') AS isbin
+  FROM msspec
+),
+tm1 AS (
+  SELECT *,
+    CASE WHEN len = '' THEN t
+         WHEN contains(t, 'char') AND len = '-1' THEN 'text'
+         WHEN isbin AND len = '-1' THEN 'BLOB'
+         WHEN t = 'hierarchyid' THEN t
+         WHEN digits AND length(len) >= 4 THEN CASE WHEN isbin THEN 'BLOB' ELSE 'text' END
+         ELSE t END AS rt,
+    CASE WHEN len = '' THEN ''
+         WHEN contains(t, 'char') AND len = '-1' THEN ''
+         WHEN isbin AND len = '-1' THEN ''
+         WHEN t = 'hierarchyid' THEN ''
+         WHEN digits AND length(len) >= 4 THEN ''
+         WHEN digits THEN '(' || len || ')'
+         WHEN t IN ('numeric', 'decimal') AND contains(len, ',') THEN '(' || len || ')'
+         ELSE '' END AS rl,
+    (len = '' OR (contains(t, 'char') AND len = '-1') OR (isbin AND len = '-1') OR t = 'hierarchyid'
+     OR (digits AND length(len) >= 4)) AS type_changed
+  FROM tm0
+),
+tm AS (
+  SELECT DB_NAME, TABLE_NAME, COLUMN_NAME, DATA_TYPE, COLUMN_LENGTH,
+    trim(coalesce(CASE rt WHEN 'money' THEN 'DECIMAL(19,4)' WHEN 'smalldatetime' THEN 'DATETIME'
+                          WHEN 'datetime2' THEN 'DATETIME' WHEN 'bit' THEN 'TINYINT(1)' WHEN 'nvarchar' THEN 'VARCHAR'
+                          WHEN 'ntext' THEN 'TEXT' WHEN 'uniqueidentifier' THEN 'VARCHAR(64)' WHEN 'nchar' THEN 'CHAR'
+                          WHEN 'hierarchyid' THEN 'VARCHAR(100)' WHEN 'tinyint' THEN 'TINYINT UNSIGNED'
+                          WHEN 'xml' THEN 'LONGTEXT' WHEN 'numeric' THEN 'NUMERIC' WHEN 'decimal' THEN 'DECIMAL' END,
+                  upper(rt)) || rl) AS mysql_type,
+    type_changed,
+    CASE WHEN t IN ('numeric', 'decimal') AND contains(len, ',')
+           THEN 'decimal(' || trim(split_part(len, ',', 1)) || ',' || trim(split_part(len, ',', 2)) || ')'
+         WHEN t IN ('numeric', 'decimal') THEN 'decimal(38,0)'
+         WHEN t = 'money' THEN 'decimal(19,4)' WHEN t = 'bit' THEN 'boolean' WHEN t = 'int' THEN 'int'
+         WHEN t = 'datetime2' THEN 'timestamp' WHEN t IN ('varbinary') THEN 'binary'
+         WHEN t IN ('nvarchar', 'nchar') THEN 'string'
+         ELSE 'string' END AS spark_type
+  FROM tm1
+)"""
+
+SQL["type_map"] = f"WITH {CAT}, {TYPE_MAP} SELECT * FROM tm"
+SQL["type_change_report"] = f"""WITH {CAT}, {TYPE_MAP}
+SELECT DB_NAME, TABLE_NAME, COLUMN_NAME, DATA_TYPE, COLUMN_LENGTH, mysql_type, spark_type FROM tm WHERE type_changed"""
+SQL["pk_list_per_table"] = f"""WITH {CAT}
+SELECT DB_NAME, TABLE_NAME, string_agg(COLUMN_NAME, ',' ORDER BY ORDINAL_POSITION, COLUMN_NAME) AS pk_columns
+FROM msspec WHERE PK = 'YES' GROUP BY DB_NAME, TABLE_NAME"""
+
+MATCH = f"""{CAT}, {CAT2.strip()}
+srcr AS (SELECT *, row_number() OVER (PARTITION BY DB_NAME, TABLE_NAME ORDER BY ORDINAL_POSITION, COLUMN_NAME) AS idx
+         FROM msspec),
+dstr AS (SELECT *, row_number() OVER (PARTITION BY DB_NAME, TABLE_NAME ORDER BY ORDINAL_POSITION, COLUMN_NAME) AS idx
+         FROM myspec2),
+byname AS (
+  SELECT s.DB_NAME, s.TABLE_NAME, s.idx, s.COLUMN_NAME AS src_column, d.COLUMN_NAME AS dst_column,
+         s.TABLE_COMMENT AS src_tc, s.COLUMN_COMMENT AS src_cc, d.COLUMN_TYPE AS d_type, d.CHARACTER_SET AS d_cs,
+         d.COLLATION_NAME AS d_coll, d.IS_NULLABLE AS d_null, d.COLUMN_DEFAULT AS d_def,
+         d.IS_AUTO_INCREMENT AS d_ai, d.IS_UNIQUE AS d_uq
+  FROM srcr s JOIN myspec2 d ON s.DB_NAME = d.DB_NAME AND s.TABLE_NAME = d.TABLE_NAME AND s.COLUMN_NAME = d.COLUMN_NAME
+)"""
+
+SQL["comment_match_by_name"] = f"WITH {MATCH} SELECT DB_NAME, TABLE_NAME, idx, src_column, dst_column FROM byname"
+SQL["comment_match_by_sequence"] = f"""WITH {MATCH}
+SELECT s.DB_NAME, s.TABLE_NAME, s.idx, s.COLUMN_NAME AS src_column, d.COLUMN_NAME AS dst_column
+FROM srcr s JOIN dstr d ON s.DB_NAME = d.DB_NAME AND s.TABLE_NAME = d.TABLE_NAME AND s.idx = d.idx"""
+SQL["comment_rows"] = f"""WITH {MATCH}
+SELECT DB_NAME, TABLE_NAME, 'table' AS kind, CAST(NULL AS VARCHAR) AS column_name, src_tc AS comment,
+       'ALTER TABLE ' || DB_NAME || '.' || TABLE_NAME || ' COMMENT = ''' || src_tc || ''';' AS statement
+FROM byname WHERE idx = 1 AND src_tc IS NOT NULL AND src_tc <> ''
+UNION ALL
+SELECT DB_NAME, TABLE_NAME, 'column', dst_column, src_cc,
+       concat_ws(' ', 'ALTER TABLE ' || DB_NAME || '.' || TABLE_NAME || ' MODIFY COLUMN ' || dst_column || ' '
+                        || coalesce(d_type, 'None'),
+                 CASE WHEN d_cs IS NOT NULL AND d_cs <> '' THEN 'CHARACTER SET ' || d_cs END,
+                 CASE WHEN d_coll IS NOT NULL AND d_coll <> '' THEN 'COLLATE ' || d_coll END,
+                 CASE WHEN d_null = 'YES' THEN 'NULL' ELSE 'NOT NULL' END,
+                 CASE WHEN d_def IS NULL THEN NULL
+                      WHEN regexp_full_match(d_def, '[0-9]+') OR contains(lower(d_def), 'now')
+                           OR contains(lower(d_def), 'current_timestamp') THEN 'DEFAULT ' || d_def
+                      ELSE 'DEFAULT ''' || d_def || '''' END,
+                 CASE WHEN d_ai = 'YES' THEN 'AUTO_INCREMENT' END,
+                 CASE WHEN d_uq = 'YES' THEN 'UNIQUE' END,
+                 'COMMENT ''' || src_cc || ''';')
+FROM byname WHERE src_cc IS NOT NULL AND src_cc <> ''"""
+
+SQL["bronze_comment_rows"] = f"""WITH {CAT},
+bc AS (SELECT DB_NAME, TABLE_NAME, ORDINAL_POSITION, COLUMN_NAME,
+              replace(coalesce(TABLE_COMMENT, ''), '''', '') AS tc, replace(coalesce(COLUMN_COMMENT, ''), '''', '') AS cc,
+              lower(DB_NAME) || '_bronze.' || lower(TABLE_NAME) AS target
+       FROM myspec),
+firsttc AS (SELECT target, arg_min(tc, (ORDINAL_POSITION, COLUMN_NAME)) AS tc FROM bc WHERE tc <> '' GROUP BY target)
+SELECT target AS target_table, CAST(NULL AS VARCHAR) AS column_name, trim(tc) AS comment,
+       'ALTER TABLE ' || target || ' SET TBLPROPERTIES (''comment'' = ''' || trim(tc) || ''');' AS statement
+FROM firsttc
+UNION ALL
+SELECT target, COLUMN_NAME, trim(cc),
+       'ALTER TABLE ' || target || ' ALTER COLUMN ' || COLUMN_NAME || ' COMMENT ''' || trim(cc) || ''';'
+FROM bc WHERE cc <> ''"""
+
+SQL["data_dictionary"] = f"""WITH {CAT},
+tcs AS (SELECT DB_NAME, TABLE_NAME, arg_min(TABLE_COMMENT, (ORDINAL_POSITION, COLUMN_NAME)) AS tc FROM msspec
+        WHERE TABLE_COMMENT IS NOT NULL AND TABLE_COMMENT <> '' GROUP BY DB_NAME, TABLE_NAME)
+SELECT s.DB_NAME, s.TABLE_NAME,
+       '### ' || s.DB_NAME || '.' || s.TABLE_NAME || CASE WHEN t.tc IS NOT NULL THEN ' / ' || t.tc ELSE '' END AS header,
+       t.tc AS table_comment, s.ORDINAL_POSITION AS SEQ, s.COLUMN_NAME AS NAME, s.DATA_TYPE AS TYPE,
+       CASE WHEN s.PK = 'YES' THEN 'V' WHEN s.PK = 'NO' THEN '' ELSE s.PK END AS PK, s.COLUMN_COMMENT AS COMMENT
+FROM msspec s LEFT JOIN tcs t ON s.DB_NAME = t.DB_NAME AND s.TABLE_NAME = t.TABLE_NAME"""

@@ -310,3 +310,149 @@ def q_connectors_by_worker(spark, sf_dir):
 
     status = fixtures.connector_status(read_table(spark, sf_dir, "nation"))
     return topology.connectors_by_worker(status).select("worker_host", "connectors_text", "n_connectors")
+
+
+# --- T*: catalog specification, audit, reconciliation ------------------------------
+
+from changelake.operators import catalog  # noqa: E402
+
+TS_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _spec_out(spec):
+    return spec.withColumns({c: F.date_format(c, TS_TEXT) for c in ("CREATE_TIME", "UPDATE_TIME")})
+
+
+def _cat(spark, sf_dir):
+    return fixtures.load_catalog(spark, sf_dir)
+
+
+def _mysql_spec(spark, sf_dir, ordered=False):
+    c = _cat(spark, sf_dir)
+    return catalog.mysql_table_spec(c["tables"], c["columns"], c["key_usage"], c["include"], ordered=ordered)
+
+
+def _mssql_spec(spark, sf_dir, ordered=False):
+    c = _cat(spark, sf_dir)
+    return catalog.mssql_table_spec(c["tables"], c["columns"], c["key_usage"], c["partitions"], c["ext_props"],
+                                    c["identity"], c["include"], ordered=ordered)
+
+
+def _second_spec(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    cols = fixtures.second_engine_columns(c["columns"])
+    return catalog.mysql_table_spec(c["tables"], cols, c["key_usage"], c["include"], ordered=False)
+
+
+@register("mysql_table_spec")
+def q_mysql_table_spec(spark, sf_dir):
+    """MySQL specification (ordered report)."""
+    return _spec_out(_mysql_spec(spark, sf_dir, ordered=True))
+
+
+@register("mssql_table_spec")
+def q_mssql_table_spec(spark, sf_dir):
+    """SQL Server specification (ordered report)."""
+    return _spec_out(_mssql_spec(spark, sf_dir, ordered=True))
+
+
+@register("pk_columns")
+def q_pk_columns(spark, sf_dir):
+    """Db.table.column of primary-key columns (SQL Server spec)."""
+    return catalog.pk_columns(_mssql_spec(spark, sf_dir))
+
+
+@register("tables_without_pk")
+def q_tables_without_pk(spark, sf_dir):
+    """T4: tables without any primary-key column (SQL Server spec)."""
+    return catalog.tables_without_pk(_mssql_spec(spark, sf_dir))
+
+
+@register("table_row_count")
+def q_table_row_count(spark, sf_dir):
+    """T5: rows per object over index 0/1 partitions."""
+    return catalog.table_row_count(_cat(spark, sf_dir)["partitions"])
+
+
+@register("pk_name_match")
+def q_pk_name_match(spark, sf_dir):
+    """Primary-key columns found by constraint name."""
+    return catalog.pk_name_match(_cat(spark, sf_dir)["key_usage"])
+
+
+@register("unique_name_match")
+def q_unique_name_match(spark, sf_dir):
+    """Unique columns found by constraint name."""
+    return catalog.unique_name_match(_cat(spark, sf_dir)["key_usage"])
+
+
+@register("spec_union")
+def q_spec_union(spark, sf_dir):
+    """Both engines' specifications concatenated by name, tagged with the engine."""
+    my = _mysql_spec(spark, sf_dir).withColumn("ENGINE", F.lit("mysql"))
+    ms = _mssql_spec(spark, sf_dir).withColumn("ENGINE", F.lit("mssql")).drop("COLUMN_EXTRA")
+    return _spec_out(catalog.spec_union(my, ms))
+
+
+@register("space_used")
+def q_space_used(spark, sf_dir):
+    """Space-used rows with sizes as numbers."""
+    from changelake.session import read_table
+
+    return catalog.space_used(fixtures.space_used_frames(read_table(spark, sf_dir, "part")))
+
+
+@register("type_map")
+def q_type_map(spark, sf_dir):
+    """SQL Server type + length -> MySQL-style and Spark types."""
+    m = catalog.type_map(_mssql_spec(spark, sf_dir))
+    return m.select("DB_NAME", "TABLE_NAME", "COLUMN_NAME", "DATA_TYPE", "COLUMN_LENGTH", "mysql_type",
+                    "type_changed", "spark_type")
+
+
+@register("type_change_report")
+def q_type_change_report(spark, sf_dir):
+    """Columns whose type changes."""
+    return catalog.type_change_report(_mssql_spec(spark, sf_dir))
+
+
+@register("pk_list_per_table")
+def q_pk_list_per_table(spark, sf_dir):
+    """Key columns per table in column order."""
+    return catalog.pk_list_per_table(_mssql_spec(spark, sf_dir))
+
+
+def _match_out(m):
+    return m.select("DB_NAME", "TABLE_NAME", "idx", F.col("src_COLUMN_NAME").alias("src_column"),
+                    F.col("dst_COLUMN_NAME").alias("dst_column"))
+
+
+@register("comment_match_by_name")
+def q_comment_match_by_name(spark, sf_dir):
+    """SQL Server columns matched to MySQL columns by exact name."""
+    return _match_out(catalog.comment_match_by_name(_mssql_spec(spark, sf_dir), _second_spec(spark, sf_dir)))
+
+
+@register("comment_match_by_sequence")
+def q_comment_match_by_sequence(spark, sf_dir):
+    """SQL Server columns paired with MySQL columns by position."""
+    return _match_out(catalog.comment_match_by_sequence(_mssql_spec(spark, sf_dir), _second_spec(spark, sf_dir)))
+
+
+@register("comment_rows")
+def q_comment_rows(spark, sf_dir):
+    """Comment statements for the target engine (name matching)."""
+    m = catalog.comment_match_by_name(_mssql_spec(spark, sf_dir), _second_spec(spark, sf_dir))
+    return catalog.comment_rows(m)
+
+
+@register("bronze_comment_rows")
+def q_bronze_comment_rows(spark, sf_dir):
+    """Comment statements for the bronze tables."""
+    return catalog.bronze_comment_rows(_mysql_spec(spark, sf_dir))
+
+
+@register("data_dictionary")
+def q_data_dictionary(spark, sf_dir):
+    """Data dictionary rows per table."""
+    return catalog.data_dictionary(_mssql_spec(spark, sf_dir))
