@@ -354,3 +354,74 @@ def space_used_frames(part: DataFrame) -> DataFrame:
         F.when(F.col("p_partkey") % 13 != 0, size(1)).alias("unused"),
         F.concat(F.lit("db"), (F.col("p_partkey") % 3).cast("string")).alias("db_name"),
     )
+
+
+# --- B6: ingest lists and rule sets from orders ------------------------------------
+
+def ingest_lists(orders: DataFrame, engine: str = "mssql") -> dict[str, DataFrame]:
+    """Settings lists as frames of dotted names (column ``name``).
+
+    SQL Server names are ``db<c>.dbo.T<k>``, MySQL names ``db<c>.T<k>``. Excluded where
+    ``k % 5 = 0``, lower-cased where ``k % 2 = 0``, columns c1/c2 removed where
+    ``k % 3 = 0``; ``dbx...T1`` is listed and excluded (an all-excluded database).
+    """
+    spark = orders.sparkSession
+    k = F.col("o_orderkey")
+    mid = ".dbo.T" if engine == "mssql" else ".T"
+    name = F.concat(F.lit("db"), (F.col("o_custkey") % 25).cast("string"), F.lit(mid), k.cast("string"))
+    base = orders.select(name.alias("name"), k.alias("k"))
+    extra = spark.createDataFrame([(f"dbx{mid}1",)], "name string")
+    tables = base.select("name").unionByName(extra)
+    except_tables = base.filter(k % 5 == 0).select("name").unionByName(extra)
+    lower = base.filter(k % 2 == 0).select("name")
+    cols = base.filter(k % 3 == 0)
+    except_columns = (cols.select(F.concat(F.col("name"), F.lit(".c1")).alias("name"))
+                      .unionByName(cols.select(F.concat(F.col("name"), F.lit(".c2")).alias("name"))))
+    return {"tables": tables, "except_tables": except_tables, "except_columns": except_columns,
+            "lower_case_tables": lower}
+
+
+def rule_set_documents(orders: DataFrame) -> DataFrame:
+    """(file_name, JSON text) rule sets, one per order's table.
+
+    Each has a selection rule (exclude where ``k % 5 = 0``) and a dbo -> db rename;
+    ``k % 11 = 0`` has two renames (the last one counts), ``k % 13 = 0`` none, and
+    ``k % 17 = 0`` is not valid JSON.
+    """
+    k = F.col("o_orderkey")
+    db = F.concat(F.lit("db"), (F.col("o_custkey") % 25).cast("string"))
+    table = F.concat(F.lit("T"), k.cast("string"))
+    none = F.lit(None).cast("string")
+
+    action = F.when(k % 5 == 0, F.lit("exclude")).otherwise(F.lit("include"))
+    select = F.struct(F.lit("selection").alias("rule-type"), F.lit("1").alias("rule-id"),
+                      F.lit("selection_1").alias("rule-name"), none.alias("rule-target"), action.alias("rule-action"),
+                      F.struct(F.lit("dbo").alias("schema-name"), table.alias("table-name")).alias("object-locator"),
+                      none.alias("value"))
+    rename = lambda rid, to: F.struct(
+        F.lit("transformation").alias("rule-type"), F.lit(rid).alias("rule-id"),
+        F.lit(f"rename_{rid}").alias("rule-name"), F.lit("schema").alias("rule-target"),
+        F.lit("rename").alias("rule-action"),
+        F.struct(F.lit("dbo").alias("schema-name"), none.alias("table-name")).alias("object-locator"),
+        to.alias("value"))
+    rules = (F.when(k % 13 == 0, F.array(select))
+             .when(k % 11 == 0, F.array(rename("2", F.lit("staging")), select, rename("3", db)))
+             .otherwise(F.array(select, rename("2", db))))
+    text = F.when(k % 17 == 0, F.lit('{"rules": [')).otherwise(F.to_json(F.struct(rules.alias("rules"))))
+    return orders.select(F.concat(db, F.lit("-"), table, F.lit(".json")).alias("file_name"), text.alias("text"))
+
+
+def task_documents(orders: DataFrame) -> DataFrame:
+    """Replication-task descriptions (JSON text), one per database."""
+    db = F.concat(F.lit("db"), (F.col("o_custkey") % 25).cast("string"))
+    d = orders.select(db.alias("db")).distinct()
+    mapping = F.concat(F.lit('{"rules":[{"rule-type":"selection","object-locator":{"schema-name":"'), F.col("db"),
+                       F.lit('"}}]}'))
+    task = F.struct(
+        F.concat(F.lit("task-"), F.col("db")).alias("ReplicationTaskIdentifier"),
+        F.concat(F.lit("arn:aws:dms:region:0:task:"), F.col("db")).alias("ReplicationTaskArn"),
+        F.concat(F.lit("arn:aws:dms:region:0:endpoint:src-"), F.col("db")).alias("SourceEndpointArn"),
+        F.lit("arn:aws:dms:region:0:endpoint:lake").alias("TargetEndpointArn"),
+        F.when(F.length("db") == 3, F.lit("full-load-and-cdc")).otherwise(F.lit("cdc")).alias("MigrationType"),
+        mapping.alias("TableMappings"))
+    return d.select(F.to_json(task).alias("text"))

@@ -555,3 +555,84 @@ SELECT s.DB_NAME, s.TABLE_NAME,
        t.tc AS table_comment, s.ORDINAL_POSITION AS SEQ, s.COLUMN_NAME AS NAME, s.DATA_TYPE AS TYPE,
        CASE WHEN s.PK = 'YES' THEN 'V' WHEN s.PK = 'NO' THEN '' ELSE s.PK END AS PK, s.COLUMN_COMMENT AS COMMENT
 FROM msspec s LEFT JOIN tcs t ON s.DB_NAME = t.DB_NAME AND s.TABLE_NAME = t.TABLE_NAME"""
+
+SQL["rules_tidy"] = """
+SELECT 'db' || CAST(o_custkey % 25 AS VARCHAR) || '-T' || CAST(o_orderkey AS VARCHAR) || '.json' AS file_name,
+       'selection' AS rule_type,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'exclude' ELSE 'include' END AS action,
+       CASE WHEN o_orderkey % 13 = 0 THEN 'dbo' ELSE 'db' || CAST(o_custkey % 25 AS VARCHAR) END AS schema,
+       'T' || CAST(o_orderkey AS VARCHAR) AS "table"
+FROM orders WHERE o_orderkey % 17 <> 0
+"""
+
+SQL["tasks_tidy"] = """
+SELECT 'task-' || db AS replication_task_identifier, 'arn:aws:dms:region:0:task:' || db AS replication_task_arn,
+       'arn:aws:dms:region:0:endpoint:src-' || db AS source_endpoint_arn,
+       'arn:aws:dms:region:0:endpoint:lake' AS target_endpoint_arn,
+       CASE WHEN length(db) = 3 THEN 'full-load-and-cdc' ELSE 'cdc' END AS migration_type,
+       '{"rules":[{"rule-type":"selection","object-locator":{"schema-name":"' || db || '"}}]}' AS table_mappings
+FROM (SELECT DISTINCT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS db FROM orders)
+"""
+
+
+def _plan_sql(engine: str) -> str:
+    mid = ".dbo.T" if engine == "mssql" else ".T"
+    schema = "'dbo'" if engine == "mssql" else "database"
+    lists = f"""
+lst AS (
+  SELECT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS database, 'T' || CAST(o_orderkey AS VARCHAR) AS tbl,
+         o_orderkey % 5 = 0 AS excluded, o_orderkey % 2 = 0 AS lower_case, o_orderkey % 3 = 0 AS drop_cols
+  FROM orders
+  UNION ALL SELECT 'dbx', 'T1', true, false, false
+),
+slots AS (
+  SELECT database, tbl, 0 AS kind, CAST(NULL AS VARCHAR) AS col, excluded AS gap FROM lst
+  {"WHERE NOT excluded" if engine == "mssql" else ""}
+  {"UNION ALL SELECT database, tbl, 1, NULL, false FROM lst WHERE NOT excluded" if engine == "mssql" else ""}
+  UNION ALL SELECT database, tbl, 2, NULL, false FROM lst WHERE NOT excluded AND lower_case
+  UNION ALL SELECT database, tbl, 3, 'c1', false FROM lst WHERE NOT excluded AND drop_cols
+  UNION ALL SELECT database, tbl, 3, 'c2', false FROM lst WHERE NOT excluded AND drop_cols
+  {"UNION ALL SELECT DISTINCT database, NULL, 9, NULL, false FROM lst" if engine == "mssql" else ""}
+),
+numbered AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY database ORDER BY kind = 9, tbl, kind, col) AS INTEGER) AS rule_id
+  FROM slots
+)"""
+    return f"""
+WITH {lists}
+SELECT database, rule_id,
+       CASE kind WHEN 0 THEN 'include_table_' || rule_id WHEN 1 THEN 'add_column_cdc_dt_' || rule_id
+                 WHEN 2 THEN 'table_rename_lower_case_' || rule_id WHEN 3 THEN 'remove_column_' || col || '_' || rule_id
+                 ELSE 'schema_rename_dbo_to_' || database END AS rule_name,
+       CASE WHEN kind = 0 THEN 'selection' ELSE 'transformation' END AS rule_type,
+       CASE kind WHEN 0 THEN 'include' WHEN 1 THEN 'add-column' WHEN 2 THEN 'convert-lowercase'
+                 WHEN 3 THEN 'remove-column' ELSE 'rename' END AS rule_action,
+       CASE kind WHEN 1 THEN 'column' WHEN 2 THEN 'table' WHEN 3 THEN 'column' WHEN 9 THEN 'schema' END AS rule_target,
+       {schema} AS schema_name, tbl AS table_name, col AS column_name,
+       CASE kind WHEN 1 THEN 'cdc_dt' WHEN 9 THEN database END AS value,
+       CASE WHEN kind = 1 THEN '$AR_H_COMMIT_TIMESTAMP' END AS expression,
+       CASE WHEN kind = 1 THEN 'datetime' END AS data_type,
+       CAST(CASE WHEN kind = 1 THEN 6 END AS INTEGER) AS "precision"
+FROM numbered WHERE NOT gap
+"""
+
+
+SQL["ingest_plan_mssql"] = _plan_sql("mssql")
+SQL["ingest_plan_mysql"] = _plan_sql("mysql")
+
+SQL["table_selection"] = """
+SELECT DISTINCT 'db' || CAST(o_custkey % 25 AS VARCHAR) || '.dbo.T' || CAST(o_orderkey AS VARCHAR) AS name
+FROM orders WHERE o_orderkey % 5 <> 0
+"""
+
+SQL["apply_ingest_plan"] = f"""
+WITH {CHANGE_LOG}
+SELECT db AS target_schema,
+       CASE WHEN db || '.' || upper(tbl) IN ('store.TB_CLICK', 'store.TB_VIEW', 'billing.TB_PURCHASE') THEN lower(tbl)
+            ELSE upper(tbl) END AS target_table,
+       "offset", user_id, event_id, event_type,
+       CASE WHEN db = 'billing' AND tbl = 'tb_click' THEN NULL ELSE value END AS value,
+       CASE WHEN db = 'store' AND tbl = 'tb_view' THEN NULL ELSE props END AS props,
+       src_ms AS cdc_dt_ms
+FROM cl WHERE NOT (db = 'billing' AND tbl = 'tb_error')
+"""

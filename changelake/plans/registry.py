@@ -456,3 +456,70 @@ def q_bronze_comment_rows(spark, sf_dir):
 def q_data_dictionary(spark, sf_dir):
     """Data dictionary rows per table."""
     return catalog.data_dictionary(_mssql_spec(spark, sf_dir))
+
+
+# --- R*: ingest rules ------------------------------------------------------------------
+
+from changelake.operators import ingest_rules  # noqa: E402
+
+
+def _orders(spark, sf_dir):
+    from changelake.session import read_table
+
+    return read_table(spark, sf_dir, "orders")
+
+
+@register("rules_tidy")
+def q_rules_tidy(spark, sf_dir):
+    """Selection rules of rule-set documents; dbo replaced by the last rename target."""
+    docs = fixtures.rule_set_documents(_orders(spark, sf_dir))
+    return ingest_rules.rules_tidy(ingest_rules.parse_rule_sets(docs))
+
+
+@register("tasks_tidy")
+def q_tasks_tidy(spark, sf_dir):
+    """R2: task descriptions -> 6 columns."""
+    return ingest_rules.tasks_tidy(fixtures.task_documents(_orders(spark, sf_dir)))
+
+
+@register("ingest_plan_mssql")
+def q_ingest_plan_mssql(spark, sf_dir):
+    """SQL Server rule plan."""
+    lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mssql")
+    return ingest_rules.ingest_plan_mssql(**lists)
+
+
+@register("ingest_plan_mysql")
+def q_ingest_plan_mysql(spark, sf_dir):
+    """MySQL rule plan (excluded tables leave gaps in the ids)."""
+    lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mysql")
+    return ingest_rules.ingest_plan_mysql(**lists)
+
+
+@register("table_selection")
+def q_table_selection(spark, sf_dir):
+    """Listed tables minus excluded ones."""
+    lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mssql")
+    return ingest_rules.table_selection(lists["tables"], lists["except_tables"])
+
+
+def _b1_plan_lists(spark, flat):
+    names = flat.select(F.concat(F.col("__db"), F.lit(".dbo."), F.upper("__table")).alias("name")).distinct()
+    mk = lambda xs: spark.createDataFrame([(x,) for x in xs], "name string")
+    return {"tables": names,
+            "except_tables": mk(["billing.dbo.TB_ERROR"]),
+            "except_columns": mk(["store.dbo.TB_VIEW.props", "billing.dbo.TB_CLICK.value"]),
+            "lower_case_tables": mk(["store.dbo.TB_CLICK", "store.dbo.TB_VIEW", "billing.dbo.TB_PURCHASE"])}
+
+
+@register("apply_ingest_plan")
+def q_apply_ingest_plan(spark, sf_dir):
+    """A rule plan applied to the change rows of all tables at once."""
+    ce = fixtures.change_events(_events(spark, sf_dir)).withColumn("commit_ms", F.col("source.ts_ms"))
+    flat = transforms.unwrap(ce, keep=("offset", "commit_ms"))
+    plan = ingest_rules.ingest_plan_mssql(**_b1_plan_lists(spark, flat))
+    rows = flat.withColumn("_upper_table", F.upper("__table"))
+    out = ingest_rules.apply_ingest_plan(rows, plan, "__db", "_upper_table", F.timestamp_millis("commit_ms"),
+                                         ["user_id", "event_id", "event_type", "value", "props"])
+    return out.select("target_schema", "target_table", "offset", "user_id", "event_id", "event_type", "value",
+                      "props", F.unix_millis("cdc_dt").alias("cdc_dt_ms"))
