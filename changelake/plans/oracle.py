@@ -636,3 +636,92 @@ SELECT db AS target_schema,
        src_ms AS cdc_dt_ms
 FROM cl WHERE NOT (db = 'billing' AND tbl = 'tb_error')
 """
+
+# --- sources, sinks, framing ---------------------------------------------------------
+
+SQL["kafka_json_source"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset", op, user_id, src_ms AS source_ts_ms FROM cl
+"""
+SQL["connect_json_decode"] = SQL["kafka_json_source"]
+
+SQL["confluent_frame_decode"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset", "offset" % 7 <> 0 AS has_frame,
+       CASE WHEN "offset" % 7 <> 0 THEN 7 END AS schema_id
+FROM cl
+"""
+
+SQL["confluent_jsonschema_decode"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset", CASE WHEN "offset" % 7 <> 0 THEN 7 END AS schema_id, op, ts_ms FROM cl
+"""
+
+_SMALL_JSON = """'{"user_id":' || user_id || ',"event_id":' || event_id || ',"event_type":"' || event_type || '"}'"""
+
+SQL["kafka_json_sink"] = f"SELECT CAST(user_id AS VARCHAR) AS key, {_SMALL_JSON} AS value FROM events"
+SQL["confluent_jsonschema_encode"] = f"SELECT '0000000007' || hex({_SMALL_JSON}) AS value_hex FROM events"
+
+_GSR_HEX = "0300" + "0f8fad5bd9cb469fa16570867728950e".upper()
+SQL["gsr_jsonschema_encode"] = f"SELECT event_id, '{_GSR_HEX}' || hex({_SMALL_JSON}) AS value_hex FROM events"
+SQL["gsr_frame_decode"] = """
+SELECT event_id, true AS has_frame, 0 AS compression, '0f8fad5b-d9cb-469f-a165-70867728950e' AS schema_version
+FROM events
+"""
+SQL["gsr_jsonschema_decode"] = """
+SELECT event_id AS "offset", '0f8fad5b-d9cb-469f-a165-70867728950e' AS schema_version, user_id, event_type FROM events
+"""
+
+SQL["json_archive_sink"] = f"WITH {CHANGE_LOG} SELECT topic, \"partition\", \"offset\", op FROM cl"
+
+_KST = "epoch_ms(ts_ms) + INTERVAL 9 HOUR"
+SQL["lake_daily_sink"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, strftime({_KST}, '%Y') AS year, strftime({_KST}, '%m') AS month, strftime({_KST}, '%d') AS day,
+       count(*) AS n_rows
+FROM cl GROUP BY ALL
+"""
+
+SQL["lake_table_scan"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "offset" * 2 AS "offset", op, strftime({_KST}, '%Y') AS year, strftime({_KST}, '%m') AS month,
+       strftime({_KST}, '%d') AS day
+FROM cl WHERE strftime({_KST}, '%Y%m%d') BETWEEN '20240110' AND '20240120'
+"""
+
+SQL["schema_evolution_scan"] = f"""
+WITH {LAKE_ROWS}
+SELECT lr.id, lr.boolean1 <> 0 AS boolean1, lr.decimal1, CASE WHEN lr.id % 2 = 1 THEN o.o_orderpriority END AS text1
+FROM lr JOIN orders o ON lr.id = o.o_orderkey
+"""
+
+_BLANK = lambda c: f"CASE WHEN trim({c}) <> '' THEN {c} END AS {c}"
+_SPEC_TEXT_COLS = ["TABLE_COMMENT", "COLUMN_NAME", "COLUMN_TYPE", "CHARACTER_SET", "COLLATION_NAME", "DATA_TYPE",
+                   "COLUMN_LENGTH", "COLUMN_DEFAULT", "IS_NULLABLE", "IS_UNIQUE", "IS_AUTO_INCREMENT", "COLUMN_EXTRA",
+                   "PK", "COLUMN_COMMENT"]
+SQL["spec_snapshot_io"] = f"""
+WITH {CAT}
+SELECT DB_NAME, TABLE_NAME, ORDINAL_POSITION, {', '.join(_BLANK(c) for c in _SPEC_TEXT_COLS)},
+       strftime(CREATE_TIME, '%Y-%m-%d %H:%M:%S') AS CREATE_TIME, strftime(UPDATE_TIME, '%Y-%m-%d %H:%M:%S') AS UPDATE_TIME,
+       "ROW"
+FROM myspec
+"""
+
+SQL["dead_letter_split"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset", 'missing magic byte' AS error FROM cl WHERE "offset" % 7 = 0
+"""
+
+SQL["bronze_head"] = SQL["bronze_latest_state"] + "\nORDER BY __db_table, id_iceberg LIMIT 10"
+SQL["bronze_upsert"] = SQL["bronze_latest_state"]
+
+SQL["lag_by_minute"] = f"""
+WITH {CHANGE_LOG}
+SELECT db || '_bronze.' || tbl AS __db_table,
+       strftime(date_trunc('minute', epoch_ms(src_ms)), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('minute', epoch_ms(src_ms)) + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+       count(*) AS n_events,
+       sum((ts_ms - src_ms) * 1000) / count(*) / 1000000::DOUBLE AS avg_latency,
+       max((ts_ms - src_ms) * 1000) / 1000000::DOUBLE AS max_latency
+FROM cl GROUP BY ALL
+"""

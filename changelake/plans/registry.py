@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changelake.operators import bronze, transforms
 from changelake.plans import fixtures
@@ -523,3 +524,217 @@ def q_apply_ingest_plan(spark, sf_dir):
                                          ["user_id", "event_id", "event_type", "value", "props"])
     return out.select("target_schema", "target_table", "offset", "user_id", "event_id", "event_type", "value",
                       "props", F.unix_millis("cdc_dt").alias("cdc_dt_ms"))
+
+
+# --- S*: sources, sinks, framing ------------------------------------------------------
+
+import datetime as _date  # noqa: E402
+
+from changelake import schemas  # noqa: E402
+from changelake.session import scratch_path  # noqa: E402
+from changelake.sources import catalog_io, framing, lake  # noqa: E402
+from changelake.streaming import jobs  # noqa: E402
+
+B1_SOURCE = schemas.SOURCE
+B1_ENVELOPE = schemas.envelope(T.StructType([
+    T.StructField("user_id", T.LongType()), T.StructField("event_id", T.LongType()),
+    T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType())]))
+GSR_VERSION_ID = "0f8fad5b-d9cb-469f-a165-70867728950e"  # schema-version id used for the GSR fixtures
+
+
+def _decoded_summary(df, data="data"):
+    d = F.col(data)
+    return df.select("topic", "partition", "offset", d.getField("op").alias("op"),
+                     F.coalesce(d.getField("after").getField("user_id"),
+                                d.getField("before").getField("user_id")).alias("user_id"),
+                     d.getField("source").getField("ts_ms").alias("source_ts_ms"))
+
+
+@register("kafka_json_source")
+def q_kafka_json_source(spark, sf_dir):
+    """S1 (decode half): plain UTF-8 JSON change events decoded with an explicit schema."""
+    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=False)
+    return _decoded_summary(framing.decode_json(recs, B1_ENVELOPE))
+
+
+@register("confluent_frame_decode")
+def q_confluent_frame_decode(spark, sf_dir):
+    """S2 (frame half): magic byte and schema id of registry-framed values."""
+    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=True)
+    return recs.select("topic", "partition", "offset", framing.has_magic_byte("value").alias("has_frame"),
+                       framing.confluent_schema_id("value").alias("schema_id"))
+
+
+@register("confluent_jsonschema_decode")
+def q_confluent_jsonschema_decode(spark, sf_dir):
+    """S3: registry-framed JSON values decoded (unframed values decode without a schema id)."""
+    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=True)
+    dec = framing.decode_json(recs, B1_ENVELOPE, frame="confluent")
+    return dec.select("topic", "partition", "offset", "schema_id", F.col("data.op").alias("op"),
+                      F.col("data.ts_ms").alias("ts_ms"))
+
+
+def _flat_small(spark, sf_dir):
+    return _events(spark, sf_dir).select("event_id", "user_id", "event_type")
+
+
+@register("kafka_json_sink")
+def q_kafka_json_sink(spark, sf_dir):
+    """S7 (encode half): rows -> (key, JSON value) records."""
+    rows = _flat_small(spark, sf_dir)
+    enc = framing.encode_json(rows.select("user_id", "event_id", "event_type"),
+                              key=F.encode(F.col("user_id").cast("string"), "UTF-8"))
+    return enc.select(F.decode("key", "UTF-8").alias("key"), F.decode("value", "UTF-8").alias("value"))
+
+
+@register("confluent_jsonschema_encode")
+def q_confluent_jsonschema_encode(spark, sf_dir):
+    """Rows -> magic byte + schema id + JSON (shown as hex)."""
+    rows = _flat_small(spark, sf_dir).select("user_id", "event_id", "event_type")
+    enc = framing.encode_json(rows, schema_id=fixtures.SCHEMA_ID, key=F.lit(None).cast("binary"))
+    return enc.select(F.hex("value").alias("value_hex"))
+
+
+def _gsr_records(spark, sf_dir):
+    rows = _flat_small(spark, sf_dir)
+    body = F.encode(F.to_json(F.struct("user_id", "event_id", "event_type")), "UTF-8")
+    return rows.select("event_id", framing.gsr_frame(body, GSR_VERSION_ID).alias("value"))
+
+
+@register("gsr_jsonschema_encode")
+def q_gsr_jsonschema_encode(spark, sf_dir):
+    """Rows -> GSR header (version 3, no compression, schema-version id) + JSON, as hex."""
+    return _gsr_records(spark, sf_dir).select("event_id", F.hex("value").alias("value_hex"))
+
+
+@register("gsr_frame_decode")
+def q_gsr_frame_decode(spark, sf_dir):
+    """S4 (frame half): GSR header fields of framed values."""
+    r = _gsr_records(spark, sf_dir)
+    return r.select("event_id", framing.is_gsr_framed("value").alias("has_frame"),
+                    framing.gsr_compression("value").alias("compression"),
+                    framing.gsr_schema_version("value").alias("schema_version"))
+
+
+@register("gsr_jsonschema_decode")
+def q_gsr_jsonschema_decode(spark, sf_dir):
+    """GSR-framed JSON values decoded."""
+    r = _gsr_records(spark, sf_dir)
+    dec = framing.decode_json(r, T.StructType.fromDDL("user_id BIGINT, event_id BIGINT, event_type STRING"),
+                              frame="gsr")
+    return dec.select(F.col("event_id").alias("offset"), "schema_version", F.col("data.user_id").alias("user_id"),
+                      F.col("data.event_type").alias("event_type"))
+
+
+@register("connect_json_decode")
+def q_connect_json_decode(spark, sf_dir):
+    """Kafka Connect JSON with the schema/payload wrapper (schemas.enable=true)."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    wrapped = F.concat(F.lit('{"schema":{"type":"struct","optional":false},"payload":'), fixtures.envelope_json(ce),
+                       F.lit("}"))
+    recs = ce.select("topic", "partition", "offset", F.encode(wrapped, "UTF-8").alias("value"))
+    return _decoded_summary(framing.connect_json_decode(recs, B1_ENVELOPE, schemas_enable=True))
+
+
+@register("json_archive_sink")
+def q_json_archive_sink(spark, sf_dir):
+    """Messages archived as JSON lines under topic/partition, read back."""
+    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=False)
+    path = scratch_path(spark, "archive")
+    lake.write_archive(recs, path)
+    back = lake.read_archive(spark, path)
+    return back.select("topic", "partition", "offset", F.get_json_object("message", "$.op").alias("op"))
+
+
+def _write_lake(spark, sf_dir):
+    ce = fixtures.change_events(_events(spark, sf_dir), tombstones=True)
+    path = scratch_path(spark, "lake")
+    lake.write_lake(lake.prepare_lake_rows(ce), path)
+    return path
+
+
+@register("lake_daily_sink")
+def q_lake_daily_sink(spark, sf_dir):
+    """Change events written to the daily lake (KST days, 1000-row files), read back per day."""
+    path = _write_lake(spark, sf_dir)
+    back = lake.scan_lake(spark, path)
+    return back.groupBy("topic", "year", "month", "day").agg(F.count("*").alias("n_rows"))
+
+
+@register("lake_table_scan")
+def q_lake_table_scan(spark, sf_dir):
+    """Lake scan with an explicit schema, pruned to local days 2024-01-10..2024-01-20."""
+    path = _write_lake(spark, sf_dir)
+    schema = lake.lake_schema(B1_ENVELOPE, T.StructType.fromDDL("`partition` INT, `offset` BIGINT, `timestamp` TIMESTAMP"))
+    back = lake.scan_lake(spark, path, schema, start=_date.date(2024, 1, 10), end=_date.date(2024, 1, 20))
+    return back.select("topic", "offset", "op", "year", "month", "day")
+
+
+@register("schema_evolution_scan")
+def q_schema_evolution_scan(spark, sf_dir):
+    """Files of two schema versions (boolean1 int -> boolean, text1 added) read as one."""
+    rows = _lake_rows(spark, sf_dir)
+    base = scratch_path(spark, "versions")
+    v1, v2 = f"{base}/v1", f"{base}/v2"
+    rows.filter(F.col("id") % 2 == 0).select("id", "boolean1", "decimal1").write.parquet(v1)
+    rows.filter(F.col("id") % 2 == 1).select("id", (F.col("boolean1") != 0).alias("boolean1"), "decimal1",
+                                              "text1").write.parquet(v2)
+    target = T.StructType.fromDDL("id INT, boolean1 BOOLEAN, decimal1 DECIMAL(12,8), text1 STRING")
+    return lake.scan_versions(spark, [v1, v2], target)
+
+
+@register("spec_snapshot_io")
+def q_spec_snapshot_io(spark, sf_dir):
+    """Specification saved as Parquet and reloaded; blank text becomes null."""
+    path = scratch_path(spark, "spec")
+    catalog_io.save_spec(_mysql_spec(spark, sf_dir), path)
+    return _spec_out(catalog_io.load_spec(spark, path))
+
+
+@register("dead_letter_split")
+def q_dead_letter_split(spark, sf_dir):
+    """Records without the registry frame or with an undecodable body go to dead letters."""
+    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=True)
+    dec = framing.decode_json(recs, B1_ENVELOPE, frame="confluent")
+    reason = (F.when(~framing.has_magic_byte("value"), F.lit("missing magic byte"))
+              .when(F.col("data").isNull(), F.lit("undecodable body")))
+    _, dead = lake.split_dead_letters(dec, "data", reason)
+    return dead.select("topic", "partition", "offset", "error")
+
+
+@register("bronze_head")
+def q_bronze_head(spark, sf_dir):
+    """First ten rows of the bronze state in key order."""
+    state = q_bronze_latest_state(spark, sf_dir)
+    return catalog_io.bronze_head(state, ["__db_table", "id_iceberg"], 10)
+
+
+@register("bronze_upsert")
+def q_bronze_upsert(spark, sf_dir):
+    """State as of 2024-01-15 folded with the later changes (equals the full fold)."""
+    flat = bronze_flat(spark, sf_dir).select(*BRONZE_COLUMNS, "__deleted", "timestamp")
+    cut = F.lit(_date.datetime(2024, 1, 15)).cast("timestamp")
+    before = flat.filter(F.col("timestamp") < cut).drop("timestamp")
+    after = flat.filter(F.col("timestamp") >= cut).drop("timestamp")
+    state = bronze.latest_state(before)
+    return bronze.upsert(state, after)
+
+
+@register("lag_by_minute")
+def q_lag_by_minute(spark, sf_dir):
+    """X3 (batch twin of the stream): latency per table and commit minute."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    flat = transforms.format_field(transforms.unwrap(
+        ce.withColumn("commit_ts", F.timestamp_millis("source.ts_ms"))
+          .withColumn("processed_ts", F.timestamp_millis("ts_ms")),
+        keep=("offset", "commit_ts", "processed_ts")))
+    out = jobs.lag_by_minute(flat)
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
+
+
+@register("naming_audit")
+def q_naming_audit(spark, sf_dir):
+    """Names that need quoting (special characters, digits only, or a Spark SQL keyword)."""
+    words = spark.sql("SELECT keyword AS word FROM sql_keywords()")
+    return catalog.naming_audit(_mssql_spec(spark, sf_dir), words)
