@@ -295,7 +295,8 @@ ctab AS (
 ccol AS (
   SELECT t.TABLE_SCHEMA, t.TABLE_NAME, l.l_orderkey AS object_id,
          CAST(l.l_linenumber AS INTEGER) AS ORDINAL_POSITION, CAST(l.l_linenumber AS INTEGER) AS column_id,
-         'col' || CAST(l.l_linenumber AS VARCHAR) AS COLUMN_NAME,
+         CASE l.l_linenumber WHEN 7 THEN 'order' WHEN 6 THEN 'col 6'
+              ELSE 'col' || CAST(l.l_linenumber AS VARCHAR) END AS COLUMN_NAME,
          CASE dtype WHEN 'nvarchar' THEN 'varchar(255)' WHEN 'nchar' THEN 'char(36)' WHEN 'numeric' THEN 'decimal(18,2)'
                     ELSE dtype END AS COLUMN_TYPE,
          CASE WHEN dtype IN ('nvarchar', 'nchar') THEN 'utf8mb4' END AS CHARACTER_SET_NAME,

@@ -325,22 +325,23 @@ def _spec_out(spec):
 
 
 def _cat(spark, sf_dir):
+    """Catalog views for one query: derived once, snapshotted, then joined as needed."""
     return fixtures.load_catalog(spark, sf_dir)
 
 
-def _mysql_spec(spark, sf_dir, ordered=False):
-    c = _cat(spark, sf_dir)
+def _mysql_spec(spark, sf_dir, ordered=False, c=None):
+    c = c or _cat(spark, sf_dir)
     return catalog.mysql_table_spec(c["tables"], c["columns"], c["key_usage"], c["include"], ordered=ordered)
 
 
-def _mssql_spec(spark, sf_dir, ordered=False):
-    c = _cat(spark, sf_dir)
+def _mssql_spec(spark, sf_dir, ordered=False, c=None):
+    c = c or _cat(spark, sf_dir)
     return catalog.mssql_table_spec(c["tables"], c["columns"], c["key_usage"], c["partitions"], c["ext_props"],
                                     c["identity"], c["include"], ordered=ordered)
 
 
-def _second_spec(spark, sf_dir):
-    c = _cat(spark, sf_dir)
+def _second_spec(spark, sf_dir, c=None):
+    c = c or _cat(spark, sf_dir)
     cols = fixtures.second_engine_columns(c["columns"])
     return catalog.mysql_table_spec(c["tables"], cols, c["key_usage"], c["include"], ordered=False)
 
@@ -390,8 +391,9 @@ def q_unique_name_match(spark, sf_dir):
 @register("spec_union")
 def q_spec_union(spark, sf_dir):
     """Both engines' specifications concatenated by name, tagged with the engine."""
-    my = _mysql_spec(spark, sf_dir).withColumn("ENGINE", F.lit("mysql"))
-    ms = _mssql_spec(spark, sf_dir).withColumn("ENGINE", F.lit("mssql")).drop("COLUMN_EXTRA")
+    c = _cat(spark, sf_dir)
+    my = _mysql_spec(spark, sf_dir, c=c).withColumn("ENGINE", F.lit("mysql"))
+    ms = _mssql_spec(spark, sf_dir, c=c).withColumn("ENGINE", F.lit("mssql")).drop("COLUMN_EXTRA")
     return _spec_out(catalog.spec_union(my, ms))
 
 
@@ -431,19 +433,23 @@ def _match_out(m):
 @register("comment_match_by_name")
 def q_comment_match_by_name(spark, sf_dir):
     """SQL Server columns matched to MySQL columns by exact name."""
-    return _match_out(catalog.comment_match_by_name(_mssql_spec(spark, sf_dir), _second_spec(spark, sf_dir)))
+    c = _cat(spark, sf_dir)
+    return _match_out(catalog.comment_match_by_name(_mssql_spec(spark, sf_dir, c=c), _second_spec(spark, sf_dir, c=c)))
 
 
 @register("comment_match_by_sequence")
 def q_comment_match_by_sequence(spark, sf_dir):
     """SQL Server columns paired with MySQL columns by position."""
-    return _match_out(catalog.comment_match_by_sequence(_mssql_spec(spark, sf_dir), _second_spec(spark, sf_dir)))
+    c = _cat(spark, sf_dir)
+    return _match_out(catalog.comment_match_by_sequence(_mssql_spec(spark, sf_dir, c=c),
+                                                        _second_spec(spark, sf_dir, c=c)))
 
 
 @register("comment_rows")
 def q_comment_rows(spark, sf_dir):
     """Comment statements for the target engine (name matching)."""
-    m = catalog.comment_match_by_name(_mssql_spec(spark, sf_dir), _second_spec(spark, sf_dir))
+    c = _cat(spark, sf_dir)
+    m = catalog.comment_match_by_name(_mssql_spec(spark, sf_dir, c=c), _second_spec(spark, sf_dir, c=c))
     return catalog.comment_rows(m)
 
 

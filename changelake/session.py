@@ -85,3 +85,15 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a derived table that a plan uses several times (one computation
+    instead of one per use) and survives executor loss, unlike a cache or a local
+    checkpoint: the data sits in the cluster's shared storage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
