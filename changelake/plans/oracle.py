@@ -498,9 +498,11 @@ SELECT DB_NAME, TABLE_NAME, string_agg(COLUMN_NAME, ',' ORDER BY ORDINAL_POSITIO
 FROM msspec WHERE PK = 'YES' GROUP BY DB_NAME, TABLE_NAME"""
 
 MATCH = f"""{CAT}, {CAT2.strip()}
-srcr AS (SELECT *, row_number() OVER (PARTITION BY DB_NAME, TABLE_NAME ORDER BY ORDINAL_POSITION, COLUMN_NAME) AS idx
+srcr AS (SELECT *, CAST(row_number() OVER (PARTITION BY DB_NAME, TABLE_NAME ORDER BY ORDINAL_POSITION, COLUMN_NAME)
+                      AS INTEGER) AS idx
          FROM msspec),
-dstr AS (SELECT *, row_number() OVER (PARTITION BY DB_NAME, TABLE_NAME ORDER BY ORDINAL_POSITION, COLUMN_NAME) AS idx
+dstr AS (SELECT *, CAST(row_number() OVER (PARTITION BY DB_NAME, TABLE_NAME ORDER BY ORDINAL_POSITION, COLUMN_NAME)
+                      AS INTEGER) AS idx
          FROM myspec2),
 byname AS (
   SELECT s.DB_NAME, s.TABLE_NAME, s.idx, s.COLUMN_NAME AS src_column, d.COLUMN_NAME AS dst_column,
