@@ -38,26 +38,42 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Colu
 
 
 def latest_state(df: DataFrame, key: Sequence[str] = DEFAULT_KEY, order: Sequence[str | Column] = DEFAULT_ORDER,
-                 deleted_col: str = "__deleted") -> DataFrame:
-    """Current state of a flat change stream: newest event per key, deletes removed."""
+                 deleted_col: str = "__deleted", keep_deletes: bool = False) -> DataFrame:
+    """Current state of a flat change stream: newest event per key, deletes removed.
+
+    ``keep_deletes`` keeps the newest delete of a key as a tombstone row (``deleted_col``
+    = 'true'), which is what a state table that later absorbs out-of-order changes needs.
+    """
     latest = latest_per_key(df, key, order)
+    if keep_deletes:
+        return latest
     return latest.filter(F.col(deleted_col) != "true").drop(deleted_col)
 
 
+def live_rows(state: DataFrame, deleted_col: str = "__deleted") -> DataFrame:
+    """The visible rows of a state table that keeps tombstones."""
+    return state.filter(F.col(deleted_col) != "true").drop(deleted_col)
+
+
 def upsert(current: DataFrame, changes: DataFrame, key: Sequence[str] = DEFAULT_KEY,
            order: Sequence[str | Column] = DEFAULT_ORDER, deleted_col: str = "__deleted") -> DataFrame:
     """Fold a batch of changes into an existing state table.
 
-    ``current`` has the state columns; ``changes`` the same plus ``deleted_col``. The
-    newest change per key wins over the stored row when it is at least as new (by
-    ``order``); a winning delete removes the key. Written as union + aggregate, which
-    is one shuffle on the key, instead of a full outer join (two shuffles, and no
-    partial aggregation for hot keys). The result goes to a new path or table;
-    ``MERGE INTO`` needs a table format with row-level operations.
+    The newest version per key wins across the stored rows and the batch (by ``order``;
+    on a tie the batch wins). Written as union + aggregate, which is one shuffle on the
+    key with map-side reduction, instead of a full outer join (two shuffles, no partial
+    aggregation for hot keys). The result goes to a new path or table; ``MERGE INTO``
+    needs a table format with row-level operations.
+
+    If ``current`` carries ``deleted_col`` it is a state with tombstones
+    (``latest_state(keep_deletes=True)``) and the result keeps them too, so a change
+    older than a stored delete cannot bring the key back. Otherwise ``current`` holds
+    live rows only and the result drops deleted keys.
     """
-    state_cols = [c for c in current.columns]
-    stored = current.withColumn(deleted_col, F.lit("false")).withColumn("_src", F.lit(0))
-    fresh = changes.select(*state_cols, deleted_col).withColumn("_src", F.lit(1))
-    both = stored.unionByName(fresh)
-    latest = latest_per_key(both, key, [*order, "_src"])
-    return latest.filter(F.col(deleted_col) != "true").drop(deleted_col, "_src")
+    with_tombstones = deleted_col in current.columns
+    stored = current if with_tombstones else current.withColumn(deleted_col, F.lit("false"))
+    state_cols = [c for c in stored.columns]
+    stored = stored.withColumn("_src", F.lit(0))
+    fresh = changes.select(*state_cols).withColumn("_src", F.lit(1))
+    latest = latest_per_key(stored.unionByName(fresh), key, [*order, "_src"]).drop("_src")
+    return latest if with_tombstones else live_rows(latest, deleted_col)

@@ -4,15 +4,16 @@ Rule planning takes the settings lists as frames of dotted names (so lists of an
 length are joined, never inlined) and emits one row per rule. Rule ids are numbered
 per database in the order the rules appear: tables sorted by name, and for each table
 its include / add-column / lower-case / remove-column rules, then (SQL Server) the
-schema rename. The numbering is a per-database window; a rule set is one document
-per database, so the database is the unit of output anyway.
+schema rename. Numbering is spread over range slices of the rule order, so one large
+database does not end up in a single task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changelake.functions.numbering import row_number_in_group
 from changelake.schemas import RULE_SET, TASK
 
 # fixed values: the change-time column added to every table, and its source expression
@@ -107,10 +108,12 @@ def table_selection(tables: DataFrame, except_tables: DataFrame) -> DataFrame:
 
 
 def _number(rules: DataFrame) -> DataFrame:
+    """Rule ids 1..n per database in rule order (a database may hold most of the rules, so
+    the numbering is spread over range slices instead of one window task)."""
     kind = F.create_map(*[F.lit(x) for kv in _KIND_ORDER.items() for x in kv])[F.col("rule_action")]
-    w = Window.partitionBy("database").orderBy(
-        (F.col("rule_action") == "rename").cast("int"), "table_name", kind, "column_name", "_gap_slot")
-    return rules.withColumn("rule_id", F.row_number().over(w))
+    order = [(F.col("rule_action") == "rename").cast("int"), F.col("table_name"), kind, F.col("column_name"),
+             F.col("_gap_slot")]
+    return row_number_in_group(rules, ["database"], order, out="rule_id")
 
 
 def _finish(rules: DataFrame) -> DataFrame:

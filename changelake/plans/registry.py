@@ -723,8 +723,8 @@ def q_bronze_upsert(spark, sf_dir):
     cut = F.lit(_date.datetime(2024, 1, 15)).cast("timestamp")
     before = flat.filter(F.col("timestamp") < cut).drop("timestamp")
     after = flat.filter(F.col("timestamp") >= cut).drop("timestamp")
-    state = bronze.latest_state(before)
-    return bronze.upsert(state, after)
+    state = bronze.latest_state(before, keep_deletes=True)
+    return bronze.live_rows(bronze.upsert(state, after))
 
 
 @register("lag_by_minute")

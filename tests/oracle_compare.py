@@ -51,6 +51,21 @@ def _norm(v):
     return v
 
 
+def spark_type_name(t) -> str:
+    from pyspark.sql import types as T
+
+    simple = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.StringType: "VARCHAR", T.DoubleType: "DOUBLE",
+              T.BooleanType: "BOOLEAN", T.FloatType: "FLOAT", T.ShortType: "SMALLINT", T.ByteType: "TINYINT",
+              T.DateType: "DATE", T.TimestampType: "TIMESTAMP WITH TIME ZONE", T.TimestampNTZType: "TIMESTAMP",
+              T.BinaryType: "BLOB"}
+    for k, v in simple.items():
+        if isinstance(t, k):
+            return v
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return t.simpleString().upper()
+
+
 def _key(row):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
 
@@ -66,6 +81,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     d_rows = res.fetchall()
     t2 = time.time()
     problems = []
+    s_types = {f.name: spark_type_name(f.dataType) for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]).upper() for d in res.description}
+    bad_types = {c: (s_types[c], d_types.get(c)) for c in s_types if c in d_types and s_types[c] != d_types[c]}
+    if bad_types:
+        problems.append(f"types differ: {bad_types}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={s_cols} duck={d_cols}")
         return problems, len(s_rows), len(d_rows), t1 - t0, t2 - t1
