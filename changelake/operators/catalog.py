@@ -135,10 +135,12 @@ def mssql_table_spec(tables: DataFrame, columns: DataFrame, key_usage: DataFrame
     ident = identity.select("TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME", F.lit(True).alias("_is_id"))
     rows = table_row_count(partitions)
     tc = ["TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME"]
+    # joins grouped by key so the column side is repartitioned at most three times
+    # (column id, object id, column name); small sides are broadcast by AQE at runtime
     j = (spec_base.join(col_comment, ["object_id", "column_id"], "left")
          .join(tbl_comment, "object_id", "left")
-         .join(keys, tc, "left")
          .join(rows, "object_id", "left")
+         .join(keys, tc, "left")
          .join(uq, tc, "left")
          .join(ident, tc, "left"))
     first = F.col("ORDINAL_POSITION") == 1
