@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changelake.functions.numbering import row_number_in_group
-from changelake.schemas import RULE_SET, TASK
+from changelake.schemas import RULE, RULE_SET, TASK
 
 # fixed values: the change-time column added to every table, and its source expression
 CDC_COLUMN = "cdc_dt"
@@ -40,19 +41,35 @@ def parse_rule_sets(docs: DataFrame, text_col: str = "text", name_col: str = "fi
             .select("file_name", F.posexplode("_doc.rules").alias("pos", "rule")))
 
 
-def read_rule_sets(spark, path: str) -> DataFrame:
-    """Scan a folder tree of ``*.json`` rule sets (one document per file).
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    """A copy of ``schema`` with the corrupt-record column (``StructType.add`` would mutate it)."""
+    return T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
 
-    Files that are not valid JSON land in ``_corrupt_record`` and are skipped; the file
-    name comes from the scan's file metadata.
+
+def read_rule_sets(spark, path: str, layout: str = "document", glob: str = "*.json") -> DataFrame:
+    """Scan a folder tree of rule sets -> (file_name, pos, rule).
+
+    ``layout="document"``: one ``{"rules": [...]}`` document per file (multi-line JSON);
+    files that are not valid JSON land in ``_corrupt_record`` and are skipped, and the
+    name is the file's name. ``layout="lines"``: one rule object per line (what
+    :func:`write_plan` writes, one folder per database); the name is the folder and the
+    position is the rule id. Either way nothing is gathered per file: documents are
+    exploded where they are read.
     """
-    schema = RULE_SET.add("_corrupt_record", "string")
-    raw = (spark.read.schema(schema)
-           .option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-           .json(path))
-    return (raw.filter(F.col("_corrupt_record").isNull() & F.col("rules").isNotNull())
-            .select(F.col("_metadata.file_name").alias("file_name"), F.posexplode("rules").alias("pos", "rule")))
+    reader = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
+    if layout == "document":
+        raw = reader.schema(_with_corrupt(RULE_SET)).option("multiLine", "true").json(path)
+        return (raw.filter(F.col("_corrupt_record").isNull() & F.col("rules").isNotNull())
+                .select(F.col("_metadata.file_name").alias("file_name"), F.posexplode("rules").alias("pos", "rule")))
+    if layout == "lines":
+        raw = reader.schema(_with_corrupt(RULE)).json(path)
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        name = F.regexp_replace(folder, r"^[^=]*=", "")
+        return (raw.filter(F.col("_corrupt_record").isNull())
+                .select(name.alias("file_name"), F.col("`rule-id`").cast("int").alias("pos"),
+                        F.struct(*[F.col(f"`{c}`") for c in RULE.fieldNames()]).alias("rule")))
+    raise ValueError(f"unknown layout {layout!r}")
 
 
 def rules_tidy(rules: DataFrame) -> DataFrame:
@@ -217,8 +234,9 @@ def rule_documents(plan: DataFrame) -> DataFrame:
 
 
 def write_plan(plan: DataFrame, path: str) -> None:
-    """Rules as JSON lines, one folder per database, sorted by rule id inside it."""
-    (rule_documents(plan).repartition("database").sortWithinPartitions("database", "rule_id")
+    """Rules as JSON lines, one folder per database (several files when a database's rules
+    are spread over tasks; a reader orders them by rule id)."""
+    (rule_documents(plan).sortWithinPartitions("database", "rule_id")
      .select("database", "rule_json").write.mode("overwrite").partitionBy("database").text(path))
 
 

@@ -728,3 +728,13 @@ SELECT db || '_bronze.' || tbl AS __db_table,
        max((ts_ms - src_ms) * 1000) / 1000000::DOUBLE AS max_latency
 FROM cl GROUP BY ALL
 """
+
+SQL["rules_json_scan"] = """
+WITH lst AS (
+  SELECT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS database, 'T' || CAST(o_orderkey AS VARCHAR) AS tbl,
+         o_orderkey % 5 = 0 AS excluded
+  FROM orders
+)
+SELECT database AS file_name, 'selection' AS rule_type, 'include' AS action, database AS schema, tbl AS "table"
+FROM lst WHERE NOT excluded
+"""

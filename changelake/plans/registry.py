@@ -744,3 +744,14 @@ def q_naming_audit(spark, sf_dir):
     """Names that need quoting (special characters, digits only, or a Spark SQL keyword)."""
     words = spark.sql("SELECT keyword AS word FROM sql_keywords()")
     return catalog.naming_audit(_mssql_spec(spark, sf_dir), words)
+
+
+@register("rules_json_scan")
+def q_rules_json_scan(spark, sf_dir):
+    """S16 + R1: the SQL Server plan written as rule files (one folder per database), scanned
+    back from the folder tree and tidied."""
+    lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mssql")
+    path = scratch_path(spark, "rules")
+    ingest_rules.write_plan(ingest_rules.ingest_plan_mssql(**lists), path)
+    rules = ingest_rules.read_rule_sets(spark, path, layout="lines", glob="*.txt")
+    return ingest_rules.rules_tidy(rules)
