@@ -9,6 +9,8 @@
   batch overwrites its own output instead of duplicating it.
 * :func:`latest_per_topic_stream` (M5 streaming): ``max_by`` state per topic, update mode.
 * :func:`lag_by_minute` (X3): per table and minute, latency stats with a watermark.
+* :func:`lag_metrics_stream` (M10): the lag scrape re-run on every trigger over a small
+  last-record-per-partition state table.
 """
 
 from __future__ import annotations
@@ -98,3 +100,35 @@ def run_available_now(df: DataFrame, sink: Callable[[DataFrame, int], None], che
     q = (df.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def lag_metrics_stream(records: DataFrame, state_path: str, metrics_path: str, checkpoint: str,
+                       now: Callable[[int], object] | None = None, trigger: str | None = "60 seconds",
+                       available_now: bool = False):
+    """M10 as a stream: rescrape on every trigger (60 s, the reference's scrape period).
+
+    Each micro-batch folds its records into a small state table holding the last record
+    of every topic-partition (M3 across batches: union with the previous state, newest
+    offset wins), then computes the per-topic and per-schema metric rows from that
+    state (M4 -> M5 -> decode -> M6-M8) and writes them under ``batch_id=<n>``.
+    State and metrics of a batch are written to their own batch folder, so a replayed
+    batch rewrites the same output. ``now(batch_id)`` supplies the clock (tests freeze it).
+    """
+    from changelake.operators import lag
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        last = lag.last_per_partition(lag.topic_filter(
+            batch.select("topic", "partition", "offset", "timestamp", "value")))
+        if batch_id > 0:
+            prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
+            last = lag.last_per_partition(prev.unionByName(last))
+        last.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        state = spark.read.parquet(f"{state_path}/batch_id={batch_id}")
+        clock = now(batch_id) if now else F.current_timestamp()
+        metrics = lag.lag_metrics(state, clock)
+        metrics.write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
+
+    w = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
