@@ -25,6 +25,10 @@ from changelake.sources.framing import has_magic_byte, strip_confluent_frame
 # fixed values: topics that are never scraped (internal, and Connect's own topics)
 CONNECT_TOPIC_PATTERN = "connect-(configs|offsets|status)"
 INTERNAL_PREFIX = "_"
+# fixed values: gauge names of the lag metrics
+SOURCE_TS_METRIC = "debezium_source_timestamp_seconds"
+PROCESSING_TS_METRIC = "debezium_processing_timestamp_seconds"
+SCHEMA_FRESHNESS_METRIC = "schema_freshness_seconds"
 
 
 def topic_filter(topics: DataFrame, col: str = "topic") -> DataFrame:
@@ -140,12 +144,11 @@ def lag_metrics(records: DataFrame, now: dt.datetime | Column) -> DataFrame:
     epoch = lambda c: F.unix_micros(F.col(c)) / F.lit(1000000.0).cast("double")
     topic_rows = per_topic.select(
         F.lit("topic").alias("_kind"), F.concat(F.lit("topic="), F.col("topic")).alias("labels"),
-        epoch("source_ts").alias("debezium_source_timestamp"),
-        epoch("debezium_ts").alias("debezium_processing_timestamp"),
-    ).unpivot(["_kind", "labels"], ["debezium_source_timestamp", "debezium_processing_timestamp"],
-              "metric", "value")
+        epoch("source_ts").alias(SOURCE_TS_METRIC),
+        epoch("debezium_ts").alias(PROCESSING_TS_METRIC),
+    ).unpivot(["_kind", "labels"], [SOURCE_TS_METRIC, PROCESSING_TS_METRIC], "metric", "value")
     schema_rows = schema_freshness(per_topic).select(
-        F.lit("schema_freshness_seconds").alias("metric"),
+        F.lit(SCHEMA_FRESHNESS_METRIC).alias("metric"),
         F.concat(F.lit("prefix="), F.col("prefix"), F.lit(",schema="), F.col("schema")).alias("labels"),
         F.col("freshness").alias("value"),
     )

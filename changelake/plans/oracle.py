@@ -233,10 +233,10 @@ ORDER BY prefix || '.' || schema, freshness, topic
 
 SQL["lag_metrics"] = f"""
 WITH {RECORDS}
-SELECT 'debezium_source_timestamp' AS metric, 'topic=' || topic AS labels,
+SELECT 'debezium_source_timestamp_seconds' AS metric, 'topic=' || topic AS labels,
        (src_ms * 1000) / 1000000::DOUBLE AS value FROM metrics
 UNION ALL
-SELECT 'debezium_processing_timestamp', 'topic=' || topic, (ts_ms * 1000) / 1000000::DOUBLE FROM metrics
+SELECT 'debezium_processing_timestamp_seconds', 'topic=' || topic, (ts_ms * 1000) / 1000000::DOUBLE FROM metrics
 UNION ALL
 SELECT 'schema_freshness_seconds', 'prefix=' || prefix || ',schema=' || schema, min(freshness)
 FROM metrics GROUP BY prefix, schema
