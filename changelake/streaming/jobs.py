@@ -11,6 +11,7 @@
 * :func:`lag_by_minute` (X3): per table and minute, latency stats with a watermark.
 * :func:`lag_metrics_stream` (M10): the lag scrape re-run on every trigger over a small
   last-record-per-partition state table.
+* :func:`bronze_stream` (X1/X2): change batches folded into a versioned bronze state.
 """
 
 from __future__ import annotations
@@ -132,3 +133,30 @@ def lag_metrics_stream(records: DataFrame, state_path: str, metrics_path: str, c
     w = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
+
+
+def bronze_stream(flat: DataFrame, state_path: str, checkpoint: str, key=None, order=None,
+                  trigger: str | None = "60 seconds", available_now: bool = False):
+    """X1/X2 as a stream: every micro-batch is folded into the bronze state.
+
+    The state keeps tombstones (so late, older changes cannot revive a deleted key) and
+    each batch writes a new version under ``batch_id=<n>`` built from version ``n-1``
+    and the batch (union + newest-per-key aggregate, one shuffle on the key). A replayed
+    batch rebuilds the same version. ``bronze.live_rows`` gives the visible table.
+    """
+    from changelake.operators import bronze
+
+    key = key or bronze.DEFAULT_KEY
+    order = order or bronze.DEFAULT_ORDER
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = bronze.latest_state(batch, key, order, keep_deletes=True)
+        if batch_id > 0:
+            prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
+            fresh = bronze.upsert(prev, batch.select(*prev.columns), key, order)
+        fresh.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+
+    w = flat.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
