@@ -7,15 +7,20 @@ compared with :mod:`changelake.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changelake.operators import bronze, transforms
+from changelake import schemas
+from changelake.functions import temporal as tm
+from changelake.operators import bronze, catalog, ingest_rules, lag, topology, transforms
 from changelake.plans import fixtures
-from changelake.session import configure
+from changelake.session import configure, read_table, scratch_path
+from changelake.sources import catalog_io, framing, lake
+from changelake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,8 +147,6 @@ def q_table_include(spark, sf_dir):
 
 
 def _lake_rows(spark, sf_dir):
-    from changelake.session import read_table
-
     return fixtures.lake_rows(read_table(spark, sf_dir, "orders"))
 
 
@@ -169,8 +172,6 @@ def q_normalize_char(spark, sf_dir):
 @register("decode_temporal")
 def q_decode_temporal(spark, sf_dir):
     """C11: DATE days, TIME micros, DATETIME ms/us and ISO text decoded (shown as text)."""
-    from changelake.functions import temporal as tm
-
     rows = _lake_rows(spark, sf_dir)
     return rows.select(
         "id",
@@ -184,9 +185,6 @@ def q_decode_temporal(spark, sf_dir):
 
 # --- M*: lag, freshness and topology -------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from changelake.operators import lag, topology  # noqa: E402
 
 FROZEN_NOW = _dt.datetime(2024, 2, 1, 0, 0, 0)  # frozen clock for freshness (UTC)
 
@@ -236,12 +234,10 @@ def q_latest_per_topic(spark, sf_dir):
 @register("mixed_ts_decode")
 def q_mixed_ts_decode(spark, sf_dir):
     """Connector time as epoch-ms digits or ISO text -> one instant."""
-    from changelake.functions.temporal import format_epoch_millis, mixed_ts_decode
-
     ce = fixtures.change_events(_events(spark, sf_dir))
-    text = F.when(F.col("offset") % 2 == 1, format_epoch_millis("ts_ms")).otherwise(F.col("ts_ms").cast("string"))
+    text = F.when(F.col("offset") % 2 == 1, tm.format_epoch_millis("ts_ms")).otherwise(F.col("ts_ms").cast("string"))
     out = ce.select("offset", text.alias("ts_text"))
-    return out.withColumn("decoded_ms", F.unix_millis(mixed_ts_decode("ts_text")))
+    return out.withColumn("decoded_ms", F.unix_millis(tm.mixed_ts_decode("ts_text")))
 
 
 def _topic_metrics(spark, sf_dir):
@@ -307,15 +303,12 @@ def q_consumer_topics(spark, sf_dir):
 @register("connectors_by_worker")
 def q_connectors_by_worker(spark, sf_dir):
     """Connectors grouped by worker host."""
-    from changelake.session import read_table
-
     status = fixtures.connector_status(read_table(spark, sf_dir, "nation"))
     return topology.connectors_by_worker(status).select("worker_host", "connectors_text", "n_connectors")
 
 
 # --- T*: catalog specification, audit, reconciliation ------------------------------
 
-from changelake.operators import catalog  # noqa: E402
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
@@ -400,8 +393,6 @@ def q_spec_union(spark, sf_dir):
 @register("space_used")
 def q_space_used(spark, sf_dir):
     """Space-used rows with sizes as numbers."""
-    from changelake.session import read_table
-
     return catalog.space_used(fixtures.space_used_frames(read_table(spark, sf_dir, "part")))
 
 
@@ -467,12 +458,8 @@ def q_data_dictionary(spark, sf_dir):
 
 # --- R*: ingest rules ------------------------------------------------------------------
 
-from changelake.operators import ingest_rules  # noqa: E402
-
 
 def _orders(spark, sf_dir):
-    from changelake.session import read_table
-
     return read_table(spark, sf_dir, "orders")
 
 
@@ -534,12 +521,6 @@ def q_apply_ingest_plan(spark, sf_dir):
 
 # --- S*: sources, sinks, framing ------------------------------------------------------
 
-import datetime as _date  # noqa: E402
-
-from changelake import schemas  # noqa: E402
-from changelake.session import scratch_path  # noqa: E402
-from changelake.sources import catalog_io, framing, lake  # noqa: E402
-from changelake.streaming import jobs  # noqa: E402
 
 B1_SOURCE = schemas.SOURCE
 B1_ENVELOPE = schemas.envelope(T.StructType([
@@ -673,7 +654,7 @@ def q_lake_table_scan(spark, sf_dir):
     """Lake scan with an explicit schema, pruned to local days 2024-01-10..2024-01-20."""
     path = _write_lake(spark, sf_dir)
     schema = lake.lake_schema(B1_ENVELOPE, T.StructType.fromDDL("`partition` INT, `offset` BIGINT, `timestamp` TIMESTAMP"))
-    back = lake.scan_lake(spark, path, schema, start=_date.date(2024, 1, 10), end=_date.date(2024, 1, 20))
+    back = lake.scan_lake(spark, path, schema, start=_dt.date(2024, 1, 10), end=_dt.date(2024, 1, 20))
     return back.select("topic", "offset", "op", "year", "month", "day")
 
 
@@ -720,7 +701,7 @@ def q_bronze_head(spark, sf_dir):
 def q_bronze_upsert(spark, sf_dir):
     """State as of 2024-01-15 folded with the later changes (equals the full fold)."""
     flat = bronze_flat(spark, sf_dir).select(*BRONZE_COLUMNS, "__deleted", "timestamp")
-    cut = F.lit(_date.datetime(2024, 1, 15)).cast("timestamp")
+    cut = F.lit(_dt.datetime(2024, 1, 15)).cast("timestamp")
     before = flat.filter(F.col("timestamp") < cut).drop("timestamp")
     after = flat.filter(F.col("timestamp") >= cut).drop("timestamp")
     state = bronze.latest_state(before, keep_deletes=True)

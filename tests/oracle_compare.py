@@ -15,6 +15,7 @@ import time
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare doubles bit for bit, as a value hash would
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 
@@ -37,7 +38,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, decimal.Decimal):
         return str(v.normalize()) if v == v.to_integral() else format(v, "f").rstrip("0")
     if isinstance(v, (bytes, bytearray, memoryview)):
