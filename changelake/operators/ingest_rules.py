@@ -251,20 +251,20 @@ def apply_ingest_plan(rows: DataFrame, plan: DataFrame, database_col: str, table
     the commit time; the target name is lower-cased where a rule says so and the schema
     renamed to the database.
     """
-    include = plan.filter(F.col("rule_action") == "include").select(
-        F.col("database").alias("_db"), F.col("table_name").alias("_tb"))
-    removed = (plan.filter(F.col("rule_action") == "remove-column")
-               .groupBy(F.col("database").alias("_db"), F.col("table_name").alias("_tb"))
-               .agg(F.collect_set("column_name").alias("_removed")))
-    lower = (plan.filter(F.col("rule_action") == "convert-lowercase")
-             .select(F.col("database").alias("_db"), F.col("table_name").alias("_tb"), F.lit(True).alias("_lower")))
-    renamed = (plan.filter(F.col("rule_action") == "rename")
+    # one row of rule facts per (database, table): the change rows meet the plan in a
+    # single join (broadcast by AQE when the plan is small, a shuffle join otherwise)
+    act = F.col("rule_action")
+    per_table = (plan.filter(F.col("table_name").isNotNull())
+                 .groupBy(F.col("database").alias("_db"), F.col("table_name").alias("_tb"))
+                 .agg(F.max(act == "include").alias("_include"),
+                      F.collect_set(F.when(act == "remove-column", F.col("column_name"))).alias("_removed"),
+                      F.max(act == "convert-lowercase").alias("_lower")))
+    renamed = (plan.filter(act == "rename")
                .select(F.col("database").alias("_db"), F.col("value").alias("_schema")))
+    table_rules = per_table.filter(F.col("_include")).join(renamed, "_db", "left").drop("_include")
     keyed = rows.withColumn("_db", F.col(database_col)).withColumn("_tb", F.col(table_col))
-    j = (keyed.join(include, ["_db", "_tb"], "left_semi")
-         .join(removed, ["_db", "_tb"], "left").join(lower, ["_db", "_tb"], "left").join(renamed, "_db", "left"))
-    nulled = {c: F.when(F.coalesce(F.array_contains("_removed", c), F.lit(False)), F.lit(None)).otherwise(F.col(c))
-              for c in data_columns}
+    j = keyed.join(table_rules, ["_db", "_tb"], "inner")
+    nulled = {c: F.when(F.array_contains("_removed", c), F.lit(None)).otherwise(F.col(c)) for c in data_columns}
     return (j.withColumns(nulled)
             .withColumn(CDC_COLUMN, commit_ts)
             .withColumn("target_schema", F.coalesce(F.col("_schema"), F.col("_db")))
