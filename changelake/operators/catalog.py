@@ -124,11 +124,13 @@ def mssql_table_spec(tables: DataFrame, columns: DataFrame, key_usage: DataFrame
                  .select("object_id", F.col("CREATE_TIME").alias("_create"), F.col("UPDATE_TIME").alias("_modify"))
                  .join(columns, "object_id", "inner"))
     spec_base = _include(spec_base, include, "TABLE_SCHEMA", "TABLE_NAME")
-    props = ext_props.filter((F.col("class_desc") == "OBJECT_OR_COLUMN") & (F.col("name") == "MS_Description"))
-    col_comment = (props.filter(F.col("minor_id") != 0)
+    objects = ext_props.filter(F.col("class_desc") == "OBJECT_OR_COLUMN")
+    # column comments: the MS_Description property of each column (distinct)
+    col_comment = (objects.filter((F.col("name") == "MS_Description") & (F.col("minor_id") != 0))
                    .select(F.col("major_id").alias("object_id"), F.col("minor_id").alias("column_id"),
                            F.col("value").alias("_ccomment")).distinct())
-    tbl_comment = (props.filter(F.col("minor_id") == 0)
+    # table comments: every table-level property, whatever its name (as the table listing does)
+    tbl_comment = (objects.filter(F.col("minor_id") == 0)
                    .select(F.col("major_id").alias("object_id"), F.col("value").alias("_tcomment")))
     keys = pk_name_match(key_usage).withColumn("_is_pk", F.lit(True))
     uq = unique_name_match(key_usage).withColumn("_is_uq", F.lit(True))
