@@ -68,12 +68,13 @@ def comment_statements(rows: DataFrame) -> DataFrame:
 def apply_catalog_comments(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Run comment DDL for every row whose table exists; report (table, column, status).
 
-    DDL is a driver-side catalog operation, so the statements are collected here; their
-    number is the number of commented columns (catalog metadata, not data). A failing
-    statement is reported and the rest carry on; a missing table is skipped.
+    DDL is a driver-side catalog operation, so the statements are streamed to the driver
+    one partition at a time (``toLocalIterator``), never collected whole; their number is
+    the number of commented columns (catalog metadata, not data). A failing statement is
+    reported and the rest carry on; a missing table is skipped.
     """
     results = []
-    for r in comment_statements(rows).collect():
+    for r in comment_statements(rows).toLocalIterator():
         if not spark.catalog.tableExists(r["target_table"]):
             results.append((r["target_table"], r["column_name"], "missing table"))
             continue
