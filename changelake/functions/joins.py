@@ -1,0 +1,28 @@
+"""Joining a data-sized frame with a configuration-sized one.
+
+A broadcast avoids shuffling the large side at all, but only a side whose size is known
+may be broadcast. :func:`join_small` counts the small side first (a cheap job over
+configuration rows) and broadcasts it only under ``max_rows``; beyond that it falls back
+to a regular join, which Spark plans as a shuffle join (with AQE skew handling).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# rows of a configuration-sized side that may be broadcast (a few hundred MB at most for
+# the narrow rule/list rows joined here)
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column, how: str = "inner",
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``big.join(small, on, how)``, broadcasting ``small`` only when it has at most ``max_rows`` rows."""
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "leftsemi", "leftanti", "semi", "anti"):
+        return big.join(small, on, how)
+    n = small.count()
+    side = F.broadcast(small) if n <= max_rows else small
+    return big.join(side, on, how)

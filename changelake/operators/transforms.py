@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changelake.functions.joins import join_small
 from changelake.functions.temporal import format_epoch_millis
 
 ENVELOPE_FIELDS = ("before", "after", "source", "op", "ts_ms", "ts_us", "ts_ns")
@@ -140,12 +141,12 @@ def table_include(df: DataFrame, database: str, tables: Iterable[str], connector
 def table_include_frame(df: DataFrame, tables: DataFrame) -> DataFrame:
     """C9 for long lists: semi join against a frame of (db, table) pairs.
 
-    The list is a catalog-sized table, so AQE may broadcast it when its runtime size is
-    under the broadcast threshold and falls back to a shuffle join otherwise.
+    The list is configuration-sized: it is counted and broadcast when small, and joined
+    with a shuffle otherwise.
     """
     keyed = df.withColumn("_db", F.col("source.db")).withColumn("_tb", F.col("source.table"))
     wanted = tables.select(F.col("db").alias("_db"), F.col("table").alias("_tb")).distinct()
-    return keyed.join(wanted, ["_db", "_tb"], "left_semi").drop("_db", "_tb")
+    return join_small(keyed, wanted, ["_db", "_tb"], "left_semi").drop("_db", "_tb")
 
 
 def tinyint1_to_boolean(df: DataFrame, columns: Sequence[str]) -> DataFrame:

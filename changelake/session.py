@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 #   * case-sensitive names: lake tables mix lower, upper and mixed case columns.
 #   * partition columns stay strings: year/month/day keep their zero padding.
 #   * zone-less parquet timestamps load as TIMESTAMP, so unix_millis() etc. apply.
+#   * AQE with skew-join splitting; automatic broadcasts stay at Spark's 10 MB limit.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.caseSensitive": "true",
