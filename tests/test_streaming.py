@@ -119,3 +119,16 @@ def test_bronze_stream_equals_batch_fold(spark, sf_dir, tmp_path):
                  .select(*registry.BRONZE_COLUMNS).collect())
     want = sorted(tuple(r) for r in bronze.latest_state(flat).select(*registry.BRONZE_COLUMNS).collect())
     assert got == want
+
+
+def test_compact_lake(spark, sf_dir, tmp_path):
+    ce = fixtures.change_events(fixtures.load_events(spark, sf_dir))
+    lake.write_lake(lake.prepare_lake_rows(ce).repartition(4), str(tmp_path / "lake"), max_records_per_file=5)
+    lake.compact_lake(spark, str(tmp_path / "lake"), str(tmp_path / "compact"), target_rows_per_file=100)
+    before = spark.read.parquet(str(tmp_path / "lake"))
+    after = spark.read.parquet(str(tmp_path / "compact"))
+    files = lambda d: d.select(F.input_file_name()).distinct().count()
+    assert after.count() == before.count()
+    assert files(after) < files(before)
+    assert sorted(r.offset for r in after.select("offset").collect()) == \
+        sorted(r.offset for r in before.select("offset").collect())
