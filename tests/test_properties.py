@@ -37,3 +37,25 @@ def test_upsert_in_two_batches_equals_one_fold(spark, events, cut):
     state = bronze.upsert(first, df.filter(F.col("offset") >= cut))
     merged = sorted(tuple(r) for r in bronze.live_rows(state).collect())
     assert merged == full
+
+
+def test_mssql_rule_ids_are_one_to_n_per_database(spark, sf_dir):
+    from changelake.plans import registry
+
+    plan = registry.QUERIES["ingest_plan_mssql"](spark, sf_dir)
+    per_db = plan.groupBy("database").agg(F.count("*").alias("n"), F.min("rule_id").alias("lo"),
+                                          F.max("rule_id").alias("hi"), F.countDistinct("rule_id").alias("d"))
+    bad = per_db.filter((F.col("lo") != 1) | (F.col("hi") != F.col("n")) | (F.col("d") != F.col("n"))).count()
+    assert bad == 0 and per_db.count() > 1
+    # every database ends with its schema rename
+    last = plan.join(per_db, "database").filter(F.col("rule_id") == F.col("hi"))
+    assert last.filter(F.col("rule_action") != "rename").count() == 0
+
+
+def test_chain_is_deterministic_and_x1_idempotent(spark, sf_dir):
+    from changelake.plans import registry
+
+    flat = registry.bronze_flat(spark, sf_dir).select(*registry.BRONZE_COLUMNS, "__deleted")
+    once = bronze.latest_state(flat, keep_deletes=True)
+    twice = bronze.latest_state(once, keep_deletes=True)
+    assert sorted(once.collect()) == sorted(twice.collect())
