@@ -28,12 +28,22 @@ def topic_consumers(topics: DataFrame, assignments: DataFrame) -> DataFrame:
             .withColumn("groups_text", F.array_join("groups", ",")))
 
 
-def consumer_topics(groups: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Per group, the sorted distinct topics it reads; a group without members -> ``[]``."""
+def consumer_topics(groups: DataFrame, assignments: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Per group, the sorted distinct topics it reads; a group without members -> ``[]``.
+
+    ``errors`` (group_id, error) lists groups whose description failed; their entry is
+    the error text instead of a topic list, as in the exported listing.
+    """
     pairs = assignments.select("group_id", "topic").distinct()
     joined = groups.select("group_id").distinct().join(pairs, "group_id", "left")
-    return (joined.groupBy("group_id").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
-            .withColumn("topics_text", F.array_join("topics", ",")))
+    out = joined.groupBy("group_id").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
+    if errors is not None:
+        err = errors.select("group_id", F.concat(F.lit("Error describing group: "), F.col("error")).alias("_err"))
+        out = (out.join(err, "group_id", "left")
+               .withColumn("topics", F.when(F.col("_err").isNotNull(), F.array(F.col("_err")))
+                           .otherwise(F.col("topics")))
+               .drop("_err"))
+    return out.withColumn("topics_text", F.array_join("topics", ","))
 
 
 def connectors_by_worker(status: DataFrame) -> DataFrame:

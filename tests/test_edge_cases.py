@@ -326,3 +326,11 @@ def test_table_include_frame(spark):
     wanted = spark.createDataFrame([("db", "t")], "db string, table string")
     assert [r.offset for r in transforms.table_include_frame(df, wanted).collect()] == [1]
     assert [r.offset for r in transforms.table_include(df, "db", ["u"]).collect()] == [2]
+
+
+def test_consumer_topics_failed_group(spark):
+    assign = spark.createDataFrame([("g1", "m1", "t1", 0)], "group_id string, member_id string, topic string, partition int")
+    groups = spark.createDataFrame([("g1",), ("bad",)], "group_id string")
+    errors = spark.createDataFrame([("bad", "timeout")], "group_id string, error string")
+    out = {r.group_id: r.topics for r in topology.consumer_topics(groups, assign, errors).collect()}
+    assert out == {"g1": ["t1"], "bad": ["Error describing group: timeout"]}

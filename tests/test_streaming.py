@@ -132,3 +132,28 @@ def test_compact_lake(spark, sf_dir, tmp_path):
     assert files(after) < files(before)
     assert sorted(r.offset for r in after.select("offset").collect()) == \
         sorted(r.offset for r in before.select("offset").collect())
+
+
+def test_lag_by_minute_append_drops_late_data(spark, tmp_path):
+    """Append mode with a watermark: a minute is emitted once the watermark passes it, and
+    an event older than the watermark is dropped (late data)."""
+    import datetime as dt
+
+    schema = "__db_table string, commit_ts timestamp, processed_ts timestamp"
+    t = lambda m, s=0: dt.datetime(2024, 1, 1, 0, m, s)
+    src = tmp_path / "src"
+    src.mkdir()
+    spark.createDataFrame([("a", t(0), t(0, 2)), ("a", t(0, 30), t(0, 31))], schema).write.mode("append").parquet(str(src))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    q = (jobs.lag_by_minute(stream, watermark="1 minute").writeStream.outputMode("append").format("memory")
+         .queryName("lbm_append").option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    spark.createDataFrame([("a", t(20), t(20, 1))], schema).write.mode("append").parquet(str(src))
+    q.processAllAvailable()
+    spark.createDataFrame([("a", t(0, 40), t(0, 41)), ("a", t(30), t(30, 1))], schema) \
+        .write.mode("append").parquet(str(src))   # 00:00:40 is late now
+    q.processAllAvailable()
+    q.stop()
+    rows = {r.window_start: r.n_events for r in spark.table("lbm_append").collect()}
+    assert rows[t(0)] == 2          # the late 00:00:40 event did not change the emitted minute
+    assert t(30) not in rows        # still open: the watermark has not passed it
