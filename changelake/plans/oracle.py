@@ -738,3 +738,23 @@ WITH lst AS (
 SELECT database AS file_name, 'selection' AS rule_type, 'include' AS action, database AS schema, tbl AS "table"
 FROM lst WHERE NOT excluded
 """
+
+
+def naming_audit_sql(keywords: list[str]) -> str:
+    """T18 oracle; the reserved words are the Spark session's own keyword list, passed in."""
+    values = ", ".join("('" + w.replace("'", "''").upper() + "')" for w in sorted(set(keywords)))
+    return f"""
+WITH {CAT},
+words AS (SELECT DISTINCT w FROM (VALUES {values}) AS v(w)),
+names AS (
+  SELECT DB_NAME, 'column' AS kind, TABLE_NAME, COLUMN_NAME AS name FROM msspec
+  UNION ALL
+  SELECT DISTINCT DB_NAME, 'table', TABLE_NAME, TABLE_NAME FROM msspec
+),
+flagged AS (
+  SELECT n.*, w.w IS NOT NULL AS reserved,
+         regexp_matches(trim(n.name), '[가-힣()\\[\\]#~ ]') OR regexp_full_match(trim(n.name), '[0-9]+') AS special
+  FROM names n LEFT JOIN words w ON upper(trim(n.name)) = w.w
+)
+SELECT DB_NAME, kind, TABLE_NAME, name, reserved, special FROM flagged WHERE reserved OR special
+"""
