@@ -143,6 +143,11 @@ def bronze_stream(flat: DataFrame, state_path: str, checkpoint: str, key=None, o
     each batch writes a new version under ``batch_id=<n>`` built from version ``n-1``
     and the batch (union + newest-per-key aggregate, one shuffle on the key). A replayed
     batch rebuilds the same version. ``bronze.live_rows`` gives the visible table.
+
+    Each version rewrites the whole state, which suits states up to a few hundred GB per
+    trigger interval. For larger states the same fold belongs in ``MERGE INTO`` on a table
+    format with row-level operations (Iceberg, Delta), keyed on ``id_iceberg``; plain
+    Parquet has no way to replace only the touched keys.
     """
     from changelake.operators import bronze
 
