@@ -267,21 +267,12 @@ def _catalog_columns(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Catalog views of many databases as frames (a union of per-database catalogs).
-
-    tables      TABLE_SCHEMA, TABLE_NAME, TABLE_COMMENT, CREATE_TIME, UPDATE_TIME, TABLE_ROWS, object_id, schema_id
-    columns     TABLE_SCHEMA, TABLE_NAME, ORDINAL_POSITION, COLUMN_NAME, ... , object_id, column_id
-    key_usage   TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, CONSTRAINT_NAME, ORDINAL_POSITION
-    partitions  object_id, index_id, partition_number, row_count
-    ext_props   class_desc, name, major_id, minor_id, value
-    identity    TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME
-    include     TABLE_SCHEMA, TABLE_NAME (tables chosen for the spec: open or finished orders)
-    """
+def _catalog_tables(orders: DataFrame) -> DataFrame:
+    """TABLES view: one table per order."""
     k = F.col("o_orderkey")
     db = F.concat(F.lit("db"), (F.col("o_custkey") % 25).cast("string"))
     tb = F.concat(F.lit("tb_"), k.cast("string"))
-    tables = orders.select(
+    return orders.select(
         db.alias("TABLE_SCHEMA"), tb.alias("TABLE_NAME"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("TABLE_COMMENT"),
         _instant("o_orderdate").alias("CREATE_TIME"),
@@ -290,8 +281,27 @@ def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None =
         k.alias("object_id"), F.lit(1).alias("schema_id"),
         F.col("o_orderstatus").alias("_status"),
     )
-    cols = columns if columns is not None else _catalog_columns(lineitem).join(
-        tables.select("object_id", "TABLE_SCHEMA", "TABLE_NAME"), "object_id", "inner")
+
+
+def _catalog_columns_of(tables: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """COLUMNS view: lineitem-derived columns placed in their tables."""
+    return _catalog_columns(lineitem).join(tables.select("object_id", "TABLE_SCHEMA", "TABLE_NAME"), "object_id",
+                                           "inner")
+
+
+def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Catalog views of many databases as frames (a union of per-database catalogs).
+
+    tables      TABLE_SCHEMA, TABLE_NAME, TABLE_COMMENT, CREATE_TIME, UPDATE_TIME, TABLE_ROWS, object_id, schema_id
+    columns     TABLE_SCHEMA, TABLE_NAME, ORDINAL_POSITION, COLUMN_NAME, ... , object_id, column_id
+    key_usage   TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, CONSTRAINT_NAME, ORDINAL_POSITION
+    partitions  object_id, index_id, partition_number, row_count
+    ext_props   class_desc, name, major_id, minor_id, value
+    identity    TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME
+    include     TABLE_SCHEMA, TABLE_NAME (tables chosen for the spec: open or finished orders)
+    """
+    tables = _catalog_tables(orders)
+    cols = columns if columns is not None else _catalog_columns_of(tables, lineitem)
     first_pos = F.min("ORDINAL_POSITION").over(Window.partitionBy("object_id"))
     oid = F.col("object_id")
     pk_name = (F.when(oid % 7 == 0, F.concat(F.lit("ix_"), F.col("TABLE_NAME")))
@@ -337,13 +347,13 @@ def load_catalog(spark: SparkSession, sf_dir: str, snapshot: bool = True) -> dic
     aggregate over lineitem that every other view and spec reuses) is written once to the
     shared checkpoint folder and read back, so the plan does not re-aggregate lineitem for
     each use (pushed-down filters would otherwise defeat exchange reuse)."""
-    frames = catalog(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+    orders, lineitem = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")
     if not snapshot:
-        return frames
+        return catalog(orders, lineitem)
     from changelake.session import materialize
 
-    cols = materialize(frames["columns"], "catalog-columns")
-    return catalog(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"), columns=cols)
+    cols = materialize(_catalog_columns_of(_catalog_tables(orders), lineitem), "catalog-columns")
+    return catalog(orders, lineitem, columns=cols)
 
 
 def second_engine_columns(columns: DataFrame) -> DataFrame:
