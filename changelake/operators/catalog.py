@@ -338,11 +338,11 @@ def comment_rows(matched: DataFrame) -> DataFrame:
     ``statement`` is the MySQL text of that change.
     """
     target = F.concat_ws(".", F.col("DB_NAME"), F.col("TABLE_NAME"))
-    table_rows = matched.filter((F.col("idx") == 1) & _nonempty(F.col("src_TABLE_COMMENT"))).select(
-        "DB_NAME", "TABLE_NAME", F.lit("table").alias("kind"), F.lit(None).cast("string").alias("column_name"),
+    table_row = F.when((F.col("idx") == 1) & _nonempty(F.col("src_TABLE_COMMENT")), F.struct(
+        F.lit("table").alias("kind"), F.lit(None).cast("string").alias("column_name"),
         F.col("src_TABLE_COMMENT").alias("comment"),
         F.concat(F.lit("ALTER TABLE "), target, F.lit(" COMMENT = '"), F.col("src_TABLE_COMMENT"), F.lit("';"))
-        .alias("statement"))
+        .alias("statement")))
     nullability = F.when(F.col("dst_IS_NULLABLE") == "YES", F.lit("NULL")).otherwise(F.lit("NOT NULL"))
     parts = [
         F.when(_nonempty(F.col("dst_CHARACTER_SET")), F.concat(F.lit("CHARACTER SET "), F.col("dst_CHARACTER_SET"))),
@@ -356,10 +356,13 @@ def comment_rows(matched: DataFrame) -> DataFrame:
                                      F.col("dst_COLUMN_NAME"), F.lit(" "),
                                      F.coalesce(F.col("dst_COLUMN_TYPE"), F.lit("None"))),
                        *parts, F.concat(F.lit("COMMENT '"), F.col("src_COLUMN_COMMENT"), F.lit("';")))
-    column_rows = matched.filter(_nonempty(F.col("src_COLUMN_COMMENT"))).select(
-        "DB_NAME", "TABLE_NAME", F.lit("column").alias("kind"), F.col("dst_COLUMN_NAME").alias("column_name"),
-        F.col("src_COLUMN_COMMENT").alias("comment"), stmt.alias("statement"))
-    return table_rows.unionByName(column_rows)
+    column_row = F.when(_nonempty(F.col("src_COLUMN_COMMENT")), F.struct(
+        F.lit("column").alias("kind"), F.col("dst_COLUMN_NAME").alias("column_name"),
+        F.col("src_COLUMN_COMMENT").alias("comment"), stmt.alias("statement")))
+    # both kinds come out of one pass over the matches (no union of two re-computations)
+    rows = F.filter(F.array(table_row, column_row), lambda r: r.isNotNull())
+    return (matched.select("DB_NAME", "TABLE_NAME", F.explode(rows).alias("_r"))
+            .select("DB_NAME", "TABLE_NAME", "_r.*"))
 
 
 # --- T16, T17: bronze comments and the data dictionary ------------------------------
