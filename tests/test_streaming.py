@@ -157,3 +157,12 @@ def test_lag_by_minute_append_drops_late_data(spark, tmp_path):
     rows = {r.window_start: r.n_events for r in spark.table("lbm_append").collect()}
     assert rows[t(0)] == 2          # the late 00:00:40 event did not change the emitted minute
     assert t(30) not in rows        # still open: the watermark has not passed it
+
+
+def test_lake_overwrite_is_idempotent(spark, sf_dir, tmp_path):
+    ce = fixtures.change_events(fixtures.load_events(spark, sf_dir))
+    rows = lake.prepare_lake_rows(ce)
+    path = str(tmp_path / "lake")
+    lake.write_lake(rows, path, mode="overwrite")
+    lake.write_lake(rows.filter(F.col("day") == "05"), path, mode="overwrite")   # re-run of one day
+    assert spark.read.parquet(path).count() == rows.count()
