@@ -53,22 +53,24 @@ def get_session(master: str | None = None, app_name: str = "changelake", shuffle
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     configure(spark)
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only pick one of our own when it
-    is unset (local tests), and then register it so ``DataFrame.checkpoint()`` works.
+    A cluster names it in ``spark.checkpoint.dir`` (a static setting read at start-up); we
+    fall back to the context's checkpoint folder, and only when neither is set (local
+    tests) pick a temporary folder of our own and register it with the context.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path
+    sc = spark.sparkContext
+    path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="changelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(path)
     return path
 
 
