@@ -3,7 +3,9 @@
 A broadcast avoids shuffling the large side at all, but only a side whose size is known
 may be broadcast. :func:`join_small` counts the small side first (a cheap job over
 configuration rows) and broadcasts it only under ``max_rows``; beyond that it falls back
-to a regular join, which Spark plans as a shuffle join (with AQE skew handling).
+to a regular join, which Spark plans as a shuffle join (with AQE skew handling). The
+side is persisted for the count so the join does not compute it again; a persisted
+block that is lost with an executor is recomputed from its lineage.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Colum
     """``big.join(small, on, how)``, broadcasting ``small`` only when it has at most ``max_rows`` rows."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "leftsemi", "leftanti", "semi", "anti"):
         return big.join(small, on, how)
+    small = small.persist()  # the count and the join read the side once (recomputed if evicted)
     n = small.count()
     side = F.broadcast(small) if n <= max_rows else small
     return big.join(side, on, how)

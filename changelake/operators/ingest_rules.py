@@ -134,6 +134,11 @@ def _number(rules: DataFrame) -> DataFrame:
     return row_number_in_group(rules, ["database"], order, out="rule_id")
 
 
+def _unnumbered(rules: DataFrame) -> DataFrame:
+    """The rules without ids and names (all that applying a plan needs; no numbering pass)."""
+    return rules.select(*[c for c in PLAN_COLUMNS if c not in ("rule_id", "rule_name")])
+
+
 def _finish(rules: DataFrame) -> DataFrame:
     rid = F.col("rule_id").cast("string")
     name = (F.when(F.col("rule_action") == "include", F.concat(F.lit("include_table_"), rid))
@@ -163,7 +168,7 @@ def _rule(df: DataFrame, action: str, rule_type: str, target: str | None, schema
 
 
 def ingest_plan_mssql(tables: DataFrame, except_tables: DataFrame, except_columns: DataFrame,
-                      lower_case_tables: DataFrame) -> DataFrame:
+                      lower_case_tables: DataFrame, numbered: bool = True) -> DataFrame:
     """SQL Server rule plan per database.
 
     Only ``db.schema.table`` names are accepted; rules always name schema ``dbo`` (the
@@ -193,11 +198,11 @@ def ingest_plan_mssql(tables: DataFrame, except_tables: DataFrame, except_column
                                 column=F.col("column_name")))
              .unionByName(_rule(databases, "rename", "transformation", "schema", dbo,
                                 F.lit(None).cast("string"), value=F.col("database"))))
-    return _finish(_number(rules))
+    return _finish(_number(rules)) if numbered else _unnumbered(rules)
 
 
 def ingest_plan_mysql(tables: DataFrame, except_tables: DataFrame, except_columns: DataFrame,
-                      lower_case_tables: DataFrame) -> DataFrame:
+                      lower_case_tables: DataFrame, numbered: bool = True) -> DataFrame:
     """MySQL rule plan per database (split at the last dot; no cdc_dt, no rename).
 
     The number is taken before the exclude check, so an excluded table leaves a gap
@@ -217,6 +222,8 @@ def ingest_plan_mysql(tables: DataFrame, except_tables: DataFrame, except_column
              .unionByName(_rule(lower, "convert-lowercase", "transformation", "table", db, tab))
              .unionByName(_rule(cols, "remove-column", "transformation", "column", db, tab,
                                 column=F.col("column_name"))))
+    if not numbered:
+        return _unnumbered(rules.filter(~F.col("_gap")))
     return _finish(_number(rules).filter(~F.col("_gap")))
 
 

@@ -511,7 +511,7 @@ def q_apply_ingest_plan(spark, sf_dir):
     """A rule plan applied to the change rows of all tables at once."""
     ce = fixtures.change_events(_events(spark, sf_dir)).withColumn("commit_ms", F.col("source.ts_ms"))
     flat = transforms.unwrap(ce, keep=("offset", "commit_ms"))
-    plan = ingest_rules.ingest_plan_mssql(**_b1_plan_lists(spark, flat))
+    plan = ingest_rules.ingest_plan_mssql(**_b1_plan_lists(spark, flat), numbered=False)
     rows = flat.withColumn("_upper_table", F.upper("__table"))
     out = ingest_rules.apply_ingest_plan(rows, plan, "__db", "_upper_table", F.timestamp_millis("commit_ms"),
                                          ["user_id", "event_id", "event_type", "value", "props"])
