@@ -12,6 +12,8 @@
 * :func:`lag_metrics_stream` (M10): the lag scrape re-run on every trigger over a small
   last-record-per-partition state table.
 * :func:`bronze_stream` (X1/X2): change batches folded into a versioned bronze state.
+* :func:`change_capture_streams`: one record stream -> decoded envelope -> lake sink and
+  bronze fold, as two checkpointed queries.
 """
 
 from __future__ import annotations
@@ -165,3 +167,26 @@ def bronze_stream(flat: DataFrame, state_path: str, checkpoint: str, key=None, o
     w = flat.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
+
+
+def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_path: str, checkpoint_root: str,
+                           key_fields: list[str], chain=None, topic_prefix: str = "local",
+                           frame: str | None = "confluent", available_now: bool = False):
+    """The whole capture path on one record stream (Kafka source or any frame with its schema).
+
+    Decodes the registry-framed JSON envelope, keeps Kafka metadata, and starts two
+    queries on it: the daily lake sink (S12) and the bronze fold (C-chain + X1/X2). Each
+    query has its own checkpoint under ``checkpoint_root``. Returns both queries.
+    """
+    from changelake.operators import transforms
+    from changelake.sources import framing
+
+    decoded = framing.decode_json(records, envelope, frame=frame, out="_env")
+    events = decoded.select("topic", "partition", "offset", "timestamp", "_env.*")
+    lake_q = lake_sink_stream(events, lake_path, f"{checkpoint_root}/lake", available_now=available_now)
+    names = chain or transforms.BRONZE_CHAIN
+    flat = transforms.transform_chain(events, names, topic_prefix=topic_prefix,
+                                      overrides={"hashKey": {"key_fields": key_fields}})
+    bronze_q = bronze_stream(flat.drop("topic", "timestamp"), bronze_path, f"{checkpoint_root}/bronze",
+                             available_now=available_now)
+    return lake_q, bronze_q

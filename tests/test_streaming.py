@@ -166,3 +166,23 @@ def test_lake_overwrite_is_idempotent(spark, sf_dir, tmp_path):
     lake.write_lake(rows, path, mode="overwrite")
     lake.write_lake(rows.filter(F.col("day") == "05"), path, mode="overwrite")   # re-run of one day
     assert spark.read.parquet(path).count() == rows.count()
+
+
+def test_change_capture_streams(spark, sf_dir, tmp_path):
+    from changelake.operators import bronze
+
+    ev = fixtures.load_events(spark, sf_dir)
+    recs = fixtures.kafka_records(ev, framed=False)
+    src = _stream_of(spark, recs.repartition(2), str(tmp_path / "src"))
+    lake_q, bronze_q = jobs.change_capture_streams(src, registry.B1_ENVELOPE, str(tmp_path / "lake"),
+                                                   str(tmp_path / "bronze"), str(tmp_path / "ck"), ["user_id"],
+                                                   frame=None, available_now=True)
+    lake_q.awaitTermination()
+    bronze_q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "lake")).count() == recs.count()
+    versions = spark.read.parquet(str(tmp_path / "bronze")).withColumn("batch_id", F.col("batch_id").cast("int"))
+    last = versions.agg(F.max("batch_id")).first()[0]
+    got = bronze.live_rows(versions.filter(F.col("batch_id") == last).drop("batch_id"))
+    want = registry.QUERIES["bronze_latest_state"](spark, sf_dir)
+    cols = ["__db_table", "id_iceberg", "offset", "event_id"]
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
