@@ -447,3 +447,40 @@ def naming_audit(spec: DataFrame, reserved_words: DataFrame) -> DataFrame:
 
 def naming_audit_summary(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("DB_NAME", "kind").agg(F.count("*").alias("n_names"))
+
+
+# --- spec-driven column handling (C13, T10 applied to data) -----------------------------
+
+def _table_columns(spec: DataFrame, db: str, table: str, cond: Column | None = None) -> DataFrame:
+    rows = spec.filter((F.col("DB_NAME") == db) & (F.col("TABLE_NAME") == table))
+    return rows.filter(cond) if cond is not None else rows
+
+
+def char_columns(spec: DataFrame, db: str, table: str) -> list[str]:
+    """Names of one table's CHAR/NCHAR columns (schema metadata, a handful of rows)."""
+    rows = _table_columns(spec, db, table, F.lower(F.col("DATA_TYPE")).isin("char", "nchar"))
+    return [r["COLUMN_NAME"] for r in rows.select("COLUMN_NAME").collect()]
+
+
+def normalize_char_by_spec(df: DataFrame, spec: DataFrame, db: str, table: str) -> DataFrame:
+    """C13 driven by the spec: right-trim the columns the source declares as CHAR."""
+    cols = [c for c in char_columns(spec, db, table) if c in df.columns]
+    return df.withColumns({c: F.rtrim(F.col(c)) for c in cols})
+
+
+def apply_spark_types(df: DataFrame, spec: DataFrame, db: str, table: str) -> DataFrame:
+    """Cast one table's data columns to the Spark types of the type map.
+
+    Casts are ``try_cast`` so a value that does not fit becomes null instead of failing
+    the job under ANSI mode; bit columns arriving as 0/1 become booleans.
+    """
+    mapped = type_map(_table_columns(spec, db, table)).select("COLUMN_NAME", "spark_type").collect()
+    out = {}
+    for r in mapped:
+        name, target = r["COLUMN_NAME"], r["spark_type"]
+        if name not in df.columns:
+            continue
+        c = F.col(name)
+        out[name] = (c.cast("string") != "0") if target == "boolean" and dict(df.dtypes)[name] != "boolean" \
+            else c.try_cast(target)
+    return df.withColumns(out)

@@ -334,3 +334,27 @@ def test_consumer_topics_failed_group(spark):
     errors = spark.createDataFrame([("bad", "timeout")], "group_id string, error string")
     out = {r.group_id: r.topics for r in topology.consumer_topics(groups, assign, errors).collect()}
     assert out == {"g1": ["t1"], "bad": ["Error describing group: timeout"]}
+
+
+def test_spec_driven_char_trim_and_types(spark):
+    spec = spark.createDataFrame([
+        ("d", "t", 1, "code", "nchar", "10"), ("d", "t", 2, "flag", "bit", "1"), ("d", "t", 3, "amount", "money", "19,4"),
+        ("d", "u", 1, "code", "int", None),
+    ], "DB_NAME string, TABLE_NAME string, ORDINAL_POSITION int, COLUMN_NAME string, DATA_TYPE string, "
+       "COLUMN_LENGTH string")
+    df = spark.createDataFrame([("ab   ", 1, "12.5")], "code string, flag int, amount string")
+    out = catalog.apply_spark_types(catalog.normalize_char_by_spec(df, spec, "d", "t"), spec, "d", "t")
+    r = out.first()
+    assert r.code == "ab" and r.flag is True and str(r.amount) == "12.5000"
+    assert dict(out.dtypes)["amount"] == "decimal(19,4)"
+
+
+def test_merge_schema_scan(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    spark.createDataFrame([("t", "2024", "01", "01", 1)], "topic string, year string, month string, day string, a int") \
+        .write.partitionBy("topic", "year", "month", "day").parquet(base)
+    spark.createDataFrame([("t", "2024", "01", "02", 2, "x")],
+                          "topic string, year string, month string, day string, a int, b string") \
+        .write.mode("append").partitionBy("topic", "year", "month", "day").parquet(base)
+    rows = sorted(tuple(r) for r in lake.scan_lake(spark, base, merge_schema=True).select("a", "b").collect())
+    assert rows == [(1, None), (2, "x")]
