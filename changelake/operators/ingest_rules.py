@@ -278,3 +278,24 @@ def apply_ingest_plan(rows: DataFrame, plan: DataFrame, database_col: str, table
             .withColumn("target_schema", F.coalesce(F.col("_schema"), F.col("_db")))
             .withColumn("target_table", F.when(F.col("_lower"), F.lower(F.col("_tb"))).otherwise(F.col("_tb")))
             .drop("_db", "_tb", "_removed", "_lower", "_schema"))
+
+
+def apply_plan_to_table(df: DataFrame, plan: DataFrame, database: str, table: str, commit_ts: Column,
+                        schema: str = MSSQL_SCHEMA) -> tuple[DataFrame, str, str] | None:
+    """R5 for one source table's frame: drop its removed columns, add ``cdc_dt``.
+
+    Returns (frame, target schema, target table), or None when the plan does not include
+    the table. Only the table's rule rows reach the driver (schema metadata).
+    """
+    rows = plan.filter((F.col("database") == database)
+                       & (F.col("table_name").isNull() | (F.col("table_name") == table))).select(
+        "rule_action", "column_name", "value").collect()
+    actions = {r["rule_action"] for r in rows}
+    if "include" not in actions:
+        return None
+    removed = [r["column_name"] for r in rows if r["rule_action"] == "remove-column"]
+    renamed = [r["value"] for r in rows if r["rule_action"] == "rename"]
+    target_table = table.lower() if "convert-lowercase" in actions else table
+    target_schema = renamed[-1] if renamed else schema
+    out = df.drop(*[c for c in removed if c in df.columns]).withColumn(CDC_COLUMN, commit_ts)
+    return out, target_schema, target_table

@@ -358,3 +358,12 @@ def test_merge_schema_scan(spark, tmp_path):
         .write.mode("append").partitionBy("topic", "year", "month", "day").parquet(base)
     rows = sorted(tuple(r) for r in lake.scan_lake(spark, base, merge_schema=True).select("a", "b").collect())
     assert rows == [(1, None), (2, "x")]
+
+
+def test_apply_plan_to_one_table(spark):
+    plan = ingest_rules.ingest_plan_mssql(_names(spark, ["d1.dbo.Orders", "d1.dbo.Gone"]), _names(spark, ["d1.dbo.Gone"]),
+                                          _names(spark, ["d1.dbo.Orders.secret"]), _names(spark, ["d1.dbo.Orders"]))
+    df = spark.createDataFrame([(1, "s", 5)], "id int, secret string, ts long")
+    out, schema, table = ingest_rules.apply_plan_to_table(df, plan, "d1", "Orders", F.timestamp_millis("ts"))
+    assert out.columns == ["id", "ts", "cdc_dt"] and (schema, table) == ("d1", "orders")
+    assert ingest_rules.apply_plan_to_table(df, plan, "d1", "Gone", F.lit(None)) is None
