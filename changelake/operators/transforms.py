@@ -112,12 +112,19 @@ def replace_field(df: DataFrame, renames: dict[str, str] | None = None) -> DataF
     return df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
 
 
-def hash_key(df: DataFrame, key_fields: Sequence[str], field: str = "id_iceberg", delimiter: str = "|") -> DataFrame:
+def hash_key(df: DataFrame, key_fields: Sequence[str] | None = None, field: str = "id_iceberg",
+             delimiter: str = "|") -> DataFrame:
     """md5 of the record-key fields joined with ``delimiter``.
 
-    ``concat_ws`` skips nulls, so key fields must be non-null (they are primary-key
-    columns); rows with a null key field get a null hash instead of a colliding one.
+    Without ``key_fields`` the fields of the record's ``key`` struct are used (the
+    primary-key columns the connector puts in the Kafka key). ``concat_ws`` skips nulls,
+    so key fields must be non-null; rows with a null key field get a null hash instead
+    of a colliding one.
     """
+    if key_fields is None:
+        if "key" not in df.columns or not hasattr(df.schema["key"].dataType, "fieldNames"):
+            raise ValueError("hash_key needs key_fields or a struct column 'key'")
+        key_fields = [f"key.`{f}`" for f in df.schema["key"].dataType.fieldNames()]
     cols = [F.col(k).cast("string") for k in key_fields]
     any_null = reduce(lambda a, b: a | b, [c.isNull() for c in cols])
     return df.withColumn(field, F.when(~any_null, F.md5(F.concat_ws(delimiter, *cols))))

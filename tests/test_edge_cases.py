@@ -367,3 +367,12 @@ def test_apply_plan_to_one_table(spark):
     out, schema, table = ingest_rules.apply_plan_to_table(df, plan, "d1", "Orders", F.timestamp_millis("ts"))
     assert out.columns == ["id", "ts", "cdc_dt"] and (schema, table) == ("d1", "orders")
     assert ingest_rules.apply_plan_to_table(df, plan, "d1", "Gone", F.lit(None)) is None
+
+
+def test_chain_hash_key_from_record_key(spark, sf_dir):
+    from changelake.plans import fixtures as fx
+
+    ce = fx.change_events(fx.load_events(spark, sf_dir))
+    a = transforms.transform_chain(ce, transforms.BRONZE_CHAIN)
+    b = transforms.transform_chain(ce, transforms.BRONZE_CHAIN, overrides={"hashKey": {"key_fields": ["user_id"]}})
+    assert sorted(a.select("offset", "id_iceberg").collect()) == sorted(b.select("offset", "id_iceberg").collect())
