@@ -190,3 +190,14 @@ def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_
     bronze_q = bronze_stream(flat.drop("topic", "timestamp"), bronze_path, f"{checkpoint_root}/bronze",
                              available_now=available_now)
     return lake_q, bronze_q
+
+
+def lag_by_minute_stream(flat: DataFrame, path: str, checkpoint: str, watermark: str = "10 minutes",
+                         trigger: str | None = "60 seconds", available_now: bool = False):
+    """X3 sink: append each finished minute (once the watermark passes it) to Parquet,
+    partitioned by table; the file sink's log makes the output exactly-once."""
+    rows = lag_by_minute(flat, watermark=watermark)
+    w = (rows.writeStream.format("parquet").outputMode("append").partitionBy("__db_table")
+         .option("path", path).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()

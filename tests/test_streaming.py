@@ -186,3 +186,16 @@ def test_change_capture_streams(spark, sf_dir, tmp_path):
     want = registry.QUERIES["bronze_latest_state"](spark, sf_dir)
     cols = ["__db_table", "id_iceberg", "offset", "event_id"]
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
+
+
+def test_lag_by_minute_stream_sink(spark, sf_dir, tmp_path):
+    ce = fixtures.change_events(fixtures.load_events(spark, sf_dir))
+    src = _stream_of(spark, ce.repartition(2), str(tmp_path / "src"))
+    jobs.lag_by_minute_stream(_flat(src), str(tmp_path / "out"), str(tmp_path / "ck"),
+                              available_now=True).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    batch = jobs.lag_by_minute(_flat(ce))
+    # append mode emits the minutes the watermark has passed: all but the last few
+    assert 0 < out.count() <= batch.count()
+    joined = out.join(batch, ["__db_table", "window_start"]).filter(out.n_events != batch.n_events)
+    assert joined.count() == 0
