@@ -151,3 +151,29 @@ def encode_avro(df: DataFrame, avro_schema_json: str, schema_id: int | None = No
     elif schema_version is not None:
         body = gsr_frame(body, schema_version)
     return df.select(F.encode(F.expr("uuid()"), "UTF-8").alias("key"), body.alias("value"))
+
+
+def decode_json_by_schema_id(records: DataFrame, schemas_by_id: dict[int, T.StructType], value_col: str = "value",
+                             out: str = "data") -> DataFrame:
+    """S3 over evolving schemas: each registry schema id decoded with its own schema.
+
+    One filtered decode per known id (ids are a short registry list, not data), combined
+    with ``unionByName(allowMissingColumns=True)`` on the flattened fields, so columns
+    added in a later version are null for earlier records. Records with an unknown id
+    are kept with a null ``out``.
+    """
+    sid = confluent_schema_id(F.col(value_col))
+    keyed = records.withColumn("schema_id", sid)
+    parts = []
+    for schema_id, schema in sorted(schemas_by_id.items()):
+        dec = keyed.filter(F.col("schema_id") == schema_id).withColumn(
+            "_d", F.from_json(F.decode(strip_confluent_frame(F.col(value_col)), "UTF-8"), schema))
+        parts.append(dec.select(*keyed.columns, *[F.col("_d").getField(f).alias(f) for f in schema.fieldNames()]))
+    unknown = keyed.filter(F.col("schema_id").isNull() | ~F.col("schema_id").isin(list(schemas_by_id)))
+    parts.append(unknown)
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p, allowMissingColumns=True)
+    fields = [f for f in merged.columns if f not in keyed.columns]
+    return merged.select(*keyed.columns, F.when(F.col("schema_id").isin(list(schemas_by_id)),
+                                                F.struct(*fields)).alias(out))

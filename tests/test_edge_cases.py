@@ -376,3 +376,13 @@ def test_chain_hash_key_from_record_key(spark, sf_dir):
     a = transforms.transform_chain(ce, transforms.BRONZE_CHAIN)
     b = transforms.transform_chain(ce, transforms.BRONZE_CHAIN, overrides={"hashKey": {"key_fields": ["user_id"]}})
     assert sorted(a.select("offset", "id_iceberg").collect()) == sorted(b.select("offset", "id_iceberg").collect())
+
+
+def test_decode_json_by_schema_id(spark):
+    v1 = T.StructType([T.StructField("id", T.LongType())])
+    v2 = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    recs = spark.createDataFrame([(0, b'\x00\x00\x00\x00\x01{"id": 1}'), (1, b'\x00\x00\x00\x00\x02{"id": 2, "name": "b"}'),
+                                  (2, b'\x00\x00\x00\x00\x09{"id": 3}')], "offset long, value binary")
+    out = {r.offset: r for r in framing.decode_json_by_schema_id(recs, {1: v1, 2: v2}).collect()}
+    assert out[0].data.id == 1 and out[0].data.name is None
+    assert out[1].data.name == "b" and out[2].data is None and out[2].schema_id == 9
