@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def topic_consumers(topics: DataFrame, assignments: DataFrame) -> DataFrame:
@@ -53,3 +54,45 @@ def connectors_by_worker(status: DataFrame) -> DataFrame:
             .groupBy("worker_host")
             .agg(F.array_sort(F.collect_list("name")).alias("connectors"), F.count("*").alias("n_connectors"))
             .withColumn("connectors_text", F.array_join("connectors", ",")))
+
+
+# status document of the Connect REST listing (`?expand=status`): name -> {status: {connector: {...}}}
+_CONNECTOR_STATUS = T.MapType(T.StringType(), T.StructType([
+    T.StructField("status", T.StructType([
+        T.StructField("name", T.StringType()),
+        T.StructField("connector", T.StructType([
+            T.StructField("state", T.StringType()), T.StructField("worker_id", T.StringType())])),
+    ])),
+]))
+
+
+def parse_connector_status(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Connector status documents (JSON text, one map per document) -> (name, state, worker_id) rows."""
+    parsed = docs.select(F.explode(F.from_json(F.col(text_col), _CONNECTOR_STATUS)).alias("name", "v"))
+    return parsed.select("name", F.col("v.status.connector.state").alias("state"),
+                         F.col("v.status.connector.worker_id").alias("worker_id"))
+
+
+_GROUP_DESCRIPTION = T.StructType([
+    T.StructField("group_id", T.StringType()),
+    T.StructField("members", T.ArrayType(T.StructType([
+        T.StructField("member_id", T.StringType()),
+        T.StructField("assignment", T.ArrayType(T.StructType([
+            T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType())]))),
+    ]))),
+])
+
+
+def parse_group_descriptions(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Consumer-group descriptions (JSON text, one group per document) -> (groups, assignments).
+
+    ``groups`` lists every described group (also those without members);
+    ``assignments`` has one row per (group, member, topic, partition) held.
+    """
+    g = docs.select(F.from_json(F.col(text_col), _GROUP_DESCRIPTION).alias("g")).filter(F.col("g").isNotNull())
+    groups = g.select(F.col("g.group_id").alias("group_id"))
+    members = g.select(F.col("g.group_id").alias("group_id"), F.explode("g.members").alias("m"))
+    assignments = members.select("group_id", F.col("m.member_id").alias("member_id"),
+                                 F.explode("m.assignment").alias("tp")) \
+        .select("group_id", "member_id", F.col("tp.topic").alias("topic"), F.col("tp.partition").alias("partition"))
+    return groups, assignments

@@ -386,3 +386,23 @@ def test_decode_json_by_schema_id(spark):
     out = {r.offset: r for r in framing.decode_json_by_schema_id(recs, {1: v1, 2: v2}).collect()}
     assert out[0].data.id == 1 and out[0].data.name is None
     assert out[1].data.name == "b" and out[2].data is None and out[2].schema_id == 9
+
+
+def test_parse_connector_status(spark):
+    doc = ('{"c1": {"status": {"name": "c1", "connector": {"state": "RUNNING", "worker_id": "w1.host:8083"}}},'
+           ' "c2": {"status": {"name": "c2", "connector": {"state": "FAILED", "worker_id": "w1.host:8083"}}}}')
+    rows = topology.parse_connector_status(spark.createDataFrame([(doc,)], "text string"))
+    grouped = topology.connectors_by_worker(rows).collect()
+    assert [(r.worker_host, r.connectors) for r in grouped] == [("w1", ["c1", "c2"])]
+
+
+def test_parse_group_descriptions(spark):
+    docs = spark.createDataFrame([
+        ('{"group_id": "g1", "members": [{"member_id": "m1", "assignment": [{"topic": "t1", "partition": 0},'
+         ' {"topic": "t2", "partition": 1}]}, {"member_id": "m2", "assignment": [{"topic": "t1", "partition": 1}]}]}',),
+        ('{"group_id": "empty", "members": []}',),
+    ], "text string")
+    groups, assign = topology.parse_group_descriptions(docs)
+    out = {r.group_id: r.topics for r in topology.consumer_topics(groups, assign).collect()}
+    assert out == {"g1": ["t1", "t2"], "empty": []}
+    assert assign.count() == 3
