@@ -59,3 +59,47 @@ def test_chain_is_deterministic_and_x1_idempotent(spark, sf_dir):
     once = bronze.latest_state(flat, keep_deletes=True)
     twice = bronze.latest_state(once, keep_deletes=True)
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+TYPE_NAMES = ["nvarchar", "varchar", "nchar", "char", "varbinary", "binary", "image", "numeric", "decimal", "money",
+              "hierarchyid", "int", "bit", "datetime2", "xml", "uniqueidentifier", "tinyint"]
+LENGTHS = [None, "", "-1", "1", "50", "999", "1000", "4000", "18,2", "19,4", "38,0", "abc"]
+
+
+def _expected_mysql_type(t, length):
+    """Brute-force statement of the type rules, binary never becomes text."""
+    t = t.lower()
+    n = length or ""
+    binary = "binary" in t or t == "image"
+    names = {"money": "DECIMAL(19,4)", "smalldatetime": "DATETIME", "datetime2": "DATETIME", "bit": "TINYINT(1)",
+             "nvarchar": "VARCHAR", "ntext": "TEXT", "uniqueidentifier": "VARCHAR(64)", "nchar": "CHAR",
+             "hierarchyid": "VARCHAR(100)", "tinyint": "TINYINT UNSIGNED", "xml": "LONGTEXT", "numeric": "NUMERIC",
+             "decimal": "DECIMAL"}
+    if n == "":
+        base, suffix, changed = t, "", True
+    elif "char" in t and n == "-1":
+        base, suffix, changed = "text", "", True
+    elif binary and n == "-1":
+        base, suffix, changed = "BLOB", "", True
+    elif t == "hierarchyid":
+        base, suffix, changed = t, "", True
+    elif n.isdigit() and int(n) >= 1000:
+        base, suffix, changed = ("BLOB" if binary else "text"), "", True
+    elif n.isdigit():
+        base, suffix, changed = t, f"({n})", False
+    elif t in ("numeric", "decimal") and "," in n:
+        base, suffix, changed = t, f"({n})", False
+    else:
+        base, suffix, changed = t, "", False
+    return (names.get(base, base.upper()) + suffix).strip(), changed
+
+
+@settings(max_examples=3, deadline=None)
+@given(pairs=st.lists(st.tuples(st.sampled_from(TYPE_NAMES), st.sampled_from(LENGTHS)), min_size=1, max_size=40))
+def test_type_map_matches_brute_force(spark, pairs):
+    from changelake.operators import catalog
+
+    df = spark.createDataFrame(pairs, "DATA_TYPE string, COLUMN_LENGTH string")
+    got = [(r.DATA_TYPE, r.COLUMN_LENGTH, r.mysql_type, r.type_changed) for r in catalog.type_map(df).collect()]
+    want = [(t, n, *_expected_mysql_type(t, n)) for t, n in pairs]
+    assert got == want
