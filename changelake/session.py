@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,8 +78,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint dir for a job's intermediate table."""
     base = checkpoint_dir(spark).rstrip("/")
-    import uuid
-
     return f"{base}/changelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
