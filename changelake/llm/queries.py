@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, quality
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -26,3 +26,44 @@ def query(f):
 @query
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(read_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE_SQL["op4_quality_rules"] = r"""
+WITH words AS (
+  SELECT rowid AS r, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM (SELECT row_number() OVER () AS rowid, * FROM documents)
+), win AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 3)
+), hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1
+), rep AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM hit) GROUP BY r
+), counts AS (
+  SELECT words.r, doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM words LEFT JOIN rep ON rep.r = words.r
+), ruled AS (
+  SELECT *, (n_words < 50 OR n_repeat_words > 0.5 * n_words) AS base_failed,
+         (n_symbols > 0.1 * n_words OR n_dup_lines > 0.3 * n_lines) AS soft_failed FROM counts
+), per AS (
+  SELECT source, count(*) AS n, sum(CAST(base_failed OR soft_failed AS INT)) AS failed FROM ruled GROUP BY source
+), m AS (
+  SELECT sum(failed) / sum(n) AS mean, avg((failed / n) ** 2) - avg(failed / n) ** 2 AS seen, avg(1.0 / n) AS inv FROM per
+), prior AS (
+  SELECT mean, greatest(1.0, CASE WHEN seen - mean * (1 - mean) * inv > 0
+         THEN least(10000.0, mean * (1 - mean) / (seen - mean * (1 - mean) * inv) - 1) ELSE 10000.0 END) AS weight FROM m
+), hosts AS (SELECT source, (failed + mean * weight) / (n + weight) AS rate FROM per, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rate < 0.8 AND NOT (soft_failed AND rate >= 0.005) AS kept
+FROM ruled JOIN hosts ON ruled.source IS NOT DISTINCT FROM hosts.source
+"""
