@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, chat, quality
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -34,6 +34,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    table = pick(read_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], table.schema)
+    return chat.chat_digest(chat.chat_windows(table.unionByName(planted)))
+
+
 ORACLE_SQL["op4_quality_rules"] = r"""
 WITH words AS (
   SELECT rowid AS r, doc_id, source, coalesce(text, '') AS t,
