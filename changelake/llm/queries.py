@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, quality
+from . import bpe, chat, quality, toxicity
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -23,6 +23,11 @@ def query(f):
     return f
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(read_table(spark, sf_dir, "documents"), tokenizer_file())
