@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, quality, toxicity
+from ..session import scratch_path
+from . import bpe, chat, quality, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -28,6 +29,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write_warc(read_table(spark, sf_dir, "pages"), folder)
+    records = warc.read_warc(spark, folder, manifest, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(read_table(spark, sf_dir, "documents"), tokenizer_file())
