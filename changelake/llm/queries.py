@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, quality, toxicity, warc
+from . import bpe, chat, neardup, quality, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -89,3 +89,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND rate < 0.8 AND NOT (soft_failed AND rate >= 0.005) AS kept
 FROM ruled JOIN hosts ON ruled.source IS NOT DISTINCT FROM hosts.source
 """
+
+
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
