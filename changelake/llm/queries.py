@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, neardup, quality, toxicity, warc
+from . import bpe, chat, neardup, quality, substrings, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -94,3 +94,8 @@ FROM ruled JOIN hosts ON ruled.source IS NOT DISTINCT FROM hosts.source
 @query
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digest(read_table(spark, sf_dir, "documents"))
