@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, neardup, quality, substrings, toxicity, warc
+from . import bpe, chat, decontamination, neardup, quality, substrings, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -99,3 +99,9 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "n_items", "items")
