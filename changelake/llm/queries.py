@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, decontamination, neardup, quality, substrings, toxicity, warc
+from . import bpe, chat, decontamination, hmm, neardup, quality, substrings, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -105,3 +105,8 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "contaminated", "n_items", "items")
+
+
+@query
+def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(read_table(spark, sf_dir, "documents"))
