@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, decontamination, hmm, neardup, quality, substrings, toxicity, warc
+from . import bpe, chat, decontamination, hmm, html_extract, neardup, quality, substrings, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -110,3 +110,8 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 @query
 def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
