@@ -277,7 +277,7 @@ def _bpe_for(model: str) -> BacktrackingBpe:
 def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", with_ids: bool = True) -> DataFrame:
     """Encode a text column and decode the ids again.
 
-    Adds ``ids`` (array of long, if ``with_ids``), ``n_tokens``, ``ids_sha256`` and
+    Adds ``ids`` (array of int, if ``with_ids``), ``n_tokens``, ``ids_sha256`` and
     ``decoded_sha256`` to the other columns of ``docs`` (a column of the same name is
     replaced); the text itself is kept.  The tokenizer file, of fixed size, is read by the
     driver and goes to the tasks by a broadcast.
@@ -285,7 +285,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", w
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         model = spark.sparkContext.broadcast(f.read())
-    added = {"ids": "array<bigint>"} if with_ids else {}
+    added = {"ids": "array<int>"} if with_ids else {}
     added |= {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
     docs = docs.drop(*added)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{k} {v}" for k, v in added.items())])
@@ -301,11 +301,11 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", w
                 ids_sha.append(hashlib.sha256(raw).hexdigest())
                 text_sha.append(hashlib.sha256(bpe.decode_bytes(arr)).hexdigest())
                 if with_ids:
-                    ids.append(pa.array(arr.astype(np.int64)))
+                    ids.append(pa.array(arr.astype(np.int32)))
             extra = [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             if with_ids:
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                values = pa.concat_arrays(ids) if ids else pa.array([], pa.int64())
+                values = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
                 extra.insert(0, pa.ListArray.from_arrays(pa.array(offsets), values))
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *added])
 

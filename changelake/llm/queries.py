@@ -93,7 +93,7 @@ FROM ruled JOIN hosts ON ruled.source IS NOT DISTINCT FROM hosts.source
 
 @query
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), neardup.NearDupParams(words=2)).drop("text_hash")
 
 
 @query

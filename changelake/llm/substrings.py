@@ -100,10 +100,10 @@ class AnchorFinder:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and the key of the text: tid (hash) and size (bytes)."""
+    """The row, the text, and the key of the text: tid (hash) and size (bytes)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return pick(docs, "doc_id", "text").select(
-        "doc_id", text.alias("text"), F.xxhash64(text).alias("tid"), F.octet_length(text).alias("size"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    return docs.select(row, text.alias("text"), F.xxhash64(text).alias("tid"), F.octet_length(text).alias("size"))
 
 
 def _batch(names: str, kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
@@ -240,7 +240,7 @@ def repeated_starts(texts: DataFrame, p: RepeatParams) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> DataFrame:
-    """doc_id, the remaining bytes (kept), n_bytes, n_removed, n_spans of every row of (doc_id, text)."""
+    """``row`` (a struct of the columns but ``text``), the remaining bytes (kept), n_bytes, n_removed, n_spans."""
     p = params
     texts = keyed(docs)
     starts = materialize(repeated_starts(texts, p), "repeats")
@@ -248,8 +248,8 @@ def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, held = [], 0
-            for doc_id, text, starts in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("starts").to_pylist()):
+            rows, held, at_row = [], 0, 0
+            for text, starts in zip(b.column("text"), b.column("starts").to_pylist()):
                 data = text.as_py().encode()
                 keep, at, removed, spans, end = [], 0, 0, 0, 0
                 for s in sorted((s["a"], s["b"]) for s in starts or ()):
@@ -264,17 +264,35 @@ def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Da
                         end = hi
                     at = end
                 keep.append(data[at:])
-                rows.append((doc_id, b"".join(keep), len(data), removed, spans))
+                rows.append((b"".join(keep), len(data), removed, spans))
                 held += len(data)
                 if held > 8 << 20:
-                    yield _batch("doc_id kept n_bytes n_removed n_spans", [L, Y, L, L, L], rows)
-                    rows, held = [], 0
-            yield _batch("doc_id kept n_bytes n_removed n_spans", [L, Y, L, L, L], rows)
+                    yield with_rows(b, at_row, rows)
+                    rows, held, at_row = [], 0, at_row + len(rows)
+            yield with_rows(b, at_row, rows)
 
-    joined = texts.join(per_text, ["tid", "size"], "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(run, "doc_id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+    def with_rows(b: pa.RecordBatch, at: int, rows: list[tuple]) -> pa.RecordBatch:
+        done = _batch("kept n_bytes n_removed n_spans", [Y, L, L, L], rows)
+        return pa.RecordBatch.from_arrays([b.column("row").slice(at, len(rows)), *done.columns], names=["row", *done.schema.names])
+
+    joined = texts.join(per_text, ["tid", "size"], "left").select("row", "text", "starts")
+    kind = joined.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(run, f"row {kind}, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+
+
+def drop_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> DataFrame:
+    """The rows of ``docs`` with the repeated passages cut out of ``text``, columns as before.
+
+    A cut may fall inside a character, whose remaining bytes are dropped; a null text
+    becomes empty.
+    """
+    done = remove_repeats(docs, params)
+    # invalid bytes become the replacement character, which is taken out unless the text had it
+    text = F.col("kept").cast("string")
+    text = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
+    return done.select("row.*", text.alias("text")).select(*docs.columns)
 
 
 def removal_digest(docs: DataFrame, params: RepeatParams = RepeatParams()) -> DataFrame:
-    return remove_repeats(docs, params).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return remove_repeats(pick(docs, "doc_id", "text"), params).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
