@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changelake.functions.joins import join_small
 from changelake.functions.numbering import row_number_in_group
 from changelake.schemas import RULE, RULE_SET, TASK
 
@@ -260,7 +259,7 @@ def apply_ingest_plan(rows: DataFrame, plan: DataFrame, database_col: str, table
     renamed to the database.
     """
     # one row of rule facts per (database, table): the change rows meet the plan in a
-    # single join, broadcast after a row count when the plan is small, shuffled otherwise
+    # single join, which Spark broadcasts or shuffles by the plan's measured bytes
     act = F.col("rule_action")
     per_table = (plan.filter(F.col("table_name").isNotNull())
                  .groupBy(F.col("database").alias("_db"), F.col("table_name").alias("_tb"))
@@ -271,7 +270,7 @@ def apply_ingest_plan(rows: DataFrame, plan: DataFrame, database_col: str, table
                .select(F.col("database").alias("_db"), F.col("value").alias("_schema")))
     table_rules = per_table.filter(F.col("_include")).join(renamed, "_db", "left").drop("_include")
     keyed = rows.withColumn("_db", F.col(database_col)).withColumn("_tb", F.col(table_col))
-    j = join_small(keyed, table_rules, ["_db", "_tb"], "inner")
+    j = keyed.join(table_rules, ["_db", "_tb"])
     nulled = {c: F.when(F.array_contains("_removed", c), F.lit(None)).otherwise(F.col(c)) for c in data_columns}
     return (j.withColumns(nulled)
             .withColumn(CDC_COLUMN, commit_ts)

@@ -20,7 +20,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.functions.joins import join_small
 from changelake.functions.temporal import format_epoch_millis
 
 ENVELOPE_FIELDS = ("before", "after", "source", "op", "ts_ms", "ts_us", "ts_ns")
@@ -40,7 +39,12 @@ def _is_tombstone(df: DataFrame) -> Column:
 
 
 def drop_tombstones(df: DataFrame) -> DataFrame:
-    """C14: ignore null-value records (raw Kafka frame or decoded envelope frame)."""
+    """C14: ignore null-value records (raw Kafka frame or decoded envelope frame).
+
+    Tombstones are decided on the raw value. An envelope frame without that value must hold
+    decodable records only (``framing.decode_error`` routes the others to dead letters
+    first); there a row without any envelope field is a tombstone.
+    """
     return df.filter(~_is_tombstone(df))
 
 
@@ -148,12 +152,12 @@ def table_include(df: DataFrame, database: str, tables: Iterable[str], connector
 def table_include_frame(df: DataFrame, tables: DataFrame) -> DataFrame:
     """C9 for long lists: semi join against a frame of (db, table) pairs.
 
-    The list is configuration-sized: it is counted and broadcast when small, and joined
-    with a shuffle otherwise.
+    A plain join: Spark broadcasts the list by its measured bytes or shuffles, with skewed
+    tables split.
     """
     keyed = df.withColumn("_db", F.col("source.db")).withColumn("_tb", F.col("source.table"))
     wanted = tables.select(F.col("db").alias("_db"), F.col("table").alias("_tb")).distinct()
-    return join_small(keyed, wanted, ["_db", "_tb"], "left_semi").drop("_db", "_tb")
+    return keyed.join(wanted, ["_db", "_tb"], "left_semi").drop("_db", "_tb")
 
 
 def tinyint1_to_boolean(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -132,6 +132,31 @@ def kafka_records(events: DataFrame, framed: bool = True, tombstones: bool = Fal
     )
 
 
+def damaged_records(events: DataFrame) -> DataFrame:
+    """Framed records with tombstones, of which some are damaged: every 26th offset is cut to
+    its first three bytes, every other 22nd one loses its last five bytes (malformed JSON)."""
+    recs = kafka_records(events, framed=True, tombstones=True)
+    cut = (F.when(F.col("offset") % 26 == 0, F.substring("value", 1, 3))
+           .when(F.col("offset") % 22 == 0, F.substring(F.col("value"), F.lit(1), F.octet_length("value") - 5))
+           .otherwise(F.col("value")))
+    return recs.withColumn("value", cut)
+
+
+def zlib_stored(body):
+    """A zlib stream of one stored block around ``body`` (under 64 KiB), from built-in functions.
+
+    The check sum runs over the bytes: a = 1 + sum, b = sum of the running a, both mod 65521.
+    """
+    size = F.octet_length(body)
+    codes = F.transform(F.sequence(F.lit(1), size), lambda i: F.ascii(F.substring(F.decode(body, "ISO-8859-1"), i, 1)).cast("bigint"))
+    sums = F.aggregate(codes, F.struct(F.lit(1).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")),
+                       lambda s, c: F.struct(((s["a"] + c) % 65521).alias("a"), ((s["b"] + s["a"] + c) % 65521).alias("b")))
+    hex4 = lambda n: F.lpad(F.hex(n), 4, "0")
+    swap = lambda n: F.concat(F.substring(hex4(n), 3, 2), F.substring(hex4(n), 1, 2))  # noqa: E731  little-endian
+    head = F.unhex(F.concat(F.lit("780101"), swap(size), swap(F.lit(65535) - size)))
+    return F.concat(head, body, F.unhex(F.concat(hex4(sums["b"]), hex4(sums["a"]))))
+
+
 def extra_topics(spark: SparkSession) -> DataFrame:
     """Topic names of B2 that exercise the topic filter and the name split."""
     # fixed values: internal, connect, malformed and idle topic names

@@ -710,9 +710,33 @@ SELECT DB_NAME, TABLE_NAME, ORDINAL_POSITION, {', '.join(_BLANK(c) for c in _SPE
 FROM myspec
 """
 
+# damaged records: offsets are doubled there (tombstones take the odd ones)
 SQL["dead_letter_split"] = f"""
-WITH {CHANGE_LOG}
-SELECT topic, "partition", "offset", 'missing magic byte' AS error FROM cl WHERE "offset" % 7 = 0
+WITH {CHANGE_LOG}, rec AS (SELECT topic, "partition", "offset" * 2 AS "offset" FROM cl)
+SELECT topic, "partition", "offset",
+       CASE WHEN "offset" % 7 = 0 THEN 'missing magic byte' WHEN "offset" % 26 = 0 THEN 'cut header' ELSE 'undecodable body' END AS error
+FROM rec WHERE "offset" % 7 = 0 OR "offset" % 26 = 0 OR "offset" % 22 = 0
+"""
+
+SQL["capture_accounting"] = f"""
+WITH {CHANGE_LOG}, rec AS (
+  SELECT topic, op, "offset" * 2 % 26 = 0 OR "offset" * 2 % 22 = 0 AS damaged FROM cl
+)
+SELECT topic, count(*) + count(*) FILTER (op = 'd') AS n_records, count(*) FILTER (NOT damaged) AS n_lake,
+       count(*) FILTER (damaged) AS n_dead, count(*) FILTER (op = 'd') AS n_tombstones, CAST(0 AS BIGINT) AS n_lost
+FROM rec GROUP BY topic
+"""
+
+SQL["confluent_jsonschema_decode_versions"] = """
+SELECT event_id AS "offset", CAST(CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 9 END AS INT) AS schema_id,
+       CASE WHEN event_id % 3 < 2 THEN user_id END AS user_id, CASE WHEN event_id % 3 = 1 THEN event_type END AS event_type
+FROM events
+"""
+
+SQL["gsr_zlib_decode"] = """
+SELECT event_id AS "offset", CASE WHEN event_id % 5 <> 0 THEN user_id END AS user_id,
+       CASE WHEN event_id % 5 = 0 THEN 'compressed body' END AS error
+FROM events
 """
 
 SQL["bronze_head"] = SQL["bronze_latest_state"] + "\nORDER BY __db_table, id_iceberg LIMIT 10"

@@ -681,15 +681,57 @@ def q_spec_snapshot_io(spark, sf_dir):
 
 @register("dead_letter_split")
 def q_dead_letter_split(spark, sf_dir):
-    """Records without the registry frame or with an undecodable body go to dead letters."""
-    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=True)
+    """Records without the registry frame, with a cut header or an undecodable body."""
+    recs = fixtures.damaged_records(_events(spark, sf_dir))
     dec = framing.decode_json(recs, B1_ENVELOPE, frame="confluent")
-    reason = (F.when(~framing.has_magic_byte("value"), F.lit("missing magic byte"))
-              .when(F.col("data").isNull(), F.lit("undecodable body")))
-    _, dead = lake.split_dead_letters(dec, "data", reason)
+    _, dead = lake.split_dead_letters(dec, "data", framing.decode_error("value", "data", "confluent"))
     return dead.select("topic", "partition", "offset", "error")
 
 
+@register("capture_accounting")
+def q_capture_accounting(spark, sf_dir):
+    """S21/S12/C14 together: per topic every record is a lake row, a dead letter or a tombstone."""
+    recs = fixtures.damaged_records(_events(spark, sf_dir))
+    events, dead = jobs.capture_split(recs, B1_ENVELOPE)
+    path = scratch_path(spark, "capture")
+    lake.write_lake(lake.prepare_lake_rows(events), path)
+    n = lambda df, name: df.groupBy("topic").agg(F.count("*").alias(name))
+    out = n(recs, "n_records")
+    for df, name in ((lake.scan_lake(spark, path), "n_lake"), (dead, "n_dead"), (recs.filter("value IS NULL"), "n_tombstones")):
+        out = out.join(n(df, name), "topic", "left").na.fill({name: 0})
+    return out.withColumn("n_lost", F.expr("n_records - n_lake - n_dead - n_tombstones"))
+
+
+@register("confluent_jsonschema_decode_versions")
+def q_confluent_jsonschema_decode_versions(spark, sf_dir):
+    """S3: two registry schema versions in one topic, each record decoded by its own."""
+    rows = _events(spark, sf_dir).select("event_id", "user_id", "event_type")
+    v1 = F.encode(F.to_json(F.struct("event_id", "user_id")), "UTF-8")
+    v2 = F.encode(F.to_json(F.struct("event_id", "user_id", "event_type")), "UTF-8")
+    sid = F.when(F.col("event_id") % 3 == 0, 1).when(F.col("event_id") % 3 == 1, 2).otherwise(9)
+    recs = rows.select("event_id", framing.confluent_frame(F.when(F.col("event_id") % 3 == 0, v1).otherwise(v2), sid).alias("value"))
+    dec = framing.decode_json_by_schema_id(recs, {1: T.StructType.fromDDL("event_id BIGINT, user_id BIGINT"),
+                                                  2: T.StructType.fromDDL("event_id BIGINT, user_id BIGINT, event_type STRING")})
+    return dec.select(F.col("event_id").alias("offset"), "schema_id", "data.user_id", "data.event_type")
+
+
+@register("gsr_zlib_decode")
+def q_gsr_zlib_decode(spark, sf_dir):
+    """Zlib-compressed GSR bodies; a stored deflate block needs no compressor to be built here.
+
+    Every fifth body is damaged, which makes it a dead letter.
+    """
+    rows = _flat_small(spark, sf_dir)
+    body = F.encode(F.to_json(F.struct("user_id", "event_id", "event_type")), "UTF-8")
+    framed = framing.gsr_frame(fixtures.zlib_stored(body), GSR_VERSION_ID)
+    head = F.concat(F.substring(framed, 1, 1), F.lit(bytes([framing.GSR_COMPRESSION_ZLIB])))
+    value = F.concat(head, F.substring(framed, F.lit(3), F.octet_length(framed) - F.when(F.col("event_id") % 5 == 0, 9).otherwise(0)))
+    dec = framing.decode_json(rows.select("event_id", value.alias("value")),
+                              T.StructType.fromDDL("user_id BIGINT, event_id BIGINT, event_type STRING"), frame="gsr", inflate=True)
+    return dec.select(F.col("event_id").alias("offset"), F.col("data.user_id").alias("user_id"),
+                      framing.decode_error("value", "data", "gsr").alias("error"))
+
+
 @register("bronze_head")
 def q_bronze_head(spark, sf_dir):
     """First ten rows of the bronze state in key order."""

@@ -12,6 +12,9 @@ and go through ``from_avro``/``to_avro`` (a thin call, no codec of our own).
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +32,11 @@ def _bin(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _from(v: Column, start: int) -> Column:
+    """Everything from byte ``start`` (1-based) on."""
+    return F.substring(v, F.lit(start), F.octet_length(v))
+
+
 def has_magic_byte(value: str | Column) -> Column:
     """True when the value starts with the Confluent magic byte; null/empty -> false."""
     v = _bin(value)
@@ -46,7 +54,7 @@ def confluent_schema_id(value: str | Column) -> Column:
 def strip_confluent_frame(value: str | Column) -> Column:
     """Body of a Confluent-framed value; values without the frame are returned as they are."""
     v = _bin(value)
-    return F.when(has_magic_byte(v), F.substring(v, CONFLUENT_HEADER + 1, 1 << 30)).otherwise(v)
+    return F.when(has_magic_byte(v), _from(v, CONFLUENT_HEADER + 1)).otherwise(v)
 
 
 def confluent_frame(body: Column, schema_id: int | Column) -> Column:
@@ -78,11 +86,31 @@ def gsr_compression(value: str | Column) -> Column:
     return F.when(is_gsr_framed(v), F.conv(F.hex(F.substring(v, 2, 1)), 16, 10).cast("int"))
 
 
-def strip_gsr_frame(value: str | Column) -> Column:
-    """Body of a GSR-framed value (uncompressed bodies only; zlib bodies -> null)."""
+def strip_gsr_frame(value: str | Column, inflate: bool = False) -> Column:
+    """Body of a GSR-framed value, null where it is compressed.
+
+    With ``inflate`` zlib bodies are inflated too, in Arrow batches (Spark has no built-in
+    inflate); a body that does not inflate is null.
+    """
     v = _bin(value)
-    return F.when(is_gsr_framed(v) & (gsr_compression(v) == GSR_COMPRESSION_NONE),
-                  F.substring(v, GSR_HEADER + 1, 1 << 30))
+    body, plain = _from(v, GSR_HEADER + 1), is_gsr_framed(v) & (gsr_compression(v) == GSR_COMPRESSION_NONE)
+    out = F.when(plain, body)
+    if inflate:
+        packed = is_gsr_framed(v) & (gsr_compression(v) == GSR_COMPRESSION_ZLIB)
+        out = out.when(packed, _inflate(F.when(packed, body)))
+    return out
+
+
+def _inflate_one(body: bytes | None) -> bytes | None:
+    try:
+        return None if body is None else zlib.decompress(body)
+    except zlib.error:
+        return None
+
+
+@F.pandas_udf(T.BinaryType())
+def _inflate(bodies: pd.Series) -> pd.Series:
+    return bodies.map(_inflate_one)
 
 
 def gsr_frame(body: Column, schema_version: str) -> Column:
@@ -93,19 +121,53 @@ def gsr_frame(body: Column, schema_version: str) -> Column:
 
 # --- decoders over a Kafka-record frame -------------------------------------------
 
+CORRUPT = "_corrupt_record"
+
+
+def parse_json(text: Column, schema: T.StructType) -> Column:
+    """``from_json`` that gives null, not a struct of nulls, for text it cannot decode."""
+    parsed = F.from_json(text, T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return F.when(parsed.getField(CORRUPT).isNull(), parsed.dropFields(CORRUPT))
+
+
+def _body_and_meta(v: Column, frame: str | None, inflate: bool) -> tuple[Column, dict[str, Column]]:
+    if frame == "confluent":
+        return strip_confluent_frame(v), {"schema_id": confluent_schema_id(v)}
+    if frame == "gsr":
+        return strip_gsr_frame(v, inflate), {"schema_version": gsr_schema_version(v)}
+    if frame is None:
+        return v, {}
+    raise ValueError(f"unknown frame {frame!r}")
+
+
 def decode_json(records: DataFrame, schema: T.StructType, value_col: str = "value", frame: str | None = None,
-                out: str = "data") -> DataFrame:
-    """UTF-8 JSON values (plain, Confluent- or GSR-framed) -> struct column ``out``."""
+                out: str = "data", inflate: bool = False) -> DataFrame:
+    """UTF-8 JSON values (plain, Confluent- or GSR-framed) -> struct column ``out``.
+
+    ``out`` is null for a tombstone (null value) and for a value that does not decode; the
+    two are told apart by the raw value, see :func:`decode_error`.
+    """
     v = F.col(value_col)
+    body, meta = _body_and_meta(v, frame, inflate)
+    return records.withColumns({**meta, out: parse_json(F.decode(body, "UTF-8"), schema)})
+
+
+def decode_error(value: str | Column, data: str | Column, frame: str | None = None, strict: bool = True) -> Column:
+    """Why a decoded record is a dead letter; null for good records and tombstones.
+
+    ``strict``: a Confluent topic must not hold values without the frame.
+    """
+    v, d = _bin(value), _bin(data)
+    error = F.when(v.isNull(), F.lit(None).cast("string"))
     if frame == "confluent":
-        body, meta = strip_confluent_frame(v), {"schema_id": confluent_schema_id(v)}
+        if strict:
+            error = error.when(~has_magic_byte(v), F.lit("missing magic byte"))
+        error = error.when(has_magic_byte(v) & (F.octet_length(v) < CONFLUENT_HEADER), F.lit("cut header"))
     elif frame == "gsr":
-        body, meta = strip_gsr_frame(v), {"schema_version": gsr_schema_version(v)}
-    elif frame is None:
-        body, meta = v, {}
-    else:
-        raise ValueError(f"unknown frame {frame!r}")
-    return records.withColumns({**meta, out: F.from_json(F.decode(body, "UTF-8"), schema)})
+        error = error.when(~is_gsr_framed(v), F.lit("missing registry header"))
+        error = error.when(d.isNull() & (gsr_compression(v) != GSR_COMPRESSION_NONE), F.lit("compressed body"))
+    return error.when(d.isNull(), F.lit("undecodable body"))
 
 
 def connect_json_decode(records: DataFrame, schema: T.StructType, schemas_enable: bool,
@@ -114,8 +176,8 @@ def connect_json_decode(records: DataFrame, schema: T.StructType, schemas_enable
     text = F.decode(F.col(value_col), "UTF-8")
     if schemas_enable:
         wrapped = T.StructType([T.StructField("payload", schema)])
-        return records.withColumn(out, F.from_json(text, wrapped).getField("payload"))
-    return records.withColumn(out, F.from_json(text, schema))
+        return records.withColumn(out, parse_json(text, wrapped).getField("payload"))
+    return records.withColumn(out, parse_json(text, schema))
 
 
 def decode_avro(records: DataFrame, avro_schema_json: str, value_col: str = "value", frame: str = "confluent",
@@ -155,25 +217,41 @@ def encode_avro(df: DataFrame, avro_schema_json: str, schema_id: int | None = No
 
 def decode_json_by_schema_id(records: DataFrame, schemas_by_id: dict[int, T.StructType], value_col: str = "value",
                              out: str = "data") -> DataFrame:
-    """S3 over evolving schemas: each registry schema id decoded with its own schema.
+    """S3 over evolving schemas: each record decoded with its own registry schema, in one pass.
 
-    One filtered decode per known id (ids are a short registry list, not data), combined
-    with ``unionByName(allowMissingColumns=True)`` on the flattened fields, so columns
-    added in a later version are null for earlier records. Records with an unknown id
-    are kept with a null ``out``.
+    The fields of all versions are merged in the order of their ids, a later version's type
+    winning; a field that a record's version lacks is null. Records with an unknown id are
+    kept with a null ``out``, as are those that do not decode.
     """
-    sid = confluent_schema_id(F.col(value_col))
-    keyed = records.withColumn("schema_id", sid)
-    parts = []
+    v = F.col(value_col)
+    text = F.decode(strip_confluent_frame(v), "UTF-8")
+    fields: dict[str, T.DataType] = {}
+    for _, schema in sorted(schemas_by_id.items()):
+        fields |= {f.name: f.dataType for f in schema.fields}
+    merged = T.StructType([T.StructField(n, t) for n, t in fields.items()])
+    decoded = None
+    for schema_id, schema in sorted(schemas_by_id.items()):
+        own = parse_json(text, schema)
+        row = F.struct(*[(own.getField(n).cast(t) if n in schema.fieldNames() else F.lit(None).cast(t)).alias(n)
+                         for n, t in fields.items()])
+        here = (F.col("schema_id") == schema_id) & own.isNotNull()
+        decoded = F.when(here, row) if decoded is None else decoded.when(here, row)
+    return records.withColumn("schema_id", confluent_schema_id(v)).withColumn(out, decoded.cast(merged))
+
+
+def decode_avro_by_schema_id(records: DataFrame, schemas_by_id: dict[int, str], value_col: str = "value",
+                             out: str = "data") -> DataFrame:
+    """S2 over evolving schemas: the writer schema of each record's id (needs spark-avro).
+
+    The structs must have the same Spark type, so evolved writers are read with their own
+    schema and cast to the newest one.
+    """
+    from pyspark.sql.avro.functions import from_avro
+
+    v = F.col(value_col)
+    body, newest = strip_confluent_frame(v), schemas_by_id[max(schemas_by_id)]
+    decoded = None
     for schema_id, schema in sorted(schemas_by_id.items()):
-        dec = keyed.filter(F.col("schema_id") == schema_id).withColumn(
-            "_d", F.from_json(F.decode(strip_confluent_frame(F.col(value_col)), "UTF-8"), schema))
-        parts.append(dec.select(*keyed.columns, *[F.col("_d").getField(f).alias(f) for f in schema.fieldNames()]))
-    unknown = keyed.filter(F.col("schema_id").isNull() | ~F.col("schema_id").isin(list(schemas_by_id)))
-    parts.append(unknown)
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p, allowMissingColumns=True)
-    fields = [f for f in merged.columns if f not in keyed.columns]
-    return merged.select(*keyed.columns, F.when(F.col("schema_id").isin(list(schemas_by_id)),
-                                                F.struct(*fields)).alias(out))
+        own = from_avro(F.when(F.col("schema_id") == schema_id, body), schema, {"mode": "PERMISSIVE", "avroSchema": newest})
+        decoded = F.when(F.col("schema_id") == schema_id, own) if decoded is None else decoded.when(F.col("schema_id") == schema_id, own)
+    return records.withColumn("schema_id", confluent_schema_id(v)).withColumn(out, decoded)

@@ -13,15 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 # fixed values: where a new consumer starts
 STARTING_OFFSETS = "earliest"
+# records of a micro-batch over all partitions
+MAX_OFFSETS_PER_TRIGGER = 50_000_000
 
 
 def read_stream(spark: SparkSession, bootstrap_servers: str, topics: str | list[str], pattern: bool = False,
-                starting_offsets: str = STARTING_OFFSETS, max_offsets_per_trigger: int | None = None,
+                starting_offsets: str = STARTING_OFFSETS,
+                max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER, fail_on_data_loss: bool = True,
                 extra: dict[str, str] | None = None) -> DataFrame:
     """S1 connector half: a streaming Kafka source. The consumer group's committed offset is
-    replaced by the query's checkpoint (offsets are recorded after each micro-batch)."""
+    replaced by the query's checkpoint (offsets are recorded after each micro-batch).
+
+    Offsets that retention has removed before they were read fail the query, unless the
+    caller accepts the gap with ``fail_on_data_loss=False``. A first run from the earliest
+    offset is split into batches of ``max_offsets_per_trigger`` records (None: one batch)."""
     reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
-              .option("startingOffsets", starting_offsets).option("failOnDataLoss", "false"))
+              .option("startingOffsets", starting_offsets)
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if pattern:
         reader = reader.option("subscribePattern", topics)
     else:

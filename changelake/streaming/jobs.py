@@ -52,14 +52,26 @@ def archive_stream(records: DataFrame, path: str, checkpoint: str, available_now
 
 def dead_letter_stream(decoded: DataFrame, reason: Column, lake_path: str, dead_path: str, checkpoint: str,
                        available_now: bool = False):
-    """S21 streaming: split every micro-batch into lake rows and dead letters."""
+    """S21 streaming: split every micro-batch into lake rows and dead letters.
+
+    ``decoded`` has the Kafka columns, the raw ``value`` and the decoded struct ``data``;
+    tombstones (null values without a reason) are neither.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        valid, dead = lake.split_dead_letters(batch, "data", reason)
-        valid.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(lake_path)
-        dead.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(dead_path)
+        batch = batch.persist()  # decoded once for the two writes
+        try:
+            valid, dead = lake.split_dead_letters(batch, "data", reason)
+            rows = lake.prepare_lake_rows(valid.filter(F.col("value").isNotNull()).select(
+                "topic", "partition", "offset", "timestamp", "data.*"))
+            # the lake's own layout below a folder per batch: replays replace their own files,
+            # and scan_lake reads the rows by topic and day
+            rows.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy(*lake.PARTITION_COLUMNS, "batch_id").parquet(lake_path)
+            dead.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(dead_path)
+        finally:
+            batch.unpersist()
 
     w = decoded.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
@@ -169,27 +181,41 @@ def bronze_stream(flat: DataFrame, state_path: str, checkpoint: str, key=None, o
     return w.start()
 
 
-def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_path: str, checkpoint_root: str,
-                           key_fields: list[str], chain=None, topic_prefix: str = "local",
-                           frame: str | None = "confluent", available_now: bool = False):
+def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_path: str, dead_path: str,
+                           checkpoint_root: str, key_fields: list[str], chain=None, topic_prefix: str = "local",
+                           frame: str | None = "confluent", strict: bool = False, available_now: bool = False):
     """The whole capture path on one record stream (Kafka source or any frame with its schema).
 
-    Decodes the registry-framed JSON envelope, keeps Kafka metadata, and starts two
-    queries on it: the daily lake sink (S12) and the bronze fold (C-chain + X1/X2). Each
-    query has its own checkpoint under ``checkpoint_root``. Returns both queries.
+    Decodes the registry-framed JSON envelope, keeps Kafka metadata, and starts three
+    queries on it: the daily lake sink (S12), the bronze fold (C-chain + X1/X2) and the dead
+    letters (S21). A record is a tombstone if its raw value is null; one that does not decode
+    is a dead letter; all others reach lake and bronze, so nothing vanishes. Each query has
+    its own checkpoint under ``checkpoint_root``. Returns the three queries.
     """
     from changelake.operators import transforms
-    from changelake.sources import framing
 
-    decoded = framing.decode_json(records, envelope, frame=frame, out="_env")
-    events = decoded.select("topic", "partition", "offset", "timestamp", "_env.*")
+    events, dead = capture_split(records, envelope, frame, strict)
     lake_q = lake_sink_stream(events, lake_path, f"{checkpoint_root}/lake", available_now=available_now)
     names = chain or transforms.BRONZE_CHAIN
     flat = transforms.transform_chain(events, names, topic_prefix=topic_prefix,
                                       overrides={"hashKey": {"key_fields": key_fields}})
     bronze_q = bronze_stream(flat.drop("topic", "timestamp"), bronze_path, f"{checkpoint_root}/bronze",
                              available_now=available_now)
-    return lake_q, bronze_q
+    w = (dead.writeStream.format("parquet").outputMode("append").option("path", dead_path)
+         .option("checkpointLocation", f"{checkpoint_root}/dead"))
+    dead_q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=LAKE_TRIGGER)).start()
+    return lake_q, bronze_q, dead_q
+
+
+def capture_split(records: DataFrame, envelope, frame: str | None = "confluent",
+                  strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(events, dead letters) of raw records; tombstones are in neither."""
+    from changelake.sources import framing
+
+    decoded = framing.decode_json(records, envelope, frame=frame, out="_env")
+    valid, dead = lake.split_dead_letters(decoded, "_env", framing.decode_error("value", "_env", frame, strict))
+    events = valid.filter(F.col("value").isNotNull()).select("topic", "partition", "offset", "timestamp", "_env.*")
+    return events, dead
 
 
 def lag_by_minute_stream(flat: DataFrame, path: str, checkpoint: str, watermark: str = "10 minutes",

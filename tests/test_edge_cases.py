@@ -308,17 +308,6 @@ def test_lake_tables_in_three_cases(spark, tmp_path):
         assert back.after.asDict()[variant.fieldNames()[12]] == 19559
 
 
-def test_join_small_both_ways(spark):
-    from changelake.functions.joins import join_small
-
-    big = spark.range(100).withColumn("k", F.col("id") % 10)
-    small = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
-    a = sorted(tuple(r) for r in join_small(big, small, "k", "inner").collect())
-    b = sorted(tuple(r) for r in join_small(big, small, "k", "inner", max_rows=0).collect())
-    assert a == b and len(a) == 20
-    plan = join_small(big, small, "k", "left_semi")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-
 
 def test_table_include_frame(spark):
     df = env_rows(spark, [("local.db.t", 0, 1, None, (1, "a"), ("db", "t", 1), "c", 2),

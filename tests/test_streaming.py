@@ -67,17 +67,20 @@ def test_latest_per_topic_stream_equals_batch(spark, sf_dir, tmp_path):
 
 
 def test_dead_letter_stream(spark, sf_dir, tmp_path):
-    recs = fixtures.kafka_records(fixtures.load_events(spark, sf_dir), framed=True)
+    recs = fixtures.damaged_records(fixtures.load_events(spark, sf_dir))
     src = _stream_of(spark, recs, str(tmp_path / "src"))
     dec = framing.decode_json(src, registry.B1_ENVELOPE, frame="confluent")
-    reason = F.when(~framing.has_magic_byte("value"), F.lit("missing magic byte"))
-    q = jobs.dead_letter_stream(dec, reason, str(tmp_path / "ok"), str(tmp_path / "dead"), str(tmp_path / "ck"),
-                                available_now=True)
+    q = jobs.dead_letter_stream(dec, framing.decode_error("value", "data", "confluent"), str(tmp_path / "ok"),
+                                str(tmp_path / "dead"), str(tmp_path / "ck"), available_now=True)
     q.awaitTermination()
     dead = spark.read.parquet(str(tmp_path / "dead"))
-    ok = spark.read.parquet(str(tmp_path / "ok"))
-    assert dead.count() == recs.filter(F.col("offset") % 7 == 0).count()
-    assert ok.count() + dead.count() == recs.count()
+    ok = lake.scan_lake(spark, str(tmp_path / "ok"))
+    bad = (F.col("offset") % 7 == 0) | (F.col("offset") % 26 == 0) | (F.col("offset") % 22 == 0)
+    full = recs.filter("value IS NOT NULL")
+    assert dead.count() == full.filter(bad).count()
+    assert {r[0] for r in dead.select("error").distinct().collect()} == {"missing magic byte", "cut header", "undecodable body"}
+    assert ok.count() + dead.count() == full.count()
+    assert {"topic", "year", "month", "day", "op"} <= set(ok.columns)
 
 
 def test_archive_stream(spark, sf_dir, tmp_path):
@@ -172,14 +175,22 @@ def test_change_capture_streams(spark, sf_dir, tmp_path):
     from changelake.operators import bronze
 
     ev = fixtures.load_events(spark, sf_dir)
-    recs = fixtures.kafka_records(ev, framed=False)
+    # tombstones and two broken records: a malformed body and an empty one
+    broken = spark.createDataFrame([(None, bytearray(b'{"op": "u", "after": {'), "local.store.tb_x", 0, -1),
+                                    (None, bytearray(b""), "local.store.tb_x", 0, -2),
+                                    (None, None, "local.store.tb_x", 0, -3)],
+                                   "key binary, value binary, topic string, partition int, offset long")
+    good = fixtures.kafka_records(ev, framed=False)
+    recs = good.unionByName(broken.withColumns({"timestamp": F.current_timestamp(), "timestampType": F.lit(0)}))
     src = _stream_of(spark, recs.repartition(2), str(tmp_path / "src"))
-    lake_q, bronze_q = jobs.change_capture_streams(src, registry.B1_ENVELOPE, str(tmp_path / "lake"),
-                                                   str(tmp_path / "bronze"), str(tmp_path / "ck"), ["user_id"],
-                                                   frame=None, available_now=True)
-    lake_q.awaitTermination()
-    bronze_q.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "lake")).count() == recs.count()
+    queries = jobs.change_capture_streams(src, registry.B1_ENVELOPE, str(tmp_path / "lake"), str(tmp_path / "bronze"),
+                                          str(tmp_path / "dead"), str(tmp_path / "ck"), ["user_id"],
+                                          frame=None, available_now=True)
+    for q in queries:
+        q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "lake")).count() == good.count()
+    dead = spark.read.parquet(str(tmp_path / "dead"))
+    assert sorted((r.offset, r.error) for r in dead.collect()) == [(-2, "undecodable body"), (-1, "undecodable body")]
     versions = spark.read.parquet(str(tmp_path / "bronze")).withColumn("batch_id", F.col("batch_id").cast("int"))
     last = versions.agg(F.max("batch_id")).first()[0]
     got = bronze.live_rows(versions.filter(F.col("batch_id") == last).drop("batch_id"))
