@@ -317,12 +317,22 @@ def comment_match_by_sequence(src: DataFrame, dest: DataFrame) -> DataFrame:
     return s.join(d, [*TABLE_KEY, "idx"], "inner")
 
 
+def sql_text(c: Column) -> Column:
+    """Text inside a quoted SQL literal: backslashes first, then quotes."""
+    return F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+
+
+def sql_name(c: Column) -> Column:
+    """A column name as a quoted identifier."""
+    return F.concat(F.lit("`"), F.replace(c, F.lit("`"), F.lit("``")), F.lit("`"))
+
+
 def default_clause(c: Column) -> Column:
     """Column default as DDL: digits and now()/current_timestamp bare, other text quoted."""
     low = F.lower(c)
     bare = c.rlike("^[0-9]+$") | low.contains("now") | low.contains("current_timestamp")
     return F.when(c.isNull(), F.lit("")).when(bare, F.concat(F.lit("DEFAULT "), c)) \
-        .otherwise(F.concat(F.lit("DEFAULT '"), c, F.lit("'")))
+        .otherwise(F.concat(F.lit("DEFAULT '"), sql_text(c), F.lit("'")))
 
 
 def _nonempty(c: Column) -> Column:
@@ -341,7 +351,7 @@ def comment_rows(matched: DataFrame) -> DataFrame:
     table_row = F.when((F.col("idx") == 1) & _nonempty(F.col("src_TABLE_COMMENT")), F.struct(
         F.lit("table").alias("kind"), F.lit(None).cast("string").alias("column_name"),
         F.col("src_TABLE_COMMENT").alias("comment"),
-        F.concat(F.lit("ALTER TABLE "), target, F.lit(" COMMENT = '"), F.col("src_TABLE_COMMENT"), F.lit("';"))
+        F.concat(F.lit("ALTER TABLE "), target, F.lit(" COMMENT = '"), sql_text(F.col("src_TABLE_COMMENT")), F.lit("';"))
         .alias("statement")))
     nullability = F.when(F.col("dst_IS_NULLABLE") == "YES", F.lit("NULL")).otherwise(F.lit("NOT NULL"))
     parts = [
@@ -355,7 +365,7 @@ def comment_rows(matched: DataFrame) -> DataFrame:
     stmt = F.concat_ws(" ", F.concat(F.lit("ALTER TABLE "), target, F.lit(" MODIFY COLUMN "),
                                      F.col("dst_COLUMN_NAME"), F.lit(" "),
                                      F.coalesce(F.col("dst_COLUMN_TYPE"), F.lit("None"))),
-                       *parts, F.concat(F.lit("COMMENT '"), F.col("src_COLUMN_COMMENT"), F.lit("';")))
+                       *parts, F.concat(F.lit("COMMENT '"), sql_text(F.col("src_COLUMN_COMMENT")), F.lit("';")))
     column_row = F.when(_nonempty(F.col("src_COLUMN_COMMENT")), F.struct(
         F.lit("column").alias("kind"), F.col("dst_COLUMN_NAME").alias("column_name"),
         F.col("src_COLUMN_COMMENT").alias("comment"), stmt.alias("statement")))
@@ -387,19 +397,20 @@ def bronze_comment_rows(spec: DataFrame) -> DataFrame:
     table_rows = first_tc.select(
         target.alias("target_table"), F.lit(None).cast("string").alias("column_name"),
         F.trim(F.col("_tc")).alias("comment"),
-        F.concat(F.lit("ALTER TABLE "), target, F.lit(" SET TBLPROPERTIES ('comment' = '"), F.trim(F.col("_tc")),
+        F.concat(F.lit("ALTER TABLE "), target, F.lit(" SET TBLPROPERTIES ('comment' = '"), sql_text(F.trim(F.col("_tc"))),
                  F.lit("');")).alias("statement"))
     column_rows = s.filter(F.col("_cc") != "").select(
         target.alias("target_table"), F.col("COLUMN_NAME").alias("column_name"), F.trim(F.col("_cc")).alias("comment"),
-        F.concat(F.lit("ALTER TABLE "), target, F.lit(" ALTER COLUMN "), F.col("COLUMN_NAME"), F.lit(" COMMENT '"),
-                 F.trim(F.col("_cc")), F.lit("';")).alias("statement"))
+        F.concat(F.lit("ALTER TABLE "), target, F.lit(" ALTER COLUMN "), sql_name(F.col("COLUMN_NAME")), F.lit(" COMMENT '"),
+                 sql_text(F.trim(F.col("_cc"))), F.lit("';")).alias("statement"))
     return table_rows.unionByName(column_rows)
 
 
 def data_dictionary(spec: DataFrame) -> DataFrame:
     """Per-table dictionary rows: header + (SEQ, NAME, TYPE, PK 'V'/'', COMMENT).
 
-    The header uses the first non-empty table comment in column order.
+    The header uses the first non-empty table comment in column order (where the comment
+    stands on the key's row and the key is not the first column, it is still found).
     """
     comments = (spec.filter(_nonempty(F.col("TABLE_COMMENT")))
                 .groupBy(*TABLE_KEY)
@@ -420,6 +431,17 @@ def data_dictionary(spec: DataFrame) -> DataFrame:
 QUOTE_CHARS = "[가-힣()\\[\\]#~ ]"
 
 
+# fixed values: the words that Spark SQL's ANSI mode reserves (bronze tables are Spark
+# tables); the list of another target engine is a parameter of naming_audit
+RESERVED_WORDS = """
+ALL AND ANY AS AUTHORIZATION BOTH CALL CASE CAST CHECK COLLATE COLLATION COLUMN CONSTRAINT CREATE CROSS CURRENT_DATE
+CURRENT_TIME CURRENT_TIMESTAMP CURRENT_USER DISTINCT ELSE END ESCAPE EXCEPT EXECUTE FALSE FETCH FILTER FOR FOREIGN FROM
+FULL GRANT GROUP HAVING IN INNER INTERSECT INTO IS JOIN LATERAL LEADING LEFT NATURAL NOT NULL OFFSET ON ONLY OR ORDER
+OUTER OVERLAPS PRIMARY RECURSIVE REFERENCES RIGHT SELECT SESSION_USER SOME SQL TABLE THEN TIME TO TRAILING UNION UNIQUE
+UNKNOWN USER USING WHEN WHERE WITH WITHIN
+""".split()
+
+
 def needs_quoting(name: Column, reserved: Column | None = None) -> Column:
     """Name needs quoting: special characters, all digits, or (``reserved``) a reserved word."""
     n = F.trim(name)
@@ -427,12 +449,14 @@ def needs_quoting(name: Column, reserved: Column | None = None) -> Column:
     return cond | reserved if reserved is not None else cond
 
 
-def naming_audit(spec: DataFrame, reserved_words: DataFrame) -> DataFrame:
+def naming_audit(spec: DataFrame, reserved_words: DataFrame | None = None) -> DataFrame:
     """Per database, columns and tables whose names must be quoted.
 
-    ``reserved_words`` is a one-column frame ``word`` (upper case) of the target's
-    reserved words; it is joined, so lists of any length work.
+    ``reserved_words`` is a one-column frame ``word`` of the target's reserved words; it is
+    joined, so lists of any length work. Without it the target is Spark SQL.
     """
+    if reserved_words is None:
+        reserved_words = spec.sparkSession.createDataFrame([(w,) for w in RESERVED_WORDS], "word string")
     words = reserved_words.select(F.upper(F.trim(F.col("word"))).alias("_w")).distinct()
     names = (spec.select("DB_NAME", F.lit("column").alias("kind"), "TABLE_NAME", F.col("COLUMN_NAME").alias("name"))
              .unionByName(spec.select("DB_NAME", F.lit("table").alias("kind"), "TABLE_NAME",

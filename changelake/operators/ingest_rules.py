@@ -31,14 +31,17 @@ PLAN_COLUMNS = ["database", "rule_id", "rule_name", "rule_type", "rule_action",
 
 # --- R1 / R2 / S16: reading rule sets and task descriptions --------------------------
 
-def parse_rule_sets(docs: DataFrame, text_col: str = "text", name_col: str = "file_name") -> DataFrame:
+def parse_rule_sets(docs: DataFrame, text_col: str = "text", name_col: str = "file_name",
+                    path_col: str | None = None) -> DataFrame:
     """Rule-set documents (file name, JSON text) -> one row per rule with its position.
 
-    Undecodable documents are skipped (their ``rules`` are null).
+    ``file_path`` identifies the document (``path_col``, else the name); undecodable
+    documents are skipped (their ``rules`` are null).
     """
-    parsed = docs.select(F.col(name_col).alias("file_name"), F.from_json(F.col(text_col), RULE_SET).alias("_doc"))
+    parsed = docs.select(F.col(path_col or name_col).alias("file_path"), F.col(name_col).alias("file_name"),
+                         F.from_json(F.col(text_col), RULE_SET).alias("_doc"))
     return (parsed.filter(F.col("_doc.rules").isNotNull())
-            .select("file_name", F.posexplode("_doc.rules").alias("pos", "rule")))
+            .select("file_path", "file_name", F.posexplode("_doc.rules").alias("pos", "rule")))
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -46,28 +49,31 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
 
 
-def read_rule_sets(spark, path: str, layout: str = "document", glob: str = "*.json") -> DataFrame:
-    """Scan a folder tree of rule sets -> (file_name, pos, rule).
+def read_rule_sets(spark, path: str, layout: str = "document", glob: str = "*.json", name: str = "file") -> DataFrame:
+    """Scan a folder tree of rule sets -> (file_path, file_name, pos, rule).
 
-    ``layout="document"``: one ``{"rules": [...]}`` document per file (multi-line JSON);
-    files that are not valid JSON land in ``_corrupt_record`` and are skipped, and the
-    name is the file's name. ``layout="lines"``: one rule object per line (what
-    :func:`write_plan` writes, one folder per database); the name is the folder and the
-    position is the rule id. Either way nothing is gathered per file: documents are
-    exploded where they are read.
+    ``layout="document"``: one ``{"rules": [...]}`` document per file (multi-line JSON, also
+    what :func:`write_plan` writes); files that are not valid JSON land in
+    ``_corrupt_record`` and are skipped. ``layout="lines"``: one rule object per line, the
+    position being the rule id. A document is known by its full path (of the folder for
+    lines); ``file_name`` shows the file's own name, or with ``name="folder"`` (and for
+    lines) the folder's, without the ``key=`` of a partition folder. Documents are exploded
+    where they are read.
     """
     reader = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
+    file_path = F.col("_metadata.file_path")
+    folder_path = F.regexp_extract(file_path, r"^(.*)/[^/]+$", 1)
+    folder = F.regexp_replace(F.regexp_extract(folder_path, r"([^/]+)$", 1), r"^[^=]*=", "")
     if layout == "document":
         raw = reader.schema(_with_corrupt(RULE_SET)).option("multiLine", "true").json(path)
+        shown = folder if name == "folder" else F.col("_metadata.file_name")
         return (raw.filter(F.col("_corrupt_record").isNull() & F.col("rules").isNotNull())
-                .select(F.col("_metadata.file_name").alias("file_name"), F.posexplode("rules").alias("pos", "rule")))
+                .select(file_path.alias("file_path"), shown.alias("file_name"), F.posexplode("rules").alias("pos", "rule")))
     if layout == "lines":
         raw = reader.schema(_with_corrupt(RULE)).json(path)
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-        name = F.regexp_replace(folder, r"^[^=]*=", "")
         return (raw.filter(F.col("_corrupt_record").isNull())
-                .select(name.alias("file_name"), F.col("`rule-id`").cast("int").alias("pos"),
+                .select(folder_path.alias("file_path"), folder.alias("file_name"), F.col("`rule-id`").cast("int").alias("pos"),
                         F.struct(*[F.col(f"`{c}`") for c in RULE.fieldNames()]).alias("rule")))
     raise ValueError(f"unknown layout {layout!r}")
 
@@ -75,17 +81,18 @@ def read_rule_sets(spark, path: str, layout: str = "document", glob: str = "*.js
 def rules_tidy(rules: DataFrame) -> DataFrame:
     """Selection include/exclude rules as (file_name, rule_type, action, schema, table).
 
-    Schema ``dbo`` is replaced by the target of the file's *last* schema-rename rule.
+    Schema ``dbo`` is replaced by the target of the file's *last* schema-rename rule; files
+    are told apart by their path, so equal names in several folders do not mix.
     """
-    r = rules.select("file_name", "pos", F.col("rule.`rule-type`").alias("rule_type"),
+    r = rules.select("file_path", "file_name", "pos", F.col("rule.`rule-type`").alias("rule_type"),
                      F.col("rule.`rule-action`").alias("action"), F.col("rule.`rule-target`").alias("target"),
                      F.col("rule.`object-locator`.`schema-name`").alias("schema"),
                      F.col("rule.`object-locator`.`table-name`").alias("table"), F.col("rule.value").alias("value"))
     renames = (r.filter((F.col("rule_type") == "transformation") & (F.col("action") == "rename")
                         & (F.col("target") == "schema"))
-               .groupBy("file_name").agg(F.max_by("value", "pos").alias("_target_schema")))
+               .groupBy("file_path").agg(F.max_by("value", "pos").alias("_target_schema")))
     sel = r.filter((F.col("rule_type") == "selection") & F.col("action").isin("include", "exclude"))
-    return (sel.join(renames, "file_name", "left")
+    return (sel.join(renames, "file_path", "left")
             .select("file_name", "rule_type", "action",
                     F.when((F.col("schema") == MSSQL_SCHEMA) & F.col("_target_schema").isNotNull(),
                            F.col("_target_schema")).otherwise(F.col("schema")).alias("schema"),
@@ -236,15 +243,22 @@ def rule_documents(plan: DataFrame) -> DataFrame:
         F.col("rule_action").alias("rule-action"), locator.alias("object-locator"),
         F.col("value").alias("value"), F.col("expression").alias("expression"),
         F.when(F.col("data_type").isNotNull(), F.struct(F.col("data_type").alias("type"),
-                                                         F.col("precision").alias("precision"))).alias("data-type"))
+                                                         F.col("precision").alias("precision"))).alias("data-type"),
+        F.when(F.col("rule_type") == "selection", F.array().cast("array<string>")).alias("filters"))
     return plan.select("database", "rule_id", F.to_json(rule).alias("rule_json"))
 
 
+def plan_documents(plan: DataFrame) -> DataFrame:
+    """(database, text): one ``{"rules": [...]}`` document per database, rules by rule id."""
+    rules = F.transform(F.sort_array(F.collect_list(F.struct("rule_id", "rule_json"))), lambda r: r["rule_json"])
+    return rule_documents(plan).groupBy("database").agg(
+        F.concat(F.lit('{"rules": ['), F.array_join(rules, ", "), F.lit("]}")).alias("text"))
+
+
 def write_plan(plan: DataFrame, path: str) -> None:
-    """Rules as JSON lines, one folder per database (several files when a database's rules
-    are spread over tasks; a reader orders them by rule id)."""
-    (rule_documents(plan).sortWithinPartitions("database", "rule_id")
-     .select("database", "rule_json").write.mode("overwrite").partitionBy("database").text(path))
+    """The plan as the replication service takes it: a document per database, in a folder of
+    its own. (The document is the format's unit, so a database's rules end in one row.)"""
+    plan_documents(plan).write.mode("overwrite").partitionBy("database").text(path)
 
 
 # --- R5: meaning of a plan on data ---------------------------------------------------------

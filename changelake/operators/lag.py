@@ -14,13 +14,14 @@ topic holds.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changelake.functions.temporal import mixed_ts_decode
-from changelake.sources.framing import has_magic_byte, strip_confluent_frame
+from changelake.sources.framing import decode_avro, has_magic_byte, strip_confluent_frame
 
 # fixed values: topics that are never scraped (internal, and Connect's own topics)
 CONNECT_TOPIC_PATTERN = "connect-(configs|offsets|status)"
@@ -85,18 +86,37 @@ def scrape_latest(records: DataFrame, topics_ok: bool = True) -> DataFrame:
     return latest_per_topic(avro_magic_filter(last_per_partition(records)))
 
 
-def decode_envelope_times(latest: DataFrame, ts_type: T.DataType = T.StringType()) -> DataFrame:
-    """Decode a framed JSON envelope enough for the metrics: ``source.ts_ms`` and ``ts_ms``.
+# what the metrics need of an envelope; ts_ms as text, so both shapes survive: epoch ms or ISO text
+ENVELOPE_TIMES = T.StructType([
+    T.StructField("source", T.StructType([T.StructField("ts_ms", T.LongType())])),
+    T.StructField("ts_ms", T.StringType()),
+])
 
-    ``ts_ms`` is read as text so both shapes survive: epoch ms or ISO text (M11).
+# (records with a framed ``value``, name of the struct column to add) -> records with that struct
+Decoder = Callable[[DataFrame, str], DataFrame]
+
+
+def json_decoder(records: DataFrame, out: str) -> DataFrame:
+    """Registry-framed JSON envelopes."""
+    return records.withColumn(out, F.from_json(F.decode(strip_confluent_frame(F.col("value")), "UTF-8"), ENVELOPE_TIMES))
+
+
+def avro_decoder(avro_schema_json: str) -> Decoder:
+    """Registry-framed Avro envelopes with the given writer schema (needs spark-avro)."""
+    return lambda records, out: decode_avro(records, avro_schema_json, out=out)
+
+
+def decode_envelope_times(latest: DataFrame, decoder: Decoder = json_decoder) -> DataFrame:
+    """Source and connector time of each record's envelope; ``decoder`` reads the body.
+
+    The decoded struct must hold ``source.ts_ms`` (epoch ms) and ``ts_ms`` (epoch ms as
+    number or text, or ISO text). Records that do not decode have no row.
     """
-    schema = T.StructType([
-        T.StructField("source", T.StructType([T.StructField("ts_ms", T.LongType())])),
-        T.StructField("ts_ms", ts_type),
-    ])
-    body = F.from_json(F.decode(strip_confluent_frame(F.col("value")), "UTF-8"), schema)
-    return (latest.withColumn("_env", body)
-            .filter(F.col("_env.source").isNotNull() & F.col("_env.ts_ms").isNotNull())
+    decoded = decoder(latest, "_env").withColumn("_env", F.struct(
+        F.struct(F.col("_env.source.ts_ms").cast("bigint").alias("ts_ms")).alias("source"),
+        F.col("_env.ts_ms").cast("string").alias("ts_ms")))
+    return (decoded
+            .filter(F.col("_env.source.ts_ms").isNotNull() & F.col("_env.ts_ms").isNotNull())
             .withColumn("source_ts", F.timestamp_millis(F.col("_env.source.ts_ms")))
             .withColumn("debezium_ts", mixed_ts_decode(F.col("_env.ts_ms")))
             .drop("_env"))
@@ -122,25 +142,25 @@ def schema_freshness(per_topic: DataFrame) -> DataFrame:
     return per_topic.groupBy("prefix", "schema").agg(F.min("freshness").alias("freshness"))
 
 
-def topic_metrics(records: DataFrame, now: dt.datetime | Column) -> DataFrame:
+def topic_metrics(records: DataFrame, now: dt.datetime | Column, decoder: Decoder = json_decoder) -> DataFrame:
     """M9 per-topic table: topic, prefix, schema, table, source_ts, debezium_ts, latency, freshness."""
-    latest = decode_envelope_times(scrape_latest(records))
+    latest = decode_envelope_times(scrape_latest(records), decoder)
     named = topic_parts(latest)
     return topic_freshness(cdc_latency(named), now).select(
         "topic", "prefix", "schema", "table", "source_ts", "debezium_ts", "latency", "freshness")
 
 
-def lag_report(records: DataFrame, now: dt.datetime | Column) -> tuple[DataFrame, DataFrame]:
+def lag_report(records: DataFrame, now: dt.datetime | Column, decoder: Decoder = json_decoder) -> tuple[DataFrame, DataFrame]:
     """M9: per-topic metrics ordered by (prefix.schema, freshness) and per-schema freshness ordered by key."""
-    per_topic = topic_metrics(records, now)
+    per_topic = topic_metrics(records, now, decoder)
     ordered = per_topic.orderBy(F.concat_ws(".", "prefix", "schema"), "freshness", "topic")
     per_schema = schema_freshness(per_topic).orderBy("prefix", "schema")
     return ordered, per_schema
 
 
-def lag_metrics(records: DataFrame, now: dt.datetime | Column) -> DataFrame:
+def lag_metrics(records: DataFrame, now: dt.datetime | Column, decoder: Decoder = json_decoder) -> DataFrame:
     """Gauges as rows (metric, labels, value) ready for a table or topic sink."""
-    per_topic = topic_metrics(records, now)
+    per_topic = topic_metrics(records, now, decoder)
     epoch = lambda c: F.unix_micros(F.col(c)) / F.lit(1000000.0).cast("double")
     topic_rows = per_topic.select(
         F.lit("topic").alias("_kind"), F.concat(F.lit("topic="), F.col("topic")).alias("labels"),

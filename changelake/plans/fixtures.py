@@ -314,21 +314,25 @@ def _catalog_columns_of(tables: DataFrame, lineitem: DataFrame) -> DataFrame:
                                            "inner")
 
 
-def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Catalog views of many databases as frames (a union of per-database catalogs).
-
-    tables      TABLE_SCHEMA, TABLE_NAME, TABLE_COMMENT, CREATE_TIME, UPDATE_TIME, TABLE_ROWS, object_id, schema_id
-    columns     TABLE_SCHEMA, TABLE_NAME, ORDINAL_POSITION, COLUMN_NAME, ... , object_id, column_id
-    key_usage   TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, CONSTRAINT_NAME, ORDINAL_POSITION
-    partitions  object_id, index_id, partition_number, row_count
-    ext_props   class_desc, name, major_id, minor_id, value
-    identity    TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME
-    include     TABLE_SCHEMA, TABLE_NAME (tables chosen for the spec: open or finished orders)
-    """
+def table_views(orders: DataFrame) -> dict[str, DataFrame]:
+    """The catalog views that need no columns: tables, partitions, include."""
     tables = _catalog_tables(orders)
-    cols = columns if columns is not None else _catalog_columns_of(tables, lineitem)
+    rows = F.col("TABLE_ROWS")
+    idx = F.when(F.col("object_id") % 2 == 0, F.lit(1)).otherwise(F.lit(0))
+    partitions = tables.select("object_id", idx.alias("index_id"), F.lit(1).alias("partition_number"),
+                               F.floor(rows / 2).cast("bigint").alias("row_count")) \
+        .unionByName(tables.select("object_id", idx.alias("index_id"), F.lit(2).alias("partition_number"),
+                                   (rows - F.floor(rows / 2).cast("bigint")).alias("row_count"))) \
+        .unionByName(tables.select("object_id", F.lit(2).alias("index_id"), F.lit(1).alias("partition_number"),
+                                   rows.alias("row_count")))
+    include = tables.filter(F.col("_status") != "P").select("TABLE_SCHEMA", "TABLE_NAME")
+    return {"tables": tables.drop("_status"), "partitions": partitions, "include": include}
+
+
+def column_views(orders: DataFrame, cols: DataFrame) -> dict[str, DataFrame]:
+    """The catalog views over the COLUMNS view ``cols``: columns, key_usage, ext_props, identity."""
+    tables, oid = _catalog_tables(orders), F.col("object_id")
     first_pos = F.min("ORDINAL_POSITION").over(Window.partitionBy("object_id"))
-    oid = F.col("object_id")
     pk_name = (F.when(oid % 7 == 0, F.concat(F.lit("ix_"), F.col("TABLE_NAME")))
                .when(oid % 4 == 0, F.concat(F.lit("pk_"), F.col("TABLE_NAME")))
                .when(oid % 4 == 1, F.concat(F.lit("CPK_"), F.col("TABLE_NAME")))
@@ -346,14 +350,6 @@ def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None =
         F.when(oid % 3 == 0, F.concat(F.col("TABLE_NAME"), F.lit("_UQ")))
         .otherwise(F.concat(F.lit("UQ_"), F.col("TABLE_NAME"))).alias("MSSQL_CONSTRAINT_NAME"))
     key_usage = pk_rows.unionByName(uq_rows)
-    rows = F.col("TABLE_ROWS")
-    idx = F.when(F.col("object_id") % 2 == 0, F.lit(1)).otherwise(F.lit(0))
-    partitions = tables.select("object_id", idx.alias("index_id"), F.lit(1).alias("partition_number"),
-                               F.floor(rows / 2).cast("bigint").alias("row_count")) \
-        .unionByName(tables.select("object_id", idx.alias("index_id"), F.lit(2).alias("partition_number"),
-                                   (rows - F.floor(rows / 2).cast("bigint")).alias("row_count"))) \
-        .unionByName(tables.select("object_id", F.lit(2).alias("index_id"), F.lit(1).alias("partition_number"),
-                                   rows.alias("row_count")))
     ext_props = tables.filter(F.col("TABLE_COMMENT").isNotNull()).select(
         F.lit("OBJECT_OR_COLUMN").alias("class_desc"), F.lit("MS_Description").alias("name"),
         F.col("object_id").alias("major_id"), F.lit(0).alias("minor_id"), F.col("TABLE_COMMENT").alias("value")) \
@@ -362,23 +358,49 @@ def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None =
             F.col("object_id").alias("major_id"), F.col("column_id").alias("minor_id"),
             F.col("COLUMN_COMMENT").alias("value")))
     identity = cols.filter(F.col("EXTRA") == "auto_increment").select("TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME")
-    include = tables.filter(F.col("_status") != "P").select("TABLE_SCHEMA", "TABLE_NAME")
-    return {"tables": tables.drop("_status"), "columns": cols, "key_usage": key_usage, "partitions": partitions,
-            "ext_props": ext_props, "identity": identity, "include": include}
+    return {"columns": cols, "key_usage": key_usage, "ext_props": ext_props, "identity": identity}
+
+
+def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Catalog views of many databases as frames (a union of per-database catalogs).
+
+    tables      TABLE_SCHEMA, TABLE_NAME, TABLE_COMMENT, CREATE_TIME, UPDATE_TIME, TABLE_ROWS, object_id, schema_id
+    columns     TABLE_SCHEMA, TABLE_NAME, ORDINAL_POSITION, COLUMN_NAME, ... , object_id, column_id
+    key_usage   TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME, CONSTRAINT_NAME, ORDINAL_POSITION
+    partitions  object_id, index_id, partition_number, row_count
+    ext_props   class_desc, name, major_id, minor_id, value
+    identity    TABLE_SCHEMA, TABLE_NAME, COLUMN_NAME
+    include     TABLE_SCHEMA, TABLE_NAME (tables chosen for the spec: open or finished orders)
+    """
+    cols = columns if columns is not None else _catalog_columns_of(_catalog_tables(orders), lineitem)
+    return table_views(orders) | column_views(orders, cols)
+
+
+class _LazyViews(dict):
+    """Catalog views derived on first use, so a query that needs no columns never reads lineitem."""
+
+    def __init__(self, orders: DataFrame, lineitem: DataFrame):
+        super().__init__()
+        self._orders, self._lineitem = orders, lineitem
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in ("tables", "partitions", "include"):
+            self.update(table_views(self._orders))
+        else:
+            from changelake.session import materialize
+
+            # an aggregate over lineitem that several views reuse: written once, so the plan
+            # does not aggregate it for each use
+            cols = materialize(_catalog_columns_of(_catalog_tables(self._orders), self._lineitem), "catalog-columns")
+            self.update(column_views(self._orders, cols))
+        return self[name]
 
 
 def load_catalog(spark: SparkSession, sf_dir: str, snapshot: bool = True) -> dict[str, DataFrame]:
-    """Catalog views derived from the driver tables. With ``snapshot`` the COLUMNS view (an
-    aggregate over lineitem that every other view and spec reuses) is written once to the
-    shared checkpoint folder and read back, so the plan does not re-aggregate lineitem for
-    each use (pushed-down filters would otherwise defeat exchange reuse)."""
+    """Catalog views derived from the driver tables, each on first use; without ``snapshot``
+    nothing is written and every view is a plan over the tables."""
     orders, lineitem = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")
-    if not snapshot:
-        return catalog(orders, lineitem)
-    from changelake.session import materialize
-
-    cols = materialize(_catalog_columns_of(_catalog_tables(orders), lineitem), "catalog-columns")
-    return catalog(orders, lineitem, columns=cols)
+    return _LazyViews(orders, lineitem) if snapshot else catalog(orders, lineitem)
 
 
 def second_engine_columns(columns: DataFrame) -> DataFrame:

@@ -285,14 +285,14 @@ li2 AS (
   SELECT *, ['int', 'nvarchar', 'numeric', 'datetime2', 'bit', 'money', 'varbinary', 'nchar'][partkey % 8 + 1] AS dtype
   FROM li
 ),
-ctab AS (
+ctab AS MATERIALIZED (
   SELECT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS TABLE_SCHEMA, 'tb_' || CAST(o_orderkey AS VARCHAR) AS TABLE_NAME,
          CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS TABLE_COMMENT,
          o_orderdate AS CREATE_TIME, o_orderdate + INTERVAL 1 DAY AS UPDATE_TIME,
          CAST(floor(o_totalprice) AS BIGINT) AS TABLE_ROWS, o_orderkey AS object_id, o_orderstatus AS status
   FROM orders
 ),
-ccol AS (
+ccol AS MATERIALIZED (
   SELECT t.TABLE_SCHEMA, t.TABLE_NAME, l.l_orderkey AS object_id,
          CAST(l.l_linenumber AS INTEGER) AS ORDINAL_POSITION, CAST(l.l_linenumber AS INTEGER) AS column_id,
          CASE l.l_linenumber WHEN 7 THEN 'order' WHEN 6 THEN 'col 6'
@@ -318,7 +318,7 @@ ccol AS (
   FROM li2 l JOIN ctab t ON t.object_id = l.l_orderkey
 ),
 firstcol AS (SELECT object_id, min(ORDINAL_POSITION) AS first_pos FROM ccol GROUP BY object_id),
-kusage AS (
+kusage AS MATERIALIZED (
   SELECT c.TABLE_SCHEMA, c.TABLE_NAME, c.COLUMN_NAME, 'PRIMARY' AS CONSTRAINT_NAME, 1 AS ORDINAL_POSITION,
          CASE WHEN c.object_id % 7 = 0 THEN 'ix_' || c.TABLE_NAME
               WHEN c.object_id % 4 = 0 THEN 'pk_' || c.TABLE_NAME
@@ -518,7 +518,7 @@ SELECT s.DB_NAME, s.TABLE_NAME, s.idx, s.COLUMN_NAME AS src_column, d.COLUMN_NAM
 FROM srcr s JOIN dstr d ON s.DB_NAME = d.DB_NAME AND s.TABLE_NAME = d.TABLE_NAME AND s.idx = d.idx"""
 SQL["comment_rows"] = f"""WITH {MATCH}
 SELECT DB_NAME, TABLE_NAME, 'table' AS kind, CAST(NULL AS VARCHAR) AS column_name, src_tc AS comment,
-       'ALTER TABLE ' || DB_NAME || '.' || TABLE_NAME || ' COMMENT = ''' || src_tc || ''';' AS statement
+       'ALTER TABLE ' || DB_NAME || '.' || TABLE_NAME || ' COMMENT = ''' || replace(replace(src_tc, '\\', '\\\\'), '''', '\\''') || ''';' AS statement
 FROM byname WHERE idx = 1 AND src_tc IS NOT NULL AND src_tc <> ''
 UNION ALL
 SELECT DB_NAME, TABLE_NAME, 'column', dst_column, src_cc,
@@ -530,10 +530,10 @@ SELECT DB_NAME, TABLE_NAME, 'column', dst_column, src_cc,
                  CASE WHEN d_def IS NULL THEN NULL
                       WHEN regexp_full_match(d_def, '[0-9]+') OR contains(lower(d_def), 'now')
                            OR contains(lower(d_def), 'current_timestamp') THEN 'DEFAULT ' || d_def
-                      ELSE 'DEFAULT ''' || d_def || '''' END,
+                      ELSE 'DEFAULT ''' || replace(replace(d_def, '\\', '\\\\'), '''', '\\''') || '''' END,
                  CASE WHEN d_ai = 'YES' THEN 'AUTO_INCREMENT' END,
                  CASE WHEN d_uq = 'YES' THEN 'UNIQUE' END,
-                 'COMMENT ''' || src_cc || ''';')
+                 'COMMENT ''' || replace(replace(src_cc, '\\', '\\\\'), '''', '\\''') || ''';')
 FROM byname WHERE src_cc IS NOT NULL AND src_cc <> ''"""
 
 SQL["bronze_comment_rows"] = f"""WITH {CAT},
@@ -543,11 +543,11 @@ bc AS (SELECT DB_NAME, TABLE_NAME, ORDINAL_POSITION, COLUMN_NAME,
        FROM myspec),
 firsttc AS (SELECT target, arg_min(tc, (ORDINAL_POSITION, COLUMN_NAME)) AS tc FROM bc WHERE tc <> '' GROUP BY target)
 SELECT target AS target_table, CAST(NULL AS VARCHAR) AS column_name, trim(tc) AS comment,
-       'ALTER TABLE ' || target || ' SET TBLPROPERTIES (''comment'' = ''' || trim(tc) || ''');' AS statement
+       'ALTER TABLE ' || target || ' SET TBLPROPERTIES (''comment'' = ''' || replace(replace(trim(tc), '\\', '\\\\'), '''', '\\''') || ''');' AS statement
 FROM firsttc
 UNION ALL
 SELECT target, COLUMN_NAME, trim(cc),
-       'ALTER TABLE ' || target || ' ALTER COLUMN ' || COLUMN_NAME || ' COMMENT ''' || trim(cc) || ''';'
+       'ALTER TABLE ' || target || ' ALTER COLUMN `' || replace(COLUMN_NAME, '`', '``') || '` COMMENT ''' || replace(replace(trim(cc), '\\', '\\\\'), '''', '\\''') || ''';'
 FROM bc WHERE cc <> ''"""
 
 SQL["data_dictionary"] = f"""WITH {CAT},
@@ -623,6 +623,12 @@ FROM numbered WHERE NOT gap
 SQL["ingest_plan_mssql"] = _plan_sql("mssql")
 SQL["ingest_plan_mysql"] = _plan_sql("mysql")
 
+SQL["ingest_plan_documents"] = f"""
+SELECT database, count(*) AS n_rules, count(*) FILTER (rule_type = 'selection') AS n_selections,
+       count(*) FILTER (rule_type = 'selection') AS n_filter_lists, true AS in_order
+FROM ({SQL["ingest_plan_mssql"]}) GROUP BY database
+"""
+
 SQL["table_selection"] = """
 SELECT DISTINCT 'db' || CAST(o_custkey % 25 AS VARCHAR) || '.dbo.T' || CAST(o_orderkey AS VARCHAR) AS name
 FROM orders WHERE o_orderkey % 5 <> 0
@@ -681,7 +687,14 @@ _KST = "epoch_ms(ts_ms) + INTERVAL 9 HOUR"
 SQL["lake_daily_sink"] = f"""
 WITH {CHANGE_LOG}
 SELECT topic, strftime({_KST}, '%Y') AS year, strftime({_KST}, '%m') AS month, strftime({_KST}, '%d') AS day,
-       count(*) AS n_rows
+       "offset" * 2 AS "offset", op, ts_ms, event_id AS pos, user_id
+FROM cl
+"""
+
+SQL["lake_compact"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, strftime({_KST}, '%Y') AS year, strftime({_KST}, '%m') AS month, strftime({_KST}, '%d') AS day,
+       count(*) AS n_rows, CAST(sum("offset" * 2) AS BIGINT) AS sum_offset, CAST(1 AS BIGINT) AS n_files
 FROM cl GROUP BY ALL
 """
 
@@ -763,13 +776,16 @@ SELECT database AS file_name, 'selection' AS rule_type, 'include' AS action, dat
 FROM lst WHERE NOT excluded
 """
 
-
-def naming_audit_sql(keywords: list[str]) -> str:
-    """T18 oracle; the reserved words are the Spark session's own keyword list, passed in."""
-    values = ", ".join("('" + w.replace("'", "''").upper() + "')" for w in sorted(set(keywords)))
-    return f"""
+# fixed values: the words Spark SQL reserves in ANSI mode, as its documentation lists them
+SPARK_RESERVED = (
+    "ALL AND ANY AS AUTHORIZATION BOTH CALL CASE CAST CHECK COLLATE COLLATION COLUMN CONSTRAINT CREATE CROSS CURRENT_DATE "
+    "CURRENT_TIME CURRENT_TIMESTAMP CURRENT_USER DISTINCT ELSE END ESCAPE EXCEPT EXECUTE FALSE FETCH FILTER FOR FOREIGN "
+    "FROM FULL GRANT GROUP HAVING IN INNER INTERSECT INTO IS JOIN LATERAL LEADING LEFT NATURAL NOT NULL OFFSET ON ONLY OR "
+    "ORDER OUTER OVERLAPS PRIMARY RECURSIVE REFERENCES RIGHT SELECT SESSION_USER SOME SQL TABLE THEN TIME TO TRAILING "
+    "UNION UNIQUE UNKNOWN USER USING WHEN WHERE WITH WITHIN")
+SQL["naming_audit"] = f"""
 WITH {CAT},
-words AS (SELECT DISTINCT w FROM (VALUES {values}) AS v(w)),
+words AS (SELECT unnest(string_split('{SPARK_RESERVED}', ' ')) AS w),
 names AS (
   SELECT DB_NAME, 'column' AS kind, TABLE_NAME, COLUMN_NAME AS name FROM msspec
   UNION ALL

@@ -18,7 +18,7 @@ from changelake import schemas
 from changelake.functions import temporal as tm
 from changelake.operators import bronze, catalog, ingest_rules, lag, topology, transforms
 from changelake.plans import fixtures
-from changelake.session import configure, read_table, scratch_path
+from changelake.session import configure, materialize, read_table, scratch_path
 from changelake.sources import catalog_io, framing, lake
 from changelake.streaming import jobs
 
@@ -323,18 +323,18 @@ def _cat(spark, sf_dir):
 
 
 def _mysql_spec(spark, sf_dir, ordered=False, c=None):
-    c = c or _cat(spark, sf_dir)
+    c = _cat(spark, sf_dir) if c is None else c
     return catalog.mysql_table_spec(c["tables"], c["columns"], c["key_usage"], c["include"], ordered=ordered)
 
 
 def _mssql_spec(spark, sf_dir, ordered=False, c=None):
-    c = c or _cat(spark, sf_dir)
+    c = _cat(spark, sf_dir) if c is None else c
     return catalog.mssql_table_spec(c["tables"], c["columns"], c["key_usage"], c["partitions"], c["ext_props"],
                                     c["identity"], c["include"], ordered=ordered)
 
 
 def _second_spec(spark, sf_dir, c=None):
-    c = c or _cat(spark, sf_dir)
+    c = _cat(spark, sf_dir) if c is None else c
     cols = fixtures.second_engine_columns(c["columns"])
     return catalog.mysql_table_spec(c["tables"], cols, c["key_usage"], c["include"], ordered=False)
 
@@ -498,7 +498,8 @@ def q_table_selection(spark, sf_dir):
 
 
 def _b1_plan_lists(spark, flat):
-    names = flat.select(F.concat(F.col("__db"), F.lit(".dbo."), F.upper("__table")).alias("name")).distinct()
+    # the list of names is derived once; the plan's several uses of it do not scan the events again
+    names = materialize(flat.select(F.concat(F.col("__db"), F.lit(".dbo."), F.upper("__table")).alias("name")).distinct(), "names")
     mk = lambda xs: spark.createDataFrame([(x,) for x in xs], "name string")
     return {"tables": names,
             "except_tables": mk(["billing.dbo.TB_ERROR"]),
@@ -643,10 +644,22 @@ def _write_lake(spark, sf_dir):
 
 @register("lake_daily_sink")
 def q_lake_daily_sink(spark, sf_dir):
-    """Change events written to the daily lake (KST days, 1000-row files), read back per day."""
-    path = _write_lake(spark, sf_dir)
-    back = lake.scan_lake(spark, path)
-    return back.groupBy("topic", "year", "month", "day").agg(F.count("*").alias("n_rows"))
+    """Change events written to the daily lake (KST days), every row read back."""
+    back = lake.scan_lake(spark, _write_lake(spark, sf_dir))
+    return back.select("topic", "year", "month", "day", "offset", "op", "ts_ms", F.col("source.pos").alias("pos"),
+                       F.coalesce("after.user_id", "before.user_id").alias("user_id"))
+
+
+@register("lake_compact")
+def q_lake_compact(spark, sf_dir):
+    """A lake of many small files compacted; per day the rows and that one file is left."""
+    ce = fixtures.change_events(_events(spark, sf_dir), tombstones=True)
+    path, out = scratch_path(spark, "lake"), scratch_path(spark, "lake-compact")
+    lake.write_lake(lake.prepare_lake_rows(ce), path, max_records_per_file=20)
+    lake.compact_lake(spark, path, out)
+    back = lake.scan_lake(spark, out).withColumn("_file", F.input_file_name())
+    return back.groupBy("topic", "year", "month", "day").agg(
+        F.count("*").alias("n_rows"), F.sum("offset").alias("sum_offset"), F.countDistinct("_file").alias("n_files"))
 
 
 @register("lake_table_scan")
@@ -764,17 +777,32 @@ def q_lag_by_minute(spark, sf_dir):
 
 @register("naming_audit")
 def q_naming_audit(spark, sf_dir):
-    """Names that need quoting (special characters, digits only, or a Spark SQL keyword)."""
-    words = spark.sql("SELECT keyword AS word FROM sql_keywords()")
-    return catalog.naming_audit(_mssql_spec(spark, sf_dir), words)
+    """Names that need quoting (special characters, digits only, or a reserved word)."""
+    return catalog.naming_audit(_mssql_spec(spark, sf_dir))
 
 
 @register("rules_json_scan")
 def q_rules_json_scan(spark, sf_dir):
-    """S16 + R1: the SQL Server plan written as rule files (one folder per database), scanned
-    back from the folder tree and tidied."""
+    """S16 + R1: the SQL Server plan written as one rule document per database (all files in
+    folders of their own, some of equal names, one broken), scanned from the tree and tidied."""
     lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mssql")
     path = scratch_path(spark, "rules")
     ingest_rules.write_plan(ingest_rules.ingest_plan_mssql(**lists), path)
-    rules = ingest_rules.read_rule_sets(spark, path, layout="lines", glob="*.txt")
+    spark.createDataFrame([('{"rules": [ {"rule-type": "selection"',)], "value string").write.text(f"{path}/database=broken")
+    rules = ingest_rules.read_rule_sets(spark, path, glob="*.txt", name="folder")
     return ingest_rules.rules_tidy(rules)
+
+
+@register("ingest_plan_documents")
+def q_ingest_plan_documents(spark, sf_dir):
+    """The rule documents read back as JSON: rules, selection rules with an empty filter list."""
+    lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mssql")
+    docs = ingest_rules.plan_documents(ingest_rules.ingest_plan_mssql(**lists))
+    rules = F.from_json("text", "rules ARRAY<STRUCT<`rule-type`: STRING, `rule-id`: STRING, filters: ARRAY<STRING>>>")["rules"]
+    of = lambda cond: F.size(F.filter(rules, cond)).cast("long")
+    return docs.select(
+        "database", F.size(rules).cast("long").alias("n_rules"),
+        of(lambda r: r["rule-type"] == "selection").alias("n_selections"),
+        of(lambda r: F.size(r["filters"]) == 0).alias("n_filter_lists"),
+        F.transform(rules, lambda r: r["rule-id"].cast("int")).eqNullSafe(
+            F.sort_array(F.transform(rules, lambda r: r["rule-id"].cast("int")))).alias("in_order"))

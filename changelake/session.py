@@ -57,12 +57,16 @@ def get_session(master: str | None = None, app_name: str = "changelake", shuffle
     return spark
 
 
+# scratch tables of this process stand below one folder, which drop_scratch removes
+RUN_ID = uuid.uuid4().hex[:12]
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    A cluster names it in ``spark.checkpoint.dir`` (a static setting read at start-up); we
-    fall back to the context's checkpoint folder, and only when neither is set (local
-    tests) pick a temporary folder of our own and register it with the context.
+    A cluster names it in ``spark.checkpoint.dir`` (a static setting read at start-up) or has
+    set the context's checkpoint folder. Only a local master may do without: there a
+    temporary folder is made and registered with the context.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
@@ -70,15 +74,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
     if not path:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         path = tempfile.mkdtemp(prefix="changelake-ckpt-")
         sc.setCheckpointDir(path)
     return path
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/changelake/{RUN_ID}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint dir for a job's intermediate table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/changelake/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove every scratch table this process has written (no frame over them may be used after)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

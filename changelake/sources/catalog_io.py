@@ -16,21 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changelake.operators.catalog import sql_name, sql_text
+
 
 def read_catalog_jdbc(spark: SparkSession, url_for_db: dict[str, str], query: str, properties: dict[str, str],
-                      num_partitions: int | None = None) -> DataFrame:
+                      split: tuple[str, int, int, int] | None = None) -> DataFrame:
     """Run one catalog query per database and union the rows (tagged with the database).
 
     ``query`` is pushed to the database as a subquery (the include list can be part of it,
-    so the filtering happens at the source).
+    so the filtering happens at the source). ``split`` = (numeric column, lower bound, upper
+    bound, partitions) reads each database by that many range queries.
     """
     frames = []
     for db, url in url_for_db.items():
-        reader = spark.read.format("jdbc").option("url", url).option("query", query)
+        reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) AS q")
         for k, v in properties.items():
             reader = reader.option(k, v)
-        if num_partitions:
-            reader = reader.option("numPartitions", str(num_partitions))
+        if split:
+            for k, v in zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), split):
+                reader = reader.option(k, str(v))
         frames.append(reader.load().withColumn("SOURCE_DB", F.lit(db)))
     out = frames[0]
     for f in frames[1:]:
@@ -56,11 +60,11 @@ def load_spec(spark: SparkSession, path: str) -> DataFrame:
 
 def comment_statements(rows: DataFrame) -> DataFrame:
     """Spark SQL DDL for bronze comment rows (T16 output): escaped, one statement per row."""
-    esc = F.replace(F.col("comment"), F.lit("'"), F.lit("\\'"))
+    esc = sql_text(F.col("comment"))
     table = F.concat(F.lit("ALTER TABLE "), F.col("target_table"),
                      F.lit(" SET TBLPROPERTIES ('comment' = '"), esc, F.lit("')"))
-    column = F.concat(F.lit("ALTER TABLE "), F.col("target_table"), F.lit(" ALTER COLUMN `"),
-                      F.replace(F.col("column_name"), F.lit("`"), F.lit("``")), F.lit("` COMMENT '"), esc, F.lit("'"))
+    column = F.concat(F.lit("ALTER TABLE "), F.col("target_table"), F.lit(" ALTER COLUMN "),
+                      sql_name(F.col("column_name")), F.lit(" COMMENT '"), esc, F.lit("'"))
     return rows.select("target_table", "column_name",
                        F.when(F.col("column_name").isNull(), table).otherwise(column).alias("sql"))
 

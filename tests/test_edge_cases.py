@@ -262,6 +262,60 @@ def test_read_rule_sets_from_files_skips_corrupt(spark, tmp_path):
     assert out == [("a.json", "selection", "include", "dbo", "T")]
 
 
+def test_rule_files_of_equal_names_do_not_mix(spark, tmp_path):
+    doc = ('{"rules": [{"rule-type": "selection", "rule-action": "include", "object-locator": {"schema-name": "dbo", "table-name": "%s"}},'
+           ' {"rule-type": "transformation", "rule-action": "rename", "rule-target": "schema", "value": "%s"}]}')
+    for folder, table, db in (("a", "T1", "db1"), ("b", "T2", "db2")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "rules.json").write_text(doc % (table, db))
+    out = ingest_rules.rules_tidy(ingest_rules.read_rule_sets(spark, str(tmp_path))).collect()
+    assert sorted((r.file_name, r.schema, r.table) for r in out) == [("rules.json", "db1", "T1"), ("rules.json", "db2", "T2")]
+
+
+def test_comments_with_quotes_and_backslashes_survive(spark):
+    from changelake.sources import catalog_io
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS esc_bronze")
+    spark.sql("DROP TABLE IF EXISTS esc_bronze.t")
+    spark.sql("CREATE TABLE esc_bronze.t (`a``b` INT, c INT) USING parquet")
+    texts = {None: "it's C:\\", "a`b": "end \\' quote; DROP", "c": "plain"}
+    rows = spark.createDataFrame([("esc_bronze.t", k, v) for k, v in texts.items()], "target_table string, column_name string, comment string")
+    assert {r.status for r in catalog_io.apply_catalog_comments(spark, rows).collect()} == {"ok"}
+    got = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE esc_bronze.t").collect()}
+    assert got["a`b"] == texts["a`b"] and got["c"] == "plain"
+    about = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED esc_bronze.t").collect()}
+    assert about["Comment"] == texts[None]
+    spark.sql("DROP DATABASE esc_bronze CASCADE")
+
+
+def test_lake_days_are_computed_not_listed(spark, tmp_path):
+    import datetime as dt
+
+    globs = lake.day_globs("/l", dt.date(2024, 1, 30), dt.date(2024, 2, 2), ["a.b", "c"])
+    assert globs == ["/l/topic={a.b,c}/year=2024/month=01/day={30,31}", "/l/topic={a.b,c}/year=2024/month=02/day={01,02}"]
+    path = str(tmp_path / "lake")
+    days = spark.createDataFrame([(i, "t%d" % (i % 2), "2024", "01", "%02d" % (i + 1)) for i in range(9)],
+                                 "offset long, topic string, year string, month string, day string")
+    days.write.partitionBy("topic", "year", "month", "day").parquet(path)
+    schema = T.StructType.fromDDL("offset BIGINT, topic STRING, year STRING, month STRING, day STRING")
+    got = lake.scan_lake(spark, path, schema, dt.date(2024, 1, 3), dt.date(2024, 1, 6), topics=["t0"])
+    assert sorted(r.offset for r in got.collect()) == [2, 4] and len(got.inputFiles()) == 2
+    assert lake.scan_lake(spark, path, schema, dt.date(2023, 1, 3), dt.date(2023, 1, 6)).count() == 0
+
+
+def test_lag_metrics_take_a_decoder(spark):
+    import datetime as dt
+
+    rows = spark.createDataFrame([("local.store.tb_x", 0, 5, dt.datetime(2024, 1, 1), b"\x00\x00\x00\x00\x01xx")],
+                                 "topic string, partition int, offset long, timestamp timestamp, value binary")
+
+    def decoder(records, out):
+        return records.withColumn(out, F.struct(F.struct(F.lit(1000).alias("ts_ms")).alias("source"), F.lit(3000).alias("ts_ms")))
+
+    got = lag.topic_metrics(rows, dt.datetime(1970, 1, 1, 0, 0, 10), decoder).first()
+    assert (got.latency, got.freshness) == (2.0, 7.0)
+
+
 def test_space_used_cleanup(spark):
     df = spark.createDataFrame([("t", "1", "16 KB", "8KB", None, "x KB", "db")], schemas.SPACE_USED)
     r = catalog.space_used(df).first()
