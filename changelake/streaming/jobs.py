@@ -11,9 +11,9 @@
 * :func:`lag_by_minute` (X3): per table and minute, latency stats with a watermark.
 * :func:`lag_metrics_stream` (M10): the lag scrape re-run on every trigger over a small
   last-record-per-partition state table.
-* :func:`bronze_stream` (X1/X2): change batches folded into a versioned bronze state.
-* :func:`change_capture_streams`: one record stream -> decoded envelope -> lake sink and
-  bronze fold, as two checkpointed queries.
+* :func:`bronze_stream` (X1/X2): change batches folded into a bucketed bronze state.
+* :func:`change_capture_streams`: one record stream -> decoded envelope -> lake sink, bronze
+  fold and dead letters, as three checkpointed queries.
 """
 
 from __future__ import annotations
@@ -149,38 +149,90 @@ def lag_metrics_stream(records: DataFrame, state_path: str, metrics_path: str, c
     return w.start()
 
 
-def bronze_stream(flat: DataFrame, state_path: str, checkpoint: str, key=None, order=None,
+def bronze_stream(flat: DataFrame, state_path: str, checkpoint: str, key=None, order=None, buckets: int = 64,
                   trigger: str | None = "60 seconds", available_now: bool = False):
     """X1/X2 as a stream: every micro-batch is folded into the bronze state.
 
-    The state keeps tombstones (so late, older changes cannot revive a deleted key) and
-    each batch writes a new version under ``batch_id=<n>`` built from version ``n-1``
-    and the batch (union + newest-per-key aggregate, one shuffle on the key). A replayed
-    batch rebuilds the same version. ``bronze.live_rows`` gives the visible table.
-
-    Each version rewrites the whole state, which suits states up to a few hundred GB per
-    trigger interval. For larger states the same fold belongs in ``MERGE INTO`` on a table
-    format with row-level operations (Iceberg, Delta), keyed on ``id_iceberg``; plain
-    Parquet has no way to replace only the touched keys.
+    The state is divided into ``buckets`` by a hash of the key, and each bucket has its own
+    version: ``bucket=<b>/version=<batch>``. A batch reads and rewrites only the buckets that
+    its keys fall into (union + newest-per-key aggregate, one shuffle on the key); the others
+    keep their files. Which version of a bucket counts stands in a small table per batch
+    beside the state (``<state_path>-buckets``, one row per bucket), written last, so a
+    replayed batch starts from the same versions again and readers never see half a batch.
+    Versions that no table of the last two batches names are removed.
+
+    The state keeps tombstones (so late, older changes cannot revive a deleted key);
+    ``read_bronze`` gives the current state, ``bronze.live_rows`` of it the visible table.
+    Take enough buckets that one holds a few hundred MB; batches that touch every bucket
+    rewrite the whole state, which ``MERGE INTO`` on a table format would do by file.
     """
     from changelake.operators import bronze
 
-    key = key or bronze.DEFAULT_KEY
+    key = list(key or bronze.DEFAULT_KEY)
     order = order or bronze.DEFAULT_ORDER
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = bronze.latest_state(batch, key, order, keep_deletes=True)
-        if batch_id > 0:
-            prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
-            fresh = bronze.upsert(prev, batch.select(*prev.columns), key, order)
-        fresh.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        in_bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+        fresh = bronze.latest_state(batch, key, order, keep_deletes=True).persist()
+        try:
+            # at most ``buckets`` rows each
+            touched = sorted(r["b"] for r in fresh.select(in_bucket.alias("b")).distinct().collect())
+            before = bucket_versions(spark, state_path, batch_id - 1)
+            stored = [f"{state_path}/bucket={b}/version={before[b]}" for b in touched if b in before]
+            state = fresh
+            if stored:
+                prev = spark.read.parquet(*stored)
+                state = bronze.upsert(prev, fresh.select(*prev.columns), key, order)
+            if touched:
+                (state.withColumn("bucket", in_bucket).withColumn("version", F.lit(batch_id))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("bucket", "version").parquet(state_path))
+        finally:
+            fresh.unpersist()
+        now = before | dict.fromkeys(touched, batch_id)
+        spark.createDataFrame(sorted(now.items()), "bucket int, version bigint").coalesce(1).write.mode("overwrite").parquet(
+            _version_table(state_path, batch_id))
+        older = bucket_versions(spark, state_path, batch_id - 2)
+        _remove(spark, [f"{state_path}/bucket={b}/version={v}" for b, v in older.items() if before.get(b) != v]
+                + [_version_table(state_path, batch_id - 2)])
 
     w = flat.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
 
+def _version_table(state_path: str, batch_id: int) -> str:
+    return f"{state_path}-buckets/batch_id={batch_id}"
+
+
+def _exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _remove(spark, paths: list[str]) -> None:
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def bucket_versions(spark, state_path: str, batch_id: int) -> dict[int, int]:
+    """Bucket -> version after a batch (empty before the first one): one row per bucket."""
+    table = _version_table(state_path, batch_id)
+    if batch_id < 0 or not _exists(spark, table):
+        return {}
+    return {r["bucket"]: r["version"] for r in spark.read.schema("bucket int, version bigint").parquet(table).collect()}
+
+
+def read_bronze(spark, state_path: str) -> DataFrame:
+    """The current state of a bronze stream, tombstones included."""
+    tables = spark.read.schema("bucket int, version bigint, batch_id bigint").parquet(f"{state_path}-buckets")
+    last = tables.agg(F.max("batch_id")).first()[0]
+    versions = bucket_versions(spark, state_path, last)
+    return spark.read.parquet(*[f"{state_path}/bucket={b}/version={v}" for b, v in sorted(versions.items())])
+
+
 def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_path: str, dead_path: str,
                            checkpoint_root: str, key_fields: list[str], chain=None, topic_prefix: str = "local",
                            frame: str | None = "confluent", strict: bool = False, available_now: bool = False):
