@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, read_table
@@ -11,7 +14,7 @@ from ..session import materialize, read_table
 # carriage return); Python's ``bytes.split()`` uses the same six bytes.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
-__all__ = ["WORD_SPACE", "fold", "materialize", "read_table", "pick", "input_bytes"]
+__all__ = ["WORD_SPACE", "WordHashes", "fold", "materialize", "mix64", "pick", "read_table"]
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -24,11 +27,64 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
-def input_bytes(df: DataFrame, column: str) -> int:
-    """Total bytes of a text column: a map-side sum, used to size work, never to skip it."""
-    row = df.agg(F.sum(F.octet_length(F.col(column)).cast("long")).alias("n")).first()
-    return int(row["n"] or 0)
+def mix64(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers (a one-to-one map)."""
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+class WordHashes:
+    """64-bit hashes of a text's words, ASCII letters lowered, by array operations.
+
+    A word's hash is the polynomial of its bytes at a fixed odd base, taken as a difference
+    of prefix sums, and mixed. Words are separated by ASCII white space.
+    """
+
+    BASE = 0x9E3779B97F4A7C15
+    SLICE = 1 << 20  # bytes handled at once; a longer word is taken whole
+
+    def __init__(self):
+        # 0 for white space, else the lowered byte plus one
+        codes = np.arange(1, 257, dtype=np.uint64)
+        codes[65:91] += np.uint64(32)
+        codes[[32, *range(9, 14)]] = 0
+        self.codes = codes
+        self._grow(1 << 14)
+
+    def _grow(self, n: int) -> None:
+        self.power = np.full(n, self.BASE, np.uint64)
+        self.inverse = np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)
+        for x in (self.power, self.inverse):
+            x[0] = 1
+            np.multiply.accumulate(x, out=x)
+
+    def _slices(self, data: bytes) -> Iterator[bytes]:
+        at = 0
+        while len(data) - at > self.SLICE:
+            cut = max(data.rfind(c, at, at + self.SLICE) for c in (b" ", b"\n"))
+            if cut <= at:
+                found = [i for i in (data.find(c, at + self.SLICE) for c in (b" ", b"\n")) if i >= 0]
+                cut = min(found, default=len(data))
+            yield data[at:cut]
+            at = cut
+        yield data[at:]
 
+    def _hash(self, data: bytes) -> np.ndarray:
+        code = self.codes[np.frombuffer(data, np.uint8)]
+        if len(code) > len(self.power):
+            self._grow(2 * len(code))
+        inside = np.zeros(len(code) + 2, np.int8)
+        inside[1:-1] = code > 0
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edge[::2], edge[1::2]
+        sums = np.zeros(len(code) + 1, np.uint64)
+        np.cumsum(code * self.power[:len(code)], out=sums[1:])
+        return mix64((sums[ends] - sums[starts]) * self.inverse[:len(code) + 1][starts])
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+    def __call__(self, text: str | None) -> np.ndarray:
+        data = (text or "").encode()
+        if not data:
+            return np.empty(0, np.uint64)
+        parts = [self._hash(x) for x in self._slices(data)]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)

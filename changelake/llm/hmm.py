@@ -25,14 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, materialize, pick
+from .common import WordHashes, fold, materialize, mix64, pick
 
-MEMO_WORDS = 400_000
-END = b"\n"  # the end token; no word holds white space
+END = mix64(np.zeros(1, np.uint64) + np.uint64(1 << 63))[0]  # hash of the end token
 
 
 @dataclass(frozen=True)
@@ -48,23 +46,11 @@ class HmmParams:
     smooth: float = 0.1       # added to expected counts
 
 
-class Words:
-    """Hashes of a text's tokens."""
-
-    def __init__(self):
-        class Memo(dict):
-            def __missing__(self, word):
-                value = self[word] = xxhash.xxh64_intdigest(word)
-                return value
-
-        self.memo = Memo()
+class Words(WordHashes):
+    """Hashes of a text's tokens: its words and the end."""
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()
-        words.append(END)
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        return np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
+        return np.append(super().__call__(text), END)
 
 
 def symbol_of(hashes: np.ndarray, p: HmmParams) -> np.ndarray:
