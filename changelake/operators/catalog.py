@@ -347,6 +347,7 @@ def comment_rows(matched: DataFrame) -> DataFrame:
     (type, charset, collation, nullability, default, auto increment, unique).
     ``statement`` is the MySQL text of that change.
     """
+    # fixed values: the texts of the ALTER statements
     target = F.concat_ws(".", F.col("DB_NAME"), F.col("TABLE_NAME"))
     table_row = F.when((F.col("idx") == 1) & _nonempty(F.col("src_TABLE_COMMENT")), F.struct(
         F.lit("table").alias("kind"), F.lit(None).cast("string").alias("column_name"),

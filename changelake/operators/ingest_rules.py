@@ -146,6 +146,7 @@ def _unnumbered(rules: DataFrame) -> DataFrame:
 
 
 def _finish(rules: DataFrame) -> DataFrame:
+    # fixed values: the beginnings of rule names
     rid = F.col("rule_id").cast("string")
     name = (F.when(F.col("rule_action") == "include", F.concat(F.lit("include_table_"), rid))
             .when(F.col("rule_action") == "add-column", F.concat(F.lit("add_column_cdc_dt_"), rid))

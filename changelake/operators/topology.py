@@ -39,6 +39,7 @@ def consumer_topics(groups: DataFrame, assignments: DataFrame, errors: DataFrame
     joined = groups.select("group_id").distinct().join(pairs, "group_id", "left")
     out = joined.groupBy("group_id").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
     if errors is not None:
+        # fixed values: the text of a failed description
         err = errors.select("group_id", F.concat(F.lit("Error describing group: "), F.col("error")).alias("_err"))
         out = (out.join(err, "group_id", "left")
                .withColumn("topics", F.when(F.col("_err").isNotNull(), F.array(F.col("_err")))
@@ -48,12 +49,16 @@ def consumer_topics(groups: DataFrame, assignments: DataFrame, errors: DataFrame
 
 
 def connectors_by_worker(status: DataFrame) -> DataFrame:
-    """Connectors grouped by the host part of their worker id (text before the first dot)."""
+    """Connectors grouped by the host part of their worker id (text before the first dot).
+
+    ``connectors`` keeps every status column of each connector, by name.
+    """
     host = F.split(F.col("worker_id"), r"\.").getItem(0)
+    entry = F.struct("name", *[c for c in status.columns if c != "name"])
     return (status.withColumn("worker_host", host)
             .groupBy("worker_host")
-            .agg(F.array_sort(F.collect_list("name")).alias("connectors"), F.count("*").alias("n_connectors"))
-            .withColumn("connectors_text", F.array_join("connectors", ",")))
+            .agg(F.sort_array(F.collect_list(entry)).alias("connectors"), F.count("*").alias("n_connectors"))
+            .withColumn("connectors_text", F.array_join("connectors.name", ",")))
 
 
 # status document of the Connect REST listing (`?expand=status`): name -> {status: {connector: {...}}}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Source block of a change event (17 fields), as the lake tables declare it.
+# The source block of a change event (17 fields), as the lake tables declare it.
 SOURCE = T.StructType([
     T.StructField("version", T.StringType()),
     T.StructField("connector", T.StringType()),

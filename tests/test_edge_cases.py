@@ -436,7 +436,8 @@ def test_parse_connector_status(spark):
            ' "c2": {"status": {"name": "c2", "connector": {"state": "FAILED", "worker_id": "w1.host:8083"}}}}')
     rows = topology.parse_connector_status(spark.createDataFrame([(doc,)], "text string"))
     grouped = topology.connectors_by_worker(rows).collect()
-    assert [(r.worker_host, r.connectors) for r in grouped] == [("w1", ["c1", "c2"])]
+    assert [(r.worker_host, [c.name for c in r.connectors]) for r in grouped] == [("w1", ["c1", "c2"])]
+    assert set(grouped[0].connectors[0].asDict()) == set(rows.columns)
 
 
 def test_parse_group_descriptions(spark):
