@@ -102,30 +102,30 @@ class Hmm:
         """
         n, length = seq.shape
         s = len(self.start)
+        seq = np.ascontiguousarray(seq.T)  # steps first: each step is one block of memory
         live = seq >= 0
-        e = np.where(live[:, :, None], self.emit[np.maximum(seq, 0)], 1.0)
-        alpha, scale = np.empty((length, n, s)), np.empty((length, n))
-        a = np.where(first[:, None], self.start, 1 / s) * e[:, 0]
+        e = self.emit[np.maximum(seq, 0)]
+        e[~live] = 1.0  # padding is emitted by every state alike, so it carries no evidence
+        alpha, scale = np.empty((length, n, s)), np.empty((length, n, 1))
+        a = np.where(first[:, None], self.start, 1 / s) * e[0]
         for t in range(length):
             if t:
-                a = (alpha[t - 1] @ self.move) * e[:, t]
-            scale[t] = a.sum(1)
-            alpha[t] = a / scale[t][:, None]
+                a = (alpha[t - 1] @ self.move) * e[t]
+            np.sum(a, 1, keepdims=True, out=scale[t])
+            np.divide(a, scale[t], out=alpha[t])
         beta = np.ones((n, s))
         gamma = np.empty((length, n, s))
         moves = np.zeros((s, s))
         gamma[-1] = alpha[-1]
         for t in range(length - 1, 0, -1):
-            # padding is emitted with 1 by every state, so it carries no evidence
-            back = beta * e[:, t] / scale[t][:, None]
-            moves += self.move * ((alpha[t - 1] * live[:, t, None]).T @ back)
+            back = beta * e[t] / scale[t]
+            moves += (alpha[t - 1] * live[t, :, None]).T @ back
             beta = back @ self.move.T
-            gamma[t - 1] = alpha[t - 1] * beta
-        gamma = gamma.transpose(1, 0, 2)
-        sym = seq[live]
-        g = gamma[live]
+            np.multiply(alpha[t - 1], beta, out=gamma[t - 1])
+        moves *= self.move
+        sym, g = seq[live], gamma[live]
         emits = np.stack([np.bincount(sym, g[:, k], len(self.emit)) for k in range(s)], 1)
-        return gamma[first, 0].sum(0), moves, emits
+        return gamma[0, first].sum(0), moves, emits
 
 
 def train_flag(p: HmmParams):
