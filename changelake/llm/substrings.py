@@ -210,7 +210,9 @@ def rerank(pairs: DataFrame) -> DataFrame:
 def repeated_starts(texts: DataFrame, p: RepeatParams) -> DataFrame:
     """(tid, size, a, b): ranges of starts whose string of ``length`` bytes starts elsewhere too."""
     runs = anchor_runs(texts, p)
+    # counted apart and written: a join of two plain tables lets Spark split a hot anchor
     shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    shared = materialize(shared, "anchors")
     runs = materialize(runs.join(shared, "anchor"), "runs")
     kinds = runs.groupBy("anchor", "whole").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("tid", "size", "lo", "hi", "at")).alias("one"))
