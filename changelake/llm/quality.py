@@ -115,7 +115,8 @@ def quality_verdicts(docs: DataFrame, host: str = "source", rules: Rules = Rules
     """doc_id, the counts, base_failed, soft_failed, host_rate and kept of every row."""
     counts = add_counts(pick(docs, "doc_id", host, "text")).withColumns(rule_columns(rules))
     counts = materialize(counts, "quality-counts")
-    hosts = host_verdicts(counts, host, rules).drop("n", "failed")
+    # written before the join, so that Spark may split the rows of a hot host
+    hosts = materialize(host_verdicts(counts, host, rules).drop("n", "failed"), "hosts")
     joined = counts.join(hosts, counts[host].eqNullSafe(hosts["_host"]), "left")
     return joined.withColumn(
         "kept", ~F.col("base_failed") & ~F.col("host_rejected") & ~(F.col("soft_failed") & ~F.col("host_trusted"))

@@ -107,6 +107,7 @@ def write_warc(pages: DataFrame, folder: str, payload: str = "html", min_dedup_b
     rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload")})
     groups = rows.filter(F.col("size") >= min_dedup_bytes).groupBy("digest", "size").agg(
         F.count(F.lit(1)).alias("n"), F.max("page_id").alias("first_id")).filter("n > 1 AND first_id IS NOT NULL").drop("n")
+    groups = materialize(groups, "warc-groups")  # so that Spark may split the rows of a hot payload in the join
     rows = rows.join(groups, ["digest", "size"], "left").select(
         "page_id", "url", "payload",
         F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("first_id")), F.col("first_id")).alias("refers_to"))
