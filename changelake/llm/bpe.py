@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import in_slices, pick
 
 # words whose ids a worker remembers before it starts anew
 MEMO_WORDS = 400_000
@@ -292,7 +292,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe_for(model.value)
-        for batch in batches:
+        for batch in in_slices(batches):
             n, ids_sha, text_sha, ids = [], [], [], []
             for t in batch.column(text):
                 raw = bpe.encode_bytes(t.as_py())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from ..session import materialize, read_table
 # carriage return); Python's ``bytes.split()`` uses the same six bytes.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
-__all__ = ["WORD_SPACE", "WordHashes", "fold", "materialize", "mix64", "pick", "read_table"]
+__all__ = ["WORD_SPACE", "WordHashes", "fold", "in_slices", "materialize", "mix64", "pick", "read_table"]
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -22,6 +23,13 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that a task's working memory is a slice's."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns an operator reads, so that a caller's further columns never clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])

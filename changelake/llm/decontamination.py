@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import in_slices, pick
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -172,7 +172,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             finder = LeakFinder(shared.value, params)
-            for b in batches:
+            for b in in_slices(batches):
                 found = []
                 for text, before in zip(b.column("text"), b.column("hits").to_pylist()):
                     new = [dict(zip(("item_id", "similarity", "first_word", "n_words"), h)) for h in finder.find(text.as_py())]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, fold, materialize, mix64, pick
+from .common import fold, in_slices, materialize, mix64, pick, WordHashes
 
 END = mix64(np.zeros(1, np.uint64) + np.uint64(1 << 63))[0]  # hash of the end token
 
@@ -145,11 +145,11 @@ def count_words(train: DataFrame) -> DataFrame:
             for i in range(0, len(w), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(w[i:i + 200_000].view(np.int64)), pa.array(n[i:i + 200_000])], names=["word", "n"])
 
-        for b in batches:
+        for b in in_slices(batches):
             for t in b.column("text"):
                 seen.append(words(t.as_py()))
                 held += len(seen[-1])
-                if held > 8_000_000:
+                if held > 2_000_000:
                     yield from flush()
                     seen, held = [], 0
         if seen:
@@ -178,7 +178,7 @@ def train_hmm(train: DataFrame, p: HmmParams) -> Hmm:
                 for total, x in zip((start, moves, emits), now.expected(seq, np.array(first))):
                     total += x
 
-            for b in batches:
+            for b in in_slices(batches):
                 for t in b.column("text"):
                     sym = symbol_of(words(t.as_py()), p)
                     for i in range(0, len(sym), p.segment):
@@ -226,31 +226,29 @@ def score_texts(docs: DataFrame, p: HmmParams = HmmParams()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_n, symbol_total, m = shared.value
         words = Words()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                b = whole.slice(at, 2000)
-                syms, n, n_top, logs, rare = [], [], [], [], []
-                within = []
-                for t in b.column("text"):
-                    h = words(t.as_py())
-                    signed = h.view(np.int64)
-                    i = np.searchsorted(known, signed)
-                    i[i == len(known)] = 0
-                    hit = known[i] == signed if len(known) else np.zeros(len(h), bool)
-                    y = symbol_of(h, p)
-                    syms.append(y)
-                    n.append(len(h))
-                    n_top.append(int(hit.sum()))
-                    logs.append(float(np.log10(known_n[i[hit]] + 1).sum()))
-                    within.append(float(np.log10(symbol_total[y]).sum()))
-                    rare.append(pa.array(signed[~hit]))
-                sizes = [len(r) for r in rare]
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.concat_arrays(rare) if rare else pa.array([], pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(n_top, pa.int64()), pa.array(logs, pa.float64()),
-                     pa.array(m.log10(syms) - np.array(within)), lists],
-                    names=["doc_id", "n_tokens", "n_top", "top_log", "rest_log", "rare"])
+        for b in in_slices(batches, 2000):
+            syms, n, n_top, logs, rare = [], [], [], [], []
+            within = []
+            for t in b.column("text"):
+                h = words(t.as_py())
+                signed = h.view(np.int64)
+                i = np.searchsorted(known, signed)
+                i[i == len(known)] = 0
+                hit = known[i] == signed if len(known) else np.zeros(len(h), bool)
+                y = symbol_of(h, p)
+                syms.append(y)
+                n.append(len(h))
+                n_top.append(int(hit.sum()))
+                logs.append(float(np.log10(known_n[i[hit]] + 1).sum()))
+                within.append(float(np.log10(symbol_total[y]).sum()))
+                rare.append(pa.array(signed[~hit]))
+            sizes = [len(r) for r in rare]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.concat_arrays(rare) if rare else pa.array([], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(n_top, pa.int64()), pa.array(logs, pa.float64()),
+                 pa.array(m.log10(syms) - np.array(within)), lists],
+                names=["doc_id", "n_tokens", "n_top", "top_log", "rest_log", "rare"])
 
     texts = docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, n_top bigint, top_log double, rest_log double, rare array<bigint>")
     # a number of its own for each row, so that repeated ids stay apart; fixed by the write

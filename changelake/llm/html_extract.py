@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick
+from .common import in_slices, materialize, pick
 
 # Element names of HTML and words of class names, by their meaning here.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -295,7 +295,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(known), pa.string()), pa.array([json.dumps(w) for w in known.values()], pa.string())],
                                               names=["host", "wrapper"])
 
-        for b in batches:
+        for b in in_slices(batches):
             for host, page in zip(b.column("host").to_pylist(), b.column("html")):
                 nodes = tokens(page.as_py() or "")
                 # a text that differs from page to page is one slot: most pages add nothing new
@@ -352,7 +352,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built: dict[str, Extractor] = {}
-        for b in batches:
+        for b in in_slices(batches):
             out = []
             for wrapper, page in zip(b.column("wrapper").to_pylist(), b.column("html")):
                 if wrapper not in built:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick
+from .common import in_slices, materialize, pick
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -119,7 +119,7 @@ def anchor_runs(texts: DataFrame, p: RepeatParams) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = AnchorFinder(p)
-        for b in batches:
+        for b in in_slices(batches, 250):
             rows = []
             for text, tid, size in zip(b.column("text"), b.column("tid").to_pylist(), b.column("size").to_pylist()):
                 data = text.as_py().encode()
@@ -138,7 +138,7 @@ def contexts(texts: DataFrame, wanted: DataFrame, p: RepeatParams) -> DataFrame:
     per_text = wanted.groupBy("tid", "size").agg(F.collect_list(F.struct("anchor", "whole", "settled", "lo", "hi", "at")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches, 250):
             for text, tid, size, runs in zip(b.column("text"), b.column("tid").to_pylist(), b.column("size").to_pylist(), b.column("runs").to_pylist()):
                 data = text.as_py().encode()
                 for i in range(0, len(runs), 20_000):
@@ -156,7 +156,7 @@ def pieces(ctx: DataFrame, p: RepeatParams) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = p.piece
-        for b in batches:
+        for b in in_slices(batches, 250):
             rows = []
             for r in b.to_pylist():
                 data, lo, at = r["bytes"], r["lo"], r["at"]
@@ -180,7 +180,7 @@ def start_names(ctx: DataFrame, open_pieces: DataFrame, p: RepeatParams) -> Data
     joined = open_pieces.join(ctx.select("anchor", "whole", "lo", "bytes"), ["anchor", "whole"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 250):
             rows = []
             for r in batch.to_pylist():
                 data, lo = r["bytes"], r["lo"]
@@ -249,7 +249,7 @@ def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Da
     per_text = starts.groupBy("tid", "size").agg(F.collect_list(F.struct("a", "b")).alias("starts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches, 250):
             rows, held, at_row = [], 0, 0
             for text, starts in zip(b.column("text"), b.column("starts").to_pylist()):
                 data = text.as_py().encode()

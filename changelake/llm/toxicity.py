@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, pick
+from .common import fold, in_slices, pick
 
 WORD = re.compile(r"\w+")
 MEMO_WORDS = 400_000
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_term: tuple[Counter, Counter] = (Counter(), Counter())
-        for b in batches:
+        for b in in_slices(batches):
             for text, y in zip(b.column("text"), b.column("toxic")):
                 words = set(WORD.findall((text.as_py() or "").lower()))
                 with_term[y.as_py()].update({t for w in words for t in terms_of(w, stems)})
@@ -214,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TermCounter(terms, stems)
-        for b in batches:
+        for b in in_slices(batches):
             found = [counter(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("toxic"), b.column("tune"),
@@ -261,7 +261,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         counter = TermCounter(m.terms, m.params.stems)
-        for b in batches:
+        for b in in_slices(batches):
             got = [m.score(counter(t.as_py())) for t in b.column(text)]
             scores = np.array([s for s, _ in got], float)
             yield pa.RecordBatch.from_arrays(
