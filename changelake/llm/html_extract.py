@@ -50,7 +50,8 @@ CONTENT = ("article", "main")
 BOILERPLATE = set(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget notice notices cookie cookies consent "
     "banner popup modal alert ad ads advert adverts advertisement sponsor sponsored promo promotion newsletter subscribe signup login "
-    "share sharing social comment comments respond replies disqus related recommended pagination pager toolbar copyright".split())
+    "share sharing social comment comments respond replies disqus related recommended pagination pager toolbar topbar copyright adbox "
+    "adslot adsbygoogle advertising sponsors cookiebar gdpr overlay search searchbox skip".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -64,9 +65,10 @@ def attributes(raw: str) -> dict[str, str]:
 
 
 def boilerplate_name(attrs: dict[str, str]) -> bool:
-    """Whether class, id or role name something that is not main text."""
+    """Whether class, id or role name something that is not main text, or the element is not shown."""
     words = re.split(r"[^a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
-    return attrs.get("role", "").lower() in ROLES or any(w in BOILERPLATE for w in words) or "hidden" in attrs
+    unseen = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
+    return unseen or attrs.get("role", "").lower() in ROLES or any(w in BOILERPLATE for w in words)
 
 
 def stream(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:

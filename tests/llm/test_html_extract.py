@@ -30,7 +30,7 @@ PAGE = """<html><head><title>T</title><script>var x = "<p>no</p>";</script></hea
 <ul><li>item 1<li>item 2</ul><table><tr><td>c1<td>c2</table><form><p>Name <input></p></form>
 <blockquote>quote</blockquote><!-- <p>hidden</p> --></article><aside>Related</aside>
 <section class="comments"><article class="comment"><p>First!</p></article></section></main>
-<div role="complementary">side</div><footer>c</footer></body></html>"""
+<div role="complementary">side</div><p style="display: none">unseen</p><span aria-hidden="true">x</span><footer>c</footer></body></html>"""
 
 
 def test_kinds_of_boilerplate():
