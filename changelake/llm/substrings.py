@@ -221,7 +221,7 @@ def repeated_starts(texts: DataFrame, p: RepeatParams) -> DataFrame:
         "tid", "size", F.col("lo").alias("a"), F.col("hi").alias("b"))
     # anchors with several kinds of runs need a closer look, with one run of each kind
     mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("anchor")
-    wanted = kinds.join(mixed, "anchor").select("anchor", "whole", (F.col("n") > 1).alias("settled"), "one.*")
+    wanted = kinds.join(materialize(mixed, "mixed-anchors"), "anchor").select("anchor", "whole", (F.col("n") > 1).alias("settled"), "one.*")
     ctx = materialize(contexts(texts, wanted, p), "run-bytes")
     parts = materialize(pieces(ctx, p), "pieces")
     part_kinds = materialize(parts.groupBy("anchor", "k", "inner", "outer").agg(
@@ -231,7 +231,8 @@ def repeated_starts(texts: DataFrame, p: RepeatParams) -> DataFrame:
                                              ["anchor", "k", "inner", "outer"], "left_semi").select("tid", "size", "a", "b")
     mixed = part_kinds.groupBy("anchor", "k", "inner").agg(
         F.count(F.lit(1)).alias("kinds"), F.min(F.col("settled") | (F.col("n") > 1)).alias("done")).filter("kinds > 1 AND NOT done")
-    open_pieces = part_kinds.join(mixed.select("anchor", "k", "inner"), ["anchor", "k", "inner"]).select("anchor", "one.*")
+    mixed = materialize(mixed.select("anchor", "k", "inner"), "mixed-pieces")
+    open_pieces = part_kinds.join(mixed, ["anchor", "k", "inner"]).select("anchor", "one.*")
     # doubling: quarters to halves, halves to the whole length
     halves = rerank(materialize(start_names(ctx, open_pieces, p), "quarter-ranks"))
     pairs = halves.groupBy("tid", "size", "start").agg(
