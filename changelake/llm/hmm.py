@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, in_slices, materialize, mix64, pick, WordHashes
+from .common import WordHashes, fold, in_slices, materialize, mix64, pick
 
 END = mix64(np.zeros(1, np.uint64) + np.uint64(1 << 63))[0]  # hash of the end token
 
