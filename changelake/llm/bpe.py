@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import in_slices, pick
 
 # words whose ids a worker remembers before it starts anew
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 
 # The split pattern of the tokenizer file; {L}, {N} and {S} stand for the
 # Unicode letters, numbers and white space.
@@ -175,7 +175,7 @@ class BacktrackingBpe:
         known = self._compatible.get(key)
         if known is None:
             known = self._compatible[key] = self._check(left, right, len(self.parts))
-            if len(self._compatible) > 4 * MEMO_WORDS:
+            if len(self._compatible) > 2 * MEMO_WORDS:
                 self._compatible = {key: known}
         return known
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import fold, in_slices, pick
 
 WORD = re.compile(r"\w+")
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 
 
 @dataclass(frozen=True)
