@@ -12,11 +12,19 @@ few tokens each, are merged per host by the same alignment.  So all pages take p
 text is shuffled, and a host with a third of all pages is as many small wrappers as there are
 tasks.  The wrappers are then joined to the pages by host.
 
-A page's text is what stands in the wrapper's slots of main text.  These are the slots inside
-the content container (article, main) if the host's pages have one, else all, without those
-under menus, headers, footers, sidebars, notices, adverts, forms, comments and the like, which
-are known by element, class, id and role.  A page without any such slot (of another make than
-its host's other pages) is read by the same rules over its own tags.
+Every slot carries what the host's pages say about it: its text as long as it is the same
+everywhere, up to ``ENOUGH`` hashes of distinct pages that have it (so ``ENOUGH`` distinct
+pages are told exactly, in whatever order parts are merged), and its greatest length.  A slot
+of that many distinct pages is decided by them: a constant text is template and goes, also
+within the content container and a repeated group that is the same everywhere (a menu); a
+variable one is main text, whatever its class or id is called.  Class and id names (menu,
+share, cookie ...) decide only slots of fewer pages.  Elements and roles that HTML defines as
+not main text (nav, footer, aside, form, hidden ...) never are: they vary from page to page
+too.  Pages that differ in no other text count once, so copies of a page are no template; if a
+host's constant texts outweigh its variable ones (copies with another date), names decide.
+If a content container (article, main) holds the greater part of the decided text, or of a
+host with too few pages any text, the open slots are those inside it.  A page without any such
+slot (of another make than its host's other pages) is read by the same rules over its own tags.
 
 Text rules: character references are decoded, white space inside a block becomes one space,
 blocks are joined by a line break in page order.  Unclosed and misnested tags are closed as
@@ -29,6 +37,7 @@ an address without a host belongs to the empty host; repeated rows are returned
 from __future__ import annotations
 
 import difflib
+import hashlib
 import html
 import json
 import re
@@ -56,6 +65,7 @@ ROLES = set("navigation banner contentinfo complementary search form dialog aler
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+ENOUGH = 5  # distinct pages of a host that decide a slot
 HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 SPACE = re.compile(r"\s+")
 
@@ -64,11 +74,11 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(next((x for x in m.groups()[1:] if x is not None), "")) for m in ATTR.finditer(raw)}
 
 
-def boilerplate_name(attrs: dict[str, str]) -> bool:
-    """Whether class, id or role name something that is not main text, or the element is not shown."""
+def boilerplate_name(attrs: dict[str, str]) -> int:
+    """2 if the role is not main text or the element is not shown, 1 if class or id name something like that, else 0."""
     words = re.split(r"[^a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
     unseen = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
-    return unseen or attrs.get("role", "").lower() in ROLES or any(w in BOILERPLATE for w in words)
+    return 2 if unseen or attrs.get("role", "").lower() in ROLES else int(any(w in BOILERPLATE for w in words))
 
 
 def stream(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
@@ -101,19 +111,19 @@ ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr":
 CLOSE_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
+def blocks(page: str) -> list[tuple[tuple[str, ...], int, str]]:
     """(path, skipped, text) of every block of text, in page order.
 
-    The path lists the open block elements with their classes; skipped tells whether one of
-    the elements open there is not main text by its name, class or role.
+    The path lists the open block elements with their classes; skipped is 2 if one of
+    the elements open there is not main text by its kind or role, 1 if by a class or id, else 0.
     """
-    stack: list[tuple[str, str, bool]] = []  # tag, label, not main text
-    out: list[tuple[tuple[str, ...], bool, str]] = []
+    stack: list[tuple[str, str, int]] = []  # tag, label, not main text
+    out: list[tuple[tuple[str, ...], int, str]] = []
     parts: list[str] = []
-    place: list[tuple[tuple[str, ...], bool]] = []
+    place: list[tuple[tuple[str, ...], int]] = []
 
-    def here() -> tuple[tuple[str, ...], bool]:
-        return tuple(x[1] for x in stack if x[0] not in INLINE), any(x[2] for x in stack if x[0] not in INLINE)
+    def here() -> tuple[tuple[str, ...], int]:
+        return tuple(x[1] for x in stack if x[0] not in INLINE), max((x[2] for x in stack if x[0] not in INLINE), default=0)
 
     def flush() -> None:
         text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
@@ -145,9 +155,9 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
                 del stack[k:]
             inside_article = any(x[0] in CONTENT for x in stack)
             # a header inside the article holds its heading
-            bad = value in NOT_MAIN or (value == "header" and not inside_article) or boilerplate_name(attrs)
+            bad = 2 if value in NOT_MAIN or (value == "header" and not inside_article) else boilerplate_name(attrs)
             if value in CONTENT or value in ("html", "body"):
-                bad = False if value != "article" else "comment" in attrs.get("class", "").lower()
+                bad = 0 if value != "article" else int("comment" in attrs.get("class", "").lower())
             label = value + "".join("." + c for c in sorted(attrs.get("class", "").lower().split()))
             stack.append((value, label, bad))
         else:
@@ -159,12 +169,23 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
 
 
 # -- wrappers ---------------------------------------------------------------------------
-# A wrapper is a list of nodes: ["t", path, skipped, text or None] is a slot (None: the text
-# varies), ["+", nodes] a repeated group, ["?", nodes] an optional one.
+# A wrapper is a list of nodes: ["t", path, skipped, text or None, pages, length] is a slot
+# (None: the text varies; pages: hashes of up to ENOUGH distinct ones), ["+", nodes] a repeated
+# group, ["?", nodes] an optional one.  The text of a repeated slot names all its turns' texts.
 
 
 def tokens(page: str) -> list:
-    return collapse([["t", "/".join(path), skipped, text] for path, skipped, text in blocks(page)])
+    found = blocks(page)
+    # what may be main text tells pages apart
+    name = _name(*(x for path, skipped, text in found if skipped < 2 for x in ("/".join(path), text)))[:13]
+    return collapse([["t", "/".join(path), skipped, text, [name], len(text)] for path, skipped, text in found])
+
+
+def _name(*texts: str) -> str:
+    h = hashlib.blake2b(digest_size=16)
+    for t in texts:
+        h.update(t.encode("utf-8", "surrogatepass") + b"\0")
+    return h.hexdigest()
 
 
 def shape(node: list):
@@ -173,11 +194,22 @@ def shape(node: list):
 
 
 def merge_nodes(a: list, b: list) -> list:
+    """The node of other pages: a text that differs varies."""
     if a[0] == "t":
-        return [*a[:3], a[3] if a[3] == b[3] else None]
+        pages = a[4] if len(a[4]) >= ENOUGH else [*a[4], *(x for x in b[4] if x not in a[4])][:ENOUGH]
+        return [*a[:3], a[3] if a[3] == b[3] else None, pages, max(a[5], b[5])]
     return [a[0], [merge_nodes(x, y) for x, y in zip(a[1], b[1])]]
 
 
+def next_turn(a: list, b: list) -> list:
+    """The node of a further turn on the same page; members (if any) are positions of blocks."""
+    if a[0] == "t":
+        if len(a) > 6:
+            a[6].extend(b[6])
+        return [*a[:3], "\0" + _name(a[3], b[3]), a[4], a[5] + b[5], *a[6:]]
+    return [a[0], [next_turn(x, y) for x, y in zip(a[1], b[1])]]
+
+
 def collapse(nodes: list, longest: int = 4) -> list:
     """Turn neighbouring equal parts of up to ``longest`` nodes into repeated groups."""
     for size in range(1, longest + 1):
@@ -189,7 +221,7 @@ def collapse(nodes: list, longest: int = 4) -> list:
             if size == 1 and group[0][0] == "+":
                 # further turns of a group of one
                 if out and out[-1][0] == "+" and shape(out[-1]) == shapes[i]:
-                    out[-1] = merge_nodes(out[-1], group[0])
+                    out[-1] = next_turn(out[-1], group[0])
                 else:
                     out.append(group[0])
                 i += 1
@@ -197,14 +229,14 @@ def collapse(nodes: list, longest: int = 4) -> list:
             k = i + size
             turns = 1
             while len(group) == size and shapes[k:k + size] == shapes[i:i + size]:
-                group = [merge_nodes(a, b) for a, b in zip(group, nodes[k:k + size])]
+                group = [next_turn(a, b) for a, b in zip(group, nodes[k:k + size])]
                 turns += 1
                 k += size
             if turns > 1:
                 out.append(["+", group])
                 i = k
             elif size == 1 and out and out[-1][0] == "+" and len(out[-1][1]) == 1 and shape(out[-1][1][0]) == shapes[i]:
-                out[-1] = ["+", [merge_nodes(out[-1][1][0], nodes[i])]]
+                out[-1] = ["+", [next_turn(out[-1][1][0], nodes[i])]]
                 i += 1
             else:
                 out.append(nodes[i])
@@ -328,17 +360,37 @@ class Extractor:
     """Reads pages of one host: keeps what stands in the wrapper's slots of main text."""
 
     def __init__(self, wrapper: list):
-        open_slots = [s[1] for s in slots(wrapper) if not s[2]]
+        found = [s for s in slots(wrapper) if s[2] < 2]
+        decided = [s for s in found if len(s[4]) >= ENOUGH]
+        varied = [s for s in decided if s[3] is None]
+        if sum(s[5] for s in varied) < sum(s[5] for s in decided if s[3] is not None and not s[2]):
+            decided = varied = []  # rather copies of one page than pages of one template
+        #: (path, text) of the host's template
+        self.template = {(s[1], s[3]) for s in decided if s[3] is not None}
+        #: paths that are text in spite of a name
+        self.named = {s[1] for s in varied if s[2]}
+        text = [s for s in found if (s[1], s[3]) not in self.template and (not s[2] or s[1] in self.named)]
         # the container that holds main text on the host's pages
-        self.container = next((c for c in CONTENT if any(self._inside(s, c) for s in open_slots)), None)
-        self.main = {s for s in open_slots if self.container is None or self._inside(s, self.container)}
+        self.container = None
+        for c in CONTENT:
+            inside = sum(s[5] for s in varied if self._inside(s[1], c))
+            if 2 * inside > sum(s[5] for s in varied) if varied else any(self._inside(s[1], c) for s in text):
+                self.container = c
+                break
+        self.main = {s[1] for s in text if self.container is None or self._inside(s[1], self.container)}
 
     @staticmethod
     def _inside(path: str, container: str) -> bool:
         return any(x.split(".")[0] == container for x in path.split("/"))
 
     def text(self, page: str) -> str:
-        found = [("/".join(path), text) for path, skipped, text in blocks(page) if not skipped]
+        read = blocks(page)
+        drop: set[int] = set()
+        if self.template:
+            nodes = collapse([["t", "/".join(path), skipped, text, (), 0, [i]] for i, (path, skipped, text) in enumerate(read)])
+            drop = {i for s in slots(nodes) if (s[1], s[3]) in self.template for i in s[6]}
+        found = [("/".join(path), text) for i, (path, skipped, text) in enumerate(read)
+                 if i not in drop and (not skipped or (skipped == 1 and "/".join(path) in self.named))]
         main = self.main
         if found and not any(path in main for path, _ in found):
             # a page of another make than its host's: the container it has itself, or all of it

@@ -82,3 +82,19 @@ def test_rows(spark):
     assert hx.extract(df.limit(0)).count() == 0
     wrappers = {r["host"]: json.loads(r["wrapper"]) for r in hx.infer_wrappers(df.select("html", hx.F.lit("h").alias("host"))).collect()}
     assert "+" in {n[0] for n in wrappers["h"]} | {n[1][0][0] for n in wrappers["h"] if n[0] == "?"}
+
+
+def test_host_pages_decide_without_names(spark):
+    page = ("<body><div class='zq1'><ul><li>Home<li>Shop<li>Us</ul></div><div class='zq2'>Try our plan</div>"
+            "<div class='share-story'><h2>Title {0}</h2><p>story {0} goes on</p><p>and ends {0}</p></div><div class='zq3'>All rights</div></body>")
+    copy = "<body><div class='zq1'>Top</div><p>the same text</p><div class='zq2'>read {}</div></body>"
+    rows = [(i, f"http://many.example/{i}", page.format(i)) for i in range(12)]
+    rows += [(100 + i, "http://copies.example/", copy.format(7)) for i in range(12)] + [(200 + i, "http://dated.example/", copy.format(i)) for i in range(12)]
+    rows += [(300 + i, "http://few.example/", page.format(i).replace("zq1", "menu").replace("share-", "")) for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in hx.extract(df).collect()}
+    assert all(got[i] == f"Title {i}\nstory {i} goes on\nand ends {i}" for i in range(12))
+    # copies of a page are no template
+    assert all(got[100 + i] == "Top\nthe same text\nread 7" and "the same text" in got[200 + i] for i in range(12))
+    # names decide where there are few pages
+    assert got[300] == "Try our plan\nTitle 0\nstory 0 goes on\nand ends 0\nAll rights"
