@@ -4,9 +4,12 @@ Words are symbols by a hash (``symbols`` of them, a fixed number), the model's s
 symbols, and within a symbol a word has the add-one share of its count.  So the states see a
 vocabulary of fixed size, while the word counts grow with the corpus and stay a distributed
 table.  Baum-Welch: every partition runs the scaled forward and backward recursion over
-its training texts and returns expected counts, which Spark sums; a few rounds train start,
-transition and emission probabilities.  Scoring runs the scaled forward recursion over each
-whole text: the sum of the logarithms of the scales is the exact likelihood.
+its whole training texts and returns expected counts and the likelihood, which Spark sums;
+rounds train start, transition and emission probabilities until the likelihood of a training
+token gains less than ``least_gain``, at most ``rounds`` of them.  Long texts are walked in
+segments: forward states are kept at the borders only, and the backward recursion carries its
+state from each segment to the one before.  Scoring runs the scaled forward recursion over
+each whole text: the sum of the logarithms of the scales is the exact likelihood.
 
 Word counts are joined in two ways: words that make up more than one in ``frequent`` tokens
 (there are at most ``frequent`` of them) travel to the tasks, the others are joined by their
@@ -37,9 +40,11 @@ END = mix64(np.zeros(1, np.uint64) + np.uint64(1 << 63))[0]  # hash of the end t
 class HmmParams:
     states: int = 6
     symbols: int = 1024       # hash classes of words that the states emit
-    rounds: int = 2           # Baum-Welch rounds over all training texts
-    segment: int = 128        # training texts are cut into sequences of this many tokens
-    width: int = 1024         # sequences that a task advances at once
+    rounds: int = 20          # Baum-Welch rounds over all training texts at most
+    least_gain: float = 5e-4  # log10 likelihood of a training token that a round must bring (0.1 % of perplexity)
+    segment: int = 128        # tokens of a text whose states are held at once
+    width: int = 1024         # texts that a task advances at once
+    pool: int = 4_000_000     # tokens of texts that a task sorts by length
     frequent: int = 200_000   # bound of the words whose counts travel to the tasks
     folds: int = 7
     held_out: int = 2
@@ -95,37 +100,97 @@ class Hmm:
         out[order] = total
         return out
 
-    def expected(self, seq: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected counts of starts, moves and emissions of equally long sequences (rows of ``seq``).
+    def _emissions(self, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols (steps x texts) and what each state emits them with (states x steps x texts).
 
-        Symbols below 0 are padding after a sequence's end; ``first`` marks rows that begin a text.
+        Padding is a symbol of its own that every state emits alike, so it carries no evidence.
         """
-        n, length = seq.shape
-        s = len(self.start)
-        seq = np.ascontiguousarray(seq.T)  # steps first: each step is one block of memory
-        live = seq >= 0
-        e = self.emit[np.maximum(seq, 0)]
-        e[~live] = 1.0  # padding is emitted by every state alike, so it carries no evidence
-        alpha, scale = np.empty((length, n, s)), np.empty((length, n, 1))
-        a = np.where(first[:, None], self.start, 1 / s) * e[0]
-        for t in range(length):
+        sym = np.ascontiguousarray(np.where(seq < 0, len(self.emit), seq).T)
+        return sym, np.take(np.append(self.emit.T, np.ones((len(self.start), 1)), 1), sym, axis=1)
+
+    def _forward(self, e: np.ndarray, first: np.ndarray, before: np.ndarray | None, alpha: list, scale: list | None) -> np.ndarray:
+        """The last scaled forward state; ``alpha`` and ``scale`` take those of all steps."""
+        a = None
+        turn = np.ascontiguousarray(self.move.T)
+        for t in range(e.shape[1]):
             if t:
-                a = (alpha[t - 1] @ self.move) * e[t]
-            np.sum(a, 1, keepdims=True, out=scale[t])
-            np.divide(a, scale[t], out=alpha[t])
-        beta = np.ones((n, s))
-        gamma = np.empty((length, n, s))
+                a = turn @ a
+            else:
+                a = np.repeat(self.start[:, None], e.shape[2], 1)
+                if before is not None:
+                    a = np.where(first, a, turn @ before)
+            a *= e[:, t]
+            c = a.sum(0)
+            a /= c
+            if scale is not None:
+                alpha.append(a)
+                scale.append(c)
+        return a
+
+    def expected(self, seq: np.ndarray, first: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None):
+        """Expected starts, moves and emissions of sequences (rows of ``seq``), the log10 likelihood, and the backward state.
+
+        Symbols below 0 are padding after a sequence's end.  ``first`` marks rows that begin a
+        text; the others go on from the forward states ``before`` (states x rows).  ``after`` is
+        the backward state of what follows; the one returned is that of the step before the rows.
+        """
+        (n, length), s = seq.shape, len(self.start)
+        sym, e = self._emissions(seq)
+        live = sym < len(self.emit)
+        alpha: list[np.ndarray] = []
+        scale: list[np.ndarray] = []
+        self._forward(e, first, before, alpha, scale)
+        total = float(np.log10(np.stack(scale)[live]).sum())
+        beta = np.ones((s, n)) if after is None else after
+        gamma = np.empty((s, length, n))
         moves = np.zeros((s, s))
-        gamma[-1] = alpha[-1]
-        for t in range(length - 1, 0, -1):
-            back = beta * e[t] / scale[t]
-            moves += (alpha[t - 1] * live[t, :, None]).T @ back
-            beta = back @ self.move.T
-            np.multiply(alpha[t - 1], beta, out=gamma[t - 1])
+        for t in range(length - 1, -1, -1):
+            np.multiply(alpha[t], beta, out=gamma[:, t])
+            back = e[:, t]
+            back *= beta
+            back /= scale[t]
+            if t:
+                was = alpha[t - 1]
+            elif before is not None:
+                was = np.where(first, 0.0, before)
+            else:
+                break
+            moves += (was if live[t].all() else was * live[t]) @ back.T
+            beta = self.move @ back
         moves *= self.move
-        sym, g = seq[live], gamma[live]
-        emits = np.stack([np.bincount(sym, g[:, k], len(self.emit)) for k in range(s)], 1)
-        return gamma[0, first].sum(0), moves, emits
+        flat = sym.ravel()
+        emits = np.stack([np.bincount(flat, g.ravel(), len(self.emit) + 1)[:-1] for g in gamma], 1)
+        return gamma[:, 0, first].sum(1), moves, emits, total, beta
+
+    def expected_of_texts(self, texts: list[np.ndarray], p: HmmParams) -> list:
+        """Expected starts, moves and emissions of whole texts, and their log10 likelihood."""
+        s = len(self.start)
+        out = [np.zeros(s), np.zeros((s, s)), np.zeros((len(self.emit), s)), 0.0]
+        texts = sorted(texts, key=len, reverse=True)
+        for g in range(0, len(texts), p.width):
+            group = texts[g:g + p.width]
+            lengths = np.array([len(t) for t in group])
+            parts = []
+            for lo in range(0, int(lengths[0]), p.segment):
+                rows = int((lengths > lo).sum())  # the longest come first
+                seq = np.full((rows, min(p.segment, int(lengths[0]) - lo)), -1, np.int32)
+                for row, t in zip(seq, group):
+                    cut = t[lo:lo + p.segment]
+                    row[:len(cut)] = cut
+                parts.append(seq)
+            # forward states at the borders, then the segments from the last to the first
+            border: list = [None]
+            for k, seq in enumerate(parts[:-1]):
+                a = self._forward(self._emissions(seq)[1], np.full(len(seq), k == 0), border[k], [], None)
+                border.append(a[:, :len(parts[k + 1])])
+            after = None
+            for k in range(len(parts) - 1, -1, -1):
+                beta = np.ones((s, len(parts[k])))
+                if after is not None:
+                    beta[:, :after.shape[1]] = after
+                *sums, after = self.expected(parts[k], np.full(len(parts[k]), k == 0), border[k], beta)
+                out = [x + y for x, y in zip(out, sums)]
+        return out
 
 
 def train_flag(p: HmmParams):
@@ -158,47 +223,59 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def train_symbols(train: DataFrame, p: HmmParams) -> DataFrame:
+    """The symbols of every training text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for b in in_slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([symbol_of(words(t.as_py()), p) for t in b.column("text")], pa.list_(pa.int32()))], names=["symbols"])
+
+    return train.select("text").mapInArrow(run, "symbols array<int>")
+
+
 def train_hmm(train: DataFrame, p: HmmParams) -> Hmm:
     """Baum-Welch: expected counts per partition, summed by Spark; the model has a fixed size."""
     model = Hmm.first(p)
     s, m = p.states, p.symbols
+    symbols = materialize(train_symbols(train, p), "symbols")
+    last = None
     for _ in range(p.rounds):
         shared = train.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            now, words = shared.value, Words()
-            start, moves, emits = np.zeros(s), np.zeros((s, s)), np.zeros((m, s))
-            rows: list[np.ndarray] = []
-            first: list[bool] = []
+            now = shared.value
+            sums = np.zeros(s + s * s + m * s + 2)  # and the likelihood, and the tokens
+            texts: list[np.ndarray] = []
+            held = 0
 
             def learn():
-                seq = np.full((len(rows), p.segment), -1, np.int32)
-                for i, r in enumerate(rows):
-                    seq[i, :len(r)] = r
-                for total, x in zip((start, moves, emits), now.expected(seq, np.array(first))):
-                    total += x
+                start, moves, emits, total = now.expected_of_texts(texts, p)
+                np.add(sums, np.concatenate([start, moves.ravel(), emits.ravel(), [total, held]]), out=sums)
 
             for b in in_slices(batches):
-                for t in b.column("text"):
-                    sym = symbol_of(words(t.as_py()), p)
-                    for i in range(0, len(sym), p.segment):
-                        rows.append(sym[i:i + p.segment])
-                        first.append(i == 0)
-                        if len(rows) == p.width:
-                            learn()
-                            rows, first = [], []
-            if rows:
+                for t in b.column("symbols"):
+                    texts.append(t.values.to_numpy())
+                    held += len(texts[-1])
+                    if held >= p.pool:
+                        learn()
+                        texts, held = [], 0
+            if texts:
                 learn()
-            flat = np.concatenate([start, moves.ravel(), emits.ravel()])
-            hit = np.flatnonzero(flat)
-            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(flat[hit], pa.float64())], names=["i", "x"])
+            hit = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(sums[hit], pa.float64())], names=["i", "x"])
 
-        sums = train.select("text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-        flat = np.zeros(s + s * s + m * s)
+        sums = symbols.mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+        flat = np.zeros(s + s * s + m * s + 2)
         for r in sums:
             flat[r["i"]] = r["x"]
-        start, moves, emits = flat[:s] + p.smooth, flat[s:s + s * s].reshape(s, s) + p.smooth, flat[s + s * s:].reshape(m, s) + p.smooth
+        start, moves, emits = flat[:s] + p.smooth, flat[s:s + s * s].reshape(s, s) + p.smooth, flat[s + s * s:-2].reshape(m, s) + p.smooth
         model = Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
+        likelihood = flat[-2] / max(flat[-1], 1)  # of the model before this round
+        if last is not None and likelihood - last < p.least_gain:
+            break
+        last = likelihood
     return model
 
 

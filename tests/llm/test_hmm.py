@@ -93,3 +93,32 @@ def test_rare_words_by_join_nulls_repeats_and_clashes(spark):
     assert hmm.score_texts(df.limit(0)).count() == 0
     none = hmm.score_texts(df.filter("doc_id = 100"), hmm.HmmParams(rounds=1)).collect()
     assert none[0]["n_tokens"] == 1
+
+
+def test_segments_change_no_counts():
+    m, rng = model(P, 3), np.random.default_rng(4)
+    texts = [rng.integers(0, 8, n).astype(np.int32) for n in (1, 7, 3, 20, 4, 6)]
+    whole = m.expected_of_texts(texts, P)
+    cut = m.expected_of_texts(texts, hmm.HmmParams(states=3, symbols=8, segment=3, width=4))
+    assert all(np.allclose(a, b) for a, b in zip(whole, cut))
+    assert np.isclose(whole[3], m.log10(texts).sum())
+    assert np.isclose(whole[1].sum(), sum(len(t) - 1 for t in texts)) and np.isclose(whole[0].sum(), len(texts))
+
+
+def test_held_out_gain_reaches_a_converged_reference(spark, sf_dir):
+    p = hmm.HmmParams()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    words = hmm.Words()
+    symbols = [(zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2, hmm.symbol_of(words(r["text"]), p)) for r in docs.collect()]
+    train, held = [x for h, x in symbols if not h], [x for h, x in symbols if h]
+    per_token = lambda m: m.log10(held).sum() / sum(map(len, held))
+    reference, after = hmm.Hmm.first(p), []
+    for _ in range(40):
+        start, moves, emits, _ = reference.expected_of_texts(train, p)
+        start, moves, emits = start + p.smooth, moves + p.smooth, emits + p.smooth
+        reference = hmm.Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
+        after.append(per_token(reference))
+    got = per_token(hmm.train_hmm(docs.filter(hmm.train_flag(p)), p))
+    # the first round learns what single words tell, the others what their order tells
+    assert got - after[0] > 0.9 * (after[-1] - after[0]) > 0
+    assert after[1] - after[0] < 0.9 * (after[-1] - after[0])  # two rounds do not
