@@ -46,6 +46,7 @@ _BASE = 0x9E3779B97F4A7C15
 class RepeatParams:
     length: int = 400   # bytes of a repeated string
     seed: int = 128     # bytes hashed for anchors
+    words: int = 0      # if set, strings of so many words repeat too where they are shorter than ``length``
     piece: int = 16     # starts in a piece
     slice: int = 1 << 20  # starts of a text that are handled at once
 
@@ -242,11 +243,45 @@ def repeated_starts(texts: DataFrame, p: RepeatParams) -> DataFrame:
     return whole.distinct().union(equal).union(single)
 
 
+def short_word_repeats(texts: DataFrame, p: RepeatParams) -> DataFrame:
+    """Repeated strings of ``words`` words in under ``length`` bytes, as (tid, size, a, b) like the others.
+
+    Longer ones hold a string of ``length`` bytes.  A string goes from a word's first byte to
+    another's last one and must be equal byte by byte.
+    """
+    space = np.zeros(256, bool)
+    space[[32, *range(9, 14)]] = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in in_slices(batches, 250):
+            rows = []
+            for text, tid, size in zip(b.column("text"), b.column("tid").to_pylist(), b.column("size").to_pylist()):
+                data = text.as_py().encode()
+                inside = np.zeros(len(data) + 2, np.int8)
+                inside[1:-1] = ~space[np.frombuffer(data, np.uint8)]
+                edge = np.flatnonzero(inside[1:] != inside[:-1])
+                first, last = edge[::2][:max(len(edge) // 2 - p.words + 1, 0)], edge[1::2][p.words - 1:]
+                short = last - first < p.length
+                rows += [(hashlib.blake2b(data[lo:hi], digest_size=16).digest(), tid, size, lo, hi - p.length)
+                         for lo, hi in zip(first[short].tolist(), last[short].tolist())]
+                if len(rows) > 50_000:
+                    yield _batch("name tid size a b", [Y, L, I, I, I], rows)
+                    rows = []
+            yield _batch("name tid size a b", [Y, L, I, I, I], rows)
+
+    found = materialize(texts.select("text", "tid", "size").mapInArrow(run, "name binary, tid bigint, size int, a int, b int"), "word-strings")
+    again = materialize(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "word-repeats")
+    return found.join(again, "name", "left_semi").select("tid", "size", "a", "b").distinct()
+
+
 def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> DataFrame:
     """``row`` (a struct of the columns but ``text``), the remaining bytes (kept), n_bytes, n_removed, n_spans."""
     p = params
     texts = keyed(docs)
-    starts = materialize(repeated_starts(texts, p), "repeats")
+    starts = repeated_starts(texts, p)
+    if p.words:
+        starts = starts.union(short_word_repeats(texts, p))
+    starts = materialize(starts, "repeats")
     per_text = starts.groupBy("tid", "size").agg(F.collect_list(F.struct("a", "b")).alias("starts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

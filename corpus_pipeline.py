@@ -27,8 +27,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 240 bytes or more (some 50 words) that repeat are cut out of the texts; n_chars follows."""
-    return substrings.drop_repeats(docs, substrings.RepeatParams(length=240, seed=96)).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """Passages of 240 bytes or more, or of more than 50 words, that repeat are cut out of the texts; n_chars follows."""
+    return substrings.drop_repeats(docs, substrings.RepeatParams(length=240, seed=96, words=51)).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

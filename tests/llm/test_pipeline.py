@@ -61,3 +61,13 @@ def test_stages_take_odd_rows_and_empty_tables(spark, sf_dir, k):
     out = corpus_pipeline.STAGES[k][1](spark, df, sf_dir)
     assert {r["doc_id"] for r in out.collect()} >= {1, 2, None, 3}
     assert corpus_pipeline.STAGES[k][1](spark, df.limit(0), sf_dir).count() == 0
+
+
+def test_repeats_of_51_short_words_are_cut(spark, sf_dir):
+    passage = " ".join(f"{c}{d}" for c in "abcde" for d in "abcdefghijk")[:51 * 3 - 1]  # 152 bytes
+    assert len(passage.split()) == 51
+    fifty = passage.replace("a", "z").rsplit(" ", 1)[0]
+    rows = [(i, f"start{i} {passage} end{i}") for i in range(3)] + [(9, f"one {fifty} two"), (10, f"three {fifty} four"), (11, None), (12, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["suffix_array_dedup"](spark, df, sf_dir).collect()}
+    assert got == {**{i: f"start{i}  end{i}" for i in range(3)}, 9: rows[3][1], 10: rows[4][1], 11: "", 12: ""}
