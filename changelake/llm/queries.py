@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, decontamination, hmm, html_extract, neardup, quality, substrings, toxicity, warc
+from . import bpe, chat, decontamination, hmm, html_extract, neardup, periods, quality, substrings, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -115,3 +115,8 @@ def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digest(periods.periodic_runs(periods.plant_runs(read_table(spark, sf_dir, "documents"))))
