@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, decontamination, hmm, html_extract, neardup, periods, quality, substrings, toxicity, warc
+from . import bpe, chat, decontamination, hmm, html_extract, merkle, neardup, periods, quality, substrings, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -120,3 +120,74 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.run_digest(periods.periodic_runs(periods.plant_runs(read_table(spark, sf_dir, "documents"))))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(read_table(spark, sf_dir, "documents"))
+
+
+def _leaf_sql(**columns: str) -> str:
+    """A leaf in DuckDB SQL; ``columns`` replaces the expression of a column."""
+    texts = [f"CAST({columns.get(c, c)} AS VARCHAR)" for c in merkle.LEAF]
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + "))"
+
+
+# crc32 of the decimal id, bit by bit: one step of eight shifts for each digit
+_CRC_STEP = "x"
+for _ in range(8):
+    _CRC_STEP = f"list_transform({_CRC_STEP}, lambda v: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+
+ORACLE_SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE byte AS (
+  SELECT r AS b, unnest({_CRC_STEP}) AS t FROM (SELECT r, [r] AS x FROM range(256) AS z(r))
+), crc AS (
+  SELECT doc_id, 0 AS k, CAST(4294967295 AS BIGINT) AS v FROM (SELECT DISTINCT doc_id FROM documents)
+  UNION ALL
+  SELECT doc_id, k + 1, xor(v >> 8, byte.t) FROM crc JOIN byte
+    ON byte.b = xor(v & 255, CAST(ord(substr(CAST(doc_id AS VARCHAR), k + 1, 1)) AS BIGINT))
+  WHERE k < length(coalesce(CAST(doc_id AS VARCHAR), ''))
+), picked AS (
+  SELECT doc_id, arg_max(xor(v, 4294967295), k) % 7 = 0 AS hit FROM crc GROUP BY doc_id
+), leaves AS (
+  SELECT documents.doc_id, lang, {_leaf_sql(doc_id="documents.doc_id")} AS leaf,
+         CASE WHEN hit AND n_chars IS NOT NULL THEN {_leaf_sql(doc_id="documents.doc_id", n_chars="CAST(n_chars AS HUGEINT) + 1")} ELSE {_leaf_sql(doc_id="documents.doc_id")} END AS told
+  FROM documents JOIN picked ON picked.doc_id IS NOT DISTINCT FROM documents.doc_id
+), ranked AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+), node AS (
+  SELECT 0 AS lv, g, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM ranked
+  UNION ALL
+  SELECT lv + 1, g, i // 2, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 1) // 2 FROM node WHERE n > 1 GROUP BY lv, g, i // 2
+), subs AS (SELECT g, h FROM node WHERE n = 1
+), top AS (
+  SELECT 0 AS lv, g AS i, h, count(*) OVER () AS n FROM subs
+  UNION ALL
+  SELECT lv + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 1) // 2 FROM top WHERE n > 1 GROUP BY lv, i // 2
+), every AS (
+  SELECT g, lv, i, h, n, max(CASE WHEN n = 1 THEN lv END) OVER (PARTITION BY g) AS last FROM node
+), steps AS (
+  SELECT ranked.doc_id, ranked.g, ranked.i AS leaf_at, every.lv, s.h AS sib, every.i % 2 AS slot
+  FROM ranked JOIN every ON every.g = ranked.g AND every.i = ranked.i >> every.lv AND every.n > 1
+  LEFT JOIN node s ON s.g = every.g AND s.lv = every.lv AND s.i = xor(every.i, 1)
+  UNION ALL
+  SELECT ranked.doc_id, ranked.g, ranked.i, subs_last.last + 1 + a.lv, s.h, a.i % 2
+  FROM ranked JOIN (SELECT DISTINCT g, last FROM every) subs_last ON subs_last.g = ranked.g
+  JOIN top a ON a.i = ranked.g >> a.lv AND a.n > 1
+  LEFT JOIN top s ON s.lv = a.lv AND s.i = xor(a.i, 1)
+), proofs AS (
+  SELECT g, leaf_at, sha256(coalesce(string_agg(sib, '' ORDER BY lv), '')) AS proof_sha256,
+         list(struct_pack(sib := sib, slot := slot) ORDER BY lv) AS way FROM steps GROUP BY g, leaf_at
+), folded AS (
+  SELECT g, i, told AS h, 1 AS k FROM ranked
+  UNION ALL
+  SELECT folded.g, folded.i, sha256(CASE WHEN way[k].slot = 1 THEN concat(way[k].sib, h) ELSE concat(h, way[k].sib) END), k + 1
+  FROM folded JOIN proofs ON proofs.g = folded.g AND proofs.leaf_at = folded.i WHERE k <= len(way)
+), ends AS (SELECT g, i, arg_max(h, k) AS folded_root FROM folded GROUP BY g, i
+), whole AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT ranked.doc_id, ranked.leaf, subs.h AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM ranked JOIN subs ON subs.g = ranked.g JOIN ends ON ends.g = ranked.g AND ends.i = ranked.i
+LEFT JOIN proofs ON proofs.g = ranked.g AND proofs.leaf_at = ranked.i CROSS JOIN whole
+"""
