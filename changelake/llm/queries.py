@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, chat, decontamination, hmm, html_extract, merkle, neardup, periods, quality, substrings, toxicity, warc
+from . import bpe, chat, decontamination, hmm, html_extract, langid, merkle, neardup, periods, quality, substrings, toxicity, warc
 from .common import pick, read_table
 
 QUERIES: dict = {}
@@ -191,3 +191,8 @@ SELECT ranked.doc_id, ranked.leaf, subs.h AS subroot, root, coalesce(proof_sha25
 FROM ranked JOIN subs ON subs.g = ranked.g JOIN ends ON ends.g = ranked.g AND ends.i = ranked.i
 LEFT JOIN proofs ON proofs.g = ranked.g AND proofs.leaf_at = ranked.i CROSS JOIN whole
 """
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents")).drop("spans")
