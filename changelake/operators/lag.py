@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changelake.functions.temporal import mixed_ts_decode
-from changelake.sources.framing import decode_avro, has_magic_byte, strip_confluent_frame
+from changelake.sources.framing import decode_avro, has_magic_byte, strip_confluent_frame, utf8_text
 
 # fixed values: topics that are never scraped (internal, and Connect's own topics)
 CONNECT_TOPIC_PATTERN = "connect-(configs|offsets|status)"
@@ -97,8 +97,8 @@ Decoder = Callable[[DataFrame, str], DataFrame]
 
 
 def json_decoder(records: DataFrame, out: str) -> DataFrame:
-    """Registry-framed JSON envelopes."""
-    return records.withColumn(out, F.from_json(F.decode(strip_confluent_frame(F.col("value")), "UTF-8"), ENVELOPE_TIMES))
+    """Registry-framed JSON envelopes; a body that does not decode gives nulls, so only its topic has no row."""
+    return records.withColumn(out, F.from_json(utf8_text(strip_confluent_frame(F.col("value"))), ENVELOPE_TIMES))
 
 
 def avro_decoder(avro_schema_json: str) -> Decoder:

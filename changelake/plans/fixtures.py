@@ -134,14 +134,27 @@ def kafka_records(events: DataFrame, framed: bool = True, tombstones: bool = Fal
 
 def damaged_records(events: DataFrame) -> DataFrame:
     """Framed records with tombstones, of which some are damaged: every 26th offset is cut to
-    its first three bytes, every other 22nd one loses its last five bytes (malformed JSON)."""
+    its first three bytes, every other 22nd one loses its last five bytes (malformed JSON), every
+    other 38th one has a byte that is not UTF-8."""
     recs = kafka_records(events, framed=True, tombstones=True)
     cut = (F.when(F.col("offset") % 26 == 0, F.substring("value", 1, 3))
            .when(F.col("offset") % 22 == 0, F.substring(F.col("value"), F.lit(1), F.octet_length("value") - 5))
+           .when(F.col("offset") % 38 == 0, spoiled("value"))
            .otherwise(F.col("value")))
     return recs.withColumn("value", cut)
 
 
+def spoiled(value: str) -> Column:
+    """The value with a byte that occurs in no UTF-8 text, far enough behind to stand in the body."""
+    v = F.col(value)
+    return F.concat(F.substring(v, 1, 20), F.lit(b"\xff"), F.substring(v, F.lit(21), F.octet_length(v)))
+
+
+def spoiled_records(records: DataFrame, every: int) -> DataFrame:
+    """Records of which every ``every``-th offset's value is not UTF-8."""
+    return records.withColumn("value", F.when(F.col("offset") % every == 0, spoiled("value")).otherwise(F.col("value")))
+
+
 def zlib_stored(body):
     """A zlib stream of one stored block around ``body`` (under 64 KiB), from built-in functions.
 

@@ -231,6 +231,11 @@ FROM metrics
 ORDER BY prefix || '.' || schema, freshness, topic
 """
 
+SQL["lag_report_damaged"] = f"""
+WITH {RECORDS}
+SELECT metrics.topic, latency, freshness FROM metrics JOIN latest USING (topic) WHERE "offset" % 3 <> 0
+"""
+
 SQL["lag_metrics"] = f"""
 WITH {RECORDS}
 SELECT 'debezium_source_timestamp_seconds' AS metric, 'topic=' || topic AS labels,
@@ -681,7 +686,20 @@ SQL["gsr_jsonschema_decode"] = """
 SELECT event_id AS "offset", '0f8fad5b-d9cb-469f-a165-70867728950e' AS schema_version, user_id, event_type FROM events
 """
 
-SQL["json_archive_sink"] = f"WITH {CHANGE_LOG} SELECT topic, \"partition\", \"offset\", op FROM cl"
+# the envelope of a created or read row starts with its new image, the others with the old one
+SQL["json_archive_sink"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset", CASE WHEN "offset" % 19 <> 0 THEN op END AS op, "offset" % 19 <> 0 AS is_text,
+       CASE WHEN "offset" % 19 = 0 THEN 'FF'
+            ELSE hex(substr('{{"' || CASE WHEN op IN ('u', 'd') THEN 'before' ELSE 'after' END || '":{{"user_id":' || user_id || ',"event_id"', 21, 1)) END AS byte_21
+FROM cl
+"""
+
+SQL["connect_json_dead_letters"] = f"""
+WITH {CHANGE_LOG}
+SELECT topic, "partition", "offset", CASE WHEN "offset" % 19 = 0 THEN 'not UTF-8' ELSE 'undecodable body' END AS error
+FROM cl WHERE "offset" % 19 = 0 OR "offset" % 23 = 0
+"""
 
 _KST = "epoch_ms(ts_ms) + INTERVAL 9 HOUR"
 SQL["lake_daily_sink"] = f"""
@@ -716,24 +734,26 @@ _SPEC_TEXT_COLS = ["TABLE_COMMENT", "COLUMN_NAME", "COLUMN_TYPE", "CHARACTER_SET
                    "COLUMN_LENGTH", "COLUMN_DEFAULT", "IS_NULLABLE", "IS_UNIQUE", "IS_AUTO_INCREMENT", "COLUMN_EXTRA",
                    "PK", "COLUMN_COMMENT"]
 SQL["spec_snapshot_io"] = f"""
-WITH {CAT}
+WITH {CAT},
+saved AS MATERIALIZED (SELECT * FROM myspec)
 SELECT DB_NAME, TABLE_NAME, ORDINAL_POSITION, {', '.join(_BLANK(c) for c in _SPEC_TEXT_COLS)},
        strftime(CREATE_TIME, '%Y-%m-%d %H:%M:%S') AS CREATE_TIME, strftime(UPDATE_TIME, '%Y-%m-%d %H:%M:%S') AS UPDATE_TIME,
        "ROW"
-FROM myspec
+FROM saved ORDER BY DB_NAME, TABLE_NAME, ORDINAL_POSITION
 """
 
 # damaged records: offsets are doubled there (tombstones take the odd ones)
 SQL["dead_letter_split"] = f"""
 WITH {CHANGE_LOG}, rec AS (SELECT topic, "partition", "offset" * 2 AS "offset" FROM cl)
 SELECT topic, "partition", "offset",
-       CASE WHEN "offset" % 7 = 0 THEN 'missing magic byte' WHEN "offset" % 26 = 0 THEN 'cut header' ELSE 'undecodable body' END AS error
-FROM rec WHERE "offset" % 7 = 0 OR "offset" % 26 = 0 OR "offset" % 22 = 0
+       CASE WHEN "offset" % 7 = 0 THEN 'missing magic byte' WHEN "offset" % 26 = 0 THEN 'cut header'
+            WHEN "offset" % 22 = 0 THEN 'undecodable body' ELSE 'not UTF-8' END AS error
+FROM rec WHERE "offset" % 7 = 0 OR "offset" % 26 = 0 OR "offset" % 22 = 0 OR "offset" % 38 = 0
 """
 
 SQL["capture_accounting"] = f"""
 WITH {CHANGE_LOG}, rec AS (
-  SELECT topic, op, "offset" * 2 % 26 = 0 OR "offset" * 2 % 22 = 0 AS damaged FROM cl
+  SELECT topic, op, "offset" * 2 % 26 = 0 OR "offset" * 2 % 22 = 0 OR "offset" * 2 % 38 = 0 AS damaged FROM cl
 )
 SELECT topic, count(*) + count(*) FILTER (op = 'd') AS n_records, count(*) FILTER (NOT damaged) AS n_lake,
        count(*) FILTER (damaged) AS n_dead, count(*) FILTER (op = 'd') AS n_tombstones, CAST(0 AS BIGINT) AS n_lost

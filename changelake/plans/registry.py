@@ -275,6 +275,13 @@ def q_lag_report(spark, sf_dir):
         "latency", "freshness")
 
 
+@register("lag_report_damaged")
+def q_lag_report_damaged(spark, sf_dir):
+    """M9 over topics of which some end in a record that is not UTF-8: only those have no row."""
+    recs = fixtures.spoiled_records(_records(spark, sf_dir), 3)
+    return lag.topic_metrics(recs, FROZEN_NOW).select("topic", "latency", "freshness")
+
+
 @register("lag_metrics")
 def q_lag_metrics(spark, sf_dir):
     """Gauges as (metric, labels, value) rows."""
@@ -625,14 +632,28 @@ def q_connect_json_decode(spark, sf_dir):
     return _decoded_summary(framing.connect_json_decode(recs, B1_ENVELOPE, schemas_enable=True))
 
 
+@register("connect_json_dead_letters")
+def q_connect_json_dead_letters(spark, sf_dir):
+    """S6 + S21: wrapped values that are not UTF-8 or not JSON, with the reason."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    wrapped = F.concat(F.lit('{"schema":{"type":"struct","optional":false},"payload":'), fixtures.envelope_json(ce), F.lit("}"))
+    recs = ce.select("topic", "partition", "offset", F.encode(wrapped, "UTF-8").alias("value"))
+    recs = fixtures.spoiled_records(recs, 19).withColumn(
+        "value", F.when(F.col("offset") % 23 == 0, F.substring("value", 1, 40)).otherwise(F.col("value")))
+    dec = framing.connect_json_decode(recs, B1_ENVELOPE, schemas_enable=True)
+    _, dead = lake.split_dead_letters(dec, "data", framing.decode_error("value", "data"))
+    return dead.select("topic", "partition", "offset", "error")
+
+
 @register("json_archive_sink")
 def q_json_archive_sink(spark, sf_dir):
-    """Messages archived as JSON lines under topic/partition, read back."""
-    recs = fixtures.kafka_records(_events(spark, sf_dir), framed=False)
+    """Messages archived as JSON lines under topic/partition, read back; some are not UTF-8."""
+    recs = fixtures.spoiled_records(fixtures.kafka_records(_events(spark, sf_dir), framed=False), 19)
     path = scratch_path(spark, "archive")
     lake.write_archive(recs, path)
     back = lake.read_archive(spark, path)
-    return back.select("topic", "partition", "offset", F.get_json_object("message", "$.op").alias("op"))
+    return back.select("topic", "partition", "offset", F.get_json_object("message", "$.op").alias("op"),
+                       F.col("message").isNotNull().alias("is_text"), F.hex(F.substring("value", 21, 1)).alias("byte_21"))
 
 
 def _write_lake(spark, sf_dir):
@@ -694,7 +715,7 @@ def q_spec_snapshot_io(spark, sf_dir):
 
 @register("dead_letter_split")
 def q_dead_letter_split(spark, sf_dir):
-    """Records without the registry frame, with a cut header or an undecodable body."""
+    """Records without the registry frame, with a cut header, an undecodable body, or bytes that are not UTF-8."""
     recs = fixtures.damaged_records(_events(spark, sf_dir))
     dec = framing.decode_json(recs, B1_ENVELOPE, frame="confluent")
     _, dead = lake.split_dead_letters(dec, "data", framing.decode_error("value", "data", "confluent"))

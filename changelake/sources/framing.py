@@ -124,11 +124,27 @@ def gsr_frame(body: Column, schema_version: str) -> Column:
 CORRUPT = "_corrupt_record"
 
 
-def parse_json(text: Column, schema: T.StructType) -> Column:
-    """``from_json`` that gives null, not a struct of nulls, for text it cannot decode."""
+def utf8_text(body: Column) -> Column:
+    """The body as text; null where its bytes are not UTF-8 (``decode`` would fail the whole query)."""
+    return F.try_validate_utf8(body.cast("string"))
+
+
+def is_utf8(body: Column) -> Column:
+    return F.is_valid_utf8(body.cast("string"))
+
+
+def add_json(df: DataFrame, out: str, text: Column, schema: T.StructType) -> DataFrame:
+    """``df`` with the parsed text as struct column ``out``: null, not a struct of nulls, where it does not decode.
+
+    The text is parsed below a generator of one row. Without it the optimizer copies the parse
+    into every use of a field, and a filter and ten columns parse each record dozens of times.
+    """
     parsed = F.from_json(text, T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return F.when(parsed.getField(CORRUPT).isNull(), parsed.dropFields(CORRUPT))
+    df = df.withColumn("__json", F.explode(F.array(parsed)))
+    p = F.col("__json")
+    good = p.isNotNull() & p.getField(CORRUPT).isNull()
+    return df.withColumn(out, F.when(good, F.struct(*[p.getField(n).alias(n) for n in schema.fieldNames()]))).drop("__json")
 
 
 def _body_and_meta(v: Column, frame: str | None, inflate: bool) -> tuple[Column, dict[str, Column]]:
@@ -150,7 +166,7 @@ def decode_json(records: DataFrame, schema: T.StructType, value_col: str = "valu
     """
     v = F.col(value_col)
     body, meta = _body_and_meta(v, frame, inflate)
-    return records.withColumns({**meta, out: parse_json(F.decode(body, "UTF-8"), schema)})
+    return add_json(records.withColumns(meta), out, utf8_text(body), schema)
 
 
 def decode_error(value: str | Column, data: str | Column, frame: str | None = None, strict: bool = True) -> Column:
@@ -167,17 +183,22 @@ def decode_error(value: str | Column, data: str | Column, frame: str | None = No
     elif frame == "gsr":
         error = error.when(~is_gsr_framed(v), F.lit("missing registry header"))
         error = error.when(d.isNull() & (gsr_compression(v) != GSR_COMPRESSION_NONE), F.lit("compressed body"))
+    body, _ = _body_and_meta(v, frame, False)
+    error = error.when(d.isNull() & ~is_utf8(body), F.lit("not UTF-8"))
     return error.when(d.isNull(), F.lit("undecodable body"))
 
 
 def connect_json_decode(records: DataFrame, schema: T.StructType, schemas_enable: bool,
                         value_col: str = "value", out: str = "data") -> DataFrame:
-    """Kafka Connect JSON. With ``schemas.enable`` the value is ``{"schema":..,"payload":..}``."""
-    text = F.decode(F.col(value_col), "UTF-8")
+    """Kafka Connect JSON. With ``schemas.enable`` the value is ``{"schema":..,"payload":..}``.
+
+    ``out`` is null where the value does not decode; ``decode_error`` of it gives the reason.
+    """
+    text = utf8_text(F.col(value_col))
     if schemas_enable:
         wrapped = T.StructType([T.StructField("payload", schema)])
-        return records.withColumn(out, parse_json(text, wrapped).getField("payload"))
-    return records.withColumn(out, parse_json(text, schema))
+        return add_json(records, out, text, wrapped).withColumn(out, F.col(out).getField("payload"))
+    return add_json(records, out, text, schema)
 
 
 def decode_avro(records: DataFrame, avro_schema_json: str, value_col: str = "value", frame: str = "confluent",
@@ -224,19 +245,22 @@ def decode_json_by_schema_id(records: DataFrame, schemas_by_id: dict[int, T.Stru
     kept with a null ``out``, as are those that do not decode.
     """
     v = F.col(value_col)
-    text = F.decode(strip_confluent_frame(v), "UTF-8")
+    text = utf8_text(strip_confluent_frame(v))
     fields: dict[str, T.DataType] = {}
     for _, schema in sorted(schemas_by_id.items()):
         fields |= {f.name: f.dataType for f in schema.fields}
     merged = T.StructType([T.StructField(n, t) for n, t in fields.items()])
     decoded = None
+    records = records.withColumn("schema_id", confluent_schema_id(v))
     for schema_id, schema in sorted(schemas_by_id.items()):
-        own = parse_json(text, schema)
+        # a record is parsed by its own version only
+        records = add_json(records, f"__v{schema_id}", F.when(F.col("schema_id") == schema_id, text), schema)
+        own = F.col(f"__v{schema_id}")
         row = F.struct(*[(own.getField(n).cast(t) if n in schema.fieldNames() else F.lit(None).cast(t)).alias(n)
                          for n, t in fields.items()])
-        here = (F.col("schema_id") == schema_id) & own.isNotNull()
+        here = own.isNotNull()
         decoded = F.when(here, row) if decoded is None else decoded.when(here, row)
-    return records.withColumn("schema_id", confluent_schema_id(v)).withColumn(out, decoded.cast(merged))
+    return records.withColumn(out, decoded.cast(merged)).drop(*[f"__v{i}" for i in schemas_by_id])
 
 
 def decode_avro_by_schema_id(records: DataFrame, schemas_by_id: dict[int, str], value_col: str = "value",

@@ -75,10 +75,10 @@ def test_dead_letter_stream(spark, sf_dir, tmp_path):
     q.awaitTermination()
     dead = spark.read.parquet(str(tmp_path / "dead"))
     ok = lake.scan_lake(spark, str(tmp_path / "ok"))
-    bad = (F.col("offset") % 7 == 0) | (F.col("offset") % 26 == 0) | (F.col("offset") % 22 == 0)
+    bad = (F.col("offset") % 7 == 0) | (F.col("offset") % 26 == 0) | (F.col("offset") % 22 == 0) | (F.col("offset") % 38 == 0)
     full = recs.filter("value IS NOT NULL")
     assert dead.count() == full.filter(bad).count()
-    assert {r[0] for r in dead.select("error").distinct().collect()} == {"missing magic byte", "cut header", "undecodable body"}
+    assert {r[0] for r in dead.select("error").distinct().collect()} == {"missing magic byte", "cut header", "undecodable body", "not UTF-8"}
     assert ok.count() + dead.count() == full.count()
     assert {"topic", "year", "month", "day", "op"} <= set(ok.columns)
 
@@ -230,3 +230,29 @@ def test_lag_by_minute_stream_sink(spark, sf_dir, tmp_path):
     assert 0 < out.count() <= batch.count()
     joined = out.join(batch, ["__db_table", "window_start"]).filter(out.n_events != batch.n_events)
     assert joined.count() == 0
+
+
+def test_values_that_are_not_utf8_end_no_stream(spark, tmp_path):
+    """A stream that met such a record goes on, also after a restart; the value stands in the dead letters byte by byte."""
+    bad, src = b'{"op": "u\xff"}', tmp_path / "src"
+    schema = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int"
+    src.mkdir()
+
+    def feed(*rows):
+        df = spark.createDataFrame([(None, bytearray(v), "local.store.tb_x", 0, o, None, 0) for o, v in rows], schema)
+        df.withColumn("timestamp", F.timestamp_seconds(F.col("offset") + 1_700_000_000)).coalesce(1).write.mode("append").parquet(str(src))
+        stream = lambda: spark.readStream.schema(schema).parquet(str(src))
+        for q in jobs.change_capture_streams(stream(), registry.B1_ENVELOPE, str(tmp_path / "lake"), str(tmp_path / "bronze"),
+                                             str(tmp_path / "dead"), str(tmp_path / "ck"), ["user_id"], frame=None, available_now=True):
+            q.awaitTermination()
+        jobs.archive_stream(stream(), str(tmp_path / "arch"), str(tmp_path / "ck-a"), available_now=True).awaitTermination()
+
+    good = b'{"op": "c", "after": {"user_id": 1}, "source": {"db": "store", "table": "tb_x"}, "ts_ms": 5}'
+    feed((1, good), (2, bad))
+    feed((3, good), (4, bad), (5, good))
+    dead = spark.read.parquet(str(tmp_path / "dead")).collect()
+    assert sorted((r.offset, bytes(r.raw_value), r.error) for r in dead) == [(2, bad, "not UTF-8"), (4, bad, "not UTF-8")]
+    assert spark.read.parquet(str(tmp_path / "lake")).count() == 3
+    arch = lake.read_archive(spark, str(tmp_path / "arch")).collect()
+    assert sorted((r.offset, r.message is None, bytes(r.value)) for r in arch) == [
+        (1, False, good), (2, True, bad), (3, False, good), (4, True, bad), (5, False, good)]
