@@ -14,9 +14,9 @@ topic holds.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,22 +106,27 @@ def avro_decoder(avro_schema_json: str) -> Decoder:
     return lambda records, out: decode_avro(records, avro_schema_json, out=out)
 
 
-def decode_envelope_times(latest: DataFrame, decoder: Decoder = json_decoder) -> DataFrame:
-    """Source and connector time of each record's envelope; ``decoder`` reads the body.
+def envelope_times(latest: DataFrame, decoder: Decoder = json_decoder) -> DataFrame:
+    """Columns source_ts and debezium_ts from each record's envelope; ``decoder`` reads the body.
 
     The decoded struct must hold ``source.ts_ms`` (epoch ms) and ``ts_ms`` (epoch ms as
-    number or text, or ISO text). Records that do not decode have no row.
+    number or text, or ISO text). ``_known`` is false for a record that does not decode.
     """
     decoded = decoder(latest, "_env").withColumn("_env", F.struct(
         F.struct(F.col("_env.source.ts_ms").cast("bigint").alias("ts_ms")).alias("source"),
         F.col("_env.ts_ms").cast("string").alias("ts_ms")))
     return (decoded
-            .filter(F.col("_env.source.ts_ms").isNotNull() & F.col("_env.ts_ms").isNotNull())
+            .withColumn("_known", F.col("_env.source.ts_ms").isNotNull() & F.col("_env.ts_ms").isNotNull())
             .withColumn("source_ts", F.timestamp_millis(F.col("_env.source.ts_ms")))
             .withColumn("debezium_ts", mixed_ts_decode(F.col("_env.ts_ms")))
             .drop("_env"))
 
 
+def decode_envelope_times(latest: DataFrame, decoder: Decoder = json_decoder) -> DataFrame:
+    """:func:`envelope_times` of the records that decode; the others have no row."""
+    return envelope_times(latest, decoder).filter("_known").drop("_known")
+
+
 def _seconds_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1000000.0).cast("double")
 
@@ -137,9 +142,9 @@ def topic_freshness(df: DataFrame, now: dt.datetime | Column) -> DataFrame:
     return df.withColumn("freshness", F.greatest(_seconds_between(now_col, F.col("debezium_ts")), F.lit(0.0)))
 
 
-def schema_freshness(per_topic: DataFrame) -> DataFrame:
-    """M8: freshest topic per ``prefix.schema``."""
-    return per_topic.groupBy("prefix", "schema").agg(F.min("freshness").alias("freshness"))
+def schema_freshness(per_topic: DataFrame, at: Sequence[str] = ()) -> DataFrame:
+    """M8: freshest topic per ``prefix.schema`` (and per scrape, where ``at`` names its columns)."""
+    return per_topic.groupBy(*at, "prefix", "schema").agg(F.min("freshness").alias("freshness"))
 
 
 def topic_metrics(records: DataFrame, now: dt.datetime | Column, decoder: Decoder = json_decoder) -> DataFrame:
@@ -158,18 +163,77 @@ def lag_report(records: DataFrame, now: dt.datetime | Column, decoder: Decoder =
     return ordered, per_schema
 
 
-def lag_metrics(records: DataFrame, now: dt.datetime | Column, decoder: Decoder = json_decoder) -> DataFrame:
-    """Gauges as rows (metric, labels, value) ready for a table or topic sink."""
-    per_topic = topic_metrics(records, now, decoder)
+def metric_rows(per_topic: DataFrame, at: Sequence[str] = ()) -> DataFrame:
+    """Gauge rows (``at`` columns, metric, labels, value) of a per-topic table; ``at`` names the scrape."""
     epoch = lambda c: F.unix_micros(F.col(c)) / F.lit(1000000.0).cast("double")
     topic_rows = per_topic.select(
-        F.lit("topic").alias("_kind"), F.concat(F.lit("topic="), F.col("topic")).alias("labels"),
+        *at, F.concat(F.lit("topic="), F.col("topic")).alias("labels"),
         epoch("source_ts").alias(SOURCE_TS_METRIC),
         epoch("debezium_ts").alias(PROCESSING_TS_METRIC),
-    ).unpivot(["_kind", "labels"], [SOURCE_TS_METRIC, PROCESSING_TS_METRIC], "metric", "value")
-    schema_rows = schema_freshness(per_topic).select(
-        F.lit(SCHEMA_FRESHNESS_METRIC).alias("metric"),
+    ).unpivot([*at, "labels"], [SOURCE_TS_METRIC, PROCESSING_TS_METRIC], "metric", "value")
+    schema_rows = schema_freshness(per_topic, at).select(
+        *at, F.lit(SCHEMA_FRESHNESS_METRIC).alias("metric"),
         F.concat(F.lit("prefix="), F.col("prefix"), F.lit(",schema="), F.col("schema")).alias("labels"),
         F.col("freshness").alias("value"),
     )
-    return topic_rows.select("metric", "labels", "value").unionByName(schema_rows)
+    return topic_rows.select(*at, "metric", "labels", "value").unionByName(schema_rows)
+
+
+def lag_metrics(records: DataFrame, now: dt.datetime | Column, decoder: Decoder = json_decoder) -> DataFrame:
+    """Gauges as rows (metric, labels, value) ready for a table or topic sink."""
+    return metric_rows(topic_metrics(records, now, decoder))
+
+
+def metrics_of_last(last: DataFrame, at: Column, decoder: Decoder = json_decoder, by: Sequence[str] = ()) -> DataFrame:
+    """The per-topic table from the last record of each partition (M4 -> M5 -> decode -> M2, M6, M7).
+
+    ``by`` names columns of the scrape that a record belongs to, where ``last`` holds several
+    scrapes; ``at`` is their clock.
+    """
+    newest = F.struct(F.col("timestamp").alias("ts"), (-F.col("partition")).alias("neg_partition"))
+    payload = [c for c in last.columns if c not in ("topic", *by)]
+    latest = (avro_magic_filter(last).groupBy("topic", *by).agg(F.max_by(F.struct(*payload), newest).alias("_r"))
+              .select("topic", *by, *[F.col("_r").getField(c).alias(c) for c in payload]))
+    named = topic_parts(decode_envelope_times(latest, decoder))
+    return topic_freshness(cdc_latency(named), at).select(
+        *by, "topic", "prefix", "schema", "table", "source_ts", "debezium_ts", "latency", "freshness")
+
+
+def metrics_timeline(records: DataFrame, start: dt.datetime, end: dt.datetime, period: int = 60,
+                     decoder: Decoder = json_decoder) -> DataFrame:
+    """M7/M9 replayed: the per-topic table of every scrape from ``start`` to ``end``, ``period`` seconds apart.
+
+    A scrape (column ``at``) sees the records with a timestamp up to its time; topics without a new
+    record keep their last one, so their freshness grows.  Records are first reduced to the last of
+    each partition and scrape (partial aggregate: a hot partition is as small as the scrapes), those
+    are carried forward by a running maximum and stretched over the scrapes up to the next one;
+    there is no join of records with times.
+    """
+    width, first = period * 1_000_000, F.unix_micros(F.lit(start).cast("timestamp"))
+    scrapes = int((end - start).total_seconds()) // period
+    behind = F.unix_micros("timestamp") - first
+    tick = F.greatest(F.lit(0), F.ceil(behind / width)).cast("bigint")
+    recs = topic_filter(records.select("topic", "partition", "offset", "timestamp", "value")).withColumn("_tick", tick)
+    last = (recs.filter(F.col("_tick") <= scrapes).groupBy("topic", "partition", "_tick")
+            .agg(F.max(F.struct("offset", "timestamp", "value")).alias("_r")))
+    along = Window.partitionBy("topic", "partition").orderBy("_tick")
+    last = last.withColumns({"_r": F.max("_r").over(along.rowsBetween(Window.unboundedPreceding, 0)),
+                             "_next": F.lead("_tick").over(along)})
+    # decoded once, before the rows are stretched
+    times = envelope_times(avro_magic_filter(
+        last.select("topic", "partition", "_tick", "_next", "_r.timestamp", "_r.value")), decoder).drop("value")
+    until = F.coalesce(F.col("_next") - 1, F.lit(scrapes).cast("bigint"))
+    each = times.withColumn("_tick", F.explode(F.sequence("_tick", until))).withColumn(
+        "at", F.timestamp_micros(first + F.col("_tick") * width))
+    newest = F.struct(F.col("timestamp").alias("ts"), (-F.col("partition")).alias("neg_partition"))
+    # M5 takes the newest framed record whether it decodes or not; a topic whose newest does not has no row
+    latest = each.groupBy("topic", "at").agg(F.max_by(F.struct("source_ts", "debezium_ts", "_known"), newest).alias("_r")).filter("_r._known")
+    named = topic_parts(latest.select("topic", "at", "_r.source_ts", "_r.debezium_ts"))
+    return topic_freshness(cdc_latency(named), F.col("at")).select(
+        "at", "topic", "prefix", "schema", "table", "source_ts", "debezium_ts", "latency", "freshness")
+
+
+def lag_metrics_timeline(records: DataFrame, start: dt.datetime, end: dt.datetime, period: int = 60,
+                         decoder: Decoder = json_decoder) -> DataFrame:
+    """M10 replayed: gauge rows (at, metric, labels, value) of every scrape."""
+    return metric_rows(metrics_timeline(records, start, end, period, decoder), ["at"])

@@ -247,6 +247,33 @@ SELECT 'schema_freshness_seconds', 'prefix=' || prefix || ',schema=' || schema,
 FROM metrics GROUP BY prefix, schema
 """
 
+# every hourly scrape looks for the last record of each partition anew
+SQL["lag_metrics_timeline"] = f"""
+WITH {CHANGE_LOG},
+ticks AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 1 HOUR)) AS tk),
+seen AS (
+  SELECT tk, topic, "partition", max("offset") AS "offset" FROM ticks JOIN cl ON epoch_ms(ts_ms) <= tk
+  WHERE NOT starts_with(topic, '_') GROUP BY ALL
+),
+newest AS (
+  SELECT tk, topic, arg_max({{'ts_ms': ts_ms, 'src_ms': src_ms, 'offset': "offset"}}, ts_ms * 10 - "partition") AS r
+  FROM seen JOIN cl USING (topic, "partition", "offset") WHERE "offset" % 7 <> 0 GROUP BY tk, topic
+),
+m AS (
+  SELECT tk, topic, split_part(topic, '.', 1) AS prefix, split_part(topic, '.', 2) AS schema, r.src_ms AS src_ms, r.ts_ms AS ts_ms,
+         greatest((epoch_us(tk) - r.ts_ms * 1000) / 1000000::DOUBLE, 0.0) AS freshness
+  FROM newest WHERE r."offset" % 5 <> 0
+),
+gauges AS (
+  SELECT tk, 'debezium_source_timestamp_seconds' AS metric, 'topic=' || topic AS labels, (src_ms * 1000) / 1000000::DOUBLE AS value FROM m
+  UNION ALL
+  SELECT tk, 'debezium_processing_timestamp_seconds', 'topic=' || topic, (ts_ms * 1000) / 1000000::DOUBLE FROM m
+  UNION ALL
+  SELECT tk, 'schema_freshness_seconds', 'prefix=' || prefix || ',schema=' || schema, min(freshness) FROM m GROUP BY tk, prefix, schema
+)
+SELECT strftime(tk, '%Y-%m-%d %H:%M:%S') AS "at", metric, labels, value FROM gauges
+"""
+
 ASSIGN = TOPICS + """,
 assign AS (
   SELECT DISTINCT 'g' || CAST(user_id % 7 AS VARCHAR) AS group_id, topic, "partition" FROM cl

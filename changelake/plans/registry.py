@@ -288,6 +288,14 @@ def q_lag_metrics(spark, sf_dir):
     return lag.lag_metrics(_records(spark, sf_dir), FROZEN_NOW)
 
 
+@register("lag_metrics_timeline")
+def q_lag_metrics_timeline(spark, sf_dir):
+    """M10 by the clock: gauges of an hourly scrape over the whole log, topics without news included."""
+    recs = fixtures.spoiled_records(_records(spark, sf_dir), 5)
+    out = lag.lag_metrics_timeline(recs, _dt.datetime(2024, 1, 1), FROZEN_NOW, period=3600)
+    return out.withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _topology_inputs(spark, sf_dir):
     ev = _events(spark, sf_dir)
     return fixtures.topic_listing(ev), fixtures.assignments(ev), fixtures.consumer_groups(ev)
