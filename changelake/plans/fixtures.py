@@ -155,6 +155,36 @@ def spoiled_records(records: DataFrame, every: int) -> DataFrame:
     return records.withColumn("value", F.when(F.col("offset") % every == 0, spoiled("value")).otherwise(F.col("value")))
 
 
+def replayed_records(events: DataFrame) -> DataFrame:
+    """Framed records (some damaged, tombstones included) of which a consumer saw some ranges again: those
+    with ``offset div 40 % 9 = 4`` twice, and of these the ones with ``offset div 40 % 5 = 0`` a third time."""
+    recs = damaged_records(events)
+    again = F.expr("offset div 40 % 9 = 4")
+    return recs.unionByName(recs.filter(again)).unionByName(recs.filter(again & F.expr("offset div 40 % 5 = 0")))
+
+
+def broken_journal(events: DataFrame) -> DataFrame:
+    """(topic, partition, offset) of a topic whose records are numbered without gaps (four partitions, one with
+    three quarters of all), of which every other 900th and some ranges are missing and others are repeated."""
+    e = F.col("event_id")
+    hot = e % 16 >= 4
+    recs = events.select(F.lit(f"{TOPIC_PREFIX}.store.journal").alias("topic"),
+                         F.when(hot, 0).otherwise(e % 16 + 1).cast("int").alias("partition"),
+                         F.when(hot, F.expr("event_id div 16 * 12 + event_id % 16 - 4")).otherwise(F.expr("event_id div 16")).alias("offset"))
+    o = F.col("offset")
+    kept = recs.filter((o % 900 != 77) & ~F.expr("offset div 11 % 13 = 5"))
+    return kept.unionByName(kept.filter(F.expr("offset div 7 % 10 = 3"))).unionByName(kept.filter(o % 210 == 22))
+
+
+def journal_bounds(events: DataFrame) -> DataFrame:
+    """(topic, partition, low, high) as a broker would report it for the journal: ten records more at both ends."""
+    full = events.select((F.col("event_id") % 16).alias("r"), "event_id")
+    hot = F.col("r") >= 4
+    parts = full.groupBy(F.when(hot, 0).otherwise(F.col("r") + 1).cast("int").alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    return parts.select(F.lit(f"{TOPIC_PREFIX}.store.journal").alias("topic"), "partition", F.lit(-10).cast("bigint").alias("low"),
+                        (F.col("n") + 10).alias("high"))
+
+
 def zlib_stored(body):
     """A zlib stream of one stored block around ``body`` (under 64 KiB), from built-in functions.
 

@@ -783,10 +783,48 @@ WITH {CHANGE_LOG}, rec AS (
   SELECT topic, op, "offset" * 2 % 26 = 0 OR "offset" * 2 % 22 = 0 OR "offset" * 2 % 38 = 0 AS damaged FROM cl
 )
 SELECT topic, count(*) + count(*) FILTER (op = 'd') AS n_records, count(*) FILTER (NOT damaged) AS n_lake,
-       count(*) FILTER (damaged) AS n_dead, count(*) FILTER (op = 'd') AS n_tombstones, CAST(0 AS BIGINT) AS n_lost
+       count(*) FILTER (damaged) AS n_dead, count(*) FILTER (op = 'd') AS n_tombstones, CAST(0 AS BIGINT) AS n_lost,
+       CAST(0 AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_stray
 FROM rec GROUP BY topic
 """
 
+SQL["replayed_capture"] = f"""
+WITH {CHANGE_LOG}, rec AS (
+  SELECT topic, "offset" * 2 AS o, false AS tomb FROM cl
+  UNION ALL
+  SELECT topic, "offset" * 2 + 1, true FROM cl WHERE op = 'd'
+), copies AS (
+  SELECT topic, tomb, NOT tomb AND (o % 26 = 0 OR o % 22 = 0 OR o % 38 = 0) AS damaged,
+         1 + CASE WHEN o // 40 % 9 = 4 THEN 1 + CAST(o // 40 % 5 = 0 AS INT) ELSE 0 END AS n
+  FROM rec
+)
+SELECT topic, CAST(sum(n) AS BIGINT) AS n_records, count(*) FILTER (NOT damaged AND NOT tomb) AS n_lake,
+       count(*) FILTER (damaged) AS n_dead, count(*) FILTER (tomb) AS n_tombstones, CAST(0 AS BIGINT) AS n_lost,
+       CAST(0 AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_stray
+FROM copies GROUP BY topic
+"""
+
+SQL["offset_gaps"] = """
+WITH full_log AS (
+  SELECT CAST(CASE WHEN event_id % 16 >= 4 THEN 0 ELSE event_id % 16 + 1 END AS INT) AS p,
+         CASE WHEN event_id % 16 >= 4 THEN event_id // 16 * 12 + event_id % 16 - 4 ELSE event_id // 16 END AS o
+  FROM events
+), kept AS (
+  SELECT p, o, 1 + CAST(o // 7 % 10 = 3 AS INT) + CAST(o % 210 = 22 AS INT) AS n FROM full_log WHERE o % 900 <> 77 AND o // 11 % 13 <> 5
+), expected AS (
+  SELECT p, unnest(range(-10, n + 10)) AS o FROM (SELECT p, count(*) AS n FROM full_log GROUP BY p)
+), marked AS (
+  SELECT p, o, 'missing' AS kind, 1 AS n FROM expected ANTI JOIN kept USING (p, o)
+  UNION ALL
+  SELECT p, o, 'repeated', n - 1 FROM kept WHERE n > 1
+), grouped AS (
+  SELECT *, o - row_number() OVER (PARTITION BY p, kind ORDER BY o) AS island FROM marked
+)
+SELECT 'local.store.journal' AS topic, p AS "partition", kind, CAST(min(o) AS BIGINT) AS first_offset, CAST(max(o) AS BIGINT) AS last_offset,
+       CAST(sum(n) AS BIGINT) AS n_records
+FROM grouped GROUP BY p, kind, island
+"""
+
 SQL["confluent_jsonschema_decode_versions"] = """
 SELECT event_id AS "offset", CAST(CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 9 END AS INT) AS schema_id,
        CASE WHEN event_id % 3 < 2 THEN user_id END AS user_id, CASE WHEN event_id % 3 = 1 THEN event_type END AS event_type

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from changelake import schemas
 from changelake.functions import temporal as tm
-from changelake.operators import bronze, catalog, ingest_rules, lag, topology, transforms
+from changelake.operators import bronze, catalog, ingest_rules, lag, offsets, topology, transforms
 from changelake.plans import fixtures
 from changelake.session import configure, materialize, read_table, scratch_path
 from changelake.sources import catalog_io, framing, lake
@@ -737,11 +737,25 @@ def q_capture_accounting(spark, sf_dir):
     events, dead = jobs.capture_split(recs, B1_ENVELOPE)
     path = scratch_path(spark, "capture")
     lake.write_lake(lake.prepare_lake_rows(events), path)
-    n = lambda df, name: df.groupBy("topic").agg(F.count("*").alias(name))
-    out = n(recs, "n_records")
-    for df, name in ((lake.scan_lake(spark, path), "n_lake"), (dead, "n_dead"), (recs.filter("value IS NULL"), "n_tombstones")):
-        out = out.join(n(df, name), "topic", "left").na.fill({name: 0})
-    return out.withColumn("n_lost", F.expr("n_records - n_lake - n_dead - n_tombstones"))
+    return offsets.account(recs, {"lake": lake.scan_lake(spark, path), "dead": dead, "tombstones": recs.filter("value IS NULL")})
+
+
+@register("replayed_capture")
+def q_replayed_capture(spark, sf_dir):
+    """Ranges that a consumer saw twice and three times reach the lake and the dead letters once."""
+    recs = fixtures.replayed_records(_events(spark, sf_dir))
+    events, dead = jobs.capture_split(offsets.drop_replayed(recs), B1_ENVELOPE)
+    path = scratch_path(spark, "capture")
+    lake.write_lake(lake.prepare_lake_rows(events), path)
+    return offsets.account(recs, {"lake": lake.scan_lake(spark, path), "dead": dead,
+                                  "tombstones": offsets.drop_replayed(recs.filter("value IS NULL"))})
+
+
+@register("offset_gaps")
+def q_offset_gaps(spark, sf_dir):
+    """Missing and repeated offset ranges of a topic, against the broker's bounds; small slices, many borders."""
+    ev = _events(spark, sf_dir)
+    return offsets.offset_gaps(fixtures.broken_journal(ev), fixtures.journal_bounds(ev), width=64)
 
 
 @register("confluent_jsonschema_decode_versions")

@@ -235,17 +235,21 @@ def read_bronze(spark, state_path: str) -> DataFrame:
 
 def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_path: str, dead_path: str,
                            checkpoint_root: str, key_fields: list[str], chain=None, topic_prefix: str = "local",
-                           frame: str | None = "confluent", strict: bool = False, available_now: bool = False):
+                           frame: str | None = "confluent", strict: bool = False, available_now: bool = False,
+                           replay_window: str | None = "1 hour"):
     """The whole capture path on one record stream (Kafka source or any frame with its schema).
 
     Decodes the registry-framed JSON envelope, keeps Kafka metadata, and starts three
     queries on it: the daily lake sink (S12), the bronze fold (C-chain + X1/X2) and the dead
     letters (S21). A record is a tombstone if its raw value is null; one that does not decode
-    is a dead letter; all others reach lake and bronze, so nothing vanishes. Each query has
-    its own checkpoint under ``checkpoint_root``. Returns the three queries.
+    is a dead letter; all others reach lake and bronze, so nothing vanishes. A record that
+    arrives again within ``replay_window`` (None: never) counts once, see ``offsets.drop_replayed``.
+    Each query has its own checkpoint under ``checkpoint_root``. Returns the three queries.
     """
-    from changelake.operators import transforms
+    from changelake.operators import offsets, transforms
 
+    if replay_window is not None:
+        records = offsets.drop_replayed(records, replay_window)
     events, dead = capture_split(records, envelope, frame, strict)
     lake_q = lake_sink_stream(events, lake_path, f"{checkpoint_root}/lake", available_now=available_now)
     names = chain or transforms.BRONZE_CHAIN
