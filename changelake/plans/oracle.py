@@ -756,6 +756,25 @@ SELECT lr.id, lr.boolean1 <> 0 AS boolean1, lr.decimal1, CASE WHEN lr.id % 2 = 1
 FROM lr JOIN orders o ON lr.id = o.o_orderkey
 """
 
+SQL["schema_versions_found"] = f"""
+WITH {LAKE_ROWS}
+SELECT lr.id, o_orderstatus AS varchar36, CASE lr.id % 3 WHEN 2 THEN NULL ELSE lr.boolean1 <> 0 END AS boolean1, o_orderkey AS integer2,
+       CASE lr.id % 3 WHEN 0 THEN CAST(lr.decimal1 AS DECIMAL(20,8)) WHEN 1 THEN CAST(CAST(lr.decimal1 AS DECIMAL(16,4)) AS DECIMAL(20,8))
+                      ELSE CAST(lr.id AS DECIMAL(20,8)) END AS decimal1,
+       CASE lr.id % 3 WHEN 0 THEN CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) WHEN 1 THEN o_totalprice ELSE CAST(lr.id AS DOUBLE) END AS float1,
+       CASE lr.id % 3 WHEN 1 THEN o_orderpriority WHEN 2 THEN CAST(lr.id AS VARCHAR) END AS text1,
+       CASE WHEN lr.id % 3 < 2 THEN CAST(lr.id AS BIGINT) END AS image_key, CASE WHEN lr.id % 3 < 2 THEN lr.date1 END AS image_date1,
+       CASE WHEN lr.id % 3 = 1 THEN o_orderpriority END AS image_text1
+FROM lr JOIN orders o ON lr.id = o.o_orderkey
+"""
+
+SQL["schema_versions"] = """
+SELECT CASE o_orderkey % 3 WHEN 0 THEN 'id,boolean1,integer2,decimal1,float1,image'
+                           WHEN 1 THEN 'id,boolean1,integer2,decimal1,float1,text1,image'
+                           ELSE 'integer2,id,text1,float1,decimal1' END AS columns, count(*) AS n_rows
+FROM orders GROUP BY 1
+"""
+
 _BLANK = lambda c: f"CASE WHEN trim({c}) <> '' THEN {c} END AS {c}"
 _SPEC_TEXT_COLS = ["TABLE_COMMENT", "COLUMN_NAME", "COLUMN_TYPE", "CHARACTER_SET", "COLLATION_NAME", "DATA_TYPE",
                    "COLUMN_LENGTH", "COLUMN_DEFAULT", "IS_NULLABLE", "IS_UNIQUE", "IS_AUTO_INCREMENT", "COLUMN_EXTRA",

@@ -19,7 +19,7 @@ from changelake.functions import temporal as tm
 from changelake.operators import bronze, catalog, ingest_rules, lag, offsets, topology, transforms
 from changelake.plans import fixtures
 from changelake.session import configure, materialize, read_table, scratch_path
-from changelake.sources import catalog_io, framing, lake
+from changelake.sources import catalog_io, framing, lake, versions
 from changelake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -713,6 +713,44 @@ def q_schema_evolution_scan(spark, sf_dir):
     return lake.scan_versions(spark, [v1, v2], target)
 
 
+def _mixed_folder(spark, sf_dir):
+    """Row images of ``orders`` in one folder by status, written under three schema versions."""
+    rows = _lake_rows(spark, sf_dir)
+    path = scratch_path(spark, "mixed")
+    day = F.struct(F.col("id").alias("key"), F.col("date1"))
+    v1 = rows.filter("id % 3 = 0").select("id", "boolean1", F.col("integer2").cast("int").alias("integer2"), "decimal1",
+                                         F.col("float1").cast("float").alias("float1"), day.alias("image"), "varchar36")
+    v2 = rows.filter("id % 3 = 1").select("id", (F.col("boolean1") != 0).alias("boolean1"), "integer2",
+                                         F.col("decimal1").cast("decimal(16,4)").alias("decimal1"), F.col("double1").alias("float1"),
+                                         "text1", F.struct(F.col("id").cast("bigint").alias("key"), "date1", "text1").alias("image"), "varchar36")
+    v3 = rows.filter("id % 3 = 2").select("integer2", "id", F.col("id").cast("string").alias("text1"), F.col("id").alias("float1"),
+                                         F.col("id").alias("decimal1"), "varchar36")
+    for v in (v1, v2, v3):
+        v.write.mode("append").partitionBy("varchar36").parquet(path)
+    return path
+
+
+@register("schema_versions_found")
+def q_schema_versions_found(spark, sf_dir):
+    """A folder of three mixed versions read without naming them."""
+    out = versions.scan_folder(spark, _mixed_folder(spark, sf_dir))
+    return out.select("id", "varchar36", "boolean1", "integer2", "decimal1", "float1", "text1", F.col("image.key").alias("image_key"),
+                      F.col("image.date1").alias("image_date1"), F.col("image.text1").alias("image_text1"))
+
+
+@register("schema_versions")
+def q_schema_versions(spark, sf_dir):
+    """The versions that the folder's footers show, by their columns, and the rows behind each."""
+    path = _mixed_folder(spark, sf_dir)
+    found = versions.find_versions(spark, path).select("schema_json", F.explode("files").alias("file"))
+    rows = spark.read.schema("integer2 STRING").parquet(path).select(F.col("_metadata.file_path").alias("file")).groupBy("file").count()
+    names = F.transform(F.from_json("schema_json", "fields ARRAY<STRUCT<name: STRING>>")["fields"], lambda f: f["name"])
+    # both are paths as URIs, which differ in slashes only
+    key = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return (found.withColumn("_k", key("file")).join(rows.withColumn("_k", key("file")).drop("file"), "_k")
+            .groupBy(F.array_join(names, ",").alias("columns")).agg(F.sum("count").alias("n_rows")))
+
+
 @register("spec_snapshot_io")
 def q_spec_snapshot_io(spark, sf_dir):
     """Specification saved as Parquet and reloaded; blank text becomes null."""
