@@ -743,6 +743,8 @@ SELECT topic, strftime({_KST}, '%Y') AS year, strftime({_KST}, '%m') AS month, s
 FROM cl GROUP BY ALL
 """
 
+SQL["lake_compact_by_size"] = SQL["lake_compact"].replace("AS n_files", "AS n_files, CAST(0 AS BIGINT) AS n_again")
+
 SQL["lake_table_scan"] = f"""
 WITH {CHANGE_LOG}
 SELECT topic, "offset" * 2 AS "offset", op, strftime({_KST}, '%Y') AS year, strftime({_KST}, '%m') AS month,

@@ -19,7 +19,7 @@ from changelake.functions import temporal as tm
 from changelake.operators import bronze, catalog, ingest_rules, lag, offsets, topology, transforms
 from changelake.plans import fixtures
 from changelake.session import configure, materialize, read_table, scratch_path
-from changelake.sources import catalog_io, framing, lake, versions
+from changelake.sources import catalog_io, compaction, framing, lake, versions
 from changelake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -691,6 +691,20 @@ def q_lake_compact(spark, sf_dir):
         F.count("*").alias("n_rows"), F.sum("offset").alias("sum_offset"), F.countDistinct("_file").alias("n_files"))
 
 
+@register("lake_compact_by_size")
+def q_lake_compact_by_size(spark, sf_dir):
+    """A lake of many small files compacted in place; per day the rows and the files left, and what a rerun merges."""
+    ce = fixtures.change_events(_events(spark, sf_dir), tombstones=True)
+    path = scratch_path(spark, "lake")
+    lake.write_lake(lake.prepare_lake_rows(ce), path, max_records_per_file=20)
+    compaction.compact_small_files(spark, path)
+    again = compaction.compact_small_files(spark, path).count()
+    back = lake.scan_lake(spark, path).withColumn("_file", F.input_file_name())
+    return back.groupBy("topic", "year", "month", "day").agg(
+        F.count("*").alias("n_rows"), F.sum("offset").alias("sum_offset"), F.countDistinct("_file").alias("n_files"),
+        F.lit(again).cast("bigint").alias("n_again"))
+
+
 @register("lake_table_scan")
 def q_lake_table_scan(spark, sf_dir):
     """Lake scan with an explicit schema, pruned to local days 2024-01-10..2024-01-20."""

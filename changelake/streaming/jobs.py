@@ -79,6 +79,19 @@ def dead_letter_stream(decoded: DataFrame, reason: Column, lake_path: str, dead_
     return w.start()
 
 
+def lake_upkeep(spark, path: str, today, days_open: int = 1, target_bytes: int | None = None) -> DataFrame:
+    """S12 upkeep, for a daily schedule: the small files of the lake's closed days merged by size.
+
+    ``today`` is the local day; the last ``days_open`` days before it may still get late records
+    and stay as they are. Returns the run's report (see ``compaction.compact_small_files``).
+    """
+    import datetime as dt
+
+    from changelake.sources import compaction
+
+    return compaction.compact_small_files(spark, path, target_bytes or compaction.TARGET_BYTES, before=today - dt.timedelta(days=days_open))
+
+
 def latest_per_topic_stream(records: DataFrame) -> DataFrame:
     """M5 on a stream: newest record per topic kept as state (update or complete mode)."""
     payload = [c for c in records.columns if c != "topic"]
