@@ -860,6 +860,7 @@ FROM events
 
 SQL["bronze_head"] = SQL["bronze_latest_state"] + "\nORDER BY __db_table, id_iceberg LIMIT 10"
 SQL["bronze_upsert"] = SQL["bronze_latest_state"]
+SQL["bronze_upsert_by_file"] = SQL["bronze_latest_state"]
 
 SQL["lag_by_minute"] = f"""
 WITH {CHANGE_LOG}

@@ -20,7 +20,7 @@ from changelake.operators import bronze, catalog, ingest_rules, lag, offsets, to
 from changelake.plans import fixtures
 from changelake.session import configure, materialize, read_table, scratch_path
 from changelake.sources import catalog_io, compaction, framing, lake, versions
-from changelake.streaming import jobs
+from changelake.streaming import bronze_files, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -858,6 +858,18 @@ def q_bronze_upsert(spark, sf_dir):
     return bronze.live_rows(bronze.upsert(state, after))
 
 
+@register("bronze_upsert_by_file")
+def q_bronze_upsert_by_file(spark, sf_dir):
+    """The change log folded into a state of files in four batches (days 1-8, 9-15, 16-23 and on), out of order inside."""
+    flat = bronze_flat(spark, sf_dir).select(*BRONZE_COLUMNS, "__deleted", "timestamp")
+    path = scratch_path(spark, "bronze-files")
+    day = F.floor(F.datediff("timestamp", F.lit(_dt.date(2024, 1, 1))) / 8)
+    for n in range(4):
+        part = F.least(F.greatest(day, F.lit(0)), F.lit(3)) == n
+        bronze_files.fold_batch(flat.filter(part).drop("timestamp"), n, path, bronze.DEFAULT_KEY, bronze.DEFAULT_ORDER, buckets=4, max_files=3)
+    return bronze.live_rows(bronze_files.read_state(spark, path)).select(*BRONZE_COLUMNS)
+
+
 @register("lag_by_minute")
 def q_lag_by_minute(spark, sf_dir):
     """X3 (batch twin of the stream): latency per table and commit minute."""

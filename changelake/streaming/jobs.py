@@ -11,7 +11,8 @@
 * :func:`lag_by_minute` (X3): per table and minute, latency stats with a watermark.
 * :func:`lag_metrics_stream` (M10): the lag scrape re-run on every trigger over a small
   last-record-per-partition state table.
-* :func:`bronze_stream` (X1/X2): change batches folded into a bucketed bronze state.
+* :func:`bronze_stream` (X1/X2): change batches folded into a bucketed bronze state; the capture
+  path uses ``bronze_files``, which rewrites only the files that may hold a touched key.
 * :func:`change_capture_streams`: one record stream -> decoded envelope -> lake sink, bronze
   fold and dead letters, as three checkpointed queries.
 """
@@ -239,7 +240,11 @@ def bucket_versions(spark, state_path: str, batch_id: int) -> dict[int, int]:
 
 
 def read_bronze(spark, state_path: str) -> DataFrame:
-    """The current state of a bronze stream, tombstones included."""
+    """The current state of a bronze stream (by buckets or by files), tombstones included."""
+    from changelake.streaming import bronze_files
+
+    if _exists(spark, f"{state_path}-live"):
+        return bronze_files.read_state(spark, state_path)
     tables = spark.read.schema("bucket int, version bigint, batch_id bigint").parquet(f"{state_path}-buckets")
     last = tables.agg(F.max("batch_id")).first()[0]
     versions = bucket_versions(spark, state_path, last)
@@ -260,6 +265,7 @@ def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_
     Each query has its own checkpoint under ``checkpoint_root``. Returns the three queries.
     """
     from changelake.operators import offsets, transforms
+    from changelake.streaming import bronze_files
 
     if replay_window is not None:
         records = offsets.drop_replayed(records, replay_window)
@@ -268,8 +274,8 @@ def change_capture_streams(records: DataFrame, envelope, lake_path: str, bronze_
     names = chain or transforms.BRONZE_CHAIN
     flat = transforms.transform_chain(events, names, topic_prefix=topic_prefix,
                                       overrides={"hashKey": {"key_fields": key_fields}})
-    bronze_q = bronze_stream(flat.drop("topic", "timestamp"), bronze_path, f"{checkpoint_root}/bronze",
-                             available_now=available_now)
+    bronze_q = bronze_files.bronze_file_stream(flat.drop("topic", "timestamp"), bronze_path, f"{checkpoint_root}/bronze",
+                                               available_now=available_now)
     w = (dead.writeStream.format("parquet").outputMode("append").option("path", dead_path)
          .option("checkpointLocation", f"{checkpoint_root}/dead"))
     dead_q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=LAKE_TRIGGER)).start()
