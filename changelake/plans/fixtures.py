@@ -494,6 +494,22 @@ def ingest_lists(orders: DataFrame, engine: str = "mssql") -> dict[str, DataFram
             "lower_case_tables": lower}
 
 
+def pattern_rules(orders: DataFrame) -> DataFrame:
+    """(action, schema, table) selection rules with wildcards in schema and table, derived from ``orders``: tables by
+    their beginning, by their end, schemas by their beginning, and a few written out (one with a plain underscore)."""
+    spark = orders.sparkSession
+    k, c = F.col("o_orderkey"), F.col("o_custkey") % 25
+    text = lambda x: x.cast("string")
+    rule = lambda cond, action, schema, table: orders.filter(cond).select(
+        F.lit(action).alias("action"), schema.alias("schema"), table.alias("table"))
+    fixed = spark.createDataFrame([("include", "db7", "%"), ("exclude", "db1_", "T%"), ("include", "db12", "T5"), ("exclude", "db7", "%99")],
+                                  "action string, schema string, table string")
+    return (rule(k % 97 == 0, "include", F.concat(F.lit("db"), text(c)), F.concat(F.lit("T"), text(F.floor(k / 100)), F.lit("%")))
+            .unionByName(rule(k % 101 == 0, "include", F.concat(F.lit("db"), text(F.floor(c / 10)), F.lit("%")), F.concat(F.lit("%"), text(k % 1000))))
+            .unionByName(rule(k % 89 == 0, "exclude", F.lit("%"), F.concat(F.lit("%"), text(k % 1000))))
+            .unionByName(fixed))
+
+
 def rule_set_documents(orders: DataFrame) -> DataFrame:
     """(file_name, JSON text) rule sets, one per order's table.
 

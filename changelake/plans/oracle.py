@@ -873,6 +873,23 @@ SELECT db || '_bronze.' || tbl AS __db_table,
 FROM cl GROUP BY ALL
 """
 
+SQL["wildcard_selection"] = """
+WITH names AS (
+  SELECT DISTINCT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS s, 'T' || CAST(o_orderkey AS VARCHAR) AS t FROM orders
+  UNION ALL SELECT 'dbx', 'T1'
+), rules AS (
+  SELECT DISTINCT * FROM (
+    SELECT 'include' AS action, 'db' || o_custkey % 25 AS sp, 'T' || o_orderkey // 100 || '%' AS tp FROM orders WHERE o_orderkey % 97 = 0
+    UNION ALL SELECT 'include', 'db' || (o_custkey % 25) // 10 || '%', '%' || o_orderkey % 1000 FROM orders WHERE o_orderkey % 101 = 0
+    UNION ALL SELECT 'exclude', '%', '%' || o_orderkey % 1000 FROM orders WHERE o_orderkey % 89 = 0
+    UNION ALL VALUES ('include', 'db7', '%'), ('exclude', 'db1$_', 'T%'), ('include', 'db12', 'T5'), ('exclude', 'db7', '%99'))
+), met AS (
+  SELECT s, t, bool_or(action = 'include') AS inn, bool_or(action = 'exclude') AS outt
+  FROM names JOIN rules ON s LIKE sp ESCAPE '$' AND t LIKE tp ESCAPE '$' GROUP BY s, t
+)
+SELECT s AS schema, t AS "table" FROM met WHERE inn AND NOT outt
+"""
+
 SQL["rules_json_scan"] = """
 WITH lst AS (
   SELECT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS database, 'T' || CAST(o_orderkey AS VARCHAR) AS tbl,

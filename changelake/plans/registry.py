@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from changelake import schemas
 from changelake.functions import temporal as tm
-from changelake.operators import bronze, catalog, ingest_rules, lag, offsets, topology, transforms
+from changelake.operators import bronze, catalog, ingest_rules, lag, offsets, patterns, topology, transforms
 from changelake.plans import fixtures
 from changelake.session import configure, materialize, read_table, scratch_path
 from changelake.sources import catalog_io, compaction, framing, lake, versions
@@ -512,6 +512,15 @@ def q_table_selection(spark, sf_dir):
     return ingest_rules.table_selection(lists["tables"], lists["except_tables"])
 
 
+@register("wildcard_selection")
+def q_wildcard_selection(spark, sf_dir):
+    """Listed tables selected by rules with wildcards in schema and table; exclude beats include."""
+    orders = _orders(spark, sf_dir)
+    name = F.split("name", r"\.")
+    names = fixtures.ingest_lists(orders, "mysql")["tables"].select(name[0].alias("schema"), name[1].alias("table"))
+    return patterns.wildcard_selection(names, fixtures.pattern_rules(orders))
+
+
 def _b1_plan_lists(spark, flat):
     # the list of names is derived once; the plan's several uses of it do not scan the events again
     names = materialize(flat.select(F.concat(F.col("__db"), F.lit(".dbo."), F.upper("__table")).alias("name")).distinct(), "names")
