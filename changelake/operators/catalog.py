@@ -497,15 +497,83 @@ def apply_spark_types(df: DataFrame, spec: DataFrame, db: str, table: str) -> Da
     """Cast one table's data columns to the Spark types of the type map.
 
     Casts are ``try_cast`` so a value that does not fit becomes null instead of failing
-    the job under ANSI mode; bit columns arriving as 0/1 become booleans.
+    the job under ANSI mode; bit columns arriving as numbers, bytes or text become booleans.
+    :func:`cast_misfits` lists the values that this nulls, :func:`type_fit_report` counts them.
     """
+    types = dict(df.dtypes)
+    return df.withColumns({n: fitted(F.col(f"`{n}`"), types[n], t) for n, t in spark_types(df, spec, db, table).items()})
+
+
+def spark_types(df: DataFrame, spec: DataFrame, db: str, table: str) -> dict[str, str]:
+    """Column -> Spark type of the frame's columns that the spec knows (schema metadata, a row a column)."""
     mapped = type_map(_table_columns(spec, db, table)).select("COLUMN_NAME", "spark_type").collect()
-    out = {}
-    for r in mapped:
-        name, target = r["COLUMN_NAME"], r["spark_type"]
-        if name not in df.columns:
-            continue
-        c = F.col(name)
-        out[name] = (c.cast("string") != "0") if target == "boolean" and dict(df.dtypes)[name] != "boolean" \
-            else c.try_cast(target)
-    return df.withColumns(out)
+    return {r["COLUMN_NAME"]: r["spark_type"] for r in mapped if r["COLUMN_NAME"] in df.columns}
+
+
+def fitted(c: Column, source: str, target: str) -> Column:
+    """The value as ``target``, null where it does not fit.
+
+    A boolean comes from a number (not 0), from bytes (a bit that is set), or from text that
+    says so (``1 t true y yes`` and their opposites, or a number); other text does not fit.
+    """
+    if target != "boolean" or source == "boolean":
+        return c.try_cast(target)
+    if source == "binary":
+        return F.when(F.octet_length(c) > 0, ~F.hex(c).rlike("^0*$"))
+    if source == "string":
+        return F.coalesce(F.trim(c).try_cast("boolean"), F.trim(c).try_cast("double") != 0)
+    return c != 0
+
+
+def _shown(c: Column, source: str) -> Column:
+    return F.hex(c) if source == "binary" else c.cast("string")
+
+
+def _rounded(c: Column, target: str, value: Column) -> Column:
+    """The value fits, but digits are lost on the way."""
+    exact = target.startswith("decimal") or target in ("tinyint", "smallint", "int", "bigint")
+    return F.coalesce(c.try_cast("decimal(38,18)") != value.try_cast("decimal(38,18)"), F.lit(False)) if exact else F.lit(False)
+
+
+def fit_report(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """T10 on data: per column its values, misfits (nulled by the cast), rounded values, and the smallest of each as example.
+
+    One pass whatever the number of columns: counts and minima, reduced in every task before the
+    shuffle. Columns: column_name, source_type, spark_type, n_values, n_misfits, smallest_misfit,
+    n_rounded, smallest_rounded.
+    """
+    source = dict(df.dtypes)
+    aggs, rows = [], []
+    count = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+    for i, (name, target) in enumerate(sorted(types.items())):
+        c = F.col(f"`{name}`")
+        value, text = fitted(c, source[name], target), _shown(c, source[name])
+        misfit, lost = c.isNotNull() & value.isNull(), _rounded(c, target, value)
+        for key, agg in (("n", F.count(c)), ("m", count(misfit)), ("x", F.min(F.when(misfit, text))), ("r", count(lost)), ("y", F.min(F.when(lost, text)))):
+            aggs.append(agg.alias(f"{key}{i}"))
+        rows.append(F.struct(F.lit(name).alias("column_name"), F.lit(source[name]).alias("source_type"), F.lit(target).alias("spark_type"),
+                             F.col(f"n{i}").alias("n_values"), F.coalesce(f"m{i}", F.lit(0).cast("bigint")).alias("n_misfits"),
+                             F.col(f"x{i}").alias("smallest_misfit"), F.coalesce(f"r{i}", F.lit(0).cast("bigint")).alias("n_rounded"),
+                             F.col(f"y{i}").alias("smallest_rounded")))
+    if not rows:
+        raise ValueError("no column to report on")
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def type_fit_report(df: DataFrame, spec: DataFrame, db: str, table: str) -> DataFrame:
+    """:func:`fit_report` of one table's data against the Spark types of its specification."""
+    return fit_report(df, spark_types(df, spec, db, table))
+
+
+def cast_misfits(df: DataFrame, spec: DataFrame, db: str, table: str, key: list[str]) -> DataFrame:
+    """Every value that :func:`apply_spark_types` nulls: the row's key, column_name, spark_type, value as text (bytes as hex)."""
+    source = dict(df.dtypes)
+    found = []
+    for name, target in sorted(spark_types(df, spec, db, table).items()):
+        c = F.col(f"`{name}`")
+        bad = c.isNotNull() & fitted(c, source[name], target).isNull()
+        found.append(F.when(bad, F.struct(F.lit(name).alias("column_name"), F.lit(target).alias("spark_type"), _shown(c, source[name]).alias("value"))))
+    if not found:
+        raise ValueError("no column to report on")
+    rows = df.select(*[F.col(f"`{k}`") for k in key], F.explode(F.filter(F.array(*found), lambda m: m.isNotNull())).alias("_m"))
+    return rows.select(*key, "_m.*")

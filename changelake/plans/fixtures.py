@@ -494,6 +494,26 @@ def ingest_lists(orders: DataFrame, engine: str = "mssql") -> dict[str, DataFram
             "lower_case_tables": lower}
 
 
+def text_extract(orders: DataFrame) -> DataFrame:
+    """A table as a text export holds it: some values do not fit the column's type, some lose digits, one column is bytes."""
+    k = F.col("o_orderkey")
+    return orders.select(
+        k.alias("id"),
+        F.when(k % 50 == 0, F.concat(k.cast("string"), F.lit(" pcs"))).when(k % 70 == 0, F.lit("99999999999")).otherwise(k.cast("string")).alias("qty"),
+        F.when(k % 40 == 0, F.lit("n/a")).when(k % 30 == 0, F.lit("1.23456")).otherwise(F.concat((k % 1000).cast("string"), F.lit(".5"))).alias("price"),
+        F.when(k % 9 == 0, F.lit("false")).when(k % 9 == 1, F.lit("maybe")).when(k % 9 == 2, F.lit("0")).otherwise(F.lit("1")).alias("active"),
+        F.when(k % 2 == 0, F.lit(b"\x00")).otherwise(F.lit(b"\x01")).alias("flag"),
+        F.when(k % 11 == 0, F.lit("0000-00-00")).when(k % 13 == 0, F.lit(None)).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.lit("x").alias("unknown"))
+
+
+def text_extract_spec(spark: SparkSession) -> DataFrame:
+    """The specification of the exported table."""
+    cols = [("qty", "int", None), ("price", "decimal", "8,2"), ("active", "bit", "1"), ("flag", "bit", "1"), ("day", "date", None), ("gone", "int", None)]
+    return spark.createDataFrame([("sales", "export", *c) for c in cols],
+                                 "DB_NAME string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, COLUMN_LENGTH string")
+
+
 def pattern_rules(orders: DataFrame) -> DataFrame:
     """(action, schema, table) selection rules with wildcards in schema and table, derived from ``orders``: tables by
     their beginning, by their end, schemas by their beginning, and a few written out (one with a plain underscore)."""

@@ -873,6 +873,38 @@ SELECT db || '_bronze.' || tbl AS __db_table,
 FROM cl GROUP BY ALL
 """
 
+_EXTRACT = """
+SELECT o_orderkey AS id,
+       CASE WHEN o_orderkey % 50 = 0 THEN o_orderkey || ' pcs' WHEN o_orderkey % 70 = 0 THEN '99999999999' ELSE CAST(o_orderkey AS VARCHAR) END AS qty,
+       CASE WHEN o_orderkey % 40 = 0 THEN 'n/a' WHEN o_orderkey % 30 = 0 THEN '1.23456' ELSE o_orderkey % 1000 || '.5' END AS price,
+       CASE o_orderkey % 9 WHEN 0 THEN 'false' WHEN 1 THEN 'maybe' WHEN 2 THEN '0' ELSE '1' END AS active,
+       CASE WHEN o_orderkey % 11 = 0 THEN '0000-00-00' WHEN o_orderkey % 13 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS "day"
+FROM orders"""
+
+SQL["cast_misfits"] = f"""
+WITH e AS ({_EXTRACT})
+SELECT id, 'qty' AS column_name, 'int' AS spark_type, qty AS value FROM e WHERE TRY_CAST(qty AS INT) IS NULL
+UNION ALL SELECT id, 'price', 'decimal(8,2)', price FROM e WHERE price = 'n/a'
+UNION ALL SELECT id, 'active', 'boolean', active FROM e WHERE active = 'maybe'
+UNION ALL SELECT id, 'day', 'date', "day" FROM e WHERE "day" = '0000-00-00'
+"""
+
+SQL["type_fit_report"] = f"""
+WITH e AS ({_EXTRACT}), m AS (
+  SELECT 'qty' AS c, count(qty) AS n, count(*) FILTER (TRY_CAST(qty AS INT) IS NULL) AS bad,
+         min(qty) FILTER (TRY_CAST(qty AS INT) IS NULL) AS x, 0 AS r, NULL AS y FROM e
+  UNION ALL SELECT 'price', count(price), count(*) FILTER (price = 'n/a'), min(price) FILTER (price = 'n/a'),
+         count(*) FILTER (price = '1.23456'), min(price) FILTER (price = '1.23456') FROM e
+  UNION ALL SELECT 'active', count(active), count(*) FILTER (active = 'maybe'), min(active) FILTER (active = 'maybe'), 0, NULL FROM e
+  UNION ALL SELECT 'flag', count(*), 0, NULL, 0, NULL FROM e
+  UNION ALL SELECT 'day', count("day"), count(*) FILTER ("day" = '0000-00-00'), min("day") FILTER ("day" = '0000-00-00'), 0, NULL FROM e
+)
+SELECT c AS column_name, CASE c WHEN 'flag' THEN 'binary' ELSE 'string' END AS source_type,
+       CASE c WHEN 'qty' THEN 'int' WHEN 'price' THEN 'decimal(8,2)' WHEN 'day' THEN 'date' ELSE 'boolean' END AS spark_type,
+       n AS n_values, bad AS n_misfits, x AS smallest_misfit, CAST(r AS BIGINT) AS n_rounded, y AS smallest_rounded
+FROM m
+"""
+
 SQL["wildcard_selection"] = """
 WITH names AS (
   SELECT DISTINCT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS s, 'T' || CAST(o_orderkey AS VARCHAR) AS t FROM orders

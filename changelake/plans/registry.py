@@ -512,6 +512,20 @@ def q_table_selection(spark, sf_dir):
     return ingest_rules.table_selection(lists["tables"], lists["except_tables"])
 
 
+@register("type_fit_report")
+def q_type_fit_report(spark, sf_dir):
+    """T10 on data: what the casts of a text export to its specified types null or round."""
+    df = fixtures.text_extract(_orders(spark, sf_dir))
+    return catalog.type_fit_report(df, fixtures.text_extract_spec(spark), "sales", "export")
+
+
+@register("cast_misfits")
+def q_cast_misfits(spark, sf_dir):
+    """T10 on data: every value that the casts null, with its row's key."""
+    df = fixtures.text_extract(_orders(spark, sf_dir))
+    return catalog.cast_misfits(df, fixtures.text_extract_spec(spark), "sales", "export", ["id"])
+
+
 @register("wildcard_selection")
 def q_wildcard_selection(spark, sf_dir):
     """Listed tables selected by rules with wildcards in schema and table; exclude beats include."""

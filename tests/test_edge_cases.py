@@ -450,3 +450,23 @@ def test_parse_group_descriptions(spark):
     out = {r.group_id: r.topics for r in topology.consumer_topics(groups, assign).collect()}
     assert out == {"g1": ["t1", "t2"], "empty": []}
     assert assign.count() == 3
+
+
+def test_values_that_do_not_fit_are_reported(spark):
+    spec = spark.createDataFrame([("d", "t", "a", "int", None), ("d", "t", "b", "bit", "1"), ("d", "t", "c", "numeric", "4,1"), ("d", "u", "a", "bit", "1")],
+                                 "DB_NAME string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, COLUMN_LENGTH string")
+    rows = [(1, "5", "true", "1.25"), (2, "x", "FALSE", "12345"), (3, None, " 0 ", "2.5"), (4, "y", "2", None), (5, "-7", "odd", "z"), (6, "", "0.0", "1e2")]
+    df = spark.createDataFrame(rows, "id int, a string, b string, c string")
+    typed = catalog.apply_spark_types(df, spec, "d", "t").orderBy("id").collect()
+    assert [(r.a, r.b, None if r.c is None else str(r.c)) for r in typed] == [
+        (5, True, "1.3"), (None, False, None), (None, False, "2.5"), (None, True, None), (-7, None, None), (None, False, "100.0")]
+    lost = catalog.cast_misfits(df, spec, "d", "t", ["id"]).collect()
+    assert sorted(tuple(r) for r in lost) == [(2, "a", "int", "x"), (2, "c", "decimal(4,1)", "12345"), (4, "a", "int", "y"),
+                                              (5, "b", "boolean", "odd"), (5, "c", "decimal(4,1)", "z"), (6, "a", "int", "")]
+    report = {r.column_name: (r.n_values, r.n_misfits, r.smallest_misfit, r.n_rounded, r.smallest_rounded)
+              for r in catalog.type_fit_report(df.repartition(3), spec, "d", "t").collect()}
+    assert report == {"a": (5, 3, "", 0, None), "b": (6, 1, "odd", 0, None), "c": (5, 2, "12345", 1, "1.25")}
+    none = {r.column_name: tuple(r)[3:] for r in catalog.type_fit_report(df.limit(0), spec, "d", "t").collect()}
+    assert none["a"] == (0, 0, None, 0, None)
+    bits = spark.createDataFrame([(bytearray(b"\x00"),), (bytearray(b"\x01"),), (None,)], "a binary")
+    assert [r.a for r in catalog.apply_spark_types(bits, spec, "d", "u").collect()] == [False, True, None]
