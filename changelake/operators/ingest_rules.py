@@ -57,19 +57,23 @@ def read_rule_sets(spark, path: str, layout: str = "document", glob: str = "*.js
     ``_corrupt_record`` and are skipped. ``layout="lines"``: one rule object per line, the
     position being the rule id. A document is known by its full path (of the folder for
     lines); ``file_name`` shows the file's own name, or with ``name="folder"`` (and for
-    lines) the folder's, without the ``key=`` of a partition folder. Documents are exploded
-    where they are read.
+    lines) the folder's, without the ``key=`` of a partition folder. Numbered documents in
+    ``document=<n>`` folders (:func:`write_plan`) are one rule set, known by the folder above;
+    their rules follow one another. Documents are exploded where they are read.
     """
     reader = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
-    file_path = F.col("_metadata.file_path")
+    whole_path = F.col("_metadata.file_path")
+    number = F.regexp_extract(whole_path, r"/document=(\d+)/[^/]+$", 1)
+    file_path = F.regexp_replace(whole_path, r"/document=\d+/[^/]+$", "/rules")
     folder_path = F.regexp_extract(file_path, r"^(.*)/[^/]+$", 1)
     folder = F.regexp_replace(F.regexp_extract(folder_path, r"([^/]+)$", 1), r"^[^=]*=", "")
     if layout == "document":
         raw = reader.schema(_with_corrupt(RULE_SET)).option("multiLine", "true").json(path)
         shown = folder if name == "folder" else F.col("_metadata.file_name")
         return (raw.filter(F.col("_corrupt_record").isNull() & F.col("rules").isNotNull())
-                .select(file_path.alias("file_path"), shown.alias("file_name"), F.posexplode("rules").alias("pos", "rule")))
+                .select(file_path.alias("file_path"), shown.alias("file_name"), number.alias("_nr"), F.posexplode("rules").alias("pos", "rule"))
+                .select("file_path", "file_name", (F.col("pos") + F.when(F.col("_nr") != "", F.col("_nr").cast("bigint") * _DOCUMENT_STEP).otherwise(0)).alias("pos"), "rule"))
     if layout == "lines":
         raw = reader.schema(_with_corrupt(RULE)).json(path)
         return (raw.filter(F.col("_corrupt_record").isNull())
@@ -249,17 +253,29 @@ def rule_documents(plan: DataFrame) -> DataFrame:
     return plan.select("database", "rule_id", F.to_json(rule).alias("rule_json"))
 
 
-def plan_documents(plan: DataFrame) -> DataFrame:
-    """(database, text): one ``{"rules": [...]}`` document per database, rules by rule id."""
+# rules of a document: a few hundred bytes each, so a document is a few MB however large its database
+RULES_PER_DOCUMENT = 10_000
+# positions of a rule set's documents lie this far apart; no document may hold more rules
+_DOCUMENT_STEP = 1_000_000
+
+
+def plan_documents(plan: DataFrame, rules_per_document: int = RULES_PER_DOCUMENT) -> DataFrame:
+    """(database, document, text): ``{"rules": [...]}`` documents of up to ``rules_per_document`` ids, rules by rule id.
+
+    A database's documents are numbered from 0; each holds a range of the rule ids and is valid
+    by itself, so no row and no task holds a whole database.
+    """
+    if not 0 < rules_per_document <= _DOCUMENT_STEP:
+        raise ValueError(f"rules_per_document must be from 1 to {_DOCUMENT_STEP}")
     rules = F.transform(F.sort_array(F.collect_list(F.struct("rule_id", "rule_json"))), lambda r: r["rule_json"])
-    return rule_documents(plan).groupBy("database").agg(
+    number = F.floor((F.col("rule_id") - 1) / rules_per_document).cast("int")
+    return rule_documents(plan).groupBy("database", number.alias("document")).agg(
         F.concat(F.lit('{"rules": ['), F.array_join(rules, ", "), F.lit("]}")).alias("text"))
 
 
-def write_plan(plan: DataFrame, path: str) -> None:
-    """The plan as the replication service takes it: a document per database, in a folder of
-    its own. (The document is the format's unit, so a database's rules end in one row.)"""
-    plan_documents(plan).write.mode("overwrite").partitionBy("database").text(path)
+def write_plan(plan: DataFrame, path: str, rules_per_document: int = RULES_PER_DOCUMENT) -> None:
+    """The plan as the replication service takes it: numbered documents below a folder for each database."""
+    plan_documents(plan, rules_per_document).write.mode("overwrite").partitionBy("database", "document").text(path)
 
 
 # --- R5: meaning of a plan on data ---------------------------------------------------------

@@ -657,7 +657,8 @@ SQL["ingest_plan_mysql"] = _plan_sql("mysql")
 
 SQL["ingest_plan_documents"] = f"""
 SELECT database, count(*) AS n_rules, count(*) FILTER (rule_type = 'selection') AS n_selections,
-       count(*) FILTER (rule_type = 'selection') AS n_filter_lists, true AS in_order
+       count(*) FILTER (rule_type = 'selection') AS n_filter_lists, true AS in_order,
+       (count(*) + 199) // 200 AS n_documents, least(count(*), 200) AS most_rules
 FROM ({SQL["ingest_plan_mssql"]}) GROUP BY database
 """
 
@@ -922,6 +923,18 @@ WITH names AS (
 SELECT s AS schema, t AS "table" FROM met WHERE inn AND NOT outt
 """
 
+SQL["late_by_minute"] = f"""
+WITH {CHANGE_LOG}, r AS (
+  SELECT db || '_bronze.' || tbl AS __db_table, src_ms, src_ms // 60000 AS minute, src_ms + "offset" % 50 * 60000 + "offset" % 1000 AS arrived FROM cl
+), marks AS (
+  SELECT b, max(newest) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000 AS mark
+  FROM (SELECT arrived // 60000 AS b, max(src_ms) AS newest FROM r GROUP BY 1)
+)
+SELECT __db_table, strftime(epoch_ms(minute * 60000), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_late,
+       max(arrived - (minute + 1) * 60000) * 1000 / 1000000::DOUBLE AS max_behind
+FROM r JOIN marks ON arrived // 60000 = b WHERE (minute + 1) * 60000 <= mark GROUP BY __db_table, minute
+"""
+
 SQL["rules_json_scan"] = """
 WITH lst AS (
   SELECT 'db' || CAST(o_custkey % 25 AS VARCHAR) AS database, 'T' || CAST(o_orderkey AS VARCHAR) AS tbl,

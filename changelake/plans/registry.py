@@ -20,7 +20,7 @@ from changelake.operators import bronze, catalog, ingest_rules, lag, offsets, pa
 from changelake.plans import fixtures
 from changelake.session import configure, materialize, read_table, scratch_path
 from changelake.sources import catalog_io, compaction, framing, lake, versions
-from changelake.streaming import bronze_files, jobs
+from changelake.streaming import bronze_files, jobs, late
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -905,6 +905,18 @@ def q_lag_by_minute(spark, sf_dir):
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
 
 
+@register("late_by_minute")
+def q_late_by_minute(spark, sf_dir):
+    """Late rows per table and commit minute, where records arrive up to 49 minutes after their commit."""
+    ce = fixtures.change_events(_events(spark, sf_dir))
+    flat = transforms.format_field(transforms.unwrap(
+        ce.withColumn("commit_ts", F.timestamp_millis("source.ts_ms"))
+          .withColumn("arrival", F.timestamp_millis(F.col("source.ts_ms") + F.col("offset") % 50 * 60_000 + F.col("offset") % 1000)),
+        keep=("offset", "commit_ts", "arrival")))
+    out = late.late_by_minute(flat, "arrival")
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register("naming_audit")
 def q_naming_audit(spark, sf_dir):
     """Names that need quoting (special characters, digits only, or a reserved word)."""
@@ -913,11 +925,11 @@ def q_naming_audit(spark, sf_dir):
 
 @register("rules_json_scan")
 def q_rules_json_scan(spark, sf_dir):
-    """S16 + R1: the SQL Server plan written as one rule document per database (all files in
+    """S16 + R1: the SQL Server plan written as numbered rule documents per database (all files in
     folders of their own, some of equal names, one broken), scanned from the tree and tidied."""
     lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mssql")
     path = scratch_path(spark, "rules")
-    ingest_rules.write_plan(ingest_rules.ingest_plan_mssql(**lists), path)
+    ingest_rules.write_plan(ingest_rules.ingest_plan_mssql(**lists), path, rules_per_document=200)
     spark.createDataFrame([('{"rules": [ {"rule-type": "selection"',)], "value string").write.text(f"{path}/database=broken")
     rules = ingest_rules.read_rule_sets(spark, path, glob="*.txt", name="folder")
     return ingest_rules.rules_tidy(rules)
@@ -925,14 +937,17 @@ def q_rules_json_scan(spark, sf_dir):
 
 @register("ingest_plan_documents")
 def q_ingest_plan_documents(spark, sf_dir):
-    """The rule documents read back as JSON: rules, selection rules with an empty filter list."""
+    """The numbered rule documents of each database read back as JSON: rules, selection rules with an empty filter list."""
     lists = fixtures.ingest_lists(_orders(spark, sf_dir), "mssql")
-    docs = ingest_rules.plan_documents(ingest_rules.ingest_plan_mssql(**lists))
+    docs = ingest_rules.plan_documents(ingest_rules.ingest_plan_mssql(**lists), rules_per_document=200)
     rules = F.from_json("text", "rules ARRAY<STRUCT<`rule-type`: STRING, `rule-id`: STRING, filters: ARRAY<STRING>>>")["rules"]
     of = lambda cond: F.size(F.filter(rules, cond)).cast("long")
-    return docs.select(
+    each = docs.select(
         "database", F.size(rules).cast("long").alias("n_rules"),
         of(lambda r: r["rule-type"] == "selection").alias("n_selections"),
         of(lambda r: F.size(r["filters"]) == 0).alias("n_filter_lists"),
         F.transform(rules, lambda r: r["rule-id"].cast("int")).eqNullSafe(
             F.sort_array(F.transform(rules, lambda r: r["rule-id"].cast("int")))).alias("in_order"))
+    return each.groupBy("database").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.max("n_rules").alias("most_rules"),
+        *[F.sum(c).alias(c) for c in ("n_rules", "n_selections", "n_filter_lists")], F.min("in_order").alias("in_order"))
