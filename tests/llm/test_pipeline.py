@@ -1,6 +1,8 @@
 """The pipeline stage by stage against plain Python versions of what each stage decides."""
 
 import hashlib
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,13 +14,31 @@ from changelake.llm.queries import tokenizer_file
 from changelake.session import materialize, read_table
 from tests.llm.test_decontamination import brute as leaks
 from tests.llm.test_neardup import brute as near
-from tests.llm.test_substrings import brute as repeats
 
 
 def rows_of(df):
     return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
 
 
+def cut(rows, n_bytes, n_words):
+    """The texts without what strings of n_bytes bytes cover that start twice, or strings of n_words words in fewer bytes that occur twice."""
+    texts = [(t or "").encode() for _, t in rows]
+    spans = []
+    for t in texts:
+        words = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+        short = [(a[0], b[1]) for a, b in zip(words, words[n_words - 1:]) if b[1] - a[0] < n_bytes]
+        spans.append([(i, i + n_bytes) for i in range(len(t) - n_bytes + 1)] + short)
+    seen = Counter(t[a:b] for t, s in zip(texts, spans) for a, b in s)
+    out = []
+    for t, s in zip(texts, spans):
+        gone = bytearray(len(t))
+        for a, b in s:
+            if seen[t[a:b]] > 1:
+                gone[a:b] = b"\x01" * (b - a)
+        out.append(bytes(c for c, g in zip(t, gone) if not g).decode(errors="ignore"))
+    return out
+
+
 def test_stages_and_run(spark, sf_dir):
     from changelake.llm import decontamination as dec
 
@@ -36,10 +56,9 @@ def test_stages_and_run(spark, sf_dir):
     assert got[1] == [r for r in got[0] if r[0] not in rejected]
     kept = {i for i, _, _, k in near(got[1], 5) if k}
     assert len(kept) < len(got[1]) and got[2] == [r for r in got[1] if r[0] in kept]
-    removed = {i: n for i, _, n, _, _ in repeats(got[2], 240)}
-    assert sum(removed.values()) and [i for i, _ in got[3]] == [i for i, _ in got[2]]
-    for (i, t), (_, u) in zip(got[2], got[3]):
-        assert 0 <= len(t.encode()) - removed[i] - len(u.encode()) <= 3 * 20
+    want = cut(got[2], 240, 51)
+    assert want != [t for _, t in got[2]] and want != cut(got[2], 240, 10**9)  # both rules cut something
+    assert got[3] == [(i, t) for (i, _), t in zip(got[2], want)]
     assert all(r["n_chars"] == len(r["text"]) for r in frames[2].collect())
     items = [(r["item_id"], r["text"]) for r in read_table(spark, sf_dir, "benchmark").collect()]
     assert got[4] == [r for r in got[3] if not leaks(r[1], items, dec.LeakParams())]
