@@ -8,19 +8,22 @@ else an optional group; where texts differ, the slot is variable, and a text tha
 on every page stays constant.
 
 Every task infers wrappers of the hosts it meets from its own pages; the partial wrappers, a
-few tokens each, are merged per host by the same alignment.  So all pages take part, no page
-text is shuffled, and a host with a third of all pages is as many small wrappers as there are
-tasks.  The wrappers are then joined to the pages by host.
+few tokens each, are merged per host by the same alignment, as a tree: those of ``FAN`` tasks by
+one task, and so on.  So all pages take part, no page text is shuffled, and a host with a third of
+all pages never has more than ``FAN`` tasks' wrappers in one.  What reading needs of a wrapper
+(names of template texts, paths) is then joined to the pages by host.
 
 Every slot carries what the host's pages say about it: its text as long as it is the same
 everywhere, up to ``ENOUGH`` hashes of distinct pages that have it (so ``ENOUGH`` distinct
 pages are told exactly, in whatever order parts are merged), and its greatest length.  A slot
 of that many distinct pages is decided by them: a constant text is template and goes, also
 within the content container and a repeated group that is the same everywhere (a menu); a
-variable one is main text, whatever its class or id is called.  Class and id names (menu,
-share, cookie ...) decide only slots of fewer pages.  Elements and roles that HTML defines as
-not main text (nav, footer, aside, form, hidden ...) never are: they vary from page to page
-too.  Pages that differ in no other text count once, so copies of a page are no template; if a
+variable one of neutral name is main text.  Adverts, notices, reader comments, menus and the like
+vary from page to page by nature, so variation says nothing about them: class and id names that
+say so (``NEVER``) and elements and roles that HTML defines as not main text (nav, footer, aside,
+form, hidden ...) always stay out.  The other names (share, widget, banner ...) also stand on
+containers of stories; they are overruled only where such a container holds more than half of the
+host's variable text.  Pages that differ in no other text count once, so copies of a page are no template; if a
 host's constant texts outweigh its variable ones (copies with another date), names decide.
 If a content container (article, main) holds the greater part of the decided text, or of a
 host with too few pages any text, the open slots are those inside it.  A page without any such
@@ -56,6 +59,14 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
              "time tt u var wbr img br script style noscript template svg iframe button select option textarea input label".split())
 NOT_MAIN = set("nav footer aside form script style noscript iframe template svg button select option textarea dialog menu head title".split())
 CONTENT = ("article", "main")
+# of these, names that nothing overrules
+NEVER = set(
+    "nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside notice notices cookie cookies consent ad ads advert adverts "
+    "advertisement sponsor sponsored newsletter comment comments respond replies disqus pagination pager copyright adbox adslot "
+    "adsbygoogle advertising sponsors cookiebar gdpr".split())
+# words that turn a name into a remark on the page (comments-open, no-sidebar)
+REMARK = set("has no not without with open closed free enabled disabled off".split())
+COMMENT = set("comment comments reply replies".split())
 BOILERPLATE = set(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget notice notices cookie cookies consent "
     "banner popup modal alert ad ads advert adverts advertisement sponsor sponsored promo promotion newsletter subscribe signup login "
@@ -66,6 +77,7 @@ ROLES = set("navigation banner contentinfo complementary search form dialog aler
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 ENOUGH = 5  # distinct pages of a host that decide a slot
+FAN = 32    # tasks whose wrappers of a host are merged by one
 HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 SPACE = re.compile(r"\s+")
 
@@ -75,10 +87,18 @@ def attributes(raw: str) -> dict[str, str]:
 
 
 def boilerplate_name(attrs: dict[str, str]) -> int:
-    """2 if the role is not main text or the element is not shown, 1 if class or id name something like that, else 0."""
-    words = re.split(r"[^a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
+    """2 if the element is not shown, or its role, class or id says for sure that it is not main text, 1 if a name may say so, else 0."""
+    words = named_words(attrs)
     unseen = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
-    return 2 if unseen or attrs.get("role", "").lower() in ROLES else int(any(w in BOILERPLATE for w in words))
+    if unseen or attrs.get("role", "").lower() in ROLES or words & NEVER:
+        return 2
+    return int(bool(words & BOILERPLATE))
+
+
+def named_words(attrs: dict[str, str]) -> set[str]:
+    """Words of class and id names, but for names that only remark on something."""
+    names = (set(re.split(r"[^a-z]+", n)) for n in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split())
+    return {w for words in names if not words & REMARK for w in words}
 
 
 def stream(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
@@ -157,7 +177,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], int, str]]:
             # a header inside the article holds its heading
             bad = 2 if value in NOT_MAIN or (value == "header" and not inside_article) else boilerplate_name(attrs)
             if value in CONTENT or value in ("html", "body"):
-                bad = 0 if value != "article" else int("comment" in attrs.get("class", "").lower())
+                bad = 2 if value == "article" and named_words(attrs) & COMMENT else 0
             label = value + "".join("." + c for c in sorted(attrs.get("class", "").lower().split()))
             stack.append((value, label, bad))
         else:
@@ -350,10 +370,19 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         wrapper = None
         for w in sorted(table.column("wrapper").to_pylist()):
             wrapper = learn(wrapper, json.loads(w))
-        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(wrapper)]}, schema=pa.schema([("host", pa.string()), ("wrapper", pa.string())]))
+        return pa.table({"host": [key[0].as_py()], "part": [key[1].as_py()], "wrapper": [json.dumps(wrapper)]},
+                        schema=pa.schema([("host", pa.string()), ("part", pa.int64()), ("wrapper", pa.string())]))
 
-    parts = pages.select("host", "html").mapInArrow(partial, "host string, wrapper string").distinct()
-    return parts.groupBy("host").applyInArrow(merge, "host string, wrapper string")
+    parts = pages.select("host", "html").mapInArrow(partial, "host string, wrapper string")
+    parts = materialize(parts.withColumn("part", F.spark_partition_id().cast("bigint")), "wrapper-parts")
+    most = parts.agg(F.max("part")).first()[0] or 0
+    while True:
+        most //= FAN
+        group = F.expr(f"part div {FAN}") if most else F.lit(0).cast("bigint")
+        merged = parts.select("host", "wrapper", group.alias("part")).groupBy("host", "part").applyInArrow(merge, "host string, part bigint, wrapper string")
+        if not most:
+            return merged.drop("part")
+        parts = materialize(merged, "wrapper-parts")
 
 
 class Extractor:
@@ -365,11 +394,16 @@ class Extractor:
         varied = [s for s in decided if s[3] is None]
         if sum(s[5] for s in varied) < sum(s[5] for s in decided if s[3] is not None and not s[2]):
             decided = varied = []  # rather copies of one page than pages of one template
-        #: (path, text) of the host's template
-        self.template = {(s[1], s[3]) for s in decided if s[3] is not None}
-        #: paths that are text in spite of a name
-        self.named = {s[1] for s in varied if s[2]}
-        text = [s for s in found if (s[1], s[3]) not in self.template and (not s[2] or s[1] in self.named)]
+        #: names of (path, text) of the host's template
+        self.template = {_name(s[1], s[3]) for s in decided if s[3] is not None}
+        #: paths that are text in spite of a name: their container holds the greater part of what varies
+        by_container: dict[str, list] = {}
+        for s in varied:
+            if s[2]:
+                by_container.setdefault(self._named_container(s[1]), []).append(s)
+        total = sum(s[5] for s in varied)
+        self.named = {s[1] for group in by_container.values() if 2 * sum(s[5] for s in group) > total for s in group}
+        text = [s for s in found if (s[3] is None or _name(s[1], s[3]) not in self.template) and (not s[2] or s[1] in self.named)]
         # the container that holds main text on the host's pages
         self.container = None
         for c in CONTENT:
@@ -379,6 +413,26 @@ class Extractor:
                 break
         self.main = {s[1] for s in text if self.container is None or self._inside(s[1], self.container)}
 
+    def facts(self) -> str:
+        """What reading pages needs, as JSON."""
+        return json.dumps([sorted(self.template), sorted(self.named), self.container, sorted(self.main)])
+
+    @classmethod
+    def of_facts(cls, facts: str) -> Extractor:
+        e = cls.__new__(cls)
+        template, named, e.container, main = json.loads(facts)
+        e.template, e.named, e.main = set(template), set(named), set(main)
+        return e
+
+    @staticmethod
+    def _named_container(path: str) -> str:
+        """The path up to its first element with a doubtful class; all of it where an id has the name."""
+        steps = path.split("/")
+        for i, step in enumerate(steps):
+            if named_words({"class": " ".join(step.split(".")[1:])}) & BOILERPLATE:
+                return "/".join(steps[:i + 1])
+        return path
+
     @staticmethod
     def _inside(path: str, container: str) -> bool:
         return any(x.split(".")[0] == container for x in path.split("/"))
@@ -388,7 +442,7 @@ class Extractor:
         drop: set[int] = set()
         if self.template:
             nodes = collapse([["t", "/".join(path), skipped, text, (), 0, [i]] for i, (path, skipped, text) in enumerate(read)])
-            drop = {i for s in slots(nodes) if (s[1], s[3]) in self.template for i in s[6]}
+            drop = {i for s in slots(nodes) if _name(s[1], s[3]) in self.template for i in s[6]}
         found = [("/".join(path), text) for i, (path, skipped, text) in enumerate(read)
                  if i not in drop and (not skipped or (skipped == 1 and "/".join(path) in self.named))]
         main = self.main
@@ -402,21 +456,27 @@ class Extractor:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of (page_id, url, html)."""
     pages = pick(pages, "page_id", "url", "html").withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1)))
-    wrappers = materialize(infer_wrappers(pages), "wrappers")
+
+    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in in_slices(batches):
+            read = [Extractor(json.loads(w.as_py())).facts() for w in b.column("wrapper")]
+            yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(read, pa.string())], names=["host", "facts"])
+
+    wrappers = materialize(infer_wrappers(pages).mapInArrow(facts, "host string, facts string"), "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built: dict[str, Extractor] = {}
         for b in in_slices(batches):
             out = []
-            for wrapper, page in zip(b.column("wrapper").to_pylist(), b.column("html")):
-                if wrapper not in built:
+            for known, page in zip(b.column("facts").to_pylist(), b.column("html")):
+                if known not in built:
                     if len(built) > 2_000:
                         built.clear()
-                    built[wrapper] = Extractor(json.loads(wrapper))
-                out.append(built[wrapper].text(page.as_py() or ""))
+                    built[known] = Extractor.of_facts(known)
+                out.append(built[known].text(page.as_py() or ""))
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    return pages.join(wrappers, "host").select("page_id", "url", "html", "wrapper").mapInArrow(
+    return pages.join(wrappers, "host").select("page_id", "url", "html", "facts").mapInArrow(
         run, "page_id bigint, url string, text string, n_chars bigint")

@@ -98,3 +98,49 @@ def test_host_pages_decide_without_names(spark):
     assert all(got[100 + i] == "Top\nthe same text\nread 7" and "the same text" in got[200 + i] for i in range(12))
     # names decide where there are few pages
     assert got[300] == "Try our plan\nTitle 0\nstory 0 goes on\nand ends 0\nAll rights"
+
+
+def extracted(spark, pages):
+    rows = [(i, f"http://{host}/{i}", page) for i, (host, page) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(40)
+    got = {r["page_id"]: r["text"] for r in hx.extract(df).collect()}
+    return [got[i] for i in range(len(rows))]
+
+
+def test_adverts_notices_and_comments_that_vary_stay_out(spark):
+    """They change from page to page by nature, in an article or main element and without one, named by class or by id."""
+    kinds = {
+        "plain": "<body><div class='ad'>Buy {0} now</div><div id='cookie'>We use cookies {0}</div><div class='post'><p>story {0} goes on</p><p>ends {0}</p></div></body>",
+        "article": "<body><div class='ad-box'>Buy {0}</div><article class='post comments-open'><p>story {0} goes on</p><div id='sponsor-{0}' class='sponsored'>by {0}</div>"
+                   "<p>ends {0}</p></article><section class='comments'><article class='comment'><p>reader {0} says much, much more than the story {0} itself</p></article></section></body>",
+        "bare": "<body><main><h1>story {0} goes on</h1><p>ends {0}</p><article class='comment depth-1'><p>First {0}!</p></article></main><p class='notice'>Notice {0}</p></body>",
+        "list": "<body><ul class='menu'><li>m{0}</ul><p>story {0} goes on</p><p>ends {0}</p><ol id='comments'><li>one {0}<li>two {0}</ol><div class='sidebar'>{0}</div></body>",
+    }
+    pages = [(f"{host}.example", page.format(i)) for host, page in kinds.items() for i in range(9)]
+    got = extracted(spark, pages)
+    assert got == [f"story {i} goes on\nends {i}" for _ in kinds for i in range(9)]
+
+
+def test_a_doubtful_name_is_overruled_by_most_of_the_text_only(spark):
+    page = ("<body><div class='share-story'><h2>Title {0}</h2><p>story {0} goes on and on</p></div><div class='related'><p>more {0}</p></div>"
+            "<div class='zq'><p>by line {0}</p></div></body>")
+    got = extracted(spark, [("h.example", page.format(i)) for i in range(9)])
+    assert got == [f"Title {i}\nstory {i} goes on and on\nby line {i}" for i in range(9)]
+
+
+def test_wrappers_merge_as_a_tree(spark, monkeypatch):
+    page = "<body><div class='zq1'>Top</div><p>a long story {0}</p>{1}<div class='zq2'>End</div></body>"
+    pages = [("h.example", page.format(i, "<pre>opt</pre>" if i % 3 == 0 else "")) for i in range(60)]
+    want = extracted(spark, pages)
+    assert want == [f"a long story {i}" for i in range(60)]
+    monkeypatch.setattr(hx, "FAN", 2)
+    assert extracted(spark, pages) == want
+
+
+def test_the_wrapper_changes_the_answer_where_names_are_silent(spark):
+    """Share of pages on which the host's wrapper decides otherwise than the page alone: all of a template without names."""
+    page = "<body><div class='x1'>Home Shop</div><p>a rather long story {0}</p><div class='x2'>All rights</div></body>"
+    pages = [("a.example", page.format(i)) for i in range(20)] + [("b.example", f"<body><article><p>s {i}</p></article></body>") for i in range(20)]
+    got = extracted(spark, pages)
+    changed = sum(g != alone(p) for g, (_, p) in zip(got, pages))
+    assert changed == 20 and got[0] == "a rather long story 0" and got[20] == "s 0"
