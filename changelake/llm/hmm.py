@@ -44,6 +44,7 @@ class HmmParams:
     least_gain: float = 5e-4  # log10 likelihood of a training token that a round must bring (0.1 % of perplexity)
     segment: int = 128        # tokens of a text whose states are held at once
     width: int = 1024         # texts that a task advances at once
+    kept: int = 1_500_000     # steps of texts whose forward states a task keeps
     pool: int = 4_000_000     # tokens of texts that a task sorts by length
     frequent: int = 200_000   # bound of the words whose counts travel to the tasks
     folds: int = 7
@@ -106,7 +107,7 @@ class Hmm:
         Padding is a symbol of its own that every state emits alike, so it carries no evidence.
         """
         sym = np.ascontiguousarray(np.where(seq < 0, len(self.emit), seq).T)
-        return sym, np.take(np.append(self.emit.T, np.ones((len(self.start), 1)), 1), sym, axis=1)
+        return sym, np.take(np.append(self.emit.T, np.ones((len(self.start), 1), self.emit.dtype), 1), sym, axis=1)
 
     def _forward(self, e: np.ndarray, first: np.ndarray, before: np.ndarray | None, alpha: list, scale: list | None) -> np.ndarray:
         """The last scaled forward state; ``alpha`` and ``scale`` take those of all steps."""
@@ -127,22 +128,21 @@ class Hmm:
                 scale.append(c)
         return a
 
-    def expected(self, seq: np.ndarray, first: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None):
+    def expected(self, seq: np.ndarray, first: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None,
+                 walked: tuple | None = None):
         """Expected starts, moves and emissions of sequences (rows of ``seq``), the log10 likelihood, and the backward state.
 
         Symbols below 0 are padding after a sequence's end.  ``first`` marks rows that begin a
         text; the others go on from the forward states ``before`` (states x rows).  ``after`` is
         the backward state of what follows; the one returned is that of the step before the rows.
+        ``walked`` is what :meth:`_walk` gave for the rows, if they have been walked forward before.
         """
         (n, length), s = seq.shape, len(self.start)
-        sym, e = self._emissions(seq)
+        sym, e, alpha, scale = walked or self._walk(seq, first, before)
         live = sym < len(self.emit)
-        alpha: list[np.ndarray] = []
-        scale: list[np.ndarray] = []
-        self._forward(e, first, before, alpha, scale)
-        total = float(np.log10(np.stack(scale)[live]).sum())
-        beta = np.ones((s, n)) if after is None else after
-        gamma = np.empty((s, length, n))
+        total = float(np.log10(np.stack(scale)[live]).sum(dtype=np.float64))
+        beta = np.ones((s, n), e.dtype) if after is None else after
+        gamma = np.empty((s, length, n), e.dtype)
         moves = np.zeros((s, s))
         for t in range(length - 1, -1, -1):
             np.multiply(alpha[t], beta, out=gamma[:, t])
@@ -160,11 +160,23 @@ class Hmm:
         moves *= self.move
         flat = sym.ravel()
         emits = np.stack([np.bincount(flat, g.ravel(), len(self.emit) + 1)[:-1] for g in gamma], 1)
-        return gamma[:, 0, first].sum(1), moves, emits, total, beta
+        return gamma[:, 0, first].sum(1, dtype=np.float64), moves, emits, total, beta
+
+    def _walk(self, seq: np.ndarray, first: np.ndarray, before: np.ndarray | None) -> tuple:
+        """The forward recursion: symbols, emissions, scaled states and scales of all steps."""
+        sym, e = self._emissions(seq)
+        alpha: list[np.ndarray] = []
+        scale: list[np.ndarray] = []
+        self._forward(e, first, before, alpha, scale)
+        return sym, e, alpha, scale
 
     def expected_of_texts(self, texts: list[np.ndarray], p: HmmParams) -> list:
-        """Expected starts, moves and emissions of whole texts, and their log10 likelihood."""
+        """Expected starts, moves and emissions of whole texts, and their log10 likelihood.
+
+        The recursions run in single precision (states are scaled at every step), all sums in double.
+        """
         s = len(self.start)
+        single = Hmm(*(x.astype(np.float32) for x in (self.start, self.move, self.emit)))
         out = [np.zeros(s), np.zeros((s, s)), np.zeros((len(self.emit), s)), 0.0]
         texts = sorted(texts, key=len, reverse=True)
         for g in range(0, len(texts), p.width):
@@ -178,17 +190,26 @@ class Hmm:
                     cut = t[lo:lo + p.segment]
                     row[:len(cut)] = cut
                 parts.append(seq)
-            # forward states at the borders, then the segments from the last to the first
+            # forward states at the borders, then the segments from the last to the first; the states
+            # of all steps are kept where they are few, else each segment is walked a second time
+            keep = sum(map(np.size, parts)) <= p.kept
             border: list = [None]
+            walked: list = [None] * len(parts)
             for k, seq in enumerate(parts[:-1]):
-                a = self._forward(self._emissions(seq)[1], np.full(len(seq), k == 0), border[k], [], None)
+                begins = np.full(len(seq), k == 0)
+                if keep:
+                    walked[k] = single._walk(seq, begins, border[k])
+                    a = walked[k][2][-1]
+                else:
+                    a = single._forward(single._emissions(seq)[1], begins, border[k], [], None)
                 border.append(a[:, :len(parts[k + 1])])
             after = None
             for k in range(len(parts) - 1, -1, -1):
-                beta = np.ones((s, len(parts[k])))
+                beta = np.ones((s, len(parts[k])), np.float32)
                 if after is not None:
                     beta[:, :after.shape[1]] = after
-                *sums, after = self.expected(parts[k], np.full(len(parts[k]), k == 0), border[k], beta)
+                *sums, after = single.expected(parts[k], np.full(len(parts[k]), k == 0), border[k], beta, walked[k])
+                walked[k] = None
                 out = [x + y for x, y in zip(out, sums)]
         return out
 
