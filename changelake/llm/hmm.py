@@ -244,16 +244,21 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def symbol_bytes(p: HmmParams) -> str:
+    return "<u2" if p.symbols <= 1 << 16 else "<u4"
+
+
 def train_symbols(train: DataFrame, p: HmmParams) -> DataFrame:
-    """The symbols of every training text."""
+    """The symbols of every training text, as the bytes of small integers (a list of numbers costs the JVM more than a round)."""
+    kind = symbol_bytes(p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for b in in_slices(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([symbol_of(words(t.as_py()), p) for t in b.column("text")], pa.list_(pa.int32()))], names=["symbols"])
+                [pa.array([symbol_of(words(t.as_py()), p).astype(kind).tobytes() for t in b.column("text")], pa.binary())], names=["symbols"])
 
-    return train.select("text").mapInArrow(run, "symbols array<int>")
+    return train.select("text").mapInArrow(run, "symbols binary")
 
 
 def train_hmm(train: DataFrame, p: HmmParams) -> Hmm:
@@ -261,6 +266,7 @@ def train_hmm(train: DataFrame, p: HmmParams) -> Hmm:
     model = Hmm.first(p)
     s, m = p.states, p.symbols
     symbols = materialize(train_symbols(train, p), "symbols")
+    kind = symbol_bytes(p)
     last = None
     for _ in range(p.rounds):
         shared = train.sparkSession.sparkContext.broadcast(model)
@@ -277,7 +283,7 @@ def train_hmm(train: DataFrame, p: HmmParams) -> Hmm:
 
             for b in in_slices(batches):
                 for t in b.column("symbols"):
-                    texts.append(t.values.to_numpy())
+                    texts.append(np.frombuffer(t.as_buffer(), kind).astype(np.int32))
                     held += len(texts[-1])
                     if held >= p.pool:
                         learn()
