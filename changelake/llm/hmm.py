@@ -46,7 +46,7 @@ class HmmParams:
     width: int = 1024         # texts that a task advances at once
     kept: int = 1_500_000     # steps of texts whose forward states a task keeps
     pool: int = 4_000_000     # tokens of texts that a task sorts by length
-    frequent: int = 200_000   # bound of the words whose counts travel to the tasks
+    frequent: int = 1_000_000  # bound of the words whose counts travel to the tasks (16 bytes each)
     folds: int = 7
     held_out: int = 2
     smooth: float = 0.1       # added to expected counts
