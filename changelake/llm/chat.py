@@ -9,7 +9,8 @@ exactly once.
 
 Template: ``<|role|>text</s>`` per turn.  A control string inside a text is broken up by a
 zero-width space after its first character; a text that already has zero-width spaces
-there gets one more, so the escape is undone exactly (:func:`unescape`).
+there gets one more, so the escape is undone exactly (:func:`unescape`).  In a role the
+characters that control strings begin with are URL-encoded.
 
 The running sum is built in two steps, within stretches of turn numbers and over the
 stretches' totals, so one very long conversation is spread over tasks; the groups that are
@@ -53,12 +54,20 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, ESCAPED, "$1$2")
 
 
+# Characters of a role that could end its mark or make a control string, URL-encoded; the first one first
+ROLE_CODES = {"%": "%25", "|": "%7C", "<": "%3C", "[": "%5B"}
+
+
 def _mark(role: Column) -> Column:
-    return F.concat(F.lit("<|"), F.replace(F.replace(role, F.lit("%"), F.lit("%25")), F.lit("|"), F.lit("%7C")), F.lit("|>"))
+    for plain, code in ROLE_CODES.items():
+        role = F.replace(role, F.lit(plain), F.lit(code))
+    return F.concat(F.lit("<|"), role, F.lit("|>"))
 
 
 def _unmark(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("%7C"), F.lit("|")), F.lit("%25"), F.lit("%"))
+    for plain, code in reversed(ROLE_CODES.items()):
+        role = F.replace(role, F.lit(code), F.lit(plain))
+    return role
 
 
 def _placed(turns: DataFrame, fmt: ChatFormat) -> DataFrame:

@@ -13,6 +13,11 @@ with a WARC header; it owns the records that *start* in its range and reads on p
 range's end to finish the last one.  So every record is read exactly once, whatever the
 ranges are.  Members may be of any size; a task holds one record at a time.
 
+Damage is never passed over: a member that starts with a WARC header but does not inflate to its
+end (its check sum included), or whose record does not hold together, raises, or becomes a row
+that names file, offset and reason; so does a file with fewer records than the manifest lists
+(:func:`archive_damage`), which also finds members whose header is spoilt.
+
 The archive folder must be reachable by ``pyarrow.fs`` from the executors (shared file
 systems, S3, GCS, HDFS); it is given by its URI.
 
@@ -140,6 +145,14 @@ def write_warc(pages: DataFrame, folder: str, payload: str = "html", min_dedup_b
     return materialize(rows.mapInArrow(write, MANIFEST), "warc-manifest")
 
 
+class Damaged(ValueError):
+    """A record that does not hold together."""
+
+    def __init__(self, offset: int, reason: str):
+        super().__init__(f"at {offset}: {reason}")
+        self.offset, self.reason = offset, reason
+
+
 class RangeScanner:
     """The records that start in [start, end) of a file."""
 
@@ -159,24 +172,39 @@ class RangeScanner:
         return True
 
     def _member(self, at: int) -> tuple[bytes, int] | None:
-        """What the member at file position ``at`` holds and where it ends; None if there is none."""
-        z, out, pos, seen = zlib.decompressobj(31), [], at - self.base, 0
+        """What the member at file position ``at`` holds and where it ends; None if there is none.
+
+        Raises :class:`Damaged` if a record begins there and does not end.
+        """
+        z, out, pos, seen, record = zlib.decompressobj(31), [], at - self.base, 0, False
         try:
             while not z.eof:
                 if pos >= len(self.data) and not self._more():
+                    if record:
+                        raise Damaged(at, "the member is cut off")
                     return None
-                chunk = self.data[pos:pos + 65536]
+                # a header shows in the first bytes, so that what comes before a damaged place counts
+                chunk = self.data[pos:pos + (65536 if record else 64)]
                 pos += len(chunk)
                 out.append(z.decompress(chunk))
                 seen += len(out[-1])
-                if seen - len(out[-1]) < len(VERSION) <= seen and not b"".join(out).startswith(b"WARC/"):
-                    return None
-        except zlib.error:
+                if not record and seen >= len(VERSION):
+                    if not b"".join(out).startswith(b"WARC/"):
+                        return None
+                    record = True
+        except zlib.error as e:
+            if record:
+                raise Damaged(at, str(e)) from e
             return None
         raw = b"".join(out)
         return (raw, self.base + pos - len(z.unused_data)) if raw.startswith(b"WARC/") else None
 
     def __iter__(self) -> Iterator[bytes]:
+        for _, raw in self.found():
+            yield raw
+
+    def found(self, damaged: list | None = None) -> Iterator[tuple[int, bytes]]:
+        """(offset, record); damaged members raise, or go to the list ``damaged``."""
         at = self.base
         while at < self.end:
             hit = self.data.find(MAGIC, at - self.base)
@@ -190,18 +218,31 @@ class RangeScanner:
             at = self.base + hit
             if at >= self.end:
                 return
-            got = self._member(at)
+            try:
+                got = self._member(at)
+            except Damaged as e:
+                if damaged is None:
+                    raise
+                damaged.append(e)
+                got = None
             if got is None:
                 at += 1
                 continue
-            raw, at = got
-            yield raw
+            start, (raw, at) = at, got
+            yield start, raw
             self.data, self.base = self.data[at - self.base:], at
 
 
-def read_warc(spark: SparkSession, folder: str, manifest: DataFrame | None = None, range_bytes: int = 16 << 20,
-              with_payload: bool = True) -> DataFrame:
-    """The records of an archive folder, by byte ranges; without a manifest all its ``*.warc.gz``."""
+def read_warc(spark: SparkSession, folder: str, manifest: DataFrame | None = None, range_bytes: int = 128 << 20,
+              with_payload: bool = True, damaged: str = "raise") -> DataFrame:
+    """The records of an archive folder, by byte ranges; without a manifest all its ``*.warc.gz``.
+
+    With ``damaged="rows"`` damaged members are rows too, and three columns are added: file,
+    offset, and error, which is null for good records.
+    """
+    if damaged not in ("raise", "rows"):
+        raise ValueError(f"unknown way to treat damage: {damaged!r}")
+    as_rows = damaged == "rows"
     if manifest is None:
         found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
         manifest = found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"))
@@ -213,21 +254,45 @@ def read_warc(spark: SparkSession, folder: str, manifest: DataFrame | None = Non
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_fs(folder)
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
-                            ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+                            ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
+                           + ([("file", pa.string()), ("offset", pa.int64()), ("error", pa.string())] if as_rows else []))
         for b in batches:
             for r in b.to_pylist():
                 with store.open_input_file(f"{base}/{r['file']}") as f:
-                    rows, held = [], 0
-                    for raw in RangeScanner(f, r["bytes"], r["start"], r["start"] + range_bytes):
-                        row = parse_record(raw)
+                    rows, held, bad = [], 0, []
+                    for at, raw in RangeScanner(f, r["bytes"], r["start"], r["start"] + range_bytes).found(bad):
+                        row = {}
+                        try:
+                            row = parse_record(raw)
+                        except (ValueError, KeyError, StopIteration) as e:
+                            bad.append(Damaged(at, f"{type(e).__name__}: {e}"))
+                        if bad and not as_rows:
+                            raise ValueError(f"{r['file']} {bad[0]}")
+                        if not row:
+                            continue
                         if not with_payload:
                             row["payload"] = None
+                        if as_rows:
+                            row |= {"file": r["file"], "offset": at, "error": None}
                         rows.append(row)
                         held += len(row["payload"] or b"") + 200
                         if held > 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema=schema)
                             rows, held = [], 0
+                    if bad and not as_rows:
+                        raise ValueError(f"{r['file']} {bad[0]}")
+                    rows += [{"file": r["file"], "offset": e.offset, "error": e.reason} for e in bad]
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return ranges.mapInArrow(scan, RECORD)
+    return ranges.mapInArrow(scan, RECORD + (", file string, offset bigint, error string" if as_rows else ""))
+
+
+def archive_damage(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
+    """(file, offset, error): damaged members, and files (offset null) whose records are not those the manifest counts."""
+    read = read_warc(spark, folder, manifest, with_payload=False, damaged="rows").select("file", "offset", "error")
+    read = materialize(read, "warc-offsets")
+    n = read.groupBy("file").agg(F.sum(F.col("error").isNull().cast("bigint")).alias("n"))
+    short = manifest.join(n, "file", "left").withColumn("n", F.coalesce("n", F.lit(0))).filter("n <> records").select(
+        "file", F.lit(None).cast("bigint").alias("offset"), F.concat(F.col("n").cast("string"), F.lit(" of "), F.col("records").cast("string"), F.lit(" records")).alias("error"))
+    return read.filter("error is not null").unionByName(short)

@@ -71,3 +71,15 @@ def test_control_strings_do_not_survive_in_texts(spark):
     for r in df.select("t", "e", chat.unescape(F.col("e")).alias("u")).collect():
         assert r["u"] == r["t"]
         assert not any(c in r["e"] for c in ("</s>", "<s>", "<|", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"))
+
+
+def test_control_strings_in_roles(spark):
+    roles = ["us</s>er", "[INST]", "<|user|>", "a%3Cb", "%", "%25", "|>", "<s>assistant", "assistant"]
+    rows = [(1, t, r, f"text {t}") for t, r in enumerate(roles)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.chat_windows(df)
+    assert digest(df) == expected(rows)
+    back = chat.read_back(windows).select(F.explode("turns").alias("t")).select("t.*").collect()
+    assert [(r["role"], r["text"]) for r in back] == [(r, t) for _, _, r, t in rows]
+    text = windows.first()["text"]
+    assert text.count("</s>") == len(roles) and "[INST]" not in text and text.count("<|") == len(roles)

@@ -71,3 +71,57 @@ def test_minimum_size_and_empty_table(spark):
     assert {r["page_id"]: r["refers_to"] for r in got} == {1: None, 2: None, 3: 4, 4: None}
     folder = scratch_path(spark, "warc-test")
     assert warc.read_warc(spark, folder, warc.write_warc(df.limit(0), folder)).count() == 0
+
+
+def damaged_archive(spark, change):
+    """Five records in one file, changed at will: (folder, manifest, offsets of the members)."""
+    folder = scratch_path(spark, "warc-test")
+    df = spark.createDataFrame([(i, None, f"page {i} " * 200) for i in range(5)], "page_id long, url string, html string").coalesce(1)
+    manifest = warc.write_warc(df, folder)
+    name = f"{folder}/{manifest.first()['file']}"
+    data = bytearray(open(name, "rb").read())
+    starts = [i for i in range(len(data)) if data[i:i + 3] == warc.MAGIC]
+    assert len(starts) == 5
+    data = change(data, starts)
+    open(name, "wb").write(data)
+    size = spark.createDataFrame([(manifest.first()["file"], len(data), 5)], warc.MANIFEST)
+    return folder, size, starts
+
+
+def flip(at):
+    def change(data, starts):
+        data[at(starts)] ^= 0xFF
+        return data
+    return change
+
+
+@pytest.mark.parametrize("change,lost", [
+    (flip(lambda s: s[3] - 12), 2),               # in the deflated body
+    (flip(lambda s: s[2] - 6), 1),                # in the check sum
+    (lambda d, s: d[:-20], 4),                    # the last member is cut
+])
+def test_damaged_members_are_reported(spark, change, lost):
+    folder, manifest, starts = damaged_archive(spark, change)
+    with pytest.raises(Exception, match=f"at {starts[lost]}"):
+        warc.read_warc(spark, folder, manifest).collect()
+    rows = warc.read_warc(spark, folder, manifest, damaged="rows").collect()
+    assert sorted(r["page_id"] for r in rows if r["error"] is None) == [i for i in range(5) if i != lost]
+    assert [(r["offset"], r["file"]) for r in rows if r["error"]] == [(starts[lost], manifest.first()["file"])]
+    found = warc.archive_damage(spark, folder, manifest).collect()
+    assert sorted((r["offset"] is None, r["error"][:1]) for r in found)[-1] == (True, "4") and len(found) == 2
+
+
+def test_a_spoilt_header_shows_in_the_count(spark):
+    folder, manifest, _ = damaged_archive(spark, flip(lambda s: s[1]))
+    assert warc.read_warc(spark, folder, manifest).count() == 4
+    assert [tuple(r) for r in warc.archive_damage(spark, folder, manifest).collect()] == [(manifest.first()["file"], None, "4 of 5 records")]
+
+
+def test_a_record_against_its_digest(spark):
+    def change(data, starts):
+        raw = zlib.decompress(bytes(data[starts[2]:starts[3]]), 31).replace(b"page 2", b"page X", 1)
+        z = zlib.compressobj(6, zlib.DEFLATED, 31)
+        return data[:starts[2]] + z.compress(raw) + z.flush() + data[starts[3]:]
+    folder, manifest, starts = damaged_archive(spark, change)
+    bad = [r for r in warc.read_warc(spark, folder, manifest, damaged="rows").collect() if r["error"]]
+    assert len(bad) == 1 and bad[0]["offset"] == starts[2] and "digest" in bad[0]["error"]
