@@ -110,10 +110,15 @@ class Hmm:
         return sym, np.take(np.append(self.emit.T, np.ones((len(self.start), 1), self.emit.dtype), 1), sym, axis=1)
 
     def _forward(self, e: np.ndarray, first: np.ndarray, before: np.ndarray | None, alpha: list, scale: list | None) -> np.ndarray:
-        """The last scaled forward state; ``alpha`` and ``scale`` take those of all steps."""
+        """The last scaled forward state; ``alpha`` and ``scale`` take those of all steps.
+
+        Every other step is scaled (its scale is None else), and the last one: two steps without
+        are far from the smallest single-precision number, as probabilities are smoothed.
+        """
         a = None
         turn = np.ascontiguousarray(self.move.T)
-        for t in range(e.shape[1]):
+        last = e.shape[1] - 1
+        for t in range(last + 1):
             if t:
                 a = turn @ a
             else:
@@ -121,8 +126,10 @@ class Hmm:
                 if before is not None:
                     a = np.where(first, a, turn @ before)
             a *= e[:, t]
-            c = a.sum(0)
-            a /= c
+            c = None
+            if t % 2 or t == last:
+                c = a.sum(0)
+                a /= c
             if scale is not None:
                 alpha.append(a)
                 scale.append(c)
@@ -140,7 +147,8 @@ class Hmm:
         (n, length), s = seq.shape, len(self.start)
         sym, e, alpha, scale = walked or self._walk(seq, first, before)
         live = sym < len(self.emit)
-        total = float(np.log10(np.stack(scale)[live]).sum(dtype=np.float64))
+        # padding has no evidence: its scales are 1, or what an unscaled last step left to scale
+        total = float(np.log10(np.stack([c for c in scale if c is not None])).sum(dtype=np.float64))
         beta = np.ones((s, n), e.dtype) if after is None else after
         gamma = np.empty((s, length, n), e.dtype)
         moves = np.zeros((s, s))
@@ -148,7 +156,8 @@ class Hmm:
             np.multiply(alpha[t], beta, out=gamma[:, t])
             back = e[:, t]
             back *= beta
-            back /= scale[t]
+            if scale[t] is not None:
+                back /= scale[t]
             if t:
                 was = alpha[t - 1]
             elif before is not None:
@@ -224,10 +233,15 @@ def count_words(train: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         seen: list[np.ndarray] = []
-        held = 0
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = distinct = 0
+
+        def gather():
+            parts.append(np.unique(np.concatenate(seen), return_counts=True))
 
         def flush():
-            w, n = np.unique(np.concatenate(seen), return_counts=True)
+            w, at = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([x for _, x in parts])).astype(np.int64)
             for i in range(0, len(w), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(w[i:i + 200_000].view(np.int64)), pa.array(n[i:i + 200_000])], names=["word", "n"])
 
@@ -235,10 +249,16 @@ def count_words(train: DataFrame) -> DataFrame:
             for t in b.column("text"):
                 seen.append(words(t.as_py()))
                 held += len(seen[-1])
-                if held > 2_000_000:
-                    yield from flush()
+                if held > 200_000:  # small parts sort faster
+                    gather()
+                    distinct += len(parts[-1][0])
                     seen, held = [], 0
+                    if distinct > 2_000_000:
+                        yield from flush()
+                        parts, distinct = [], 0
         if seen:
+            gather()
+        if parts:
             yield from flush()
 
     return train.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -330,28 +350,34 @@ def score_texts(docs: DataFrame, p: HmmParams = HmmParams()) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_n, symbol_total, m = shared.value
         words = Words()
-        for b in in_slices(batches, 2000):
+        top_log, total_log = np.log10(known_n + 1), np.log10(symbol_total)
+        for b in in_slices(batches, 4000):
             syms, n, n_top, logs, rare = [], [], [], [], []
             within = []
-            for t in b.column("text"):
-                h = words(t.as_py())
-                signed = h.view(np.int64)
+            for part in in_slices([b], 200):
+                # words of some texts are looked up once each
+                hashes = [words(t.as_py()) for t in part.column("text")]
+                size = np.array([len(h) for h in hashes])
+                begin = np.cumsum(size) - size  # no text is without the end token
+                flat = np.concatenate(hashes)
+                kinds, which = np.unique(flat, return_inverse=True)
+                signed = kinds.view(np.int64)
                 i = np.searchsorted(known, signed)
                 i[i == len(known)] = 0
-                hit = known[i] == signed if len(known) else np.zeros(len(h), bool)
-                y = symbol_of(h, p)
-                syms.append(y)
-                n.append(len(h))
-                n_top.append(int(hit.sum()))
-                logs.append(float(np.log10(known_n[i[hit]] + 1).sum()))
-                within.append(float(np.log10(symbol_total[y]).sum()))
-                rare.append(pa.array(signed[~hit]))
-            sizes = [len(r) for r in rare]
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.concat_arrays(rare) if rare else pa.array([], pa.int64()))
+                hit = known[i] == signed if len(known) else np.zeros(len(kinds), bool)
+                y = symbol_of(flat, p)
+                syms += np.split(y, begin[1:])
+                n.append(size)
+                hits = hit[which]
+                n_top.append(np.add.reduceat(hits.astype(np.int64), begin))
+                logs.append(np.add.reduceat(np.where(hit, top_log[i], 0.0)[which], begin))
+                within.append(np.add.reduceat(total_log[y], begin))
+                rare.append((flat[~hits].view(np.int64), size - n_top[-1]))
+            offsets = pa.array(np.concatenate([[0], *[x for _, x in rare]]).cumsum().astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([x for x, _ in rare])))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(n_top, pa.int64()), pa.array(logs, pa.float64()),
-                 pa.array(m.log10(syms) - np.array(within)), lists],
+                [b.column("doc_id"), *[pa.array(np.concatenate(x)) for x in (n, n_top, logs)],
+                 pa.array(m.log10(syms) - np.concatenate(within)), lists],
                 names=["doc_id", "n_tokens", "n_top", "top_log", "rest_log", "rare"])
 
     texts = docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, n_top bigint, top_log double, rest_log double, rare array<bigint>")
