@@ -26,6 +26,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import in_slices, pick
 
-# words whose ids a worker remembers before it starts anew
+# words whose ids a worker remembers at most, in two generations
 MEMO_WORDS = 150_000
 
 # The split pattern of the tokenizer file; {L}, {N} and {S} stand for the
@@ -176,7 +177,7 @@ class BacktrackingBpe:
         if known is None:
             known = self._compatible[key] = self._check(left, right, len(self.parts))
             if len(self._compatible) > 2 * MEMO_WORDS:
-                self._compatible = {key: known}
+                self._compatible.clear()
         return known
 
     def _longest(self, s: str) -> list[int]:
@@ -196,11 +197,15 @@ class BacktrackingBpe:
         alive = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
         at, token = 0, best[0]
-        length, shorter = self.length, self.shorter
+        length, shorter, known = self.length, self.shorter, self._compatible.get
         while at < n:
             while token >= 0:
-                if alive[at + length[token]] and (not out or self.compatible(out[-1], token)):
-                    break
+                if alive[at + length[token]]:
+                    if not out:
+                        break
+                    fits = known((out[-1], token))
+                    if self.compatible(out[-1], token) if fits is None else fits:
+                        break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
@@ -233,8 +238,8 @@ class BacktrackingBpe:
             out.append(self.special[m.group()].to_bytes(4, "little"))
             at = m.end()
         out += map(self._memo.__getitem__, self._pieces(text[at:]))
-        if len(self._memo) > MEMO_WORDS:
-            self._memo.clear()
+        if len(self._memo) > MEMO_WORDS // 2:
+            self._memo.turn()
         return b"".join(out)
 
     def encode(self, text: str | None) -> list[int]:
@@ -251,16 +256,25 @@ class BacktrackingBpe:
 
 
 class _Memo(dict):
-    """Ids of the words seen, in bytes; emptied by its owner when it grows large."""
+    """Ids of the words seen, in bytes, in two generations: words used since the last turn survive the next one."""
 
     def __init__(self, bpe: BacktrackingBpe):
         super().__init__()
         self._bpe = bpe
+        self._old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        value = self[word] = np.array(self._bpe.encode_word(word), "<u4").tobytes()
+        value = self._old.get(word)
+        if value is None:
+            ids = self._bpe.encode_word(word)
+            value = pack(f"<{len(ids)}I", *ids)
+        self[word] = value
         return value
 
+    def turn(self) -> None:
+        self._old = dict(self)
+        self.clear()
+
 
 _built: dict[str, BacktrackingBpe] = {}
 
