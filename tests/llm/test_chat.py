@@ -1,6 +1,7 @@
 """Chat windows: exact round trip against a plain Python count, edge rows."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,34 @@ def test_control_strings_in_roles(spark):
     assert [(r["role"], r["text"]) for r in back] == [(r, t) for _, _, r, t in rows]
     text = windows.first()["text"]
     assert text.count("</s>") == len(roles) and "[INST]" not in text and text.count("<|") == len(roles)
+
+
+@pytest.mark.parametrize("budget,history,segment", [(60, 20, 1), (60, 60, 3), (200, 50, 16)])
+def test_windows_keep_within_the_budget(spark, budget, history, segment):
+    """Only a single new turn that the system turn leaves no room for exceeds the budget; windows are packed."""
+    rng = random.Random(budget + segment)
+    rows = []
+    for c in range(8):
+        rows += [(c, 0, "system" if c % 2 else "user", "s" * rng.choice([0, 40, 100]))]
+        rows += [(c, t, rng.choice(["user", "assistant"]), "x" * rng.choice([0, 3, 30, 100, 100, 900])) for t in range(1, 80)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    fmt = chat.ChatFormat(budget=budget, history=history, segment=segment, stretch=16)
+    assert digest(df, fmt) == expected(rows)
+    tokens = {}
+    for c, t, r, text in rows:
+        tokens.setdefault(c, []).append((r, -(-len(text) // 4) + 4))
+    for c in range(8):
+        windows = sorted((w for w in chat.chat_windows(df, fmt).filter(F.col("conv_id") == c).collect()), key=lambda w: w["window"])
+        turn = 0
+        for w in windows:
+            assert w["window"] == sum(n for _, n in tokens[c][:turn])
+            mine = [n for _, n in tokens[c][turn:turn + w["n_turns"]]]
+            lead = tokens[c][0][1] if turn and tokens[c][0][0] == "system" else 0
+            repeated = w["n_tokens"] - sum(mine)
+            assert 0 <= repeated <= lead + history
+            if w["n_tokens"] > budget:
+                assert len(mine) == 1 and lead + mine[0] > budget and repeated == lead
+            turn += w["n_turns"]
+            if turn < len(tokens[c]) and sum(n for _, n in tokens[c][:turn]) // (segment * budget) == w["window"] // (segment * budget):
+                assert w["n_tokens"] + tokens[c][turn][1] > budget  # the next turn had no room
+        assert turn == len(tokens[c])
