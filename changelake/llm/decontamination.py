@@ -129,6 +129,7 @@ class LeakFinder:
         self.codes: dict[str, int] = {}  # of the items' words
         self.counts, prints = [], []
         self.lengths = np.array([len(w) for _, w in self.items], np.int64)
+        self.sizes = sorted(set(self.lengths.tolist()))
         known = defaultdict(list)  # hashes of the items' shingles, by their words
         for _, w in self.items:
             self.counts.append(Counter(shingles_of(w, p.shingle)))
@@ -146,13 +147,15 @@ class LeakFinder:
         with fewer shingles of any item cannot reach it with one, and is left out.
         """
         share = self.p.similarity / (1 + self.p.similarity)
-        for n in np.unique(self.lengths).tolist():
+        for n in self.sizes:
             size, k = min(n, n_words), min(n, self.p.shingle)
             if size < k:
                 continue  # other shingles than the items'
             mine = size - k + 1
             need = np.ceil(share * (n - k + 1 + mine) - 1e-9)
             sums = known[k]
+            if sums[-1] < need:
+                continue
             starts = np.flatnonzero(sums[mine:] - sums[:-mine] >= need)
             if len(starts):
                 yield n, size, starts
