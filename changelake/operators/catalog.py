@@ -25,6 +25,7 @@ from changelake.schemas import TABLE_SPEC
 
 SPEC_COLUMNS = TABLE_SPEC.fieldNames()
 TABLE_KEY = ["DB_NAME", "TABLE_NAME"]
+VIEW_KEY = ["TABLE_SCHEMA", "TABLE_NAME"]
 
 # fixed values: constraint-name patterns (LIKE syntax: '_' is any one character)
 PK_NAME_PATTERNS = ["pk_%", "cpk_%", "npk_%", "%_pk", "pk%_"]
@@ -39,6 +40,19 @@ def _like_any(c: Column, patterns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [low.like(p) for p in patterns])
 
 
+def _per_table(df: DataFrame, **aggs: Column) -> DataFrame:
+    """One row for each table of a view; what it gathers is bounded by the table's columns."""
+    named = df.filter("TABLE_SCHEMA is not null and TABLE_NAME is not null")
+    return named.groupBy(*VIEW_KEY).agg(*[c.alias(name) for name, c in aggs.items()]) if aggs else named.select(*VIEW_KEY).distinct()
+
+
+def _of_column(df: DataFrame, name: str, key: str = "COLUMN_NAME") -> DataFrame:
+    """The array ``name`` of a table's entries as a left join by ``key``: a row for each entry of the row's column, or one with null."""
+    found = F.filter(name, lambda e: e[key] == F.col(key))
+    # most rows have one entry at most; the generator makes the others
+    return df.withColumn(name, found).withColumn(name, F.explode_outer(name))
+
+
 def _include(df: DataFrame, include: DataFrame | None, schema_col: str, table_col: str) -> DataFrame:
     if include is None:
         return df
@@ -59,14 +73,14 @@ def mysql_table_spec(tables: DataFrame, columns: DataFrame, key_usage: DataFrame
                       F.col("CREATE_TIME").alias("_ctime"), F.col("UPDATE_TIME").alias("_utime"),
                       F.col("TABLE_ROWS").alias("_rows"))
     c = _include(columns, include, "TABLE_SCHEMA", "TABLE_NAME")
-    pk = key_usage.filter(F.col("CONSTRAINT_NAME") == MYSQL_PK_CONSTRAINT).select(
-        "TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME", F.col("ORDINAL_POSITION").alias("_pk_pos"),
-        F.lit(True).alias("_is_pk"))
-    uq = key_usage.filter(F.col("CONSTRAINT_NAME") == MYSQL_UQ_CONSTRAINT).select(
-        "TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME", F.lit(True).alias("_is_uq"))
-    j = (c.join(t, ["TABLE_SCHEMA", "TABLE_NAME"], "inner")
-         .join(pk, ["TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME"], "left")
-         .join(uq, ["TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME"], "left"))
+    is_key = lambda name: F.col("CONSTRAINT_NAME") == name
+    keys = _per_table(key_usage.filter(is_key(MYSQL_PK_CONSTRAINT) | is_key(MYSQL_UQ_CONSTRAINT)),
+                      _pk=F.collect_list(F.when(is_key(MYSQL_PK_CONSTRAINT), F.struct("COLUMN_NAME", F.col("ORDINAL_POSITION").alias("pos")))),
+                      _uq=F.collect_list(F.when(is_key(MYSQL_UQ_CONSTRAINT), F.struct("COLUMN_NAME"))))
+    # every join is on the table, so the columns are shuffled once
+    j = c.join(t, VIEW_KEY, "inner").join(keys, VIEW_KEY, "left")
+    j = _of_column(_of_column(j, "_pk"), "_uq").withColumns(
+        {"_pk_pos": F.col("_pk.pos"), "_is_pk": F.col("_pk"), "_is_uq": F.col("_uq")})
     first_key = F.col("_pk_pos") == 1
     length = F.coalesce(F.col("CHARACTER_MAXIMUM_LENGTH").cast("string"),
                         F.concat(F.col("NUMERIC_PRECISION").cast("string"), F.lit(","),
@@ -120,31 +134,34 @@ def mssql_table_spec(tables: DataFrame, columns: DataFrame, key_usage: DataFrame
     Table-level fields sit on the row with ORDINAL_POSITION 1. Columns are matched to
     their table by (database, schema-qualified table) rather than by bare table name.
     """
+    # Two shuffles of the column side: by object id, then by table name. What belongs to single
+    # columns is gathered for each table and picked from there, so no join needs a shuffle by column.
     spec_base = (tables.filter(F.col("schema_id") == 1)
                  .select("object_id", F.col("CREATE_TIME").alias("_create"), F.col("UPDATE_TIME").alias("_modify"))
                  .join(columns, "object_id", "inner"))
-    spec_base = _include(spec_base, include, "TABLE_SCHEMA", "TABLE_NAME")
-    objects = ext_props.filter(F.col("class_desc") == "OBJECT_OR_COLUMN")
-    # column comments: the MS_Description property of each column (distinct)
-    col_comment = (objects.filter((F.col("name") == "MS_Description") & (F.col("minor_id") != 0))
-                   .select(F.col("major_id").alias("object_id"), F.col("minor_id").alias("column_id"),
-                           F.col("value").alias("_ccomment")).distinct())
+    # column comments: the MS_Description property of each column (distinct);
     # table comments: every table-level property, whatever its name (as the table listing does)
-    tbl_comment = (objects.filter(F.col("minor_id") == 0)
-                   .select(F.col("major_id").alias("object_id"), F.col("value").alias("_tcomment")))
-    keys = pk_name_match(key_usage).withColumn("_is_pk", F.lit(True))
-    uq = unique_name_match(key_usage).withColumn("_is_uq", F.lit(True))
-    ident = identity.select("TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME", F.lit(True).alias("_is_id"))
+    of_table = F.col("minor_id") == 0
+    comments = (ext_props.filter((F.col("class_desc") == "OBJECT_OR_COLUMN") & F.col("major_id").isNotNull()
+                                 & (of_table | (F.col("name") == "MS_Description")))
+                .groupBy(F.col("major_id").alias("object_id")).agg(
+                    F.collect_set(F.when(F.col("minor_id") != 0, F.struct(F.col("minor_id").alias("column_id"), "value"))).alias("_cc"),
+                    F.collect_list(F.when(of_table, F.struct("value"))).alias("_tc")))
     rows = table_row_count(partitions)
-    tc = ["TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME"]
-    # joins grouped by key so the column side is repartitioned at most three times
-    # (column id, object id, column name); small sides are broadcast by AQE at runtime
-    j = (spec_base.join(col_comment, ["object_id", "column_id"], "left")
-         .join(tbl_comment, "object_id", "left")
-         .join(rows, "object_id", "left")
-         .join(keys, tc, "left")
-         .join(uq, tc, "left")
-         .join(ident, tc, "left"))
+    j = spec_base.join(comments, "object_id", "left").join(rows, "object_id", "left")
+    j = _of_column(j, "_cc", "column_id").withColumn("_tc", F.explode_outer("_tc")).withColumns(
+        {"_ccomment": F.col("_cc.value"), "_tcomment": F.col("_tc.value")}).drop("_cc", "_tc")
+    name = F.col("MSSQL_CONSTRAINT_NAME")
+    pk, uq = _like_any(name, PK_NAME_PATTERNS), _like_any(name, UQ_NAME_PATTERNS)
+    keys = _per_table(key_usage.filter(pk | uq), _pk=F.collect_set(F.when(pk, F.struct("COLUMN_NAME"))),
+                      _uq=F.collect_list(F.when(uq, F.struct("COLUMN_NAME"))))
+    if include is not None:
+        # an inner join, as the optimizer would move a semi join below the joins by object id
+        j = j.join(_per_table(include), VIEW_KEY, "inner")
+    j = j.join(keys, VIEW_KEY, "left").join(_per_table(identity, _id=F.collect_list(F.struct("COLUMN_NAME"))), VIEW_KEY, "left")
+    for fact in ("_pk", "_uq", "_id"):
+        j = _of_column(j, fact)
+    j = j.withColumns({"_is_pk": F.col("_pk"), "_is_uq": F.col("_uq"), "_is_id": F.col("_id")})
     first = F.col("ORDINAL_POSITION") == 1
     yes_no = lambda cond: F.when(cond, F.lit("YES")).otherwise(F.lit("NO"))
     length = F.coalesce(F.col("CHARACTER_MAXIMUM_LENGTH").cast("string"),
@@ -413,10 +430,10 @@ def data_dictionary(spec: DataFrame) -> DataFrame:
     The header uses the first non-empty table comment in column order (where the comment
     stands on the key's row and the key is not the first column, it is still found).
     """
-    comments = (spec.filter(_nonempty(F.col("TABLE_COMMENT")))
-                .groupBy(*TABLE_KEY)
-                .agg(F.min_by("TABLE_COMMENT", F.struct("ORDINAL_POSITION", "COLUMN_NAME")).alias("_tc")))
-    j = spec.join(comments, TABLE_KEY, "left")
+    # a window over the table's rows, so the specification is computed once; a null name is no table
+    place = F.when(_nonempty(F.col("TABLE_COMMENT")), F.struct("ORDINAL_POSITION", "COLUMN_NAME"))
+    first = F.min_by("TABLE_COMMENT", place).over(Window.partitionBy(*TABLE_KEY))
+    j = spec.withColumn("_tc", F.when(F.col("DB_NAME").isNotNull() & F.col("TABLE_NAME").isNotNull(), first))
     title = F.concat(F.lit("### "), F.col("DB_NAME"), F.lit("."), F.col("TABLE_NAME"),
                      F.when(F.col("_tc").isNotNull(), F.concat(F.lit(" / "), F.col("_tc"))).otherwise(F.lit("")))
     return j.select(
@@ -459,9 +476,12 @@ def naming_audit(spec: DataFrame, reserved_words: DataFrame | None = None) -> Da
     if reserved_words is None:
         reserved_words = spec.sparkSession.createDataFrame([(w,) for w in RESERVED_WORDS], "word string")
     words = reserved_words.select(F.upper(F.trim(F.col("word"))).alias("_w")).distinct()
-    names = (spec.select("DB_NAME", F.lit("column").alias("kind"), "TABLE_NAME", F.col("COLUMN_NAME").alias("name"))
-             .unionByName(spec.select("DB_NAME", F.lit("table").alias("kind"), "TABLE_NAME",
-                                      F.col("TABLE_NAME").alias("name")).distinct()))
+    # one pass over the specification: a table's row and its columns' rows (names that are null need no quoting)
+    row = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    names = (spec.groupBy(*TABLE_KEY).agg(F.collect_list("COLUMN_NAME").alias("_c"))
+             .withColumn("_n", F.explode(F.concat(F.array(row("table", F.col("TABLE_NAME"))),
+                                                  F.transform("_c", lambda c: row("column", c)))))
+             .select("DB_NAME", "_n.kind", "TABLE_NAME", "_n.name"))
     flagged = (names.join(words, F.upper(F.trim(F.col("name"))) == F.col("_w"), "left")
                .withColumn("reserved", F.col("_w").isNotNull())
                .withColumn("special", needs_quoting(F.col("name")))

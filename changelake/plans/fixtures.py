@@ -293,7 +293,9 @@ MSSQL_TYPES = ["int", "nvarchar", "numeric", "datetime2", "bit", "money", "varbi
 def _catalog_columns(lineitem: DataFrame) -> DataFrame:
     """One column per distinct (l_orderkey, l_linenumber); other fields by min()."""
     # the flag is one character: aggregate its code so the buffer stays fixed-width (hash aggregate)
-    g = (lineitem.groupBy("l_orderkey", "l_linenumber")
+    # dealt by order: the aggregate, the windows and the join with the tables need no further shuffle
+    g = (lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey", "l_suppkey", "l_quantity")
+         .repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber")
          .agg(F.min(F.ascii("l_returnflag")).alias("_flag"), F.min("l_partkey").alias("partkey"),
               F.min("l_suppkey").alias("suppkey"), F.min("l_quantity").alias("qty"))
          .withColumn("flag", F.expr("chr(_flag)")))
@@ -352,9 +354,18 @@ def _catalog_tables(orders: DataFrame) -> DataFrame:
 
 
 def _catalog_columns_of(tables: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """COLUMNS view: lineitem-derived columns placed in their tables."""
-    return _catalog_columns(lineitem).join(tables.select("object_id", "TABLE_SCHEMA", "TABLE_NAME"), "object_id",
-                                           "inner")
+    """COLUMNS view: lineitem-derived columns placed in their tables, with each table's first and last position."""
+    table = Window.partitionBy("object_id")
+    cols = _catalog_columns(lineitem).withColumns({"_first": F.min("ORDINAL_POSITION").over(table), "_last": F.max("ORDINAL_POSITION").over(table)})
+    return cols.join(tables.select("object_id", "TABLE_SCHEMA", "TABLE_NAME"), "object_id", "inner")
+
+
+def _with_ends(cols: DataFrame) -> DataFrame:
+    """COLUMNS with ``_first`` and ``_last``, each table's first and last position."""
+    if "_first" in cols.columns:
+        return cols
+    table = Window.partitionBy("object_id")
+    return cols.withColumns({"_first": F.min("ORDINAL_POSITION").over(table), "_last": F.max("ORDINAL_POSITION").over(table)})
 
 
 def table_views(orders: DataFrame) -> dict[str, DataFrame]:
@@ -373,15 +384,15 @@ def table_views(orders: DataFrame) -> dict[str, DataFrame]:
 
 
 def column_views(orders: DataFrame, cols: DataFrame) -> dict[str, DataFrame]:
-    """The catalog views over the COLUMNS view ``cols``: columns, key_usage, ext_props, identity."""
+    """The catalog views over the COLUMNS view ``cols``: columns (and the target engine's), key_usage, ext_props, identity."""
+    cols = _with_ends(cols)
     tables, oid = _catalog_tables(orders), F.col("object_id")
-    first_pos = F.min("ORDINAL_POSITION").over(Window.partitionBy("object_id"))
     pk_name = (F.when(oid % 7 == 0, F.concat(F.lit("ix_"), F.col("TABLE_NAME")))
                .when(oid % 4 == 0, F.concat(F.lit("pk_"), F.col("TABLE_NAME")))
                .when(oid % 4 == 1, F.concat(F.lit("CPK_"), F.col("TABLE_NAME")))
                .when(oid % 4 == 2, F.concat(F.col("TABLE_NAME"), F.lit("_PK")))
                .otherwise(F.concat(F.lit("npk_"), F.col("TABLE_NAME"))))
-    keyed = cols.withColumn("_first", first_pos).filter(F.col("ORDINAL_POSITION") == F.col("_first"))
+    keyed = cols.filter(F.col("ORDINAL_POSITION") == F.col("_first"))
     pk_rows = keyed.filter(oid % 5 != 0).select(
         "TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME", F.lit("PRIMARY").alias("CONSTRAINT_NAME"),
         F.lit(1).alias("ORDINAL_POSITION"), pk_name.alias("MSSQL_CONSTRAINT_NAME"))
@@ -401,7 +412,8 @@ def column_views(orders: DataFrame, cols: DataFrame) -> dict[str, DataFrame]:
             F.col("object_id").alias("major_id"), F.col("column_id").alias("minor_id"),
             F.col("COLUMN_COMMENT").alias("value")))
     identity = cols.filter(F.col("EXTRA") == "auto_increment").select("TABLE_SCHEMA", "TABLE_NAME", "COLUMN_NAME")
-    return {"columns": cols, "key_usage": key_usage, "ext_props": ext_props, "identity": identity}
+    return {"columns": cols.drop("_first", "_last"), "second_columns": second_engine_columns(cols), "key_usage": key_usage,
+            "ext_props": ext_props, "identity": identity}
 
 
 def catalog(orders: DataFrame, lineitem: DataFrame, columns: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -449,12 +461,10 @@ def load_catalog(spark: SparkSession, sf_dir: str, snapshot: bool = True) -> dic
 def second_engine_columns(columns: DataFrame) -> DataFrame:
     """The target engine's columns (T13/T14): ``col3`` upper-cased, and the last column of
     tables with ``object_id % 11 = 0`` left out."""
-    last = F.max("ORDINAL_POSITION").over(Window.partitionBy("object_id"))
-    renamed = columns.withColumn("COLUMN_NAME", F.when(F.col("ORDINAL_POSITION") == 3, F.upper("COLUMN_NAME"))
-                                 .otherwise(F.col("COLUMN_NAME")))
-    return (renamed.withColumn("_last", last)
-            .filter(~((F.col("object_id") % 11 == 0) & (F.col("ORDINAL_POSITION") == F.col("_last"))))
-            .drop("_last"))
+    renamed = _with_ends(columns).withColumn("COLUMN_NAME", F.when(F.col("ORDINAL_POSITION") == 3, F.upper("COLUMN_NAME"))
+                                             .otherwise(F.col("COLUMN_NAME")))
+    return (renamed.filter(~((F.col("object_id") % 11 == 0) & (F.col("ORDINAL_POSITION") == F.col("_last"))))
+            .drop("_first", "_last"))
 
 
 def space_used_frames(part: DataFrame) -> DataFrame:
