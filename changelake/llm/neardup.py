@@ -15,7 +15,9 @@ with every level.
 Links are confirmed on the full sets, in two steps.  First each node compares its members
 with its hub, the member that shares most nodes with others over all trees: a group of
 thousands of near copies costs a star of links, not all pairs.  Then small nodes compare
-exhaustively those members that are not yet in one component.  Components are found by
+exhaustively those members that are not yet in one component.  Nodes that are still large at
+``last_level`` do so too: every member outside the node's most frequent component meets some
+members first, which settles most of them, and then all members.  Components are found by
 joins (:mod:`graph`).
 
 Defined results: upper-case ASCII letters are lowered, words end at ASCII white space; a
@@ -49,7 +51,8 @@ class NearDupParams:
     similarity: int = 80      # per cent of the union that two sets must share
     trees: int = 24           # independent walks; see recall()
     first_level: int = 4      # levels before the first comparison, without branches
-    last_level: int = 20
+    last_level: int = 8
+    heads: int = 32           # members that the rest of a large node meets before it meets all
     stride: int = 2           # tokens that a large node is divided by at a time
     small_node: int = 32      # nodes up to this size are compared exhaustively
     tokens: int = 64          # minwise tokens per class
@@ -146,8 +149,9 @@ def ways_of(node: Column, p: NearDupParams) -> Column:
     return F.lit(least) + chance.cast("int")
 
 
-def walk(classes: DataFrame, p: NearDupParams) -> tuple[DataFrame, DataFrame]:
-    """The members (node, cls, size) of all nodes with two members or more, and each class's weight."""
+def walk(classes: DataFrame, p: NearDupParams) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The members (node, cls, size) of all nodes with two members or more, each class's weight, and those of
+    the members whose node is large and not divided further."""
     spark = classes.sparkSession
     folder = scratch_path(spark, "nodes")
 
@@ -175,7 +179,7 @@ def walk(classes: DataFrame, p: NearDupParams) -> tuple[DataFrame, DataFrame]:
         members = keep(rows, level + p.stride)
         big = members.filter(F.col("size") > p.small_node).select("node", "cls", "sig")
     schema = "node bigint, cls binary, size bigint"
-    return spark.read.schema(schema).parquet(folder), weight
+    return spark.read.schema(schema).parquet(folder), weight, members.filter(F.col("size") > p.small_node).select("node", "cls", "size")
 
 
 def hub_links(members: DataFrame, weight: DataFrame) -> DataFrame:
@@ -198,6 +202,23 @@ def small_node_links(members: DataFrame, labels: DataFrame, p: NearDupParams) ->
         F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
 
 
+def large_node_links(large: DataFrame, labels: DataFrame, heads: int | None = None) -> DataFrame:
+    """Distinct pairs of large nodes' members that are not in one component yet.
+
+    Of such a pair one is outside its node's most frequent component; these members meet all
+    members of the node, or (``heads``) about so many.  A large node is split over tasks by the join.
+    """
+    rows = large.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    parts = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = parts.groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    most = materialize(most.select("node", "most"), "open-nodes")
+    rest = rows.join(most, "node").filter("label <> most").select("node", F.col("cls").alias("x"), F.col("label").alias("lx"))
+    if heads is not None:
+        rows = rows.filter(F.pmod(F.xxhash64("cls"), F.col("size")) < heads)
+    met = rest.join(rows.join(most, "node", "left_semi"), "node").filter("lx <> label")
+    return met.select(F.least("x", "cls").alias("a"), F.greatest("x", "cls").alias("b")).distinct()
+
+
 def _agreement(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda u, v: (u == v).cast("int")), F.lit(0), lambda acc, v: acc + v)
 
@@ -259,20 +280,29 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
     sketches = materialize(sketch(docs, p), "sketches")
     classes = materialize(sketches.filter("cls IS NOT NULL").groupBy("cls").agg(
         F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")), "classes")
-    members, weight = walk(classes, p)
+    members, weight, large = walk(classes, p)
     stars = materialize(close_signatures(hub_links(members, weight), classes, p), "stars")
     wanted = stars.select(F.col("a").alias("cls")).union(stars.select("b")).distinct()
     sets = materialize(full_sets(docs, sketches, wanted, p), "sets")
     links = materialize(confirm(stars, sets, p), "links")
     labels = connected_components(links)
-    more = close_signatures(small_node_links(members, labels, p), classes, p)
-    more = materialize(more.join(stars, ["a", "b"], "left_anti"), "pairs")
-    lacking = more.select(F.col("a").alias("cls")).union(more.select("b")).distinct().join(sets.select("cls"), "cls", "left_anti")
-    if lacking.limit(1).count():
-        sets = sets.union(materialize(full_sets(docs, sketches, materialize(lacking, "lacking"), p), "sets"))
-    found = materialize(confirm(more, sets, p), "links")
-    if found.limit(1).count():
-        labels = connected_components(links.union(found))
+    seen = stars
+    steps = [lambda: small_node_links(members, labels, p)]
+    if large.limit(1).count():
+        steps += [lambda: large_node_links(large, labels, p.heads), lambda: large_node_links(large, labels)]
+    for pairs in steps:  # each by the components as they are then
+        more = close_signatures(pairs(), classes, p)
+        more = materialize(more.join(seen, ["a", "b"], "left_anti"), "pairs")
+        if not more.limit(1).count():
+            continue
+        lacking = more.select(F.col("a").alias("cls")).union(more.select("b")).distinct().join(sets.select("cls"), "cls", "left_anti")
+        if lacking.limit(1).count():
+            sets = sets.union(materialize(full_sets(docs, sketches, materialize(lacking, "lacking"), p), "sets"))
+        found = materialize(confirm(more, sets, p), "links")
+        seen = seen.union(more)
+        if found.limit(1).count():
+            links = links.union(found)
+            labels = connected_components(links)
     named = classes.select("cls", "first_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("label", F.coalesce("label", "cls"))
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
