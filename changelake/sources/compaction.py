@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from changelake.session import COMMIT_BY_TASKS, write_tasks
 from changelake.sources.lake import PARTITION_COLUMNS
 from changelake.sources.versions import _open as open_path
 from changelake.sources.versions import lake_files
@@ -86,6 +87,9 @@ def compact_small_files(spark: SparkSession, path: str, target_bytes: int = TARG
     work = f"{path}/{WORK}/{uuid.uuid4().hex[:12]}"
     report = "folder string, n_files bigint, bytes bigint, new_file string"
     plan_path = f"{work}/plan"
+    # the listing is written once: as a scan it costs tasks by the number of files for each use
+    files.write.options(**COMMIT_BY_TASKS).parquet(f"{work}/files")
+    files = spark.read.parquet(f"{work}/files")
     pack_files(files, target_bytes, target_bytes // 2 if small_below is None else small_below).write.parquet(plan_path)
     plan = spark.read.parquet(plan_path)
     # the scan's own list of files, as any scan has it on the driver
@@ -98,7 +102,7 @@ def compact_small_files(spark: SparkSession, path: str, target_bytes: int = TARG
     bins = plan.select(_key(F.col("path")).alias("_file"), F.col("bin").alias("_bin"))
     n_bins = plan.select("bin").distinct().count()
     merged = rows.join(bins, "_file").drop("_file").repartition(n_bins, "_bin")
-    merged.write.partitionBy(*PARTITION_COLUMNS, "_bin").parquet(f"{work}/merged")
+    merged.write.options(**COMMIT_BY_TASKS).partitionBy(*PARTITION_COLUMNS, "_bin").parquet(f"{work}/merged")
     was = spark.read.option("basePath", path).parquet(*sources).count()
     now = spark.read.parquet(f"{work}/merged").count()
     if was != now:
@@ -128,7 +132,7 @@ def finish(spark: SparkSession, path: str) -> int:
         if fs.exists(_fs(spark, f"{run}/moves/_SUCCESS")[1]):
             moves = spark.read.parquet(f"{run}/moves").select("source", "target")
             for step in (moves.filter("target is not null"), moves.filter("target is null")):
-                step.repartition("source").mapInArrow(_carry_out, "n bigint").agg(F.sum("n")).collect()
+                step.repartition(write_tasks(spark), "source").mapInArrow(_carry_out, "n bigint").agg(F.sum("n")).collect()
             done += 1
         fs.delete(status.getPath(), True)
     return done
