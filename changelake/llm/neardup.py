@@ -12,13 +12,15 @@ threshold stays together in one child on average.  So the depth that a node need
 such a pair little (:func:`recall`), where a walk without branches loses a fifth of them
 with every level.
 
-Links are confirmed on the full sets, in two steps.  First each node compares its members
-with its hub, the member that shares most nodes with others over all trees: a group of
-thousands of near copies costs a star of links, not all pairs.  Then small nodes compare
-exhaustively those members that are not yet in one component.  Nodes that are still large at
-``last_level`` do so too: every member outside the node's most frequent component meets some
-members first, which settles most of them, and then all members.  Components are found by
-joins (:mod:`graph`).
+Links are confirmed on the full sets, step by step, each step only between members that the
+steps before have not brought into one component.  A node's hub is the member that shares most
+nodes with others over all trees; a class first meets the hub that it shares most nodes with
+and then the other ones, so a group of thousands of near copies costs a star of links, not all
+pairs.  Then small nodes compare their members exhaustively.  Nodes that are still large at
+``last_level`` do so too: a member outside the node's most frequent component takes the members
+most like it first, which settles most, and then all.  Nodes compare briefs of the sets
+(:func:`may_reach`), large ones in blocks, and only pairs that pass become rows.  Components are
+found by joins (:mod:`graph`).
 
 Defined results: upper-case ASCII letters are lowered, words end at ASCII white space; a
 text with fewer words than a shingle has its whole sequence as only element; a null or
@@ -52,10 +54,12 @@ class NearDupParams:
     trees: int = 24           # independent walks; see recall()
     first_level: int = 4      # levels before the first comparison, without branches
     last_level: int = 8
-    heads: int = 32           # members that the rest of a large node meets before it meets all
+    heads: int = 2            # members of a block that the rest of a large node takes before it takes all
+    block: int = 1024         # members of a large node that are compared at once
     stride: int = 2           # tokens that a large node is divided by at a time
     small_node: int = 32      # nodes up to this size are compared exhaustively
     tokens: int = 64          # minwise tokens per class
+    bits: int = 1024          # of the parity map of a class
 
     @property
     def least_tokens(self) -> int:
@@ -67,6 +71,16 @@ class NearDupParams:
         s = self.similarity / 100
         return int(self.tokens * s - 6 * (self.tokens * s * (1 - s)) ** 0.5)
 
+    def most_bits(self, elements: np.ndarray) -> np.ndarray:
+        """Different bits of two parity maps above which a pair of so many elements in all is not looked at.
+
+        At the similarity at most ``d`` elements are in one set only, and each changes one bit; where
+        maps are crowded, their expected difference and six standard deviations are less than ``d``.
+        """
+        d = elements * (100 - self.similarity) // (100 + self.similarity)
+        expected = self.bits / 2 * (1 - (1 - 2 / self.bits) ** d)
+        return np.minimum(d, expected + 6 * self.bits ** 0.5 / 2)
+
 
 def ways(p: NearDupParams) -> float:
     """In how many ways a large node is divided on average: one child of a pair at the threshold is shared."""
@@ -115,25 +129,53 @@ class Shingler:
             np.minimum(out, (s[i:i + 2048, None] * self.mul + self.add).min(0), out=out)
         return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
+    @staticmethod
+    def brief(s: np.ndarray, signature: np.ndarray, bits: int) -> bytes:
+        """Set size, parity map (a bit tells whether the shingles of its hash are odd in number), tokens' low bytes."""
+        odd = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        return len(s).to_bytes(8, "little") + np.packbits(odd.astype(np.uint8)).tobytes() + signature.astype(np.uint8).tobytes()
+
+
+class Briefs:
+    """The briefs of rows, taken apart."""
+
+    def __init__(self, rows: pa.StructArray, p: NearDupParams):
+        raw = np.frombuffer(b"".join(rows.field("brief").to_pylist()), np.uint8).reshape(len(rows), -1)
+        self.cls, self.label, self.p = rows.field("cls"), rows.field("label"), p
+        self.size = raw[:, :8].copy().view(np.int64)[:, 0]
+        self.odd = raw[:, 8:8 + p.bits // 8].copy().view(np.uint64)
+        self.low = raw[:, 8 + p.bits // 8:].copy()
+
+
+def may_reach(a: Briefs, x: np.ndarray, b: Briefs, y: np.ndarray, tokens: bool = True) -> np.ndarray:
+    """Whether rows ``x`` of ``a`` and ``y`` of ``b`` may reach the similarity, by their parity maps and ``tokens``."""
+    out = np.empty(len(x), bool)
+    for at in range(0, len(x), 1 << 14):
+        i, j = x[at:at + (1 << 14)], y[at:at + (1 << 14)]
+        near = np.bitwise_count(a.odd[i] ^ b.odd[j]).sum(1, dtype=np.int64) <= a.p.most_bits(a.size[i] + b.size[j])
+        out[at:at + (1 << 14)] = near & ((a.low[i] == b.low[j]).sum(1) >= a.p.least_tokens) if tokens else near
+    return out
+
 
 def sketch(docs: DataFrame, p: NearDupParams) -> DataFrame:
-    """doc_id, text_hash, n_shingles, cls (hash of the whole set; null if empty) and sig of every row."""
+    """doc_id, text_hash, n_shingles, cls (hash of the whole set; null if empty), sig and brief of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = Shingler(p.words, p.tokens)
         for b in in_slices(batches):
-            n, cls, sig = [], [], []
+            n, cls, sig, brief = [], [], [], []
             for t in b.column("text"):
                 s = sh.shingles(t.as_py())
                 n.append(len(s))
                 cls.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sig.append(sh.signature(s) if len(s) else None)
+                brief.append(sh.brief(s, sig[-1], p.bits) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text_hash"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.list_(pa.int32()))],
-                names=["doc_id", "text_hash", "n_shingles", "cls", "sig"])
+                [b.column("doc_id"), b.column("text_hash"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.list_(pa.int32())), pa.array(brief, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "cls", "sig", "brief"])
 
     texts = pick(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
-    return texts.mapInArrow(run, "doc_id bigint, text_hash bigint, n_shingles bigint, cls binary, sig array<int>")
+    return texts.mapInArrow(run, "doc_id bigint, text_hash bigint, n_shingles bigint, cls binary, sig array<int>, brief binary")
 
 
 def child(node: Column, sig: Column, level: int, p: NearDupParams) -> Column:
@@ -183,40 +225,107 @@ def walk(classes: DataFrame, p: NearDupParams) -> tuple[DataFrame, DataFrame, Da
 
 
 def hub_links(members: DataFrame, weight: DataFrame) -> DataFrame:
-    """Distinct (a, b) of every member with its node's hub, a < b."""
+    """(cls, hub, shared) of every class and each hub of its nodes, the hub's own row aside; shared: their common nodes."""
     hubs = members.join(weight, "cls").groupBy("node").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
     hubs = materialize(hubs, "hubs")
-    return members.join(hubs, "node").filter("cls <> hub").select(
-        F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+    return members.join(hubs, "node").filter("cls <> hub").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def nearest_hubs(hubs: DataFrame) -> DataFrame:
+    """Distinct (a, b) of every class with the hub that it shares most nodes with, a < b."""
+    best = hubs.groupBy("cls").agg(F.max(F.struct("shared", "hub"))["hub"].alias("hub"))
+    return best.select(*_pair("cls", "hub")).distinct()
 
 
-def small_node_links(members: DataFrame, labels: DataFrame, p: NearDupParams) -> DataFrame:
-    """Distinct pairs of small nodes' members that are not in one component yet."""
-    small = members.filter(F.col("size") <= p.small_node).join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    small = small.withColumn("label", F.coalesce("label", "cls"))
+def _labelled(rows: DataFrame, labels: DataFrame, cls: str = "cls", label: str = "label") -> DataFrame:
+    named = labels.select(F.col("node").alias(cls), F.col("label").alias("_label"))
+    return rows.join(named, cls, "left").withColumn(label, F.coalesce("_label", cls)).drop("_label")
+
+
+def other_hubs(hubs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct (a, b) of every class with the hubs that are not in its component yet."""
+    rows = _labelled(_labelled(hubs.select("cls", "hub"), labels), labels, "hub", "hub_label")
+    return rows.filter("label <> hub_label").select(*_pair("cls", "hub")).distinct()
+
+
+def _names(a: Briefs, x: np.ndarray, b: Briefs, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([a.cls.take(pa.array(x)), b.cls.take(pa.array(y))], names=["x", "y"])
+
+
+def small_node_links(members: DataFrame, classes: DataFrame, labels: DataFrame, p: NearDupParams) -> DataFrame:
+    """Distinct pairs of small nodes' members that are not in one component yet and may reach the similarity."""
+    small = members.filter(F.col("size") <= p.small_node).join(classes.select("cls", "brief"), "cls")
     # nodes within one component need no work; the others hold at most small_node members
-    open_nodes = small.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                           F.collect_list(F.struct("cls", "label")).alias("m")).filter("lo <> hi")
-    pairs = open_nodes.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-    return pairs.filter((F.col("x.cls") < F.col("y.cls")) & (F.col("x.label") != F.col("y.label"))).select(
-        F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+    open_nodes = _labelled(small, labels).groupBy("node").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.collect_list(F.struct("cls", "label", "brief")).alias("m")).filter("lo <> hi")
 
+    def small_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            lists = batch.column("m")
+            rows = lists.flatten()
+            n = np.diff(lists.offsets.to_numpy())
+            after = np.repeat(np.cumsum(n), n) - np.arange(len(rows)) - 1  # members of the node behind each one
+            x = np.repeat(np.arange(len(rows)), after)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(after) - after, after)
+            label = rows.field("label").dictionary_encode().indices.to_numpy()
+            apart = label[x] != label[y]
+            x, y, briefs = x[apart], y[apart], Briefs(rows, p)
+            near = may_reach(briefs, x, briefs, y)
+            yield _names(briefs, x[near], briefs, y[near])
 
-def large_node_links(large: DataFrame, labels: DataFrame, heads: int | None = None) -> DataFrame:
-    """Distinct pairs of large nodes' members that are not in one component yet.
+    return open_nodes.select("m").mapInArrow(small_nodes, "x binary, y binary").select(*_pair("x", "y")).distinct()
 
-    Of such a pair one is outside its node's most frequent component; these members meet all
-    members of the node, or (``heads``) about so many.  A large node is split over tasks by the join.
+
+def open_large_nodes(large: DataFrame, classes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, part, m) blocks of the members outside their node's most frequent component, and of all members.
+
+    Only of large nodes with several components.  A block's members are about ``block`` of a node's.
     """
-    rows = large.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    rows = _labelled(large, labels)
     parts = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-    most = parts.groupBy("node").agg(F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    most = materialize(most.select("node", "most"), "open-nodes")
-    rest = rows.join(most, "node").filter("label <> most").select("node", F.col("cls").alias("x"), F.col("label").alias("lx"))
-    if heads is not None:
-        rows = rows.filter(F.pmod(F.xxhash64("cls"), F.col("size")) < heads)
-    met = rest.join(rows.join(most, "node", "left_semi"), "node").filter("lx <> label")
-    return met.select(F.least("x", "cls").alias("a"), F.greatest("x", "cls").alias("b")).distinct()
+    most = parts.groupBy("node").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    most = materialize(most.select("node", F.col("m.label").alias("most"), (F.col("all") - F.col("m.n")).alias("rest")), "open-nodes")
+    rows = materialize(rows.join(most, "node").join(classes.select("cls", "brief"), "cls"), "open-members")
+    return rows.filter("label <> most").withColumn("size", F.col("rest")), rows
+
+
+def large_node_links(large: DataFrame, classes: DataFrame, labels: DataFrame, p: NearDupParams, heads: int | None = None) -> DataFrame:
+    """Distinct pairs of large nodes' members that are not in one component yet and may reach the similarity.
+
+    Of such a pair one is outside its node's most frequent component; these members are compared with all
+    members of the node, in blocks that the join spreads over tasks.  ``heads``: only the pairs of a
+    member and the so many members of a block that share most tokens with it.
+    """
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / p.block))
+        return rows.groupBy("node", part.alias(f"part_{name}")).agg(F.collect_list(F.struct("cls", "label", "brief")).alias(name))
+
+    rest, rows = open_large_nodes(large, classes, labels)
+    met = blocks(rest, "mx").join(blocks(rows, "my"), "node").select("mx", "my")
+
+    def large_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for mx, my in zip(batch.column("mx"), batch.column("my")):
+                a, b = Briefs(mx.values, p), Briefs(my.values, p)
+                same = np.zeros((len(a.low), len(b.low)), np.uint16)
+                for i, low in enumerate(b.low.T.copy()):
+                    same += a.low[:, i, None] == low
+                label = pa.concat_arrays([a.label, b.label]).dictionary_encode().indices.to_numpy()
+                x, y = np.nonzero((same >= p.least_tokens) & (label[:len(same), None] != label[len(same):]))
+                near = may_reach(a, x, b, y, tokens=False)
+                x, y = x[near], y[near]
+                if heads is not None:
+                    order = np.lexsort((-same[x, y].astype(np.int64), x))
+                    x, y = x[order], y[order]
+                    first = np.arange(len(x)) - np.searchsorted(x, x) < heads
+                    x, y = x[first], y[first]
+                yield _names(a, x, b, y)
+
+    return met.mapInArrow(large_nodes, "x binary, y binary").select(*_pair("x", "y")).distinct()
 
 
 def _agreement(a: str, b: str) -> Column:
@@ -279,25 +388,26 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
     p = params
     sketches = materialize(sketch(docs, p), "sketches")
     classes = materialize(sketches.filter("cls IS NOT NULL").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")), "classes")
+        F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("brief").alias("brief")), "classes")
     members, weight, large = walk(classes, p)
-    stars = materialize(close_signatures(hub_links(members, weight), classes, p), "stars")
-    wanted = stars.select(F.col("a").alias("cls")).union(stars.select("b")).distinct()
-    sets = materialize(full_sets(docs, sketches, wanted, p), "sets")
-    links = materialize(confirm(stars, sets, p), "links")
-    labels = connected_components(links)
-    seen = stars
-    steps = [lambda: small_node_links(members, labels, p)]
+    hubs = materialize(hub_links(members, weight), "hub-links")
+    # each step by the components as they are then
+    steps = [lambda _: close_signatures(nearest_hubs(hubs), classes, p), lambda labels: close_signatures(other_hubs(hubs, labels), classes, p),
+             lambda labels: small_node_links(members, classes, labels, p)]
     if large.limit(1).count():
-        steps += [lambda: large_node_links(large, labels, p.heads), lambda: large_node_links(large, labels)]
-    for pairs in steps:  # each by the components as they are then
-        more = close_signatures(pairs(), classes, p)
-        more = materialize(more.join(seen, ["a", "b"], "left_anti"), "pairs")
+        steps += [lambda labels: large_node_links(large, classes, labels, p, p.heads), lambda labels: large_node_links(large, classes, labels, p)]
+    spark = docs.sparkSession
+    links = seen = spark.createDataFrame([], "a binary, b binary")
+    labels = spark.createDataFrame([], "node binary, label binary")
+    sets = spark.createDataFrame([], "cls binary, set binary")
+    for step in steps:
+        more = materialize(step(labels).join(seen, ["a", "b"], "left_anti"), "pairs")
         if not more.limit(1).count():
             continue
         lacking = more.select(F.col("a").alias("cls")).union(more.select("b")).distinct().join(sets.select("cls"), "cls", "left_anti")
+        lacking = materialize(lacking, "lacking")
         if lacking.limit(1).count():
-            sets = sets.union(materialize(full_sets(docs, sketches, materialize(lacking, "lacking"), p), "sets"))
+            sets = sets.union(materialize(full_sets(docs, sketches, lacking, p), "sets"))
         found = materialize(confirm(more, sets, p), "links")
         seen = seen.union(more)
         if found.limit(1).count():
@@ -307,7 +417,7 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
     named = named.withColumn("label", F.coalesce("label", "cls"))
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_class = named.join(names, "label").select("cls", "component_id")
-    out = sketches.drop("sig").join(of_class, "cls", "left")
+    out = sketches.drop("sig", "brief").join(of_class, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
