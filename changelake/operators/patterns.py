@@ -1,9 +1,10 @@
 """Rule sets that name tables by ``%`` patterns.
 
-Names meet patterns in an equijoin, not in all pairs: a pattern is keyed by its longest literal
-piece at the beginning or end of its schema or table part (with the whole schema, where that is
-literal), a name is looked up by its own pieces of the lengths that occur, and ``like`` decides
-on what meets.  Only ``%`` is a wildcard; ``_`` is common in names and stands for itself.
+Names meet patterns in an equijoin, not in all pairs: a pattern is keyed by the longest literal
+pieces at the beginning or end of its schema part (the whole schema, where that is literal) and
+of its table part, a name is looked up by its own pieces of the lengths that occur, and ``like`` decides
+on what meets.  Kinds and lengths of few patterns are broadcast, so names are shuffled only for
+those of many.  Only ``%`` is a wildcard; ``_`` is common in names and stands for itself.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WILD = "%"
+# patterns that are broadcast, all kinds and lengths together; the others meet the names by a shuffle
+FEW_PATTERNS = 50_000
 
 
 def _head(c: Column) -> Column:
@@ -35,17 +38,23 @@ def _end(c: Column, n: Column) -> Column:
 
 
 def _keyed_patterns(rules: DataFrame) -> DataFrame:
-    """Patterns with _kind, _size and _key: which piece of a name to look at, how much of it, and what it must be."""
+    """Patterns with _kind, _sizes and _key: which pieces of a name to look at, how much of them, and what they must be."""
     s, t = F.col("schema_pattern"), F.col("table_pattern")
-    literal = ~s.contains(WILD)
-    # a literal table is its own head and tail; of pieces equally long the table's head comes first
-    pieces = [(F.lit("table-head"), _head(t)), (F.lit("table-tail"), _tail(t)), (F.lit("schema-head"), _head(s)), (F.lit("schema-tail"), _tail(s))]
-    of = lambda kind, piece: F.struct(F.char_length(piece).alias("size"), kind.alias("kind"), piece.alias("piece"))
-    table = F.array_max(F.array(*[of(k, p) for k, p in pieces[:2]]))
-    best = F.when(literal, table).otherwise(F.array_max(F.array(*[of(k, p) for k, p in pieces])))
-    return (rules.withColumn("_p", best)
-            .withColumns({"_kind": F.concat(F.when(literal, F.lit("in-schema ")).otherwise(F.lit("")), F.col("_p.kind")), "_size": F.col("_p.size"),
-                          "_key": F.when(literal, F.concat(s, F.lit("\x01"), F.col("_p.piece"))).otherwise(F.col("_p.piece"))}).drop("_p"))
+    of = lambda kind, piece: F.struct(F.char_length(piece).alias("size"), F.lit(kind).alias("kind"), piece.alias("piece"))
+    longest = lambda c: F.array_max(F.array(of("head", _head(c)), of("tail", _tail(c))))
+    # a literal schema counts as a whole; a literal table is its own head and tail
+    schema = F.when(s.contains(WILD), longest(s)).otherwise(F.struct(F.lit(0).alias("size"), F.lit("whole").alias("kind"), s.alias("piece")))
+    return (rules.withColumns({"_s": schema, "_t": longest(t)})
+            .withColumns({"_kind": F.concat("_s.kind", F.lit(" "), "_t.kind"), "_sizes": F.concat("_s.size", F.lit(" "), "_t.size"),
+                          "_key": F.concat("_s.piece", F.lit("\x01"), "_t.piece")}).drop("_s", "_t"))
+
+
+def _piece(c: Column, kind: str, size: str) -> Column:
+    """The piece of a name's part; null where the part is shorter."""
+    if kind == "whole":
+        return c
+    n = int(size)
+    return F.when(F.char_length(c) >= n, F.substring(c, 1, n)) if kind == "head" else _end(c, F.lit(n))
 
 
 def match_patterns(names: DataFrame, rules: DataFrame) -> DataFrame:
@@ -56,21 +65,32 @@ def match_patterns(names: DataFrame, rules: DataFrame) -> DataFrame:
     """
     names = names.select("schema", "table").distinct()
     keyed = _keyed_patterns(rules.filter("schema_pattern is not null and table_pattern is not null").distinct())
-    # which pieces occur: at most eight kinds times the length of a name
-    shapes = [(r["_kind"], r["_size"]) for r in keyed.select("_kind", "_size").distinct().collect()]
+    # which pieces occur: at most six kinds times the lengths of a schema and of a table
+    shapes = sorted(keyed.groupBy("_kind", "_sizes").count().collect(), key=lambda r: (r["count"], r["_kind"], r["_sizes"]))
+    few, total = [], 0
+    for r in shapes:
+        total += r["count"]
+        if total <= FEW_PATTERNS:
+            few.append((r["_kind"], r["_sizes"]))
+    many = [(r["_kind"], r["_sizes"]) for r in shapes[len(few):]]
+    met = _meet(names, keyed, few, broadcast=True)
+    if many:
+        met = met.unionByName(_meet(names, keyed, many))
+    return met.filter(_like("schema", "schema_pattern") & _like("table", "table_pattern")).drop("_kind", "_sizes", "_key")
+
+
+def _meet(names: DataFrame, keyed: DataFrame, shapes: list[tuple[str, int]], broadcast: bool = False) -> DataFrame:
+    """Names and patterns of these kinds and sizes of pieces with equal pieces."""
     s, t = F.col("schema"), F.col("table")
     looks = []
-    for kind, size in sorted(shapes):
-        part = s if "schema-" in kind else t
-        n = F.lit(size)
-        piece = F.when(F.char_length(part) >= n, F.substring(part, 1, size)) if kind.endswith("head") else _end(part, n)
-        key = F.concat(s, F.lit("\x01"), piece) if kind.startswith("in-schema") else piece
-        looks.append(F.struct(F.lit(kind).alias("_kind"), n.alias("_size"), key.alias("_key")))
+    for kind, sizes in sorted(shapes):
+        pieces = [_piece(c, *x) for c, *x in zip((s, t), kind.split(" "), sizes.split(" "))]
+        looks.append(F.struct(F.lit(kind).alias("_kind"), F.lit(sizes).alias("_sizes"), F.concat(pieces[0], F.lit("\x01"), pieces[1]).alias("_key")))
     if not looks:
-        looks = [F.struct(F.lit("").alias("_kind"), F.lit(0).alias("_size"), F.lit(None).cast("string").alias("_key"))]
+        looks = [F.struct(F.lit("").alias("_kind"), F.lit("").alias("_sizes"), F.lit(None).cast("string").alias("_key"))]
     asked = names.withColumn("_l", F.explode(F.array(*looks))).select("schema", "table", "_l.*").filter("_key is not null")
-    met = asked.join(keyed, ["_kind", "_size", "_key"])
-    return met.filter(_like("schema", "schema_pattern") & _like("table", "table_pattern")).drop("_kind", "_size", "_key")
+    keyed = keyed.filter(F.concat_ws("/", "_kind", "_sizes").isin([f"{k}/{n}" for k, n in shapes]) if shapes else F.lit(False))
+    return asked.join(F.broadcast(keyed) if broadcast else keyed, ["_kind", "_sizes", "_key"])
 
 
 def wildcard_selection(names: DataFrame, rules: DataFrame) -> DataFrame:

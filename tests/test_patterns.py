@@ -54,3 +54,21 @@ def test_a_plan_of_patterns_applies_like_one_of_names(spark):
 
 def test_query_has_both_kinds(spark, sf_dir):
     assert registry.QUERIES["wildcard_selection"](spark, sf_dir).count() > 10
+
+
+def test_names_meet_only_patterns_that_agree_in_schema_and_table(spark):
+    names = spark.createDataFrame([(f"db1{i % 10}", f"T{i}") for i in range(300)], "schema string, table string")
+    rules = spark.createDataFrame([("include", "db1%", f"%{i:02d}") for i in range(100)], "action string, schema string, table string")
+    patterns_of = rules.select("action", F.col("schema").alias("schema_pattern"), F.col("table").alias("table_pattern"))
+    keyed = patterns._keyed_patterns(patterns_of)
+    kind, sizes = keyed.select("_kind", keyed.columns[4]).distinct().collect()[0]
+    assert patterns._meet(names, keyed, [(kind, sizes)]).count() == 290  # not 300 * 100; ten names have one digit
+
+
+@pytest.mark.parametrize("few", [0, 3, 50_000])
+def test_few_and_many_patterns_give_the_same(spark, monkeypatch, few):
+    monkeypatch.setattr(patterns, "FEW_PATTERNS", few)
+    names = spark.createDataFrame([("a", "t1"), ("ab", "t12"), ("b", "x"), ("b", "t1")], "schema string, table string")
+    rules = spark.createDataFrame([("include", "a%", "%1"), ("include", "a%", "t%2"), ("include", "b", "%"), ("exclude", "%", "x"), ("include", "ab", "zz%")],
+                                  "action string, schema string, table string")
+    assert sorted(map(tuple, patterns.wildcard_selection(names, rules).collect())) == [("a", "t1"), ("ab", "t12"), ("b", "t1")]
