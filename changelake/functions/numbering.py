@@ -34,19 +34,18 @@ def row_number_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str
     spark = df.sparkSession
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    keyed = df.withColumns({f"_ord{i}": c for i, c in enumerate(order_cols)})
-    ord_names = [f"_ord{i}" for i in range(len(order_cols))]
-    sliced = (keyed.repartitionByRange(n, *[F.col(g) for g in group], *[F.col(c) for c in ord_names])
+    sliced = (df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
               .withColumn("_slice", F.spark_partition_id()))
     # Slice ids depend on sampled range bounds and on shuffle read order, so the slices are
     # written once (shared checkpoint folder) and both branches below read the same rows.
     sliced = materialize(sliced, "numbering-slices")
-    local = sliced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*ord_names)))
+    # dealt by a fixed number: sorted rows compress so well that AQE would sort many slices in one task
+    local = sliced.repartition(n, *group, "_slice").withColumn(
+        "_local", F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order_cols)))
     counts = sliced.groupBy(*group, "_slice").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_slice")
                               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.withColumn("_offset", F.coalesce(before, F.lit(0))).drop("_n")
     return (local.join(offsets, [*group, "_slice"], "inner")
             .withColumn(out, (F.col("_local") + F.col("_offset")).cast("int"))
-            .drop("_local", "_offset", "_slice", *ord_names))
+            .drop("_local", "_offset", "_slice"))
