@@ -1,8 +1,8 @@
 """BPE encoding and decoding by backtracking over longest matches.
 
-The usual way to apply merges looks for the best pair again and again.  Here an
-Aho-Corasick automaton over the token strings yields, for a position, the longest token
-that starts there; a chain of shorter tokens hangs below it.  A sequence of tokens is the
+The usual way to apply merges looks for the best pair again and again.  Here the
+trie of an Aho-Corasick automaton over the token strings yields, for a position that the encoder
+reaches, the longest token that starts there; a chain of shorter tokens hangs below it.  A sequence of tokens is the
 one that the merges would give exactly if every two neighbours are *compatible*: undoing
 their last merges step by step never uncovers a pair that would have been merged earlier.
 So the encoder takes the longest token, checks it against its left neighbour in a
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import in_slices, pick
 
 # words whose ids a worker remembers at most, in two generations
-MEMO_WORDS = 150_000
+MEMO_WORDS = 400_000
 
 # The split pattern of the tokenizer file; {L}, {N} and {S} stand for the
 # Unicode letters, numbers and white space.
@@ -64,11 +64,11 @@ def byte_alphabet() -> list[str]:
     return out
 
 
-def category_class(kind: str) -> str:
-    """The inside of a character class of all code points whose category starts with ``kind``."""
+def category_class(kind: str, below: int = 0x110000) -> str:
+    """The inside of a character class of all code points under ``below`` whose category starts with ``kind``."""
     out, start = [], None
-    for c in range(0x110001):
-        inside = c < 0x110000 and unicodedata.category(chr(c))[0] == kind
+    for c in range(below + 1):
+        inside = c < below and unicodedata.category(chr(c))[0] == kind
         if inside and start is None:
             start = c
         elif not inside and start is not None:
@@ -109,7 +109,7 @@ class BacktrackingBpe:
         self.length = [len(s) for s in strings]
         self.ids = [vocab.get(s.replace(END, suffix), -1) for s in strings]
 
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}  # left token's number * all tokens + right token's number
         # a token that its own merges never reach must not be proposed
         usable = [p is None or self._reachable(i) for i, p in enumerate(parts)]
         self.automaton = ahocorasick.Automaton()
@@ -117,6 +117,7 @@ class BacktrackingBpe:
             if usable[i]:
                 self.automaton.add_word(s, i)
         self.automaton.make_automaton()
+        self.below: dict[str, int] = {}  # the longest usable token that a path of the trie begins with
         self.shorter = [-1] * len(strings)  # the longest usable proper prefix
         for i, s in enumerate(strings):
             for n in range(len(s) - 1, 0, -1):
@@ -124,6 +125,11 @@ class BacktrackingBpe:
                 if j is not None and usable[j]:
                     self.shorter[i] = j
                     break
+        for i in sorted((i for i, ok in enumerate(usable) if ok), key=self.length.__getitem__):
+            s, best = strings[i], -1
+            for n in range(1, len(s)):
+                best = self.below.setdefault(s[:n], best)
+            self.below[s] = i
 
         table = [""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, i in vocab.items():
@@ -137,8 +143,12 @@ class BacktrackingBpe:
 
         self._to_chars = {i: c for i, c in enumerate(alphabet)}
         self._special = re.compile("|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) or r"(?!)")
-        classes = {"{L}": category_class("L"), "{N}": category_class("N"), "{S}": WHITE_SPACE}
-        self._split = re.compile(re.sub(r"\{[LNS]\}", lambda m: classes[m.group()], SPLIT))
+        # one pattern for texts of code points under each bound: classes without a code point of more
+        # than 16 bits are tables, others are searched range by range
+        self._splits = []
+        for below in (0x80, 0x10000, 0x110000):
+            classes = {"{L}": category_class("L", below), "{N}": category_class("N", below), "{S}": WHITE_SPACE}
+            self._splits.append(re.compile(re.sub(r"\{[LNS]\}", lambda m: classes[m.group()], SPLIT)))
         self._memo = _Memo(self)
 
     # -- merges ---------------------------------------------------------------
@@ -172,7 +182,7 @@ class BacktrackingBpe:
                 right = p[0]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left * len(self.parts) + right
         known = self._compatible.get(key)
         if known is None:
             known = self._compatible[key] = self._check(left, right, len(self.parts))
@@ -180,37 +190,34 @@ class BacktrackingBpe:
                 self._compatible.clear()
         return known
 
-    def _longest(self, s: str) -> list[int]:
-        """For each position the longest usable token that starts there."""
-        best = [-1] * len(s)
-        length = self.length
-        for end, token in self.automaton.iter(s):
-            start = end - length[token] + 1
-            if best[start] < 0 or length[best[start]] < length[token]:
-                best[start] = token
-        return best
+    def _longest(self, s: str) -> int:
+        """The longest usable token that ``s`` begins with."""
+        return self.below[s[:self.automaton.longest_prefix(s)]]
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one piece of the split (the suffix is added here)."""
         s = "".join(map(self._to_chars.__getitem__, word.encode())) + END
-        best, n = self._longest(s), len(s)
+        n = len(s)
+        token = self._longest(s)
+        if self.length[token] == n:
+            return [self.ids[token]]
         alive = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
-        at, token = 0, best[0]
-        length, shorter, known = self.length, self.shorter, self._compatible.get
+        at = 0
+        length, shorter, known, every = self.length, self.shorter, self._compatible.get, len(self.parts)
         while at < n:
             while token >= 0:
                 if alive[at + length[token]]:
                     if not out:
                         break
-                    fits = known((out[-1], token))
+                    fits = known(out[-1] * every + token)
                     if self.compatible(out[-1], token) if fits is None else fits:
                         break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
                 at += length[token]
-                token = best[at] if at < n else -1
+                token = self._longest(s[at:]) if at < n else -1
             else:
                 alive[at] = 0
                 last = out.pop()
@@ -221,12 +228,12 @@ class BacktrackingBpe:
     # -- texts ----------------------------------------------------------------
 
     def _pieces(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            # lower-casing is by character: no special form for a final sigma
-            text = text.replace("Σ", "σ")
-        text = text.lower()
-        return self._split.findall(text)
+        if text.isascii():
+            return self._splits[0].findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        # lower-casing is by character: no special form for a final sigma
+        text = text.replace("Σ", "σ").lower()
+        return self._splits[1 if max(text) < "\U00010000" else 2].findall(text)
 
     def encode_bytes(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
