@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import WordHashes, in_slices, materialize, mix64, pick
+from .common import WordHashes, in_slices, materialize, mix64, pick, scratch_block
 from .graph import connected_components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -385,7 +385,11 @@ def _semi(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, kept of every row of (doc_id, text)."""
-    p = params
+    with scratch_block(docs.sparkSession, "neardup") as keep:
+        return keep(_near_duplicates(docs, params), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, p: NearDupParams) -> DataFrame:
     sketches = materialize(sketch(docs, p), "sketches")
     classes = materialize(sketches.filter("cls IS NOT NULL").groupBy("cls").agg(
         F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("brief").alias("brief")), "classes")
