@@ -41,11 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import WordHashes, in_slices, materialize, mix64, pick, scratch_block
+from .common import WordHashes, in_slices, in_tasks, materialize, mix64, pick, scratch_block
 from .graph import connected_components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
+# rows that a task writes: names and numbers only; with tokens or briefs, or joined with those; with whole sets
+NARROW, WIDE, SETS = 100_000, 20_000, 2_000
+
 
 @dataclass(frozen=True)
 class NearDupParams:
@@ -196,29 +199,31 @@ def walk(classes: DataFrame, p: NearDupParams) -> tuple[DataFrame, DataFrame, Da
     the members whose node is large and not divided further."""
     spark = classes.sparkSession
     folder = scratch_path(spark, "nodes")
+    n = classes.count()
 
-    def keep(rows: DataFrame, level: int) -> DataFrame:
+    def keep(rows: DataFrame, level: int, n: int) -> DataFrame:
         # sizes are a partial aggregation; written, so that Spark may split a large node in the join
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        sizes = materialize(sizes, "sizes")
-        rows.join(sizes, "node").write.parquet(f"{folder}/level={level}")
+        sizes = materialize(in_tasks(sizes, n, NARROW), "sizes")
+        in_tasks(rows.join(sizes, "node"), n, NARROW).write.parquet(f"{folder}/level={level}")
         return spark.read.parquet(f"{folder}/level={level}")
 
     rows = classes.select("cls", "sig", F.explode(F.sequence(F.lit(1), F.lit(p.trees))).alias("tree"))
     rows = rows.withColumn("node", F.xxhash64("tree", F.lit(0)))
     for level in range(p.first_level):
         rows = rows.withColumn("node", child(F.col("node"), F.col("sig"), level, p))
-    members = keep(rows.select("node", "cls"), p.first_level)
-    weight = materialize(members.groupBy("cls").agg(F.sum("size").alias("weight")), "weights")
+    members = keep(rows.select("node", "cls"), p.first_level, n * p.trees)
+    weight = materialize(in_tasks(members.groupBy("cls").agg(F.sum("size").alias("weight")), n, NARROW), "weights")
     big = members.filter(F.col("size") > p.small_node).select("node", "cls").join(classes.select("cls", "sig"), "cls")
     for level in range(p.first_level, p.last_level, p.stride):
-        if not members.filter(F.col("size") > p.small_node).limit(1).count():
+        n_big = members.filter(F.col("size") > p.small_node).count()
+        if not n_big:
             break
         rows = big.withColumn("way", F.explode(F.sequence(F.lit(1), ways_of(F.col("node"), p))))
         rows = rows.withColumn("node", F.xxhash64("node", "way"))
         for i in range(level, level + p.stride):
             rows = rows.select("cls", "sig", child(F.col("node"), F.col("sig"), i, p).alias("node"))
-        members = keep(rows, level + p.stride)
+        members = keep(rows, level + p.stride, int(n_big * ways(p)))
         big = members.filter(F.col("size") > p.small_node).select("node", "cls", "sig")
     schema = "node bigint, cls binary, size bigint"
     return spark.read.schema(schema).parquet(folder), weight, members.filter(F.col("size") > p.small_node).select("node", "cls", "size")
@@ -227,7 +232,7 @@ def walk(classes: DataFrame, p: NearDupParams) -> tuple[DataFrame, DataFrame, Da
 def hub_links(members: DataFrame, weight: DataFrame) -> DataFrame:
     """(cls, hub, shared) of every class and each hub of its nodes, the hub's own row aside; shared: their common nodes."""
     hubs = members.join(weight, "cls").groupBy("node").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
-    hubs = materialize(hubs, "hubs")
+    hubs = materialize(in_tasks(hubs, members.count(), NARROW), "hubs")
     return members.join(hubs, "node").filter("cls <> hub").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("shared"))
 
 
@@ -285,11 +290,13 @@ def open_large_nodes(large: DataFrame, classes: DataFrame, labels: DataFrame) ->
 
     Only of large nodes with several components.  A block's members are about ``block`` of a node's.
     """
+    n = large.count()
     rows = _labelled(large, labels)
     parts = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
     most = parts.groupBy("node").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    most = materialize(most.select("node", F.col("m.label").alias("most"), (F.col("all") - F.col("m.n")).alias("rest")), "open-nodes")
-    rows = materialize(rows.join(most, "node").join(classes.select("cls", "brief"), "cls"), "open-members")
+    most = most.select("node", F.col("m.label").alias("most"), (F.col("all") - F.col("m.n")).alias("rest"))
+    most = materialize(in_tasks(most, n, WIDE), "open-nodes")
+    rows = materialize(in_tasks(rows.join(most, "node").join(classes.select("cls", "brief"), "cls"), n, WIDE), "open-members")
     return rows.filter("label <> most").withColumn("size", F.col("rest")), rows
 
 
@@ -359,10 +366,9 @@ def confirm(links: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def full_sets(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, p: NearDupParams) -> DataFrame:
+def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, p: NearDupParams) -> DataFrame:
     """(cls, set) of the wanted classes, from one text of each."""
-    holder = sketches.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    holder = holder.join(wanted, "cls", "left_semi")
+    holder = classes.select("cls", F.col("first_id").alias("doc_id")).join(wanted, "cls", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sh = Shingler(p.words)
@@ -391,28 +397,32 @@ def near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) ->
 
 def _near_duplicates(docs: DataFrame, p: NearDupParams) -> DataFrame:
     sketches = materialize(sketch(docs, p), "sketches")
-    classes = materialize(sketches.filter("cls IS NOT NULL").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("brief").alias("brief")), "classes")
+    spark, n_docs = docs.sparkSession, sketches.count()
+    classes = sketches.filter("cls IS NOT NULL").groupBy("cls").agg(
+        F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("brief").alias("brief"))
+    classes = materialize(in_tasks(classes, n_docs, WIDE), "classes")
     members, weight, large = walk(classes, p)
-    hubs = materialize(hub_links(members, weight), "hub-links")
+    n_members = members.count()
+    hubs = materialize(in_tasks(hub_links(members, weight), n_members, NARROW), "hub-links")
     # each step by the components as they are then
     steps = [lambda _: close_signatures(nearest_hubs(hubs), classes, p), lambda labels: close_signatures(other_hubs(hubs, labels), classes, p),
              lambda labels: small_node_links(members, classes, labels, p)]
     if large.limit(1).count():
         steps += [lambda labels: large_node_links(large, classes, labels, p, p.heads), lambda labels: large_node_links(large, classes, labels, p)]
-    spark = docs.sparkSession
     links = seen = spark.createDataFrame([], "a binary, b binary")
     labels = spark.createDataFrame([], "node binary, label binary")
     sets = spark.createDataFrame([], "cls binary, set binary")
     for step in steps:
-        more = materialize(step(labels).join(seen, ["a", "b"], "left_anti"), "pairs")
-        if not more.limit(1).count():
+        more = materialize(in_tasks(step(labels).join(seen, ["a", "b"], "left_anti"), n_members, NARROW), "pairs")
+        n = more.count()
+        if not n:
             continue
         lacking = more.select(F.col("a").alias("cls")).union(more.select("b")).distinct().join(sets.select("cls"), "cls", "left_anti")
-        lacking = materialize(lacking, "lacking")
-        if lacking.limit(1).count():
-            sets = sets.union(materialize(full_sets(docs, sketches, lacking, p), "sets"))
-        found = materialize(confirm(more, sets, p), "links")
+        lacking = materialize(in_tasks(lacking, 2 * n, NARROW), "lacking")
+        n_lacking = lacking.count()
+        if n_lacking:
+            sets = sets.union(materialize(in_tasks(full_sets(docs, classes, lacking, p), n_lacking, SETS), "sets"))
+        found = materialize(in_tasks(confirm(more, sets, p), n, SETS), "links")
         seen = seen.union(more)
         if found.limit(1).count():
             links = links.union(found)
@@ -423,8 +433,8 @@ def _near_duplicates(docs: DataFrame, p: NearDupParams) -> DataFrame:
     of_class = named.join(names, "label").select("cls", "component_id")
     out = sketches.drop("sig", "brief").join(of_class, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
+    return in_tasks(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), n_docs, NARROW)
 
 
 def drop_near_duplicates(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from changelake import session
-from changelake.llm import neardup, substrings
+from changelake.llm import graph, neardup, substrings
 
 
 def tables(spark):
@@ -47,3 +47,31 @@ def test_operators_leave_one_table(spark, run, kept):
     out = run(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert len(out.collect()) == len(rows)
     assert [x.rsplit("-", 1)[0] for x in tables(spark) - before] == [kept]
+
+
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    # 40 shuffle partitions that AQE leaves alone: the tables of a few rows were written in 40 files each
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    files = {}
+
+    def counted(df, name):
+        out = session.materialize(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    for module in (neardup, graph):
+        monkeypatch.setattr(module, "materialize", counted)
+    text = [f"w{i}" for i in range(40)]
+    rows = [(k, " ".join([*text, f"end{k}"])) for k in range(8)] + [(100, "something else entirely"), (101, None)]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2), neardup.NearDupParams(words=2))
+        got = {r["doc_id"]: r["component_id"] for r in out.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {k: 0 for k in range(8)} | {100: 100, 101: 101}
+    assert {"sketches", "classes", "pairs", "links", "labels"} <= files.keys()
+    assert max(max(n) for n in files.values()) <= max(2, spark.sparkContext.defaultParallelism)
