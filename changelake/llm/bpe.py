@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_slices, pick
+from .common import in_slices, per_worker, pick
 
 # words whose ids a worker remembers at most, in two generations
 MEMO_WORDS = 400_000
@@ -283,16 +283,9 @@ class _Memo(dict):
         self.clear()
 
 
-_built: dict[str, BacktrackingBpe] = {}
-
-
 def _bpe_for(model: str) -> BacktrackingBpe:
     """One encoder per worker process and tokenizer."""
-    key = hashlib.sha256(model.encode()).hexdigest()
-    if key not in _built:
-        _built.clear()
-        _built[key] = BacktrackingBpe(model)
-    return _built[key]
+    return per_worker(("bpe", hashlib.sha256(model.encode()).hexdigest()), lambda: BacktrackingBpe(model))
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, text: str = "text", with_ids: bool = True) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import WordHashes, in_slices, in_tasks, materialize, mix64, pick, scratch_block
+from .common import WordHashes, in_slices, in_tasks, materialize, mix64, per_worker, pick, scratch_block
 from .graph import connected_components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -164,7 +164,7 @@ def sketch(docs: DataFrame, p: NearDupParams) -> DataFrame:
     """doc_id, text_hash, n_shingles, cls (hash of the whole set; null if empty), sig and brief of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sh = Shingler(p.words, p.tokens)
+        sh = per_worker(("shingles", p.words, p.tokens), lambda: Shingler(p.words, p.tokens))
         for b in in_slices(batches):
             n, cls, sig, brief = [], [], [], []
             for t in b.column("text"):
@@ -371,7 +371,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, p: NearDup
     holder = classes.select("cls", F.col("first_id").alias("doc_id")).join(wanted, "cls", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sh = Shingler(p.words)
+        sh = per_worker(("shingles", p.words, 1), lambda: Shingler(p.words))
         for b in in_slices(batches):
             sets = [sh.shingles(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(

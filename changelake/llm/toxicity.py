@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, in_slices, pick
+from .common import fold, in_slices, per_worker, pick
 
 WORD = re.compile(r"\w+")
 MEMO_WORDS = 150_000
@@ -260,7 +260,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        counter = TermCounter(m.terms, m.params.stems)
+        counter = per_worker(("terms", id(m.terms)), lambda: TermCounter(m.terms, m.params.stems))
         for b in in_slices(batches):
             got = [m.score(counter(t.as_py())) for t in b.column(text)]
             scores = np.array([s for s, _ in got], float)

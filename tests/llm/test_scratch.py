@@ -1,11 +1,12 @@
 """Operators leave only the tables that their result reads in the scratch folder."""
 
 import os
+import weakref
 
 import pytest
 
 from changelake import session
-from changelake.llm import graph, neardup, substrings
+from changelake.llm import bpe, common, graph, neardup, queries, substrings
 
 
 def tables(spark):
@@ -75,3 +76,14 @@ def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
     assert got == {k: 0 for k in range(8)} | {100: 100, 101: 101}
     assert {"sketches", "classes", "pairs", "links", "labels"} <= files.keys()
     assert max(max(n) for n in files.values()) <= max(2, spark.sparkContext.defaultParallelism)
+
+
+def test_a_worker_holds_one_operators_object(spark):
+    # the encoder with its memo stayed in the worker while other operators' tasks ran there
+    first = bpe._bpe_for(open(queries.tokenizer_file(), encoding="utf-8").read())
+    first.encode_bytes("some words to remember")
+    assert bpe._bpe_for(open(queries.tokenizer_file(), encoding="utf-8").read()) is first
+    gone = weakref.ref(first)
+    del first
+    assert common.per_worker(("shingles", 2, 1), lambda: neardup.Shingler(2)).words == 2
+    assert gone() is None
