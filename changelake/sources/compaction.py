@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changelake.session import COMMIT_BY_TASKS, write_tasks
+from changelake.session import COMMIT_BY_TASKS, runtime_conf, small_file_reads, write_tasks
 from changelake.sources.lake import PARTITION_COLUMNS
 from changelake.sources.versions import _open as open_path
-from changelake.sources.versions import lake_files
+from changelake.sources.versions import footer_counts, lake_files
 
 TARGET_BYTES = 256 << 20
 BINS_OF_A_WINDOW = 64  # a folder's files are packed in groups of about so many bins, one window each
@@ -87,23 +87,29 @@ def compact_small_files(spark: SparkSession, path: str, target_bytes: int = TARG
     work = f"{path}/{WORK}/{uuid.uuid4().hex[:12]}"
     report = "folder string, n_files bigint, bytes bigint, new_file string"
     plan_path = f"{work}/plan"
-    # the listing is written once: as a scan it costs tasks by the number of files for each use
+    # the listing is written once: each use would list anew
     files.write.options(**COMMIT_BY_TASKS).parquet(f"{work}/files")
     files = spark.read.parquet(f"{work}/files")
-    pack_files(files, target_bytes, target_bytes // 2 if small_below is None else small_below).write.parquet(plan_path)
+    below = target_bytes // 2 if small_below is None else small_below
+    pack_files(files, target_bytes, below).write.parquet(plan_path)
     plan = spark.read.parquet(plan_path)
-    # the scan's own list of files, as any scan has it on the driver
-    sources = [r["path"] for r in plan.select("path").collect()]
-    if not sources:
+    # the versions of the files to merge and their rows, from the footers; a row for each task and version
+    footers = footer_counts(plan).groupBy("schema_json").agg(F.min("first_path").alias("path"), F.sum("n_files").alias("n_files"),
+                                                              F.sum("n_rows").alias("n_rows")).collect()
+    if not footers:
         fs.delete(_fs(spark, work)[1], True)
         return spark.createDataFrame([], report)
-    rows = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*sources)
+    versions = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*sorted(r["path"] for r in footers))
+    # folders, not files, are named to the scan; their large files are left out before they are opened
+    folders = [r["folder"] for r in plan.select("folder").distinct().collect()]
+    rows = spark.read.schema(versions.schema).option("basePath", path).parquet(*folders).filter(F.col("_metadata.file_size") < below)
     rows = rows.select("*", _scanned(F.col("_metadata.file_path")).alias("_file"))
     bins = plan.select(_key(F.col("path")).alias("_file"), F.col("bin").alias("_bin"))
     n_bins = plan.select("bin").distinct().count()
     merged = rows.join(bins, "_file").drop("_file").repartition(n_bins, "_bin")
-    merged.write.options(**COMMIT_BY_TASKS).partitionBy(*PARTITION_COLUMNS, "_bin").parquet(f"{work}/merged")
-    was = spark.read.option("basePath", path).parquet(*sources).count()
+    was = sum(r["n_rows"] for r in footers)
+    with runtime_conf(spark, small_file_reads(sum(r["n_files"] for r in footers), was)):
+        merged.write.options(**COMMIT_BY_TASKS).partitionBy(*PARTITION_COLUMNS, "_bin").parquet(f"{work}/merged")
     now = spark.read.parquet(f"{work}/merged").count()
     if was != now:
         raise RuntimeError(f"{was} rows in the files to merge, {now} in the merged ones; nothing was changed")
